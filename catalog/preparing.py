@@ -98,7 +98,7 @@ def materialised_extract(spark, sf):
         FROM orders),
     s AS (SELECT enrollment, sem, avg(mark) AS spi FROM m GROUP BY ALL),
     c AS (SELECT *, avg(spi) OVER (PARTITION BY enrollment ORDER BY sem) AS cpi FROM s)
-    SELECT enrollment, sem, sub, count(*) AS n, round(sum(mark), 6) AS total, round(min(spi), 4) AS spi, round(min(cpi), 4) AS cpi
+    SELECT enrollment, sem, sub, count(*) AS n, round(sum(mark), 6) AS total, round(min(spi), 10) AS spi, round(min(cpi), 10) AS cpi
     FROM m JOIN c USING (enrollment, sem) GROUP BY enrollment, sem, sub""")
 def nested_marks(spark, sf):
     rows = table(spark, sf, "orders").select(
@@ -107,7 +107,7 @@ def nested_marks(spark, sf):
     )
     flat = nested.marks_round_trip(spark, rows, scratch_path(spark, "marks"))
     return flat.groupBy("enrollment", "sem", "sub").agg(
-        F.count("*").alias("n"), r(F.sum("mark"), 6).alias("total"), r(F.min("spi")).alias("spi"), r(F.min("cpi")).alias("cpi")
+        F.count("*").alias("n"), r(F.sum("mark"), 6).alias("total"), r(F.min("spi"), 10).alias("spi"), r(F.min("cpi"), 10).alias("cpi")
     )
 
 

@@ -14,7 +14,7 @@ def _documents(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "text")
 
 
-@query("case_functions", "F3", "SELECT doc_id, md5(upper(text)) AS upper, md5(lower(text)) AS lower FROM documents")
+@query("case_functions", "F3", "SELECT doc_id, md5(upper(replace(text, 'ß', 'SS'))) AS upper, md5(lower(text)) AS lower FROM documents")
 def case_functions(spark, sf):
     return _documents(spark, sf).select("doc_id", F.md5(F.upper("text")).alias("upper"), F.md5(F.lower("text")).alias("lower"))
 
@@ -37,7 +37,7 @@ def pattern_replace(spark, sf):
 
 
 @query("title_case", "F6", """SELECT doc_id, md5(array_to_string(list_transform(regexp_extract_all(lower(text), '\\p{L}+|\\P{L}+'),
-    lambda w: upper(w[1]) || w[2:]), '')) AS titled FROM documents""")
+    lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]), '')) AS titled FROM documents""")
 def title_case(spark, sf):
     return _documents(spark, sf).select("doc_id", F.md5(text.title_case(F.col("text"))).alias("titled"))
 

@@ -16,12 +16,15 @@ def strip(s: Column) -> Column:
 
 
 def title_case(s: Column) -> Column:
-    """Upper-case the first letter of every letter run, lower-case the others."""
+    """Upper-case the first letter of every letter run, lower-case the others. A letter
+    whose upper case is two letters keeps only the first of them upper."""
     runs = F.split(F.lower(s), r"(?<=\P{L})(?=\p{L})")
-    return F.array_join(
-        F.transform(runs, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, 2, 2**31 - 1))),
-        "",
-    )
+
+    def capital(word: Column) -> Column:
+        first = F.upper(F.left(word, F.lit(1)))
+        return F.concat(F.left(first, F.lit(1)), F.lower(F.substring(first, 2, 9)), F.substring(word, 2, 2**31 - 1))
+
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def swap_case(s: Column) -> Column:

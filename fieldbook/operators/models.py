@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -86,11 +88,14 @@ def kmeans_clusters(
     """(rows with ``cluster``, cost) of the best of several seeded k-means runs on
     scaled columns."""
     vectors = _vectors(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+
+    def fit(run: int):
+        return KMeans(k=k, seed=seed + run, featuresCol="features", predictionCol="cluster").fit(vectors)
+
+    # Independent runs share the cluster; each is a sequence of short jobs.
+    with ThreadPool(min(4, restarts)) as pool:
+        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
+    best = min(models, key=lambda m: m.summary.trainingCost)
     return best.transform(vectors), float(best.summary.trainingCost)
 
 

@@ -7,6 +7,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -96,11 +97,11 @@ def _column_function(tail, arity: int):
     if arity == 2:
         def two(a: pd.Series, b: pd.Series) -> pd.Series:
             return apply(a, b)
-        return F.pandas_udf(two, "double")
+        return F.pandas_udf(two, DoubleType())
 
     def three(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
         return apply(a, b, c)
-    return F.pandas_udf(three, "double")
+    return F.pandas_udf(three, DoubleType())
 
 
 f_p_value = _column_function(f_tail, 3)
