@@ -248,14 +248,14 @@ def _listing_job(spark, sf):
         }
     ).withColumnRenamed("last_review", "Last Review Date").withColumnRenamed("min_nights", "Min Nights")
     doubled = raw.unionByName(raw.filter(F.col("room_type") == "P"))
-    config = JobConfig(price_cap=300000.0, fence=0.4, exclude_columns=("Host ID",))
+    config = JobConfig(price_cap=400000.0, fence=0.4, exclude_columns=("Host ID",))
     cleaned = job.clean(doubled, config, order="id", positive="price")
     frame = job.listing_features(cleaned.frame.withColumnRenamed("last_review_date", "last_review"), config)
     features = ["price_capped", "price_tier", "log_price", "availability_cat", "has_reviews", "host_type", "revenue", "days_since_review"]
     return job.finish(job.Prepared(frame, cleaned.quality), ["price", "min_nights", "reviews", "host_listings", "availability"], config, features), config
 
 
-_RAW = f"""WITH {LISTING}, raw AS (SELECT id, CASE WHEN id % 17 <> 0 THEN region END AS region, room_type, price, price_capped, availability, min_nights,
+_RAW = f"""WITH {LISTING}, raw AS (SELECT id, CASE WHEN id % 17 <> 0 THEN region END AS region, room_type, price, least(price, 400000.0::DOUBLE) AS price_capped, availability, min_nights,
         CASE WHEN id % 13 <> 0 THEN reviews END AS reviews, host_listings, CASE WHEN id % 11 <> 0 THEN last_review END AS last_review FROM listing),
     done AS (SELECT * REPLACE (coalesce(reviews, (SELECT median(reviews) FROM raw)) AS reviews,
         coalesce(region, (SELECT region FROM raw WHERE region IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, region LIMIT 1)) AS region,
