@@ -73,10 +73,9 @@ def interchange_characters(spark, sf):
     n AS (SELECT doc_id, list_filter(w, lambda x: regexp_full_match(x, '[0-9]{1,18}')) AS d, list_filter(w, lambda x: regexp_full_match(x, '\\p{L}+')) AS a FROM t)
     SELECT doc_id, len(d)::INT AS numbers, len(a)::INT AS words, list_max(list_transform(d, lambda x: x::BIGINT)) AS largest FROM n""")
 def classify_tokens(spark, sf):
-    words = text.tokens(F.col("text"))
-    numbers = F.array_compact(text.integer_tokens(words))
+    numbers = F.array_compact(text.integer_tokens(F.col("text")))
     return _documents(spark, sf).select(
-        "doc_id", F.size(numbers).alias("numbers"), F.size(text.letter_tokens(words)).alias("words"),
+        "doc_id", F.size(numbers).alias("numbers"), F.size(text.letter_tokens(F.col("text"))).alias("words"),
         F.array_max(numbers).alias("largest"),
     )
 

@@ -15,16 +15,22 @@ def strip(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, r"^\s+", ""), r"\s+$", "")
 
 
-def title_case(s: Column) -> Column:
-    """Upper-case the first letter of every letter run, lower-case the others. A letter
-    whose upper case is two letters keeps only the first of them upper."""
-    runs = F.split(F.lower(s), r"(?<=\P{L})(?=\p{L})")
+# Two private-use characters and a space: starts a word for ``initcap`` (fixed value).
+WORD_MARK = "\ue000\ue001 "
 
-    def capital(word: Column) -> Column:
-        first = F.upper(F.left(word, F.lit(1)))
-        return F.concat(F.left(first, F.lit(1)), F.lower(F.substring(first, 2, 9)), F.substring(word, 2, 2**31 - 1))
 
-    return F.array_join(F.transform(runs, capital), "")
+def title_case(s: Column) -> Column:
+    """Upper-case the first letter of every letter run, lower-case the others.
+
+    ``initcap`` starts words at spaces only, so every letter run is put behind a
+    marked space first. Text that holds the mark itself is cut into runs instead.
+    """
+    marked = F.initcap(F.regexp_replace(s, r"(\p{L}+)", WORD_MARK + "$1"))
+    runs = F.split(s, r"(?<=\P{L})(?=\p{L})|(?<=\p{L})(?=\P{L})")
+    capital = F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(F.contains(s, F.lit(WORD_MARK)), capital).otherwise(
+        F.replace(marked, F.lit(WORD_MARK), F.lit(""))
+    )
 
 
 def swap_case(s: Column) -> Column:
@@ -60,13 +66,12 @@ def tokens(s: Column, separator: str = r"\s+") -> Column:
     return F.split(strip(s), separator)
 
 
-def integer_tokens(words: Column) -> Column:
-    """The tokens made of ASCII digits only, as numbers."""
-    return F.transform(
-        F.filter(words, lambda w: w.rlike("^[0-9]+$")), lambda w: w.try_cast("long")
-    )
+def integer_tokens(s: Column) -> Column:
+    """The whitespace-separated tokens made of digits only, as numbers; null beyond 64 bits."""
+    found = F.regexp_extract_all(s, F.lit(r"(?<!\S)([0-9]+)(?!\S)"), F.lit(1))
+    return F.transform(found, lambda w: w.try_cast("long"))
 
 
-def letter_tokens(words: Column) -> Column:
-    """The tokens made of letters only."""
-    return F.filter(words, lambda w: w.rlike(r"^\p{L}+$"))
+def letter_tokens(s: Column) -> Column:
+    """The whitespace-separated tokens made of letters only."""
+    return F.regexp_extract_all(s, F.lit(r"(?<!\S)(\p{L}+)(?!\S)"), F.lit(1))

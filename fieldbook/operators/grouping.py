@@ -21,10 +21,7 @@ def group(df: DataFrame, keys: Sequence[str], **aggregates: Column) -> DataFrame
 
 def group_with_median(df: DataFrame, keys: Sequence[str], value: str, **aggregates: Column) -> DataFrame:
     """Exact median of a value per key, with any further aggregates."""
-    middle = medians(df, [value], keys).withColumnRenamed(value, "median")
-    if not aggregates:
-        return middle
-    return middle.join(group(df, keys, **aggregates), list(keys))
+    return medians(df, [value], keys, **aggregates).withColumnRenamed(value, "median")
 
 
 def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -10,9 +12,8 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -62,24 +63,43 @@ def principal_components(
     df: DataFrame, columns: Sequence[str], k: int = 2
 ) -> tuple[DataFrame, DataFrame]:
     """(scores, scree): rows with ``pc1..pck``, and explained and cumulative variance
-    per component with the 90 % mark. Signs make each largest loading positive."""
-    vectors = _vectors(df, columns)
-    model = PCA(k=k, inputCol="features", outputCol="_pcs").fit(vectors)
-    loadings = model.pc.toArray()
-    signs = [1.0 if loadings[np.argmax(np.abs(loadings[:, i])), i] >= 0 else -1.0 for i in range(k)]
-    parts = vector_to_array("_pcs")
-    scores = (
-        model.transform(vectors)
-        .withColumns({f"pc{i + 1}": parts[i] * signs[i] for i in range(k)})
-        .drop("features", "_pcs")
-    )
-    explained = [float(x) for x in model.explainedVariance]
-    total = np.cumsum(explained)
+    per component with the 90 % mark. Signs make each largest loading positive.
+
+    The components of scaled columns are the eigenvectors of their p × p
+    correlations, which one aggregate over the complete rows gives; scores are a
+    linear expression per row.
+    """
+    columns = list(columns)
+    rows = df.dropna(subset=columns)
+    x = [F.col(c).cast("double") for c in columns]
+    p = len(columns)
+    pairs = list(combinations(range(p), 2))
+    stats = rows.agg(
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
+        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(x)],
+        *[F.covar_pop(x[i], x[j]).alias(f"c{i}_{j}") for i, j in pairs],
+    ).first()
+    spread = [stats[f"s{i}"] or 0.0 for i in range(p)]
+    corr = np.diag([1.0 if s > 0 else 0.0 for s in spread])
+    for i, j in pairs:
+        if spread[i] > 0 and spread[j] > 0:
+            corr[i, j] = corr[j, i] = stats[f"c{i}_{j}"] / (spread[i] * spread[j])
+    values, vectors = np.linalg.eigh(corr)
+    order = np.argsort(values)[::-1][:k]
+    explained = np.maximum(values, 0.0) / max(values.sum(), 1e-300)
+    scored = {}
+    for rank, o in enumerate(order):
+        weights = vectors[:, o] * (1.0 if vectors[np.argmax(np.abs(vectors[:, o])), o] >= 0 else -1.0)
+        terms = [
+            (x[i] - stats[f"m{i}"]) * float(weights[i] / spread[i]) for i in range(p) if spread[i] > 0
+        ]
+        scored[f"pc{rank + 1}"] = reduce(Column.__add__, terms, F.lit(0.0))
+    total = np.cumsum(explained[order])
     scree = df.sparkSession.createDataFrame(
-        [(i + 1, explained[i], float(total[i]), int(total[i] >= 0.9)) for i in range(k)],
+        [(i + 1, float(explained[o]), float(total[i]), int(total[i] >= 0.9 - 1e-12)) for i, o in enumerate(order)],
         "component int, explained double, cumulative double, reaches_90 int",
     )
-    return scores, scree
+    return rows.withColumns(scored), scree
 
 
 def kmeans_clusters(

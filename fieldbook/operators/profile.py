@@ -77,30 +77,23 @@ def sample_kurtosis(column: Column) -> Column:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, std, min, percentiles, max, skewness, kurtosis and cv% per numeric column."""
     columns = list(columns or columns_of(df, "numeric"))
-    aggs = []
+    moments = {}
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"{i}_count"),
-            F.avg(x).alias(f"{i}_mean"),
-            F.stddev_samp(x).alias(f"{i}_std"),
-            F.min(x).alias(f"{i}_min"),
-            F.max(x).alias(f"{i}_max"),
-            sample_skewness(x).alias(f"{i}_skewness"),
-            sample_kurtosis(x).alias(f"{i}_kurtosis"),
-        ]
-    fields = ["count", "mean", "std", "min", "max", "skewness", "kurtosis"]
-    moments = _rows_per_column(df.agg(*aggs), columns, fields)
-    wide = quantiles(df, columns, PERCENTILES)
-    ranks = wide.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in columns]))
-    )
+        moments[f"{i}_m"] = F.struct(
+            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"), F.max(x).alias("max"), sample_skewness(x).alias("skewness"),
+            sample_kurtosis(x).alias("kurtosis"),
+        )
+    wide = quantiles(df, columns, PERCENTILES, **moments)
+    cells = [F.struct(F.col(f"{i}_m").alias("m"), F.col(c).alias("q")) for i, c in enumerate(columns)]
     names = [f"p{round(p * 100)}" for p in PERCENTILES]
-    return moments.join(ranks, "column").select(
-        "column", "count", "mean", "std", "min",
+    m = F.col("m")
+    return wide.select(F.inline(F.array(*cells))).select(
+        m["column"].alias("column"), m["count"].alias("count"), m["mean"].alias("mean"), m["std"].alias("std"), m["min"].alias("min"),
         *[F.col("q")[i].alias(n) for i, n in enumerate(names)],
-        "max", "skewness", "kurtosis",
-        F.round(F.try_divide(F.col("std"), F.col("mean")) * 100, 2).alias("cv_pct"),
+        m["max"].alias("max"), m["skewness"].alias("skewness"), m["kurtosis"].alias("kurtosis"),
+        F.round(F.try_divide(m["std"], m["mean"]) * 100, 2).alias("cv_pct"),
     )
 
 

@@ -164,29 +164,42 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     bracket: bool | None = None,
+    **extra: Column,
 ) -> DataFrame:
-    """Linearly interpolated quantiles: ``by`` columns plus one array per column.
+    """Linearly interpolated quantiles: ``by`` columns, one array per column, and any
+    ``extra`` aggregates, taken in the same pass.
 
     A plan whose estimated size fits one task comfortably uses the built-in
     ``percentile``; anything larger goes through the bracketed selection.
     """
     by = list(by)
-    if bracket is None and estimated_bytes(df.select(*by, *columns)) <= SMALL_INPUT:
+    if bracket is None:
+        bracket = estimated_bytes(df.select(*by, *columns)) > SMALL_INPUT
+    if not bracket:
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         rows = df.dropna(subset=by) if by else df
         return rows.groupBy(*by).agg(
-            *[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in columns]
+            *[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in columns],
+            *[a.alias(name) for name, a in extra.items()],
         )
     targets = [(p, linear_position(p)) for p in probs]
-    return order_statistics(df, columns, targets, by, bracket=bracket)
+    found = order_statistics(df, columns, targets, by, bracket=True)
+    if not extra:
+        return found
+    others = [a.alias(name) for name, a in extra.items()]
+    if by:
+        return found.join(df.dropna(subset=by).groupBy(*by).agg(*others), by)
+    return found.withColumn("_x", df.agg(F.struct(*others)).scalar()).select(
+        *columns, *[F.col("_x")[name].alias(name) for name in extra]
+    )
 
 
 def medians(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), bracket: bool | None = None
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), bracket: bool | None = None, **extra: Column
 ) -> DataFrame:
-    """Median per column, as plain doubles under the input names."""
-    out = quantiles(df, columns, [0.5], by, bracket=bracket)
-    return out.select(*by, *[F.col(c)[0].alias(c) for c in columns])
+    """Median per column, as plain doubles under the input names, with ``extra`` aggregates."""
+    out = quantiles(df, columns, [0.5], by, bracket=bracket, **extra)
+    return out.select(*by, *[F.col(c)[0].alias(c) for c in columns], *extra)
 
 
 def top_share(df: DataFrame, column: str, fraction: float, bracket: bool | None = None) -> DataFrame:

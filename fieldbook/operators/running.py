@@ -65,14 +65,9 @@ def carry_forward(
     """Add ``carried``: the value itself or the latest non-null one before it."""
     by = list(by)
     rows = with_chunks(df, order[0], chunks)
-    last = F.max_by(F.col(column), F.struct(*order))
-    seen = rows.filter(F.col(column).isNotNull()).groupBy(*by, "_chunk").agg(last.alias("_last"))
-    every = rows.groupBy(*by, "_chunk").agg(F.count("*").alias("_rows"))
-    right = seen.select(*[F.col(b).alias(f"_s_{b}") for b in by], F.col("_chunk").alias("_s_chunk"), "_last")
-    cond = F.col("_chunk") == F.col("_s_chunk")
-    for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col(f"_s_{b}"))
-    inherited = every.join(right, cond, "left").withColumn(
+    # max_by skips rows whose ordering is null, here those without a value.
+    place = F.when(F.col(column).isNotNull(), F.struct(*order))
+    inherited = rows.groupBy(*by, "_chunk").agg(F.max_by(column, place).alias("_last")).withColumn(
         "_inherited", F.last("_last", ignorenulls=True).over(_before(by))
     )
     local = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -67,6 +67,7 @@ def clean(
             df = imputing.fill_mode(df, others)
     if positive and positive in df.columns:
         df = df.filter(F.col(positive) > 0)
+    df = materialise(df, "imputed")
     quality = _metrics(
         df,
         [("rows_in", "", rows_in), ("duplicates_removed", "", rows_in - rows_kept)]
@@ -187,7 +188,11 @@ def report(
     quality = profile.data_quality(df)
     numbers = profile.describe(df)
     results = test_rows(tests)
-    insights = materialise(insights, "insights")
+    # Each small result is computed once and read by both reports.
+    quality, numbers, results, insights = (
+        materialise(part, name)
+        for part, name in ((quality, "quality"), (numbers, "numbers"), (results, "tests"), (insights, "insights"))
+    )
     sections = [
         ("data quality", sinks.key_value_lines(quality, "data quality")),
         ("descriptive statistics", sinks.table_lines(numbers, "descriptive statistics", "column")),
