@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fieldbook.operators.profile import correlation
 from fieldbook.operators.quantiles import order_statistics
 from fieldbook.operators.special import chi2_p_value, f_p_value, t_p_value
 
@@ -154,7 +155,7 @@ def linear_fit(df: DataFrame, y: str, x: str) -> DataFrame:
     s = df.select(a.alias("y"), b.alias("x")).dropna().agg(
         F.count("*").alias("n"), F.regr_slope("y", "x").alias("slope"),
         F.regr_intercept("y", "x").alias("intercept"), F.regr_r2("y", "x").alias("r_squared"),
-        F.corr("x", "y").alias("r"),
+        correlation("x", "y").alias("r"),
     )
     return _with_r_p_value(s)
 
@@ -162,7 +163,7 @@ def linear_fit(df: DataFrame, y: str, x: str) -> DataFrame:
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     """Correlation on the rows having both values: ``n, r, p_value``."""
     s = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna().agg(
-        F.count("*").alias("n"), F.corr("x", "y").alias("r")
+        F.count("*").alias("n"), correlation("x", "y").alias("r")
     )
     return _with_r_p_value(s)
 

@@ -127,16 +127,25 @@ def categorical_summary(df: DataFrame, columns: Sequence[str] | None = None, top
     )
 
 
+def correlation(a: Column | str, b: Column | str) -> Column:
+    """Aggregate: Pearson correlation of the rows having both values, null when either
+    is constant there (the built-in one fails on that in ANSI mode)."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    x, y = x.cast("double"), y.cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    return F.try_divide(
+        F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    )
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(x, y, r) for every pair of numeric columns, on the rows where both exist;
     one aggregate for all pairs."""
     columns = list(columns or columns_of(df, "numeric"))
     pairs = list(combinations(columns, 2))
-    one = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
-    )
+    one = df.agg(*[correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.nanvl(F.col(f"p{i}"), F.lit(None)).alias("r"))
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"p{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)
     ]
     return one.select(F.inline(F.array(*cells)))
