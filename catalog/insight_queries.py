@@ -344,7 +344,7 @@ def _drain(spark, df, mode):
 @query("stream_daily_counts", "V9 stream", """WITH d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY ALL)
     SELECT strftime(day, '%Y-%m-%d') AS day, event_type, n FROM d""")
 def stream_daily_counts(spark, sf):
-    counts = _drain(spark, live.daily_counts(_stream(spark, sf), "ts", kind="event_type"), "update")
+    counts = _drain(spark, live.daily_counts(_stream(spark, sf), "ts", ["event_type"]), "update")
     latest = counts.groupBy("day", "event_type").agg(F.max_by("n", "batch").alias("n"))
     return latest.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n")
 

@@ -13,6 +13,7 @@ from fieldbook.operators.grouping import group, group_with_median
 from fieldbook.operators.profile import correlations
 from fieldbook.operators.quantiles import medians, quantiles
 from fieldbook.operators.shaping import columns_of, sample_rows, top_groups
+from fieldbook.session import attach_groups
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
@@ -65,7 +66,7 @@ def density_curve(df: DataFrame, column: str, by: str | None = None, points: int
     )
     counts = rows.groupBy(*keys, "v").agg(F.count("*").alias("k"))
     if by:
-        placed = counts.join(stats, by)
+        placed = attach_groups(counts, stats, [by])
     else:
         placed = counts.withColumn("s", stats.select(F.struct("*")).scalar()).select("v", "k", "s.*")
     reach = KERNEL_REACH * F.col("h")
@@ -92,7 +93,7 @@ def box_statistics(df: DataFrame, column: str, by: str, k: float = 1.5) -> DataF
     )
     reach = k * (F.col("q3") - F.col("q1"))
     inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
-    return rows.join(q, by).groupBy(by, "q1", "median", "q3").agg(
+    return attach_groups(rows, q, [by]).groupBy(by, "q1", "median", "q3").agg(
         F.count("*").alias("n"),
         F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_high"),

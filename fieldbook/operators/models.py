@@ -116,6 +116,7 @@ def kmeans_clusters(
     with ThreadPool(min(4, restarts)) as pool:
         models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
     best = min(models, key=lambda m: m.summary.trainingCost)
+    vectors.unpersist()
     return best.transform(vectors), float(best.summary.trainingCost)
 
 

@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldbook.session import estimated_bytes
+from fieldbook.session import attach_groups, estimated_bytes
 
 ACCURACY = 10_000
 # Groups up to this size are ranked whole: the sketch's error would be below a few ranks.
 SMALL_GROUP = 4 * ACCURACY
 # Below this plan size the sketch pass costs more than it saves.
-SMALL_INPUT = 64 * 1024 * 1024
+SMALL_INPUT = 16 * 1024 * 1024
 
 Position = Callable[[Column], Column]
 
@@ -86,17 +86,27 @@ def order_statistics(
         sketches = []
         for i in range(len(columns)):
             sketches += [
-                (F.count(f"_v{i}") <= small_group).alias(f"_w{i}"),
+                F.count(f"_v{i}").alias(f"_n{i}"),
                 F.percentile_approx(f"_v{i}", marks, accuracy).alias(f"_e{i}"),
             ]
         if by:
-            data = data.join(data.groupBy(*by).agg(*sketches), by)
-            known = [(F.col(f"_e{i}"), F.col(f"_w{i}")) for i in range(len(columns))]
+            # Only large groups need brackets, at most one per small_group rows.
+            large = data.groupBy(*by).agg(*sketches).filter(
+                F.greatest(*[F.col(f"_n{i}") for i in range(len(columns))], F.lit(0)) > small_group
+            )
+            data = attach_groups(data, large, by, "left")
+            known = [
+                (F.col(f"_e{i}"), F.coalesce(F.col(f"_n{i}"), F.lit(0)) <= small_group)
+                for i in range(len(columns))
+            ]
         else:
             # One row of a few numbers: brought back once, then literals in the scan.
             row = data.agg(*sketches).first()
             known = [
-                ([F.lit(x) for x in row[f"_e{i}"] or [None] * (2 * len(spans))], F.lit(row[f"_w{i}"]))
+                (
+                    [F.lit(x).cast("double") for x in row[f"_e{i}"] or [None] * (2 * len(spans))],
+                    F.lit(row[f"_n{i}"] <= small_group),
+                )
                 for i in range(len(columns))
             ]
         cells = [

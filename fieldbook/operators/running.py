@@ -15,33 +15,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldbook.session import estimated_bytes
+from fieldbook.session import attach_groups, estimated_bytes
 
 CHUNK_BYTES = 128 * 1024 * 1024
 MAX_CHUNKS = 4096
 
 
-def with_chunks(df: DataFrame, order: str, chunks: int | None = None) -> DataFrame:
-    """Add ``_chunk``, increasing with the order column. The number of chunks
+def _position(df: DataFrame, column: str):
+    """An order column as a double: microseconds for times, the number itself otherwise."""
+    timed = dict(df.dtypes)[column].startswith(("timestamp", "date"))
+    c = F.col(column)
+    return (F.unix_micros(c.cast("timestamp")) if timed else c).cast("double")
+
+
+def _bucketed(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    if len(splits) == 2:
+        return df.withColumn(name, F.lit(0.0))
+    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+
+
+def with_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
+    """Add ``_chunk``, increasing with the order columns. The number of chunks
     follows the plan's estimated size unless given; the cuts are at most
-    ``MAX_CHUNKS`` numbers."""
+    ``MAX_CHUNKS`` numbers.
+
+    A first order value shared by more rows than a chunk should hold shows up as
+    repeated cuts; its rows are cut again by the second order column.
+    """
     if chunks is None:
         chunks = min(MAX_CHUNKS, 1 + estimated_bytes(df) // CHUNK_BYTES)
     if chunks <= 1:
         return df.withColumn("_chunk", F.lit(0.0))
-    kind = dict(df.dtypes)[order]
-    position = (
-        F.unix_micros(F.col(order).cast("timestamp")) if kind.startswith(("timestamp", "date"))
-        else F.col(order)
-    ).cast("double")
-    keyed = df.withColumn("_position", position)
-    cuts = keyed.approxQuantile("_position", [i / chunks for i in range(1, chunks)], 0.25 / chunks)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) == 2:
-        return df.withColumn("_chunk", F.lit(0.0))
-    return Bucketizer(
-        splits=splits, inputCol="_position", outputCol="_chunk", handleInvalid="keep"
-    ).transform(keyed).drop("_position")
+    probs = [i / chunks for i in range(1, chunks)]
+    keyed = df.withColumn("_p0", _position(df, order[0]))
+    cuts = keyed.approxQuantile("_p0", probs, 0.25 / chunks)
+    out = _bucketed(keyed, "_p0", cuts, "_chunk")
+    tied = sorted({c for c in cuts if cuts.count(c) > 1})
+    if tied and len(order) > 1:
+        is_tied = F.col("_p0").isin(tied)
+        out = out.withColumn("_p1", F.when(is_tied, _position(df, order[1])).otherwise(F.lit(0.0)))
+        again = out.filter(is_tied).approxQuantile("_p1", probs, 0.25 / chunks)
+        # A bucket starts at its cut, so the tied rows come before the others in it.
+        place = 2 * F.col("_chunk") + F.when(is_tied, 0).otherwise(1)
+        out = _bucketed(out, "_p1", again, "_c1").withColumn(
+            "_chunk", place * (MAX_CHUNKS + 2) + F.when(is_tied, F.col("_c1")).otherwise(0.0)
+        ).drop("_p1", "_c1")
+    return out.drop("_p0")
 
 
 def _before(by: Sequence[str]):
@@ -64,7 +84,7 @@ def carry_forward(
 ) -> DataFrame:
     """Add ``carried``: the value itself or the latest non-null one before it."""
     by = list(by)
-    rows = with_chunks(df, order[0], chunks)
+    rows = with_chunks(df, order, chunks)
     # max_by skips rows whose ordering is null, here those without a value.
     place = F.when(F.col(column).isNotNull(), F.struct(*order))
     inherited = rows.groupBy(*by, "_chunk").agg(F.max_by(column, place).alias("_last")).withColumn(
@@ -84,7 +104,7 @@ def running_totals(
 ) -> DataFrame:
     """Add ``running_n`` and ``running_sum`` up to and including each row."""
     by = list(by)
-    rows = with_chunks(df, order[0], chunks)
+    rows = with_chunks(df, order, chunks)
     per_chunk = rows.groupBy(*by, "_chunk").agg(
         F.count("*").alias("_n"), F.sum(value).alias("_sum")
     )
@@ -115,11 +135,8 @@ def limit_ledger(
     over_count = F.col("running_n") > max_count
     over_total = F.col("running_sum") > max_total
     place = F.struct(*order)
-    first = (
-        running.filter(over_count | over_total).groupBy(F.col(account).alias("_a"))
-        .agg(F.min(place).alias("_first"))
-    )
-    joined = running.join(first, F.col(account) == F.col("_a"), "left")
+    first = running.filter(over_count | over_total).groupBy(account).agg(F.min(place).alias("_first"))
+    joined = attach_groups(running, first, [account], "left")
     accepted = F.col("_first").isNull() | (place < F.col("_first"))
     reason = (
         F.when(accepted, F.lit("accepted"))
@@ -127,7 +144,7 @@ def limit_ledger(
         .when(over_count, F.lit("Transaction limit exceeded"))
         .otherwise(F.lit("Amount limit exceeded"))
     )
-    return joined.withColumn("accepted", accepted.cast("int")).withColumn("reason", reason).drop("_a", "_first")
+    return joined.withColumn("accepted", accepted.cast("int")).withColumn("reason", reason).drop("_first")
 
 
 def share_of_total(df: DataFrame, metric: str, name: str = "share") -> DataFrame:

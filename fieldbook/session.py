@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "fieldbook", **settings: str) -> SparkSession:
@@ -58,3 +59,25 @@ def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, the number its own broadcast rule uses.
     No job runs."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+# A group table up to this size goes to every task; it is checked after it was written.
+BROADCAST_BYTES = 16 * 1024 * 1024
+SALTS = 64
+
+
+def attach_groups(rows: DataFrame, groups: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table holding one row per group, without gathering a group.
+
+    The group table is written first, so its size is known: a small one is
+    broadcast and the rows stay where they are. A larger one is repeated per
+    salt and joined on (group, salt), which spreads the rows of a hot group over
+    many tasks.
+    """
+    groups = materialise(groups, "groups")
+    if estimated_bytes(groups) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(groups), on, how)
+    others = [c for c in rows.columns if c not in on]
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
+    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(spread, [*on, "_salt"], how).drop("_salt")

@@ -5,40 +5,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from fieldbook.session import attach_groups
 
 NESTED_SCHEMA = """
-    enrollment string, name string,
-    semesters array<struct<sem: int, subjects: array<struct<sub: string, marks: array<double>>>, spi: double, cpi: double>>
+    enrollment string, name string, part long,
+    semesters array<struct<sem: int, spi: double, cpi: double,
+        subjects: array<struct<sub: string, marks: array<struct<mark: double, times: long>>>>>>
 """
+# Marks per record; a student with more gets several records.
+RECORD_MARKS = 100_000
 
 
-def nest_marks(rows: DataFrame) -> DataFrame:
-    """Rows (enrollment, name, sem, sub, mark) as one nested record per student.
+def nest_marks(rows: DataFrame, record_marks: int = RECORD_MARKS) -> DataFrame:
+    """Rows (enrollment, name, sem, sub, mark) as nested records.
 
-    Marks are collected per subject, subjects per semester, semesters per
-    student; ``spi`` is the mean mark of a semester, ``cpi`` the mean of the
-    semesters so far.
+    ``spi`` is the mean mark of a semester, ``cpi`` the mean of the semesters so
+    far. Equal marks are stored once with their number, and the marks of a large
+    student are split over parts, so no record grows with the table.
     """
-    subjects = rows.groupBy("enrollment", "name", "sem", "sub").agg(
-        F.sort_array(F.collect_list("mark")).alias("marks")
+    student = ["enrollment", "name"]
+    counted = rows.groupBy(*student, "sem", "sub", "mark").agg(F.count("*").alias("times"))
+    so_far = Window.partitionBy(*student).orderBy("sem").rowsBetween(Window.unboundedPreceding, 0)
+    semesters = rows.groupBy(*student, "sem").agg(F.avg("mark").alias("spi"), F.count("*").alias("_n")).select(
+        *student, "sem", "spi", F.avg("spi").over(so_far).alias("cpi"),
+        F.ceil(F.sum("_n").over(Window.partitionBy(*student)) / record_marks).alias("_parts"),
+    )
+    placed = attach_groups(counted, semesters, [*student, "sem"]).withColumn(
+        "part", F.pmod(F.xxhash64("sem", "sub", "mark"), F.col("_parts"))
     )
-    total = F.aggregate("marks", F.lit(0.0), lambda a, x: a + x)
-    semesters = subjects.withColumn("total", total).groupBy("enrollment", "name", "sem").agg(
-        F.sort_array(F.collect_list(F.struct("sub", "marks"))).alias("subjects"),
-        (F.sum("total") / F.sum(F.size("marks"))).alias("spi"),
+    subjects = placed.groupBy(*student, "part", "sem", "spi", "cpi", "sub").agg(
+        F.collect_list(F.struct("mark", "times")).alias("marks")
     )
-    students = semesters.groupBy("enrollment", "name").agg(
-        F.sort_array(F.collect_list(F.struct("sem", "subjects", "spi"))).alias("s")
+    terms = subjects.groupBy(*student, "part", "sem", "spi", "cpi").agg(
+        F.collect_list(F.struct("sub", "marks")).alias("subjects")
     )
-    mean_until = lambda i: F.aggregate(
-        F.slice("s", F.lit(1), i + 1), F.lit(0.0), lambda a, x: a + x["spi"]
-    ) / (i + 1)
-    nested = F.transform(
-        "s", lambda x, i: F.struct(
-            x["sem"].alias("sem"), x["subjects"].alias("subjects"), x["spi"].alias("spi"), mean_until(i).alias("cpi")
-        )
+    return terms.groupBy(*student, "part").agg(
+        F.collect_list(F.struct("sem", "spi", "cpi", "subjects")).alias("semesters")
     )
-    return students.select("enrollment", "name", nested.alias("semesters"))
 
 
 def flatten_marks(nested: DataFrame) -> DataFrame:
@@ -46,7 +51,9 @@ def flatten_marks(nested: DataFrame) -> DataFrame:
     return (
         nested.select("enrollment", "name", F.explode("semesters").alias("s"))
         .select("enrollment", "name", "s.sem", "s.spi", "s.cpi", F.explode("s.subjects").alias("t"))
-        .select("enrollment", "name", "sem", "spi", "cpi", "t.sub", F.posexplode("t.marks").alias("attempt", "mark"))
+        .select("enrollment", "name", "sem", "spi", "cpi", "t.sub", F.explode("t.marks").alias("m"))
+        .select("enrollment", "name", "sem", "spi", "cpi", "sub", "m.mark", F.explode(F.sequence(F.lit(1), F.col("m.times"))).alias("_i"))
+        .drop("_i")
     )
 
 

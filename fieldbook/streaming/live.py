@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def daily_counts(stream: DataFrame, time: str, delay: str = "1 day", **by: str) -> DataFrame:
+def daily_counts(stream: DataFrame, time: str, by: Sequence[str] = (), delay: str = "1 day") -> DataFrame:
     """Rows per day (and per any named column); a day is final once the watermark passes it."""
     ts = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
-    return ts.groupBy(F.window(time, "1 day"), *by.values()).agg(F.count("*").alias("n")).select(
-        F.col("window.start").alias("day"), *by.values(), "n"
+    return ts.groupBy(F.window(time, "1 day"), *by).agg(F.count("*").alias("n")).select(
+        F.col("window.start").alias("day"), *by, "n"
     )
 
 
@@ -31,23 +32,36 @@ def live_ledger(
 ) -> DataFrame:
     """Accept transactions per account as they arrive until one breaks a limit.
 
-    The state is three numbers per account; a batch's rows are decided in the
-    order of ``order``, which must not go back between batches.
+    The state is three values per account; a trigger's rows are decided in the
+    order of ``order``, which must not go back between triggers. Only the rows
+    that can still be accepted are held, at most ``max_count`` + 1; all later
+    ones are rejected on sight.
     """
 
     def decide(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n, total, closed = state.get if state.exists else (0, 0.0, False)
-        rows = pd.concat(list(batches)).sort_values("at", kind="stable")
-        amounts = rows["amount"].to_numpy(dtype=float)
-        counts = n + pd.Series(range(1, len(rows) + 1)).to_numpy()
-        totals = total + amounts.cumsum()
-        broken = (counts > max_count) | (totals > max_total)
-        ended = pd.Series(broken).cummax().to_numpy() | closed
-        n, total, closed = int(counts[-1]), float(totals[-1]), bool(ended[-1])
+        room = 0 if closed else max_count - n + 1
+
+        def verdict(rows: pd.DataFrame, accepted) -> pd.DataFrame:
+            return pd.DataFrame(
+                {"account": key[0], "at": rows["at"].to_numpy(), "amount": rows["amount"].to_numpy(dtype=float),
+                 "accepted": np.broadcast_to(accepted, len(rows)).astype("int32")}
+            )
+
+        first = None
+        for batch in batches:
+            rows = batch if first is None else pd.concat([first, batch])
+            rows = rows.sort_values("at", kind="stable")
+            first = rows.iloc[:room]
+            yield verdict(rows.iloc[room:], False)
+            closed = closed or len(rows) > room
+        totals = total + first["amount"].to_numpy(dtype=float).cumsum()
+        broken = (n + np.arange(1, len(first) + 1) > max_count) | (totals > max_total)
+        ended = np.logical_or.accumulate(broken) if len(first) else broken
+        yield verdict(first, ~ended)
+        if len(first):
+            n, total, closed = n + len(first), float(totals[-1]), closed or bool(ended[-1])
         state.update((n, total, closed))
-        yield pd.DataFrame(
-            {"account": key[0], "at": rows["at"].to_numpy(), "amount": amounts, "accepted": (~ended).astype("int32")}
-        )
 
     rows = stream.select(F.col(account).alias("account"), F.col(order).alias("at"), F.col(amount).cast("double").alias("amount"))
     types = dict(rows.dtypes)

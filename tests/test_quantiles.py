@@ -85,3 +85,16 @@ def test_top_share_of_large_table(spark):
     row = top_share(df, "v", 0.1, bracket=True).first()
     assert row["k"] == 10_000
     assert row["top_sum"] == float(sum(range(90_000, 100_000)))
+
+
+def test_many_large_groups_are_joined_with_salts(skewed, monkeypatch):
+    """Too large a bracket table for a broadcast still gives the same values."""
+    from fieldbook import session
+
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
+    targets = [(0.5, lambda n: (n - 1) * 0.5)]
+    got = order_statistics(skewed, ["v"], targets, ["k"], bracket=True, small_group=20_000)
+    assert "_salt" in got._jdf.queryExecution().toString()
+    for r in got.collect():
+        part = skewed.filter(F.col("k") == r["k"]).toPandas()["v"].dropna()
+        assert r["v"][0] == pytest.approx(np.median(part), rel=1e-12)

@@ -55,3 +55,15 @@ def test_limit_ledger(spark, chunks):
     ]
     kept = pd.DataFrame([r.asDict() for r in out if r["accepted"]]).groupby("account")["amount"].agg(["count", "sum"])
     assert (kept["count"] <= 3).all() and (kept["sum"] <= 20_000).all()
+
+
+def test_tied_order_values_are_cut_again(spark):
+    """Two thirds of the rows share one order value."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1500).alias("t"), "id", (F.col("id") % 7).cast("double").alias("v")
+    )
+    chunked = running.with_chunks(df, ["t", "id"], 20)
+    assert chunked.groupBy("_chunk").count().agg(F.max("count")).first()[0] < 300
+    got = running.running_totals(df, "v", ["t", "id"], chunks=20).orderBy("t", "id").toPandas()
+    want = df.toPandas().sort_values(["t", "id"])["v"].cumsum()
+    assert (got["running_sum"].to_numpy() == want.to_numpy()).all()

@@ -40,6 +40,17 @@ def test_nested_marks(spark, tmp_path):
     assert got == [(1, "art", 70.0, 70.0, 70.0), (1, "math", 60.0, 70.0, 70.0), (1, "math", 80.0, 70.0, 70.0), (2, "art", 90.0, 90.0, 80.0)]
 
 
+def test_large_students_get_several_records(spark):
+    rows = spark.range(1000).select(
+        F.lit("e1").alias("enrollment"), F.lit("n").alias("name"), (F.col("id") % 2).cast("int").alias("sem"),
+        F.lit("math").alias("sub"), (F.col("id") % 400).cast("double").alias("mark"),
+    )
+    records = nested.nest_marks(rows, record_marks=100)
+    assert records.count() == 10
+    flat = nested.flatten_marks(records)
+    assert flat.count() == 1000 and flat.agg(F.sum("mark")).first()[0] == rows.agg(F.sum("mark")).first()[0]
+
+
 RAW = [
     (1, " ann ", "p", "2024-01-01", 100.0, 10), (1, " ann ", "p", "2024-01-01", 100.0, 10),
     (2, "bob", None, "2024-01-03", None, 0), (3, "cy", "q", None, 0.0, 365), (4, "di", "q", "2024-01-05", 900.0, 90),
