@@ -85,8 +85,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
             F.min(x).alias("min"), F.max(x).alias("max"), sample_skewness(x).alias("skewness"),
             sample_kurtosis(x).alias("kurtosis"),
         )
-    wide = quantiles(df, columns, PERCENTILES, **moments)
-    cells = [F.struct(F.col(f"{i}_m").alias("m"), F.col(c).alias("q")) for i, c in enumerate(columns)]
+    # Two scans: moments compile to one tight loop, which sharing a pass with the
+    # object-based percentile buffers would undo.
+    one = df.agg(F.struct(*[m.alias(name) for name, m in moments.items()])).scalar()
+    wide = quantiles(df, columns, PERCENTILES).withColumn("_m", one)
+    cells = [F.struct(F.col("_m")[f"{i}_m"].alias("m"), F.col(c).alias("q")) for i, c in enumerate(columns)]
     names = [f"p{round(p * 100)}" for p in PERCENTILES]
     m = F.col("m")
     return wide.select(F.inline(F.array(*cells))).select(

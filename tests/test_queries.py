@@ -42,9 +42,10 @@ def _plan(df):
     return df._jdf.queryExecution().toString()
 
 
-def test_fused_profile_reads_the_table_once(spark, sf):
-    plan = _plan(REGISTRY["describe_lines"].run(spark, sf)).split("== Physical Plan ==")[1]
-    assert len(re.findall(r"FileScan parquet", plan)) == 1
+def test_fused_profiles_share_their_scans(spark, sf):
+    scans = lambda name: len(re.findall(r"FileScan parquet", _plan(REGISTRY[name].run(spark, sf)).split("== Physical Plan ==")[1]))
+    assert scans("describe_lines") <= 2  # moments, percentiles
+    assert scans("correlation_matrix") == scans("data_quality") == scans("group_many") == 1
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf):
