@@ -187,9 +187,12 @@ def principal_scores(spark, sf):
     return scores.select("p_partkey", r(F.abs("pc1"), 5).alias("pc1"), r(F.abs("pc2"), 5).alias("pc2"))
 
 
-def _vectors(spark, sf, d=8):
+DIMS = 64  # length of the embedding vectors
+
+
+def _vectors(spark, sf):
     e = table(spark, sf, "embeddings")
-    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(d)])
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(DIMS)])
 
 
 @query("principal_scree_vectors", "M9 M12")
@@ -202,31 +205,31 @@ def principal_scree_vectors(spark, sf):
 @query("kmeans_sizes", "M10")
 def kmeans_sizes(spark, sf):
     v = _vectors(spark, sf)
-    rows, _ = models.kmeans_clusters(v, [f"d{i}" for i in range(8)], 5, restarts=10)
+    rows, _ = models.kmeans_clusters(v, [f"d{i}" for i in range(DIMS)], 5, restarts=10)
     return rows.groupBy("cluster").agg(F.count("*").alias("n"))
 
 
-@query("silhouette_of_labels", "M11", f"""WITH p AS (SELECT label AS c, embedding[1:8]::DOUBLE[] AS x FROM embeddings),
-    k AS (SELECT c, count(*) AS n, {', '.join(f'sum(x[{i}]) AS s{i}' for i in range(1, 9))}, sum({' + '.join(f'x[{i}] * x[{i}]' for i in range(1, 9))}) AS q FROM p GROUP BY c),
+@query("silhouette_of_labels", "M11", f"""WITH p AS (SELECT label AS c, embedding::DOUBLE[] AS x FROM embeddings),
+    k AS (SELECT c, count(*) AS n, {', '.join(f'sum(x[{i}]) AS s{i}' for i in range(1, DIMS + 1))}, sum({' + '.join(f'x[{i}] * x[{i}]' for i in range(1, DIMS + 1))}) AS q FROM p GROUP BY c),
     d AS (SELECT row_number() OVER () AS i, * FROM p),
     m AS (SELECT i, d.c AS own, k.c AS other, k.n,
-        ({' + '.join(f'd.x[{i}] * d.x[{i}]' for i in range(1, 9))}) + k.q / k.n - 2 * ({' + '.join(f'd.x[{i}] * k.s{i}' for i in range(1, 9))}) / k.n AS dist FROM d, k),
+        ({' + '.join(f'd.x[{i}] * d.x[{i}]' for i in range(1, DIMS + 1))}) + k.q / k.n - 2 * ({' + '.join(f'd.x[{i}] * k.s{i}' for i in range(1, DIMS + 1))}) / k.n AS dist FROM d, k),
     s AS (SELECT i, max(CASE WHEN own = other THEN dist * n / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN dist END) AS b,
         max(CASE WHEN own = other THEN n END) AS n FROM m GROUP BY i)
     SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""")
 def silhouette_of_labels(spark, sf):
-    value = models.silhouette_squared(_vectors(spark, sf), [f"d{i}" for i in range(8)], "label")
+    value = models.silhouette_squared(_vectors(spark, sf), [f"d{i}" for i in range(DIMS)], "label")
     return spark.range(1).select(r(F.lit(value), 6).alias("silhouette"))
 
 
-@query("silhouette_sampled", "M11 P31", """WITH p AS (SELECT vec_id AS i, label AS c, embedding[1:8]::DOUBLE[] AS x FROM embeddings ORDER BY md5(vec_id::VARCHAR || ':42'), vec_id LIMIT 1000),
+@query("silhouette_sampled", "M11 P31", """WITH p AS (SELECT vec_id AS i, label AS c, embedding::DOUBLE[] AS x FROM embeddings ORDER BY md5(vec_id::VARCHAR || ':42'), vec_id LIMIT 1000),
     d AS (SELECT a.i, a.c AS own, b.c AS other, sum(list_distance(a.x, b.x)) AS s, count(*) AS n FROM p a, p b GROUP BY ALL),
     s AS (SELECT i, own, max(CASE WHEN own = other THEN s / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b,
         max(CASE WHEN own = other THEN n END) AS n FROM d GROUP BY ALL)
     SELECT count(DISTINCT own) AS clusters, count(*) AS n, round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""")
 def silhouette_sampled(spark, sf):
     v = _vectors(spark, sf)
-    return rounded(models.silhouette_sampled(v, [f"d{i}" for i in range(8)], "label", "vec_id", 1000), 6)
+    return rounded(models.silhouette_sampled(v, [f"d{i}" for i in range(DIMS)], "label", "vec_id", 1000), 6)
 
 
 @query("bootstrap_mean_interval", "M13", """WITH keyed AS (SELECT c_mktsegment AS g, c_acctbal AS x, c_custkey AS k, b FROM customer, range(1, 201) s(b)),

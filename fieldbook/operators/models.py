@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
@@ -12,14 +11,19 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.stat import Correlation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from fieldbook.operators.shaping import columns_of, sample_rows
 
 
+# Above this many columns the pairs of an aggregate no longer compile well; a vector job takes over.
+WIDE = 16
+
+
 def model_features(df: DataFrame, skip: Sequence[str] = (), drop_nullable: bool = False) -> list[str]:
     """Numeric columns fit for a model: no flags, no listed ones, at least three."""
     names = [
@@ -55,8 +59,10 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    scaled = standard_scale(df.dropna(subset=list(columns)), columns)
-    return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
+    """Complete rows with ``features``: centred columns in sample deviations, a constant one 0."""
+    raw = VectorAssembler(inputCols=list(columns), outputCol="_raw").transform(df.dropna(subset=list(columns)))
+    scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="features")
+    return scaler.fit(raw).transform(raw).drop("_raw")
 
 
 def principal_components(
@@ -66,14 +72,14 @@ def principal_components(
     per component with the 90 % mark. Signs make each largest loading positive.
 
     The components of scaled columns are the eigenvectors of their p × p
-    correlations, which one aggregate over the complete rows gives; scores are a
+    correlations, which one pass over the complete rows gives; scores are a
     linear expression per row.
     """
     columns = list(columns)
     rows = df.dropna(subset=columns)
     x = [F.col(c).cast("double") for c in columns]
     p = len(columns)
-    pairs = list(combinations(range(p), 2))
+    pairs = list(combinations(range(p), 2)) if p <= WIDE else []
     stats = rows.agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(x)],
@@ -84,16 +90,21 @@ def principal_components(
     for i, j in pairs:
         if spread[i] > 0 and spread[j] > 0:
             corr[i, j] = corr[j, i] = stats[f"c{i}_{j}"] / (spread[i] * spread[j])
+    if p > WIDE:
+        vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(rows)
+        found = np.nan_to_num(Correlation.corr(vectors, "features").first()[0].toArray())
+        off_diagonal = ~np.eye(p, dtype=bool)
+        corr[off_diagonal] = found[off_diagonal]
     values, vectors = np.linalg.eigh(corr)
     order = np.argsort(values)[::-1][:k]
     explained = np.maximum(values, 0.0) / max(values.sum(), 1e-300)
     scored = {}
     for rank, o in enumerate(order):
         weights = vectors[:, o] * (1.0 if vectors[np.argmax(np.abs(vectors[:, o])), o] >= 0 else -1.0)
-        terms = [
-            (x[i] - stats[f"m{i}"]) * float(weights[i] / spread[i]) for i in range(p) if spread[i] > 0
-        ]
-        scored[f"pc{rank + 1}"] = reduce(Column.__add__, terms, F.lit(0.0))
+        slopes = [float(weights[i] / spread[i]) if spread[i] > 0 else 0.0 for i in range(p)]
+        start = -sum(slope * stats[f"m{i}"] for i, slope in enumerate(slopes))
+        terms = [f"{slope!r}D * CAST(`{c}` AS DOUBLE)" for c, slope in zip(columns, slopes)]
+        scored[f"pc{rank + 1}"] = F.expr(" + ".join([f"{start!r}D", *terms]))
     total = np.cumsum(explained[order])
     scree = df.sparkSession.createDataFrame(
         [(i + 1, float(explained[o]), float(total[i]), int(total[i] >= 0.9 - 1e-12)) for i, o in enumerate(order)],
@@ -106,7 +117,8 @@ def kmeans_clusters(
     df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42
 ) -> tuple[DataFrame, float]:
     """(rows with ``cluster``, cost) of the best of several seeded k-means runs on
-    scaled columns."""
+    scaled columns. The cost is in sample deviations; the clusters are the same
+    as in population deviations, which differ by one factor for all columns."""
     vectors = _vectors(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(run: int):
@@ -117,7 +129,7 @@ def kmeans_clusters(
         models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
     best = min(models, key=lambda m: m.summary.trainingCost)
     vectors.unpersist()
-    return best.transform(vectors), float(best.summary.trainingCost)
+    return best.transform(vectors).drop("features"), float(best.summary.trainingCost)
 
 
 def silhouette_squared(df: DataFrame, columns: Sequence[str], cluster: str) -> float:

@@ -139,6 +139,16 @@ def test_principal_components_equal_svd(spark):
     assert got.var(0) == pytest.approx(s[:2] / 300)
 
 
+def test_wide_components_equal_narrow_ones(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(*map(float, r), 3.0) for r in rng.normal(size=(200, 3))], ["a", "b", "c", "constant"])
+    names = ["a", "b", "c", "constant"]
+    narrow = models.principal_components(df, names, 3)[1].collect()
+    monkeypatch.setattr(models, "WIDE", 2)
+    wide = models.principal_components(df, names, 3)[1].collect()
+    assert [r["explained"] for r in wide] == pytest.approx([r["explained"] for r in narrow])
+
+
 def test_kmeans_and_silhouettes(spark):
     rng = np.random.default_rng(6)
     rows = [(i, *map(float, rng.normal(c, 0.2, 3))) for i, c in enumerate([0, 5, 10] * 40)]
