@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import LISTING, listings, query, r, rounded, table
 from fieldbook.operators import charts, cleaning, quantiles
+from fieldbook.session import materialise
 
 HISTOGRAM = """b AS (SELECT min(v) AS lo, max(v) AS hi, count(v) AS n, (max(v) - min(v)) / {bins} AS w FROM x),
     c AS (SELECT least(floor((v - lo) / w), {bins} - 1)::INT AS bin, count(*) AS c FROM x, b WHERE v IS NOT NULL GROUP BY 1)
@@ -161,4 +162,5 @@ def correlation_triangle(spark, sf):
     SELECT area, any_value(c) AS count, round(median(price), 4) AS median,
         (median(price) > (SELECT median(price) FROM listing))::INT AS above_overall FROM listing JOIN t USING (area) GROUP BY area""")
 def dual_ranking(spark, sf):
-    return rounded(charts.dual_ranking(listings(spark, sf), "area", "price", 10))
+    stored = materialise(listings(spark, sf).select("area", "price"), "areas")
+    return rounded(charts.dual_ranking(stored, "area", "price", 10))

@@ -8,7 +8,7 @@ from catalog.base import LISTING, PATIENT, holed_events, listings, patients, que
 from fieldbook.config import JobConfig
 from fieldbook.operators.binning import flag_outliers
 from fieldbook.plans import insights, job
-from fieldbook.session import scratch_path
+from fieldbook.session import materialise, scratch_path
 from fieldbook.sources import sinks
 from fieldbook.streaming import live
 
@@ -24,26 +24,30 @@ def p(e: str, digits: int = 1) -> str:
     return f"printf('%.{digits}f', round({e}, {digits}))"
 
 
+def _told(frame, name, fn, value):
+    """The insight's sentence. The columns it reads are stored once, as its passes over
+    a joined frame would otherwise repeat the joins."""
+    if name != "overview":
+        frame = materialise(frame.select(*[c for c in insights.INSIGHT_COLUMNS[name] if c in frame.columns]), name)
+    if name.startswith("anomalous"):
+        frame = flag_outliers(frame, [value], k=0.4)
+    return fn(frame).select("body")
+
+
 def _listing(name: str, covers: str, body: str, source: str, extra: str = ""):
-    fn = insights.LISTING_INSIGHTS[name]
+    fn, value = insights.LISTING_INSIGHTS[name], "price"
 
     @query(f"listing_{name}", covers, f"WITH {LISTING}{extra} SELECT {body} AS body {source}")
     def run(spark, sf):
-        frame = listings(spark, sf)
-        if name == "anomalous_prices":
-            frame = flag_outliers(frame, ["price"], k=0.4)
-        return fn(frame).select("body")
+        return _told(listings(spark, sf), name, fn, value)
 
 
 def _patient(name: str, covers: str, body: str, source: str, extra: str = ""):
-    fn = insights.PATIENT_INSIGHTS[name]
+    fn, value = insights.PATIENT_INSIGHTS[name], "billing"
 
     @query(f"patient_{name}", covers, f"WITH {PATIENT}{extra} SELECT {body} AS body {source}")
     def run(spark, sf):
-        frame = patients(spark, sf)
-        if name == "anomalous_bills":
-            frame = flag_outliers(frame, ["billing"], k=0.4)
-        return fn(frame).select("body")
+        return _told(patients(spark, sf), name, fn, value)
 
 
 def _ranked(frame: str, key: str, value: str) -> str:
