@@ -80,6 +80,9 @@ def attach_groups(rows: DataFrame, groups: DataFrame, on: list[str], how: str =
     if estimated_bytes(groups) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(groups), on, how)
     others = [c for c in rows.columns if c not in on]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int"))
+    # The input partition is part of the salt, so equal rows spread out as well; a task
+    # that runs again gives its rows the same salts.
+    place = F.pmod(F.xxhash64(*others), F.lit(SALTS)) + F.spark_partition_id()
+    salted = rows.withColumn("_salt", F.pmod(place, F.lit(SALTS)).cast("int"))
     spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
