@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.llm import packing, simhash, tokenfiles
-from fieldbook.llm.common import query, table
+from fieldbook.llm.common import REGISTRY, query, table
+
+
+__all__ = ["REGISTRY"]
 
 
 @query("op3_token_files")
