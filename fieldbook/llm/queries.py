@@ -6,13 +6,18 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import packing, simhash, tokenfiles
+from fieldbook.llm import packing, quality, simhash, tokenfiles, toxicity
 from fieldbook.llm.common import REGISTRY, query, table
 
 
 __all__ = ["REGISTRY"]
 
 
+@query("op1_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op3_token_files")
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.token_round_trip(spark, table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -23,6 +28,11 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query("op9_toxicity")
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op10_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_groups(table(spark, folder, "documents"))
