@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import packing, quality, simhash, tokenfiles, toxicity
+from fieldbook.llm import language, licenses, linededup, packing, quality, rules, simhash, tokenfiles, toxicity
 from fieldbook.llm.common import REGISTRY, query, table
 
 
@@ -18,11 +18,32 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op2_language_mixture")
+def language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents")).drop("mixture")
+
+
 @query("op3_token_files")
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.token_round_trip(spark, table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query("op4_line_dedup", linededup.SQL)
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_quality_rules")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.clean(table(spark, folder, "documents"), with_text=False)
+
+
+@query("op7_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents")).drop("spans")
+
+
 @query("op8_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
