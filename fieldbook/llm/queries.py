@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import language, licenses, linededup, packing, quality, rules, simhash, tokenfiles, toxicity
+from fieldbook.llm import decontam, language, licenses, linededup, packing, quality, rules, simhash, tokenfiles, toxicity
 from fieldbook.llm.common import REGISTRY, query, table
 
 
@@ -34,6 +34,11 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op5_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op6_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.clean(table(spark, folder, "documents"), with_text=False)
