@@ -51,6 +51,9 @@ def fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
 
-def attempt_order(*columns: str) -> Column:
-    """A pseudo-random order that is the same in every run and every retry."""
-    return F.xxhash64(*columns)
+def free_name(frame: DataFrame, wanted: str) -> str:
+    """The name, with underscores before it until the frame has no column of that name."""
+    taken = {c.lower() for c in frame.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import texts
+from fieldbook.llm.common import free_name, texts
 from fieldbook.session import materialise
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -116,6 +116,8 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
-    found = hits(docs, items).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """The documents that hold no item, with all their columns. An id stands for one document:
+    its rows stay or go together. Rows without an id stay."""
+    name = free_name(docs, "found")
+    found = hits(docs, items).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, docs["doc_id"] == found[name], "left_anti")

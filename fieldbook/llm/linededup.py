@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import raw_texts
+from fieldbook.llm.common import free_name, raw_texts
 from fieldbook.session import materialise, scratch_path
 
 LEAST = 10  # code points of a key
@@ -169,15 +169,16 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -
 def drop_repeated_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """The documents with their repeated lines removed, all columns as they are but ``text`` and,
     where present, ``n_chars``. Documents that lose no line are passed on as they are."""
-    gone = lines_to_drop(docs, batches, fanout).select(F.col("doc_id").alias("_of"), F.col("gone").alias("_gone"))
+    of, lost, left = (free_name(docs, x) for x in ("of_doc", "lost_lines", "left_over"))
+    gone = lines_to_drop(docs, batches, fanout).select(F.col("doc_id").alias(of), F.col("gone").alias(lost))
     cut = F.pandas_udf(without, "n_lines long, n_dropped long, kept binary")
-    joined = docs.join(gone, F.col("doc_id") == F.col("_of"), "left")
+    joined = docs.join(gone, docs["doc_id"] == gone[of], "left")
     raw = F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))
-    lost = F.col("_gone").isNotNull()
-    joined = joined.withColumn("_cut", cut(raw, "_gone"))
-    out = {"text": F.when(lost, F.col("_cut.kept").cast("string")).otherwise(F.col("text"))}
+    joined = joined.withColumn(left, cut(raw, lost)["kept"].cast("string"))
+    changed = F.col(lost).isNotNull()
+    out = {"text": F.when(changed, F.col(left)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(lost, F.char_length(F.col("_cut.kept").cast("string"))).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(changed, F.char_length(left)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return joined.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import raw_texts
+from fieldbook.llm.common import free_name, raw_texts
 from fieldbook.llm.components import smallest_reachable
 from fieldbook.session import materialise
 
@@ -226,8 +226,8 @@ def near_groups(docs: DataFrame, words_each: int = SHINGLE, radius: int = RADIUS
 def drop_near_copies(docs: DataFrame, words_each: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of one document of each group, the one with the smallest id, with all their columns.
 
-    Rows that repeat a kept id all stay; of rows without an id, those stay whose group has none.
+    An id stands for one document: its rows stay or go together. Rows without an id stay.
     """
-    groups = near_groups(docs, words_each, radius)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    groups, name = near_groups(docs, words_each, radius), free_name(docs, "gone")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")

@@ -224,6 +224,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     @F.pandas_udf("double")
     def judge(column):
-        return pd.Series(scorer.scores(pa.array(column, pa.string(), from_pandas=True)))
+        batch = pa.record_batch([pa.array(column, pa.string(), from_pandas=True)], names=["text"])
+        return pd.Series(np.concatenate([np.zeros(0), *(scorer.scores(x.column("text")) for x in slices(batch, limit=BATCH_BYTES))]))
 
     return docs.where(judge(F.col("text").cast("string")) < THRESHOLD)
