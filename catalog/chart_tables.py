@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import LISTING, listings, query, r, rounded, table
@@ -39,15 +43,15 @@ DENSITY = """k AS (SELECT g, v, count(*) AS k FROM x GROUP BY g, v),
     FROM p JOIN k USING (g) GROUP BY p.g, point, px"""
 
 
-@query("density_curve", "V2", "WITH x AS (SELECT 0 AS g, value AS v FROM events), " + DENSITY.format(last=199, key=""))
+@query("density_curve", "V2", "WITH x AS (SELECT 0 AS g, value AS v FROM events), " + DENSITY.format(last=999, key=""))
 def density_curve(spark, sf):
-    d = charts.density_curve(table(spark, sf, "events"), "value", points=200)
+    d = charts.density_curve(table(spark, sf, "events"), "value")
     return d.select("point", r("x").alias("x"), r("density", 9).alias("density"))
 
 
-@query("density_per_group", "V2 V4", "WITH x AS (SELECT c_mktsegment AS g, c_acctbal AS v FROM customer), " + DENSITY.format(last=99, key="p.g AS c_mktsegment, "))
+@query("density_per_group", "V2 V4", "WITH x AS (SELECT c_mktsegment AS g, c_acctbal AS v FROM customer), " + DENSITY.format(last=999, key="p.g AS c_mktsegment, "))
 def density_per_group(spark, sf):
-    d = charts.density_curve(table(spark, sf, "customer"), "c_acctbal", "c_mktsegment", points=100)
+    d = charts.density_curve(table(spark, sf, "customer"), "c_acctbal", "c_mktsegment")
     return d.select("c_mktsegment", "point", r("x").alias("x"), r("density", 9).alias("density"))
 
 
@@ -68,11 +72,11 @@ def box_statistics_lines(spark, sf):
     return rounded(charts.box_statistics(table(spark, sf, "lineitem"), "l_extendedprice", "l_returnflag"))
 
 
-@query("violin_statistics", "V4", "WITH x AS (SELECT c_mktsegment AS g, c_acctbal AS v FROM customer), d AS (" + DENSITY.format(last=49, key="p.g AS c_mktsegment, ").replace("k AS (SELECT g, v, count(*) AS k FROM x GROUP BY g, v),", "WITH k AS (SELECT g, v, count(*) AS k FROM x GROUP BY g, v),", 1) + """)
+@query("violin_statistics", "V4", "WITH x AS (SELECT c_mktsegment AS g, c_acctbal AS v FROM customer), d AS (" + DENSITY.format(last=99, key="p.g AS c_mktsegment, ").replace("k AS (SELECT g, v, count(*) AS k FROM x GROUP BY g, v),", "WITH k AS (SELECT g, v, count(*) AS k FROM x GROUP BY g, v),", 1) + """)
     SELECT d.*, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3 FROM d JOIN
     (SELECT g, quantile_cont(v, 0.25) AS q1, median(v) AS median, quantile_cont(v, 0.75) AS q3 FROM x GROUP BY g) ON g = c_mktsegment""")
 def violin_statistics(spark, sf):
-    v = charts.violin_statistics(table(spark, sf, "customer"), "c_acctbal", "c_mktsegment", points=50)
+    v = charts.violin_statistics(table(spark, sf, "customer"), "c_acctbal", "c_mktsegment")
     return v.select(
         "c_mktsegment", "point", r("x").alias("x"), r("density", 9).alias("density"), r("q1").alias("q1"),
         r("median").alias("median"), r("q3").alias("q3"),
@@ -101,25 +105,39 @@ def scatter_sample(spark, sf):
     return rounded(s)
 
 
-@query("pair_plot_diagonal", "V8", """WITH x AS (SELECT p_retailprice AS v FROM part), """ + HISTOGRAM.format(bins=12))
+PAIRED = ["p_size", "p_retailprice", "p_partkey"]
+
+
+@query("pair_plot_diagonal", "V8", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", * FROM (WITH x AS (SELECT {c}::DOUBLE AS v FROM part), {HISTOGRAM.format(bins=12)})" for c in PAIRED))
 def pair_plot_diagonal(spark, sf):
-    h = charts.pair_plot(table(spark, sf, "part"), ["p_size", "p_retailprice", "p_partkey"], "p_partkey", 200, 12)["hist_p_retailprice"]
-    return h.select("bin", r("low").alias("low"), r("high").alias("high"), "count", r("density", 8).alias("density"))
+    panels = charts.pair_plot(table(spark, sf, "part"), PAIRED, "p_partkey", 200, 12)
+    return reduce(DataFrame.unionByName, [
+        panels[f"hist_{c}"].select(F.lit(c).alias("column"), "bin", r("low").alias("low"), r("high").alias("high"), "count", r("density", 8).alias("density"))
+        for c in PAIRED
+    ])
 
 
-@query("pair_plot_scatter", "V8", "SELECT p_partkey, p_size, p_retailprice FROM part ORDER BY md5(p_partkey::VARCHAR || ':42'), p_partkey LIMIT 200")
+@query("pair_plot_scatter", "V8", "WITH s AS (SELECT * FROM part ORDER BY md5(p_partkey::VARCHAR || ':42'), p_partkey LIMIT 200) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS x_column, '{b}' AS y_column, p_partkey AS key, {a}::DOUBLE AS x, {b}::DOUBLE AS y FROM s" for a, b in combinations(PAIRED, 2)))
 def pair_plot_scatter(spark, sf):
-    return charts.pair_plot(table(spark, sf, "part"), ["p_size", "p_retailprice"], "p_partkey", 200)["scatter_p_size_p_retailprice"]
+    panels = charts.pair_plot(table(spark, sf, "part"), PAIRED, "p_partkey", 200)
+    return reduce(DataFrame.unionByName, [
+        panels[f"scatter_{a}_{b}"].toDF("key", "x", "y").select(
+            F.lit(a).alias("x_column"), F.lit(b).alias("y_column"), "key", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+        for a, b in combinations(PAIRED, 2)
+    ])
 
 
-# March is taken out so that the calendar has gaps to fill.
-@query("month_ends", "V9 F18", """WITH x AS (SELECT o_orderdate, o_totalprice FROM orders WHERE month(o_orderdate) <> 3),
-    m AS (SELECT last_day(o_orderdate::DATE) AS m, count(*) AS n, avg(o_totalprice) AS mean FROM x GROUP BY 1),
+# Dates of March are moved to February, so that the calendar has gaps to fill.
+@query("month_ends", "V9 F18", """WITH x AS (SELECT CASE WHEN month(o_orderdate) = 3 THEN o_orderdate::DATE - INTERVAL 31 DAY ELSE o_orderdate::DATE END::DATE AS d, o_totalprice FROM orders),
+    m AS (SELECT last_day(d) AS m, count(*) AS n, avg(o_totalprice) AS mean FROM x GROUP BY 1),
     c AS (SELECT last_day(d::DATE) AS m FROM (SELECT unnest(generate_series(date_trunc('month', (SELECT min(m) FROM m)), date_trunc('month', (SELECT max(m) FROM m)), INTERVAL 1 MONTH)) AS d))
     SELECT strftime(c.m, '%Y-%m-%d') AS month_end, coalesce(n, 0) AS n, round(mean, 4) AS mean FROM c LEFT JOIN m ON c.m = m.m""")
 def month_ends(spark, sf):
-    o = table(spark, sf, "orders").filter(F.month("o_orderdate") != 3)
-    m = charts.month_ends(o, "o_orderdate", n=F.count("*"), mean=F.avg("o_totalprice"))
+    day = F.col("o_orderdate").cast("date")
+    o = table(spark, sf, "orders").withColumn("day", F.when(F.month(day) == 3, F.date_sub(day, 31)).otherwise(day))
+    m = charts.month_ends(o, "day", n=F.count("*"), mean=F.avg("o_totalprice"))
     return m.select(F.date_format("month_end", "yyyy-MM-dd").alias("month_end"), "n", r("mean").alias("mean"))
 
 
@@ -148,19 +166,20 @@ def kpi_tiles(spark, sf):
     )
 
 
+MEASURES = ["price", "price_capped", "availability", "min_nights", "reviews", "reviews_per_month", "host_listings", "revenue"]
+
+
 @query("correlation_triangle", "V12", f"""WITH {LISTING} """ + " UNION ALL ".join(
     f"""SELECT '{b}' AS "row", '{a}' AS "column", round(corr({a}, {b}), 6) AS r FROM listing"""
-    for i, a in enumerate(["price", "price_capped", "availability", "min_nights", "reviews", "host_listings"])
-    for b in ["price", "price_capped", "availability", "min_nights", "reviews", "host_listings"][i + 1:]
+    for i, a in enumerate(MEASURES) for b in MEASURES[i + 1:]
 ))
 def correlation_triangle(spark, sf):
-    frame = listings(spark, sf).drop("reviews_per_month", "revenue")
-    return rounded(charts.correlation_triangle(frame), 6)
+    return rounded(charts.correlation_triangle(listings(spark, sf)), 6)
 
 
-@query("dual_ranking", "V13 K3 J4 G5", f"""WITH {LISTING}, t AS (SELECT area, count(*) AS c FROM listing GROUP BY 1 ORDER BY c DESC, area LIMIT 10)
+@query("dual_ranking", "V13 K3 J4 G5", f"""WITH {LISTING}, t AS (SELECT area, count(*) AS c FROM listing GROUP BY 1 ORDER BY c DESC, area LIMIT 20)
     SELECT area, any_value(c) AS count, round(median(price), 4) AS median,
         (median(price) > (SELECT median(price) FROM listing))::INT AS above_overall FROM listing JOIN t USING (area) GROUP BY area""")
 def dual_ranking(spark, sf):
     stored = materialise(listings(spark, sf).select("area", "price"), "areas")
-    return rounded(charts.dual_ranking(stored, "area", "price", 10))
+    return rounded(charts.dual_ranking(stored, "area", "price"))

@@ -70,13 +70,13 @@ def interchange_characters(spark, sf):
 
 
 @query("classify_tokens", "F12", """WITH t AS (SELECT doc_id, string_split_regex(regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', ''), '\\s+') AS w FROM documents),
-    n AS (SELECT doc_id, list_filter(w, lambda x: regexp_full_match(x, '[0-9]{1,18}')) AS d, list_filter(w, lambda x: regexp_full_match(x, '\\p{L}+')) AS a FROM t)
-    SELECT doc_id, len(d)::INT AS numbers, len(a)::INT AS words, list_max(list_transform(d, lambda x: x::BIGINT)) AS largest FROM n""")
+    n AS (SELECT doc_id, list_filter(w, lambda x: regexp_full_match(x, '[0-9]+')) AS d, list_filter(w, lambda x: regexp_full_match(x, '\\p{L}+')) AS a FROM t)
+    SELECT doc_id, len(d)::INT AS numbers, len(a)::INT AS words, list_max(list_transform(d, lambda x: try_cast(x AS HUGEINT)))::VARCHAR AS largest FROM n""")
 def classify_tokens(spark, sf):
-    numbers = F.array_compact(text.integer_tokens(F.col("text")))
+    numbers = text.integer_tokens(F.col("text"))
     return _documents(spark, sf).select(
         "doc_id", F.size(numbers).alias("numbers"), F.size(text.letter_tokens(F.col("text"))).alias("words"),
-        F.array_max(numbers).alias("largest"),
+        F.array_max(numbers).cast("string").alias("largest"),
     )
 
 
@@ -208,5 +208,5 @@ def safe_arithmetic(spark, sf):
         values.safe_int(word).alias("i"),
     )
     return li.select(
-        "l_orderkey", "l_linenumber", "d.value", "d.error", F.col("i.value").alias("number"), F.col("i.error").alias("number_error")
+        "l_orderkey", "l_linenumber", "d.value", "d.error", F.col("i.value").cast("long").alias("number"), F.col("i.error").alias("number_error")
     )

@@ -222,17 +222,17 @@ def silhouette_of_labels(spark, sf):
     return spark.range(1).select(r(F.lit(value), 6).alias("silhouette"))
 
 
-@query("silhouette_sampled", "M11 P31", """WITH p AS (SELECT vec_id AS i, label AS c, embedding::DOUBLE[] AS x FROM embeddings ORDER BY md5(vec_id::VARCHAR || ':42'), vec_id LIMIT 1000),
+@query("silhouette_sampled", "M11 P31", """WITH p AS (SELECT vec_id AS i, label AS c, embedding::DOUBLE[] AS x FROM embeddings ORDER BY md5(vec_id::VARCHAR || ':42'), vec_id LIMIT 3000),
     d AS (SELECT a.i, a.c AS own, b.c AS other, sum(list_distance(a.x, b.x)) AS s, count(*) AS n FROM p a, p b GROUP BY ALL),
     s AS (SELECT i, own, max(CASE WHEN own = other THEN s / greatest(n - 1, 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b,
         max(CASE WHEN own = other THEN n END) AS n FROM d GROUP BY ALL)
     SELECT count(DISTINCT own) AS clusters, count(*) AS n, round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s""")
 def silhouette_sampled(spark, sf):
     v = _vectors(spark, sf)
-    return rounded(models.silhouette_sampled(v, [f"d{i}" for i in range(DIMS)], "label", "vec_id", 1000), 6)
+    return rounded(models.silhouette_sampled(v, [f"d{i}" for i in range(DIMS)], "label", "vec_id", 3000), 6)
 
 
-@query("bootstrap_mean_interval", "M13", """WITH keyed AS (SELECT c_mktsegment AS g, c_acctbal AS x, c_custkey AS k, b FROM customer, range(1, 201) s(b)),
+@query("bootstrap_mean_interval", "M13", """WITH keyed AS (SELECT c_mktsegment AS g, c_acctbal AS x, c_custkey AS k, b FROM customer, range(1, 1001) s(b)),
     h1 AS (SELECT *, ((k % 2147483647) * 48271 + b * 69621 + 12345) % 2147483647 * 48271 % 2147483647 AS h FROM keyed),
     h2 AS (SELECT * REPLACE (xor(h, h >> 15) AS h) FROM h1), h3 AS (SELECT * REPLACE (h % 2147483647 * 69621 % 2147483647 AS h) FROM h2),
     h4 AS (SELECT * REPLACE (xor(h, h >> 13) AS h) FROM h3), h5 AS (SELECT * REPLACE (h % 2147483647 * 39373 % 2147483647 AS h) FROM h4),
@@ -244,7 +244,7 @@ def silhouette_sampled(spark, sf):
     SELECT g AS c_mktsegment, (SELECT round(avg(c_acctbal), 4) FROM customer WHERE c_mktsegment = g) AS mean,
         round(quantile_cont(m, 0.025), 4) AS low, round(quantile_cont(m, 0.975), 4) AS high FROM m GROUP BY g""")
 def bootstrap_mean_interval(spark, sf):
-    return rounded(inference.bootstrap_mean(table(spark, sf, "customer"), "c_mktsegment", "c_acctbal", "c_custkey", 200))
+    return rounded(inference.bootstrap_mean(table(spark, sf, "customer"), "c_mktsegment", "c_acctbal", "c_custkey"))
 
 
 @query("median_interval", "M13", """WITH x AS (SELECT o_orderstatus, o_totalprice AS v, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice) AS i,

@@ -67,9 +67,9 @@ def tokens(s: Column, separator: str = r"\s+") -> Column:
 
 
 def integer_tokens(s: Column) -> Column:
-    """The whitespace-separated tokens made of digits only, as numbers; null beyond 64 bits."""
+    """The whitespace-separated tokens made of digits only, as numbers; null beyond 38 digits."""
     found = F.regexp_extract_all(s, F.lit(r"(?<!\S)([0-9]+)(?!\S)"), F.lit(1))
-    return F.transform(found, lambda w: w.try_cast("long"))
+    return F.transform(found, lambda w: w.try_cast("decimal(38,0)"))
 
 
 def letter_tokens(s: Column) -> Column:

@@ -60,11 +60,13 @@ def safe_divide(a: Column, b: Column) -> Column:
 
 
 def safe_int(text: Column) -> Column:
-    """Struct (value, error) of reading text as a whole number."""
-    value = F.when(text.rlike(r"^\s*[+-]?[0-9]{1,18}\s*$"), F.trim(text).cast("long"))
+    """Struct (value, error) of reading text as a whole number of up to 38 digits."""
+    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)\s*$", 1)
+    value = digits.try_cast("decimal(38,0)")
     return F.struct(
         value.alias("value"),
-        F.when(text.isNotNull() & value.isNull(), F.lit("not a whole number")).alias("error"),
+        F.when(value.isNotNull() | text.isNull(), F.lit(None)).when(digits == "", F.lit("not a whole number"))
+        .otherwise(F.lit("too many digits")).alias("error"),
     )
 
 

@@ -6,6 +6,8 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,12 +49,38 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 KERNEL_REACH = 38.6
 
 
+def _kernel_sums(keys: list[str], points: int):
+    """Per task and group, the sum of the kernels of its values at each grid point."""
+
+    def run(frames):
+        totals: dict = {}
+        for frame in frames:
+            groups = frame.groupby(keys, dropna=False, sort=False) if keys else [((), frame)]
+            for key, rows in groups:
+                total = totals.setdefault(key, np.zeros(points))
+                start, step, h = (float(rows[c].iloc[0]) for c in ("start", "step", "h"))
+                v, k = rows["v"].to_numpy(float), rows["k"].to_numpy(float)
+                first = np.clip(np.ceil((v - KERNEL_REACH * h - start) / step), 0, points - 1).astype(np.int64)
+                past = np.clip(np.floor((v + KERNEL_REACH * h - start) / step), 0, points - 1).astype(np.int64) + 1
+                for i in range(0, len(v), 1000):
+                    n = past[i : i + 1000] - first[i : i + 1000]
+                    at = np.arange(n.sum()) + np.repeat(first[i : i + 1000] - (np.cumsum(n) - n), n)
+                    z = (start + at * step - np.repeat(v[i : i + 1000], n)) / h
+                    total += np.bincount(at, np.repeat(k[i : i + 1000], n) * np.exp(-0.5 * z * z), points)
+        for key, total in totals.items():
+            at = np.flatnonzero(total)
+            yield pd.DataFrame({**dict(zip(keys, key)), "point": at.astype(np.int32), "part": total[at]})
+
+    return run
+
+
 def density_curve(df: DataFrame, column: str, by: str | None = None, points: int = 1000) -> DataFrame:
     """(by, point, x, density): Gaussian kernel density, bandwidth std·n^(-1/5), on a
     grid reaching half the range beyond both ends.
 
-    Equal values are counted first, and a value only meets the grid points its
-    kernel reaches, so the work shrinks with the bandwidth as the table grows.
+    Equal values are counted first, and a value only meets the grid points its kernel
+    reaches. Each task adds them up in an array per group, so a task hands on at most
+    ``points`` rows per group, however many values it has.
     """
     keys = [by] if by else []
     rows = df.select(*keys, F.col(column).cast("double").alias("v")).dropna()
@@ -69,14 +97,11 @@ def density_curve(df: DataFrame, column: str, by: str | None = None, points: int
         placed = attach_groups(counts, stats, [by])
     else:
         placed = counts.withColumn("s", stats.select(F.struct("*")).scalar()).select("v", "k", "s.*")
-    reach = KERNEL_REACH * F.col("h")
-    first = F.greatest(F.ceil((F.col("v") - reach - F.col("start")) / F.col("step")), F.lit(0))
-    last = F.least(F.floor((F.col("v") + reach - F.col("start")) / F.col("step")), F.lit(points - 1))
-    z = (F.col("start") + F.col("point") * F.col("step") - F.col("v")) / F.col("h")
-    sums = (
-        placed.withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-        .groupBy(*keys, "point").agg(F.sum(F.col("k") * F.exp(-0.5 * z * z)).alias("total"))
+    types = dict(placed.dtypes)
+    made = placed.select(*keys, "v", "k", "h", "start", "step").mapInPandas(
+        _kernel_sums(keys, points), ", ".join([*(f"`{k}` {types[k]}" for k in keys), "point int", "part double"])
     )
+    sums = made.groupBy(*keys, "point").agg(F.sum("part").alias("total"))
     grid = stats.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     return grid.join(sums, [*keys, "point"], "left").select(
         *keys, "point", (F.col("start") + F.col("point") * F.col("step")).alias("x"),
@@ -144,8 +169,8 @@ def month_ends(df: DataFrame, date: str, **aggregates: Column) -> DataFrame:
     return out.na.fill(0, ["n"]) if "n" in aggregates else out
 
 
-def correlation_triangle(df: DataFrame, columns: Sequence[str] | None = None, limit: int = 14) -> DataFrame:
-    """Lower triangle of the correlations of the first ``limit`` numeric columns,
+def correlation_triangle(df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Lower triangle of the correlations of all numeric columns, or the first ``limit``,
     flags and ids left out."""
     names = columns or [
         c for c in columns_of(df, "numeric")

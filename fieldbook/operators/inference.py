@@ -3,6 +3,7 @@ statistics; the tail probability is taken on the single result row."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -215,25 +216,38 @@ def ridge(df: DataFrame, target: str, features: Sequence[str], penalty: float =
     return data.agg(*aggs).mapInPandas(solve, "term string, coefficient double, r_squared double")
 
 
-def _mix(key: Column, replicate: Column) -> Column:
-    """A 31-bit hash of (key, replicate) from multiply and xor-shift steps; no step
-    exceeds 64 bits, so the same draws come out on any engine and after any retry."""
+def _draws(key: np.ndarray, replicate: np.ndarray) -> np.ndarray:
+    """Poisson(1) weights of (key, replicate): the number of cumulative probabilities not
+    above a 31-bit hash from multiply and xor-shift steps. No step exceeds 64 bits, so the
+    same draws come out on any engine and after any retry."""
     prime = 2_147_483_647
-    h = (key % prime) * 48_271 + replicate * 69_621 + 12_345
+    h = np.fmod(key, prime)[:, None] * 48_271 + replicate[None, :] * 69_621 + 12_345
     for factor, shift in ((48_271, 15), (69_621, 13), (39_373, 16)):
-        h = (h % prime) * factor % prime
-        h = h.bitwiseXOR(F.shiftright(h, shift))
-    return h % prime
+        h = np.fmod(np.fmod(h, prime) * factor, prime)
+        h ^= h >> shift
+    u = np.fmod(h, prime) / float(prime)
+    term = float(np.exp(-1.0))
+    steps = np.cumsum([term / math.factorial(k) for k in range(10)])
+    return np.searchsorted(steps, u, side="right")
 
 
-def _poisson_weight(u: Column) -> Column:
-    """Poisson(1) draw for a uniform u: the number of cumulative probabilities not above it."""
-    total, term, out = 0.0, float(np.exp(-1.0)), F.lit(0)
-    for k in range(1, 11):
-        total += term
-        out = out + (u >= total).cast("int")
-        term /= k
-    return out
+def _replicate_sums(replicates: int):
+    """Per task and group, each replicate's sums of weights and weighted values."""
+    number = np.arange(1, replicates + 1)
+
+    def run(frames):
+        sums: dict = {}
+        for frame in frames:
+            for g, rows in frame.groupby("g", sort=False):
+                total = sums.setdefault(g, np.zeros((2, replicates)))
+                for i in range(0, len(rows), 2000):
+                    w = _draws(rows["k"].to_numpy(np.int64)[i : i + 2000], number)
+                    total[0] += rows["x"].to_numpy(float)[i : i + 2000] @ w
+                    total[1] += w.sum(axis=0)
+        for g, (s, w) in sums.items():
+            yield pd.DataFrame({"g": g, "b": number, "s": s, "w": w})
+
+    return run
 
 
 def bootstrap_mean(
@@ -242,16 +256,13 @@ def bootstrap_mean(
     """Mean per group with a bootstrap interval: ``group, mean, low, high``.
 
     Each row enters each replicate with a Poisson(1) weight drawn from its key,
-    so replicates are sums that combine map-side; nothing is resampled or moved.
+    so replicates are sums, kept in an array per task and group; nothing is resampled or moved.
     """
     rows = df.select(
         F.col(group).alias("g"), F.col(metric).cast("double").alias("x"), F.col(key).cast("long").alias("k")
     ).dropna()
-    draws = rows.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    u = _mix(F.col("k"), F.col("b").cast("long")) / F.lit(2_147_483_647.0)
-    sums = draws.withColumn("w", _poisson_weight(u)).groupBy("g", "b").agg(
-        F.sum(F.col("w") * F.col("x")).alias("s"), F.sum("w").alias("w")
-    )
+    made = rows.mapInPandas(_replicate_sums(replicates), f"g {dict(rows.dtypes)['g']}, b int, s double, w double")
+    sums = made.groupBy("g", "b").agg(F.sum("s").alias("s"), F.sum("w").alias("w"))
     tail = (1 - level) / 2
     # At most `replicates` values per group reach this percentile.
     interval = sums.groupBy("g").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
@@ -114,7 +115,7 @@ def principal_components(
 
 
 def kmeans_clusters(
-    df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42
+    df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42, rounds: int = 300
 ) -> tuple[DataFrame, float]:
     """(rows with ``cluster``, cost) of the best of several seeded k-means runs on
     scaled columns. The cost is in sample deviations; the clusters are the same
@@ -122,12 +123,14 @@ def kmeans_clusters(
     vectors = _vectors(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(run: int):
-        return KMeans(k=k, seed=seed + run, featuresCol="features", predictionCol="cluster").fit(vectors)
+        return KMeans(k=k, maxIter=rounds, seed=seed + run, featuresCol="features", predictionCol="cluster").fit(vectors)
 
     # Independent runs share the cluster; each is a sequence of short jobs.
     with ThreadPool(min(4, restarts)) as pool:
         models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
     best = min(models, key=lambda m: m.summary.trainingCost)
+    if best.summary.numIter >= rounds:
+        warnings.warn(f"k-means has not converged after {rounds} rounds", stacklevel=2)
     vectors.unpersist()
     return best.transform(vectors).drop("features"), float(best.summary.trainingCost)
 

@@ -1,67 +1,39 @@
 """Running computations that do not need a group's rows in one task.
 
-Rows are cut into chunks at approximate quantiles of the order column, so a
-chunk holds about the same number of rows however skewed the keys are. Work
-inside (key, chunk) is an ordinary window; what a chunk inherits from the ones
-before it comes from one small row per (key, chunk).
+Rows are cut into chunks at range boundaries of the order columns, so a chunk
+holds about the same number of rows however skewed the keys are. Work inside
+(key, chunk) is an ordinary window; what a chunk inherits from the ones before
+it comes from one small row per (key, chunk).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldbook.session import attach_groups, estimated_bytes
+from fieldbook.session import attach_groups, materialise, scanned_bytes
 
 CHUNK_BYTES = 128 * 1024 * 1024
-MAX_CHUNKS = 4096
-
-
-def _position(df: DataFrame, column: str):
-    """An order column as a double: microseconds for times, the number itself otherwise."""
-    timed = dict(df.dtypes)[column].startswith(("timestamp", "date"))
-    c = F.col(column)
-    return (F.unix_micros(c.cast("timestamp")) if timed else c).cast("double")
-
-
-def _bucketed(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    if len(splits) == 2:
-        return df.withColumn(name, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
 
 
 def with_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
-    """Add ``_chunk``, increasing with the order columns. The number of chunks
-    follows the plan's estimated size unless given; the cuts are at most
-    ``MAX_CHUNKS`` numbers.
+    """Add ``_chunk``, increasing with the order columns, nulls first as in a window.
 
-    A first order value shared by more rows than a chunk should hold shows up as
-    repeated cuts; its rows are cut again by the second order column.
+    The number of chunks follows the size of the tables below unless given, or is that
+    of the session's shuffle partitions where a size is not known. The cuts
+    are those of a range partitioning, so order columns may be of any type, and rows
+    that tie in the first one are cut by the next. The numbered rows are stored, as
+    the cuts come from a sample and must be the same in every use.
     """
     if chunks is None:
-        chunks = min(MAX_CHUNKS, 1 + estimated_bytes(df) // CHUNK_BYTES)
+        size = scanned_bytes(df)
+        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size is None else 1 + size // CHUNK_BYTES
     if chunks <= 1:
-        return df.withColumn("_chunk", F.lit(0.0))
-    probs = [i / chunks for i in range(1, chunks)]
-    keyed = df.withColumn("_p0", _position(df, order[0]))
-    cuts = keyed.approxQuantile("_p0", probs, 0.25 / chunks)
-    out = _bucketed(keyed, "_p0", cuts, "_chunk")
-    tied = sorted({c for c in cuts if cuts.count(c) > 1})
-    if tied and len(order) > 1:
-        is_tied = F.col("_p0").isin(tied)
-        out = out.withColumn("_p1", F.when(is_tied, _position(df, order[1])).otherwise(F.lit(0.0)))
-        again = out.filter(is_tied).approxQuantile("_p1", probs, 0.25 / chunks)
-        # A bucket starts at its cut, so the tied rows come before the others in it.
-        place = 2 * F.col("_chunk") + F.when(is_tied, 0).otherwise(1)
-        out = _bucketed(out, "_p1", again, "_c1").withColumn(
-            "_chunk", place * (MAX_CHUNKS + 2) + F.when(is_tied, F.col("_c1")).otherwise(0.0)
-        ).drop("_p1", "_c1")
-    return out.drop("_p0")
+        return df.withColumn("_chunk", F.lit(0))
+    return materialise(df.repartitionByRange(chunks, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
 
 
 def _before(by: Sequence[str]):
@@ -69,7 +41,6 @@ def _before(by: Sequence[str]):
 
 
 
-
 def _with_inherited(rows: DataFrame, per_chunk: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Attach each chunk's inherited values to its rows."""
     right = per_chunk.select(*[F.col(b).alias(f"_k_{b}") for b in by], F.col("_chunk").alias("_k_chunk"), *names)
@@ -129,12 +100,14 @@ def limit_ledger(
     """Accept an account's transactions until one breaks the count or total limit.
 
     The first breach is rejected with its reason (the count limit is tested
-    first) and ends the account's session: later rows are rejected as well.
+    first) and ends the account's session: later rows are rejected as well. Rows
+    without an account share one.
     """
     running = running_totals(df, amount, order, [account], chunks)
     over_count = F.col("running_n") > max_count
     over_total = F.col("running_sum") > max_total
     place = F.struct(*order)
+    running = materialise(running, "ledger")  # read twice: for the first breach and for the rows
     first = running.filter(over_count | over_total).groupBy(account).agg(F.min(place).alias("_first"))
     joined = attach_groups(running, first, [account], "left")
     accepted = F.col("_first").isNull() | (place < F.col("_first"))

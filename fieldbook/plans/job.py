@@ -92,10 +92,10 @@ def finish(prepared: Prepared, columns: Sequence[str], config: JobConfig, featur
 
 # Bin edges and labels of the listing features (fixed values).
 AVAILABILITY = ((-1, 0, 90, 180, 365), ("Unavailable", "Low", "Medium", "High"))
-HOST_SIZE = ((0, 1, 5, 20, 9999), ("Solo", "Small", "Medium", "Commercial"))
+HOST_SIZE = ((0, 1, 5, 20, float("inf")), ("Solo", "Small", "Medium", "Commercial"))
 PRICE_TIERS = ("Budget", "Mid-Range", "Premium", "Luxury")
 BILL_TIERS = ("Low", "Medium", "High", "Premium")
-AGE_GROUPS = ((0, 18, 35, 50, 65, 120), ("<18", "18-35", "36-50", "51-65", "65+"))
+AGE_GROUPS = ((0, 18, 35, 50, 65, float("inf")), ("<18", "18-35", "36-50", "51-65", "65+"))
 
 
 def listing_features(df: DataFrame, config: JobConfig) -> DataFrame:

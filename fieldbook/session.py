@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_ROOTS: set[str] = set()
+
+
 def build_session(master: str | None = None, app: str = "fieldbook", **settings: str) -> SparkSession:
     """A session with UTC times, AQE (with skew-join splitting) and no web UI."""
     builder = SparkSession.builder.appName(app)
@@ -29,19 +32,18 @@ def build_session(master: str | None = None, app: str = "fieldbook", **settings:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, as named by ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors are one process, may fall
-    back to a temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="fieldbook-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    """A folder of this session below the one all executors share: ``spark.checkpoint.dir``,
+    or the warehouse where that is unset, as in tests. It goes when the driver ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = re.sub("^file:/+", "file:///", shared.rstrip("/"))
+    root = f"{shared}/fieldbook-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return root
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -63,26 +65,55 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-# A group table up to this size goes to every task; it is checked after it was written.
+def scanned_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables below a plan, None if one has no known size. Unlike the estimate
+    for the plan as a whole, joins do not multiply it. No job runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return None if any(x >= 1 << 60 for x in sizes) else sum(sizes)
+
+
+# A group table up to this decoded size goes to every task; it is measured after it was written.
 BROADCAST_BYTES = 16 * 1024 * 1024
 SALTS = 64
+# A key is hot if it has more than this share of the rows, so there are few of them.
+HOT_SHARE = 1 / (4 * SALTS)
+
+
+def decoded_bytes(df: DataFrame) -> int:
+    """About the size of a frame's rows in memory: the length of their text form, twice."""
+    return 2 * (df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0)
+
+
+def _matched(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join on equal keys, null keys included, keeping the left side's keys."""
+    renamed = right.withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(on)})
+    cond = F.lit(True)
+    for i, k in enumerate(on):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
+    return left.join(renamed, cond, how).drop(*[f"_key_{i}" for i in range(len(on))])
 
 
 def attach_groups(rows: DataFrame, groups: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join rows with a table holding one row per group, without gathering a group.
 
     The group table is written first, so its size is known: a small one is
-    broadcast and the rows stay where they are. A larger one is repeated per
-    salt and joined on (group, salt), which spreads the rows of a hot group over
-    many tasks.
+    broadcast and the rows stay where they are. With a larger one, the rows of hot
+    keys, at most ``1 / HOT_SHARE`` of them, are salted and those keys' groups
+    repeated per salt; all others are joined as they are.
     """
     groups = materialise(groups, "groups")
-    if estimated_bytes(groups) <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(groups), on, how)
+    if estimated_bytes(groups) <= BROADCAST_BYTES and decoded_bytes(groups) <= BROADCAST_BYTES:
+        return _matched(rows, F.broadcast(groups), on, how)
+    sizes = materialise(rows.groupBy(*on).agg(F.count("*").alias("_n")), "group-sizes")
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    hot = F.broadcast(sizes.where(F.col("_n") > total * HOT_SHARE).select(*on, F.lit(True).alias("_hot")))
     others = [c for c in rows.columns if c not in on]
     # The input partition is part of the salt, so equal rows spread out as well; a task
     # that runs again gives its rows the same salts.
     place = F.pmod(F.xxhash64(*others), F.lit(SALTS)) + F.spark_partition_id()
-    salted = rows.withColumn("_salt", F.pmod(place, F.lit(SALTS)).cast("int"))
-    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+    salt = F.when(F.col("_hot"), F.pmod(place, F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    salted = _matched(rows, hot, on, "left").withColumn("_salt", salt).drop("_hot")
+    repeat = F.when(F.col("_hot"), F.lit(SALTS - 1)).otherwise(F.lit(0))
+    spread = _matched(groups, hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), repeat))).drop("_hot")
+    return _matched(salted, spread, [*on, "_salt"], how).drop("_salt")

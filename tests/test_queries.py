@@ -54,7 +54,7 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
 
 
-@pytest.mark.parametrize("name", ["segment_revenue", "describe_lines", "title_case", "limit_ledger", "density_curve", "median_interval"])
+@pytest.mark.parametrize("name", ["segment_revenue", "describe_lines", "title_case", "limit_ledger", "histogram", "median_interval"])
 def test_no_python_workers_and_no_cross_products(spark, sf, name):
     plan = _plan(REGISTRY[name].run(spark, sf)).split("== Physical Plan ==")[1]
     assert "Python" not in plan and "Pandas" not in plan

@@ -38,6 +38,22 @@ def test_null_keys_are_a_group(spark):
     assert [r["carried"] for r in got] == [1.0, 1.0, None]
 
 
+@pytest.mark.parametrize("chunks", [1, 7, 64])
+@pytest.mark.parametrize("kind", ["null", "text", "date"])
+def test_order_columns_of_any_type_with_nulls(spark, chunks, kind):
+    """Null order values come first, in one chunk as in many; text and dates can be cut."""
+    n = F.col("id")
+    at = {"null": n, "text": F.concat(F.lit("t"), F.lpad(n.cast("string"), 5, "0")), "date": F.date_add(F.lit("2020-01-01"), n.cast("int"))}[kind]
+    df = spark.range(600).select("id", F.when(n % 50 != 0, at).alias("t"), (n % 3).alias("k"), F.when(n % 4 != 0, n.cast("double")).alias("v"))
+    pdf = df.toPandas().assign(known=lambda x: x["t"].notna()).sort_values(["known", "id"]).reset_index(drop=True)
+    order = lambda out: out.orderBy(F.col("t").isNotNull(), "id").toPandas()
+    totals = order(running.running_totals(df, "v", ["t", "id"], ["k"], chunks))
+    assert totals["running_n"].tolist() == (pdf.groupby("k").cumcount() + 1).tolist()
+    assert totals["running_sum"].tolist() == pdf["v"].fillna(0).groupby(pdf["k"]).cumsum().tolist()
+    carried = order(running.carry_forward(df, "v", ["t", "id"], (), chunks))["carried"]
+    pd.testing.assert_series_equal(carried, pdf["v"].ffill(), check_names=False)
+
+
 LEDGER = [
     ("a", 1, 9000.0), ("a", 2, 9000.0), ("a", 3, 9000.0), ("a", 4, 1.0),  # total breaks first
     ("b", 1, 1.0), ("b", 2, 1.0), ("b", 3, 1.0), ("b", 4, 1.0), ("b", 5, 1.0),  # count breaks first
@@ -67,3 +83,10 @@ def test_tied_order_values_are_cut_again(spark):
     got = running.running_totals(df, "v", ["t", "id"], chunks=20).orderBy("t", "id").toPandas()
     want = df.toPandas().sort_values(["t", "id"])["v"].cumsum()
     assert (got["running_sum"].to_numpy() == want.to_numpy()).all()
+
+
+@pytest.mark.parametrize("chunks", [1, 3])
+def test_rows_without_account_share_one(spark, chunks):
+    df = spark.createDataFrame([(None, i, 1.0) for i in range(6)], "account string, seq int, amount double")
+    out = running.limit_ledger(df, "account", "amount", ["seq"], 3, 20_000.0, chunks).orderBy("seq").collect()
+    assert [r["accepted"] for r in out] == [1, 1, 1, 0, 0, 0]

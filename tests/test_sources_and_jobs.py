@@ -83,7 +83,7 @@ def test_listing_job(spark, tmp_path):
     report = json.loads(spark.read.text(str(tmp_path / "analytics_report_json")).first()["value"])
     assert report["metadata"]["dataset"] == "raw" and report["data_quality"][0]["total_rows"] == 6
     summary = [r["value"] for r in spark.read.text(str(tmp_path / "insight_summary")).collect()]
-    assert summary[0] == "LISTINGS — INSIGHT SUMMARY" and "▶ PRICING ANALYTICS" in summary
+    assert summary[0] == "LISTINGS — INSIGHT SUMMARY" and "▶ PRICES" in summary
 
 
 def test_compat_job_keeps_nulls_and_text_dates(spark):
@@ -97,7 +97,7 @@ def test_compat_job_keeps_nulls_and_text_dates(spark):
 def test_insights_skip_missing_columns(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "region string, price double")
     titles = [r["title"] for r in insights.listing_insights(df).orderBy("ord").collect()]
-    assert titles == ["Dataset Overview", "Price Distribution & Market Segmentation", "Regional Price Hierarchy", "Supply Hotspots"]
+    assert titles == ["What the listings table holds", "How prices spread", "Dearest and cheapest region", "Busiest regions"]
 
 
 def test_categories_keep_first_seen_order(spark):

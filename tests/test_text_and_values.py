@@ -60,6 +60,8 @@ def test_interest(spark):
 def test_safe_functions(spark):
     assert one(spark, values.safe_divide(F.col("a"), F.col("b")), a=1.0, b=0.0).asDict() == {"value": None, "error": "division by zero"}
     assert one(spark, values.safe_int(F.col("s")), s=" -12 ").asDict() == {"value": -12, "error": None}
+    assert one(spark, values.safe_int(F.col("s")), s="9223372036854775808").asDict() == {"value": 2**63, "error": None}
+    assert one(spark, values.safe_int(F.col("s")), s="1" * 39).asDict() == {"value": None, "error": "too many digits"}
     assert one(spark, values.safe_int(F.col("s")), s="1.5").asDict() == {"value": None, "error": "not a whole number"}
 
 
