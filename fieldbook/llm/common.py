@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,27 @@ def fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
 
+def mapped(frame: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """mapInArrow that hands a task's memory back when the task ends: a Python worker lives on
+    for other tasks, beside an executor's heap."""
+
+    def whole(batches):
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        yield from run(batches)
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # not glibc
+            pass
+
+    return frame.mapInArrow(whole, schema)
+
+
 def free_name(frame: DataFrame, wanted: str) -> str:
     """The name, with underscores before it until the frame has no column of that name."""
     taken = {c.lower() for c in frame.columns}

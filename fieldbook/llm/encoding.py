@@ -15,10 +15,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """values[start : start + length] of every pair, in a row."""
-    shift = starts - (np.cumsum(lengths) - lengths)
-    return values[np.arange(int(lengths.sum())) + np.repeat(shift, lengths)]
+def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: int = 1 << 18) -> np.ndarray:
+    """values[start : start + length] of every pair, in a row. Goes by ``step`` pairs, so that the
+    index of one step is all that is held beside the result."""
+    out, done = np.empty(int(lengths.sum()), values.dtype), 0
+    for i in range(0, len(starts), step):
+        length = lengths[i : i + step].astype(np.int64)
+        n = int(length.sum())
+        shift = starts[i : i + step] - (np.cumsum(length) - length)
+        out[done : done + n] = values[np.arange(n) + np.repeat(shift, length)]
+        done += n
+    return out
 
 
 class TextEncoder:
@@ -110,7 +117,7 @@ class TextEncoder:
             return np.zeros(0, "<u4"), np.zeros(1, np.int64)
         cut = pc.split_pattern(texts.cast(pa.large_string()), " ")
         coded = cut.values.dictionary_encode()
-        code = coded.indices.to_numpy().astype(np.int64)
+        code = coded.indices.to_numpy().astype(np.int32)
         bounds = cut.offsets.to_numpy().astype(np.int64)
         words = coded.dictionary.to_pylist()
         table, length, safe = self._table(words)
@@ -126,10 +133,13 @@ class TextEncoder:
         table = np.concatenate([table, *alone]).astype("<u4", copy=False)
         length = np.concatenate([length, [len(x) for x in alone]]).astype(np.int64)
         code[heads] = len(words) + np.arange(len(heads))
+        length = length.astype(np.int32)
         per_word = length[code]
         drop = np.repeat(bad, np.diff(bounds))
         drop[heads] = False
         per_word[drop] = 0
-        ids = ragged(table, (np.cumsum(length) - length)[code], per_word)
-        per_text = np.add.reduceat(per_word, heads)
+        begin = np.cumsum(length, dtype=np.int64) - length
+        step = 1 << 18  # words
+        ids = np.concatenate([ragged(table, begin[code[i : i + step]], per_word[i : i + step]) for i in range(0, len(code), step)])
+        per_text = np.add.reduceat(per_word, heads, dtype=np.int64)
         return ids, np.concatenate([[0], np.cumsum(per_text)])

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import fold, texts
+from fieldbook.llm.common import fold, mapped, texts
 from fieldbook.llm.tokenfiles import slices
 from fieldbook.llm.words import parts_of_words, words_of
 
@@ -136,7 +136,7 @@ def train(docs: DataFrame) -> Languages:
     known = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     usable = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(FOLDS) != HELD_OUT))
-    counted = usable.select("text", "lang").mapInArrow(count_parts, "lang string, bucket int, n long")
+    counted = mapped(usable.select("text", "lang"), count_parts, "lang string, bucket int, n long")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(table["lang"].unique())
     counts = np.zeros((BUCKETS, len(names)))
@@ -160,7 +160,7 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
                     [rows.column("doc_id"), pa.array(name, pa.string()), pa.array(np.clip(value, 0, 1)), pa.array(mixed, pa.map_(pa.string(), pa.float64()))],
                     names=["doc_id", "lang_pred", "score", "mixture"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, mixture map<string,double>")
+    return mapped(texts(docs), run, "doc_id long, lang_pred string, score double, mixture map<string,double>")
 
 
 def languages(docs: DataFrame) -> DataFrame:

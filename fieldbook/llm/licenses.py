@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import raw_texts
+from fieldbook.llm.common import mapped, raw_texts
 
 RUN = 3
 SIMILAR = 0.8
@@ -105,7 +105,7 @@ def rolled(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_words", "pos", "h"])
 
-    return raw_texts(docs).mapInArrow(run, "row long, doc_id long, n_words long, pos long, h long")
+    return mapped(raw_texts(docs), run, "row long, doc_id long, n_words long, pos long, h long")
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> tuple[DataFrame, DataFrame]:

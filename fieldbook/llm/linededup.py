@@ -2,10 +2,10 @@
 
 Documents are taken in batches of ascending id. A run is a stored table of line hashes that
 earlier batches have seen, dealt out by hash and sorted, so that a batch's own hashes meet it
-without the run moving. For each batch its hashes are reduced to the smallest document of each;
-those found in a run were seen before, and the rest, the merge-anti-join of batch and runs, is
-added as a run of its own. ``FANOUT`` runs of a level are merged into one of the next. A hash's
-owner, its first document, keeps its lines; all other documents lose theirs.
+without the run moving. For each batch its hashes are reduced to the smallest document of each and
+merge-joined with the runs: those found were seen before, and the rest, which no run has, is added
+as a run of its own. ``FANOUT`` runs of a level are merged into one of the next. A hash's owner, its
+first document, keeps its lines; all other documents lose theirs.
 
 A hash is 128 bits wide. A line that is in a great many documents is combined to one row per
 task before it is shuffled, and the join that tells its documents what to drop is one whose
@@ -21,13 +21,14 @@ line left: an empty text. Columns other than doc_id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import free_name, raw_texts
+from fieldbook.llm.common import free_name, mapped, raw_texts
 from fieldbook.session import materialise, scratch_path
 
 LEAST = 10  # code points of a key
@@ -62,7 +63,7 @@ def line_hashes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own, pa.int64()), pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], names=["doc_id", "h", "g"])
 
-    return raw_texts(docs).where("doc_id is not null").mapInArrow(run, "doc_id long, h long, g long")
+    return mapped(raw_texts(docs).where("doc_id is not null"), run, "doc_id long, h long, g long")
 
 
 class Runs:
@@ -72,44 +73,38 @@ class Runs:
         self.spark, self.fanout = spark, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
-        self.tables: list[str] = []
 
     def _store(self, rows: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, "line-run")
         name = path.rsplit("/", 1)[-1].replace("-", "_")
         dealt = rows.repartition(self.buckets, "h", "g").sortWithinPartitions("h", "g")
         dealt.write.option("path", path).bucketBy(self.buckets, "h", "g").sortBy("h", "g").saveAsTable(name)
-        self.tables.append(name)
         return self.spark.table(name)
 
-    def unseen(self, firsts: DataFrame) -> DataFrame:
-        """The batch's hashes (h, g, owner) that no run has."""
+    def looked_up(self, firsts: DataFrame) -> DataFrame:
+        """The batch's hashes with ``earlier``, the owner that a run has for them, null if unseen."""
+        found = firsts.withColumn("earlier", F.lit(None).cast("long"))
         for level in self.levels:
             for run in level:
-                firsts = firsts.join(run.select("h", "g"), ["h", "g"], "left_anti")
-        return firsts
-
-    def add(self, rows: DataFrame) -> None:
-        """Add a run; a level that is full becomes one run of the next."""
-        run = self._store(rows)
+                one = run.where("earlier is null").select("h", "g", F.col("owner").alias("_owner"))
+                found = found.join(one, ["h", "g"], "left").withColumn("earlier", F.coalesce("earlier", "_owner")).drop("_owner")
+        return found
+
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Look a batch up and store it as a run; what was stored. Hashes seen before are in it
+        with their earlier owner, but are no part of the run. A level that is full becomes one
+        run of the next."""
+        stored = run = self._store(self.looked_up(batch))
         for level in range(len(self.levels) + 1):
             if level == len(self.levels):
                 self.levels.append([])
             self.levels[level].append(run)
             if len(self.levels[level]) < self.fanout:
-                return
-            merged = self.levels[level][0]
-            for other in self.levels[level][1:]:
-                merged = merged.union(other)
+                break
+            merged = reduce(DataFrame.unionByName, self.levels[level]).where("earlier is null")
             self.levels[level] = []
             run = self._store(merged)
-
-    def all(self) -> DataFrame:
-        found = [r for level in self.levels for r in level]
-        whole = found[0]
-        for other in found[1:]:
-            whole = whole.union(other)
-        return whole
+        return stored
 
 
 def batch_bounds(hashes: DataFrame, batches: int) -> list[int]:
@@ -118,26 +113,30 @@ def batch_bounds(hashes: DataFrame, batches: int) -> list[int]:
     return sorted(set(cuts or []))
 
 
-def owners(hashes: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """Each line hash with the smallest document that has it, found batch by batch."""
+def shared_lines(hashes: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+    """The line hashes that at least two documents have, each with the smallest of them."""
     runs = Runs(hashes.sparkSession, fanout)
-    cuts = batch_bounds(hashes, batches)
+    cuts, told = batch_bounds(hashes, batches), []
     for low, high in zip([None, *cuts], [*cuts, None]):
         batch = hashes
         if low is not None:
             batch = batch.where(F.col("doc_id") > low)
         if high is not None:
             batch = batch.where(F.col("doc_id") <= high)
-        firsts = batch.groupBy("h", "g").agg(F.min("doc_id").alias("owner"))
-        runs.add(runs.unseen(firsts))
-    return runs.all()
+        firsts = batch.groupBy("h", "g").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
+        stored = runs.add(firsts)
+        again = stored.where(F.col("earlier").isNotNull() | (F.col("last") > F.col("owner")))
+        told.append(again.select("h", "g", F.coalesce("earlier", "owner").alias("owner")))
+    return reduce(DataFrame.unionByName, told).distinct()
 
 
 def lines_to_drop(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """doc_id and gone, the hashes of the lines that the document loses."""
     hashes = materialise(line_hashes(docs), "line-hashes")
-    first = owners(hashes, batches, fanout)
-    lost = hashes.join(first, ["h", "g"]).where("doc_id <> owner")
+    # Stored, so that both sides of the join come straight from a shuffle, whose large partitions
+    # Spark then splits.
+    shared = materialise(shared_lines(hashes, batches, fanout), "shared-lines")
+    lost = hashes.join(shared, ["h", "g"]).where("doc_id <> owner")
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h", "g")).alias("gone"))
 
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import texts
+from fieldbook.llm.common import mapped, texts
 from fieldbook.llm.encoding import TextEncoder
 from fieldbook.llm.tokenfiles import slices, with_end
 from fieldbook.session import materialise
@@ -172,7 +172,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     spark = docs.sparkSession
     schema = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, nth long"
     schema += ", ids binary" if keep_ids else ""
-    pieces = materialise(texts(docs).mapInArrow(cutter(tokenizer, end_id, capacity, keep_ids), schema), "pieces")
+    pieces = materialise(mapped(texts(docs), cutter(tokenizer, end_id, capacity, keep_ids), schema), "pieces")
     counts = materialise(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
     # At most `capacity` rows.
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import fold, raw_texts, texts
+from fieldbook.llm.common import fold, mapped, raw_texts, texts
 from fieldbook.llm.toxicity import labelled_sample
 
 ROWS = 20_000  # bound of the learning sample
@@ -143,7 +143,7 @@ def measured(docs: DataFrame) -> DataFrame:
             found = [statistics(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.float64()))], names=["doc_id", "statistics"])
 
-    return raw_texts(docs).mapInArrow(run, "doc_id long, statistics array<double>")
+    return mapped(raw_texts(docs), run, "doc_id long, statistics array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Forest:
@@ -163,7 +163,7 @@ def score(docs: DataFrame, forest: Forest) -> DataFrame:
             x = np.array([statistics(t.as_py()) for t in batch.column("text")]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(forest.scores(x))], names=["doc_id", "score"])
 
-    return raw_texts(docs).mapInArrow(run, "doc_id long, score double")
+    return mapped(raw_texts(docs), run, "doc_id long, score double")
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

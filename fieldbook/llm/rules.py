@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fieldbook.llm.common import raw_texts
+from fieldbook.llm.common import mapped, raw_texts
 
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; per cent of words in repeated runs of RUN words
 RUN = 3
@@ -118,4 +118,4 @@ def clean(docs: DataFrame, with_text: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *names])
 
     kinds = {pa.int64(): "long", pa.bool_(): "boolean", pa.string(): "string"}
-    return raw_texts(docs).mapInArrow(run, ", ".join(["doc_id long", *(f"{c} {kinds[COLUMNS[c]]}" for c in names)]))
+    return mapped(raw_texts(docs), run, ", ".join(["doc_id long", *(f"{c} {kinds[COLUMNS[c]]}" for c in names)]))

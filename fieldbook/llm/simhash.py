@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import free_name, raw_texts
+from fieldbook.llm.common import free_name, mapped, raw_texts
 from fieldbook.llm.components import smallest_reachable
 from fieldbook.session import materialise
 
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, words_each: int = SHINGLE) -> DataFrame:
             found = [fingerprint(t.as_py(), words_each) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fingerprint"])
 
-    return raw_texts(docs).mapInArrow(run, "doc_id long, fingerprint long")
+    return mapped(raw_texts(docs), run, "doc_id long, fingerprint long")
 
 
 def blocks(radius: int) -> list[int]:

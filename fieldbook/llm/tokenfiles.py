@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import texts
+from fieldbook.llm.common import mapped, texts
 from fieldbook.llm.encoding import TextEncoder
 from fieldbook.session import materialise, scratch_path
 
 MANIFEST = "shard int, file string, width int, docs long, tokens long"
 NO_ID = np.iinfo(np.int64).min
-BATCH_BYTES = 32 << 20  # of text encoded together
+BATCH_BYTES = 20 << 20  # of text encoded together
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -93,7 +93,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     shard with ``base``, the number of ids in all shards before it."""
     ordered = texts(docs).withColumn("_tie", F.xxhash64("text"))
     ordered = ordered.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text")
-    made = ordered.drop("_tie").mapInArrow(shard_writer(folder, tokenizer, end_id), MANIFEST)
+    made = mapped(ordered.drop("_tie"), shard_writer(folder, tokenizer, end_id), MANIFEST)
     manifest = materialise(made, "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
@@ -156,7 +156,7 @@ def read_token_files(manifest: DataFrame, folder: str, with_ids: bool = False) -
     of ids, their crc32 as 32-bit integers and, if asked for, the ids."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
     shards = max(1, manifest.count())
-    return manifest.repartitionByRange(shards, "shard").mapInArrow(shard_reader(folder, with_ids), schema)
+    return mapped(manifest.repartitionByRange(shards, "shard"), shard_reader(folder, with_ids), schema)
 
 
 def token_round_trip(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:

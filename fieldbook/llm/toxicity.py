@@ -7,7 +7,7 @@ over a long text would drown a few insults, so a text is scored passage by passa
 score of its worst; in learning, too, each text's currently worst passage stands for it.
 
 The model is learned from a sample of at most ``ROWS`` labelled rows, the ones with the smallest
-hashes, and at most ``PASSAGES`` passages of each, likewise chosen; scoring covers all passages
+hashes, and at most ``PASSAGES`` passages of each, chosen at random; scoring covers all passages
 of all texts.
 
 Null or empty text: the score of a passage without words. Null id or label: never learned from.
@@ -22,16 +22,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import fold, texts
+from fieldbook.llm.common import fold, mapped, texts
 from fieldbook.llm.tokenfiles import slices
 from fieldbook.llm.words import parts_of_words, spans, words_of
 
-ROWS, PASSAGES = 8_000, 48  # bounds of the learning sample
+ROWS, PASSAGES = 10_000, (24, 160)  # bounds of the learning sample; the second by label
 PASSAGE = 24  # words
 SIZES, BUCKETS, WIDTH = (3, 4, 5), 1 << 17, 8
 HELD_OUT, FOLDS = 0, 5
@@ -74,17 +73,17 @@ class Scorer:
 class Learner:
     """Embeddings and softmax under lazy Adam steps on batches of passages."""
 
-    def __init__(self, passages: list[str], share: float, rate: float, seed: int):
+    def __init__(self, passages: pa.Array, share: float, rate: float, seed: int):
         self.rng, self.rate, self.turn = np.random.default_rng(seed), rate, 0
         self.embed = self.rng.normal(0, 0.2, (BUCKETS, WIDTH)).astype(np.float32)
         self.soft = self.rng.normal(0, 0.2, (WIDTH, 2)).astype(np.float32)
         self.bias = np.log([1 - share, share]).astype(np.float32)
         self.state = [np.zeros_like(x) for x in (self.embed, self.embed, self.soft, self.soft, self.bias, self.bias)]
-        self.code, self.bounds, words = words_of(pa.array(passages, pa.string()))
-        found = list(parts_of_words(words, SIZES, BUCKETS))
-        word_of, bucket = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (list(zip(*found)) or ([], [])))
-        self.word_of, self.bucket = word_of[order := np.argsort(word_of, kind="stable")], bucket[order]
-        self.parts = np.bincount(self.word_of, minlength=len(words)) if len(words) else np.zeros(0, np.int64)
+        code, self.bounds, words = words_of(passages)
+        self.code = code.astype(np.int32)
+        found = [in_order(words.slice(i, 1 << 15), i) for i in range(0, len(words), 1 << 15)]
+        word_of, self.bucket = (np.concatenate([np.zeros(0, np.int32), *v]) for v in (list(zip(*found)) or ([], [])))
+        self.parts = np.bincount(word_of, minlength=len(words)) if len(words) else np.zeros(0, np.int64)
         self.begin = np.concatenate([[0], np.cumsum(self.parts)])
 
     def step(self, chosen: np.ndarray, labels: np.ndarray) -> None:
@@ -119,7 +118,9 @@ class Learner:
             step = self.rate * (m[where] / (1 - 0.9**self.turn)) / (np.sqrt(v[where] / (1 - 0.99**self.turn)) + 1e-6)
             value[where] -= step.astype(np.float32)
 
-    def epoch(self, chosen: np.ndarray, labels: np.ndarray, size: int) -> None:
+    def epoch(self, chosen: np.ndarray, labels: np.ndarray, most: int) -> None:
+        """One pass in batches of up to ``most`` passages, smaller for few, so that there are some steps."""
+        size = int(np.clip(len(chosen) // 40, 24, most))
         order = self.rng.permutation(len(chosen))
         for i in range(0, len(order), size):
             self.step(chosen[order[i : i + size]], labels[order[i : i + size]])
@@ -127,14 +128,29 @@ class Learner:
     def means(self) -> np.ndarray:
         """Every passage's present difference of the classes."""
         shares = self.embed @ (self.soft[:, 1] - self.soft[:, 0])
-        per_word = np.bincount(self.word_of, shares[self.bucket], len(self.parts)) / np.maximum(self.parts, 1)
-        passage = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
-        return np.bincount(passage, per_word[self.code], len(self.bounds) - 1) / np.maximum(np.diff(self.bounds), 1)
+        per_word = averages(shares[self.bucket], self.begin)
+        return averages(per_word[self.code], self.bounds)
 
     def scorer(self) -> Scorer:
         return Scorer((self.embed @ (self.soft[:, 1] - self.soft[:, 0])).astype(float), float(self.bias[1] - self.bias[0]))
 
 
+def in_order(words: pa.Array, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the word, bucket) of all n-grams, by word."""
+    found = list(parts_of_words(words, SIZES, BUCKETS))
+    owner, bucket = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (list(zip(*found)) or ([], [])))
+    order = np.argsort(owner, kind="stable")
+    return (owner[order] + first).astype(np.int32), bucket[order].astype(np.int32)
+
+
+def averages(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Mean of each range of values, 0 for an empty one."""
+    out, sizes = np.zeros(len(bounds) - 1, np.float32), np.diff(bounds)
+    if (sizes > 0).any():
+        out[sizes > 0] = np.add.reduceat(values, bounds[:-1][sizes > 0]) / sizes[sizes > 0]
+    return out
+
+
 def added(key: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     """Rows added up by key."""
     return np.stack([np.bincount(key, rows[:, k], size) for k in range(rows.shape[1])], axis=1).astype(np.float32)
@@ -148,7 +164,7 @@ def worst(means: np.ndarray, owner: np.ndarray, number: np.ndarray) -> np.ndarra
     return ranked[nth < number[owner[ranked]]]
 
 
-def learn(passages: list[str], owner: np.ndarray, labels: np.ndarray, rounds: int = 10, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
+def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int = 6, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
     """A scorer from passages, the text each belongs to (ascending), and the texts' labels.
 
     The first round takes ``spread`` passages of each text at random, all with its label. In the
@@ -167,13 +183,15 @@ def learn(passages: list[str], owner: np.ndarray, labels: np.ndarray, rounds: in
 
 
 def some_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to PASSAGES passages of each text, chosen by a generator seeded with its id."""
+    """Up to PASSAGES passages of each text, chosen by a generator seeded with its id. Of toxic
+    texts there are more, as few of their passages may be toxic."""
     for batch in batches:
         found, kept, label = [], [], []
         for i, t, y in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label"))):
             w = (t or "").split()
             n = max(1, -(-len(w) // PASSAGE))
-            pick = sorted(np.random.default_rng(abs(i)).choice(n, PASSAGES, replace=False).tolist()) if n > PASSAGES else range(n)
+            most = PASSAGES[y]
+            pick = sorted(np.random.default_rng(abs(i)).choice(n, most, replace=False).tolist()) if n > most else range(n)
             found.append([" ".join(x[:64] for x in w[p * PASSAGE : (p + 1) * PASSAGE]) for p in pick])
             kept.append(i)
             label.append(y)
@@ -189,14 +207,12 @@ def labelled_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Scorer:
     sample = F.broadcast(labelled_sample(labels, "toxic", rows))  # at most `rows` rows of two numbers
-    learned = texts(docs).join(sample, "doc_id").mapInArrow(some_passages, "doc_id long, label int, passages array<string>")
-    table = learned.toArrow()
-    found = table.column("passages").combine_chunks()
-    order = np.lexsort((table.column("label").to_numpy(), table.column("doc_id").to_numpy()))[: 2 * rows]
-    label = table.column("label").to_numpy()[order]
-    lists = [found[int(i)].as_py() for i in order]
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    return learn([p for x in lists for p in x], owner, label)
+    learned = mapped(texts(docs).join(sample, "doc_id"), some_passages, "doc_id long, label int, passages array<string>")
+    table = learned.toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("label", "ascending")]).slice(0, 2 * rows)
+    lists = table.column("passages").combine_chunks()
+    owner = np.repeat(np.arange(len(lists)), np.asarray(pa.compute.list_value_length(lists)))
+    label = table.column("label").to_numpy().astype(np.int64)
+    return learn(lists.flatten(), owner, label)
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -208,7 +224,7 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
                 found = scorer.scores(rows.column("text"))
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, score double")
+    return mapped(texts(docs), run, "doc_id long, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,9 +238,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     its own text in the scan that returns it, so nothing is joined back."""
     scorer = train(docs, labels)
 
-    @F.pandas_udf("double")
-    def judge(column):
-        batch = pa.record_batch([pa.array(column, pa.string(), from_pandas=True)], names=["text"])
-        return pd.Series(np.concatenate([np.zeros(0), *(scorer.scores(x.column("text")) for x in slices(batch, limit=BATCH_BYTES))]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, limit=BATCH_BYTES):
+                yield rows.filter(pa.array(scorer.scores(rows.column("text")) < THRESHOLD))
 
-    return docs.where(judge(F.col("text").cast("string")) < THRESHOLD)
+    return mapped(docs.withColumn("text", F.col("text").cast("string")), run, docs.schema)
