@@ -4,8 +4,12 @@ Built-in ``percentile``/``median`` hold every distinct value of a group in one
 aggregation buffer. Here a bounded sketch first brackets each wanted rank; all
 values outside the brackets collapse onto their edge in the map-side combine,
 and only the bracketed sliver of a group is sorted. Counts are exact
-everywhere, so the result is exact as well, and a bracket that missed its rank
-fails the job instead of returning a wrong value.
+everywhere, so the result is exact as well. Slivers of more than ``RANK_ROWS``
+values are ranked in chunks, and a bracket that missed its rank is widened.
+
+Plan parameters: ``SMALL_INPUT``, ``SMALL_GROUP`` and ``RANK_ROWS`` choose between
+plans, not between results; ``tools/check_queries.py --tight`` runs all queries with
+plans as for large inputs.
 """
 
 from __future__ import annotations
@@ -16,19 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldbook.session import attach_groups, estimated_bytes
+from fieldbook.operators.running import running_totals
+from fieldbook.session import attach_groups, estimated_bytes, materialise
 
 ACCURACY = 10_000
 # Groups up to this size are ranked whole: the sketch's error would be below a few ranks.
 SMALL_GROUP = 4 * ACCURACY
 # Below this plan size the sketch pass costs more than it saves.
 SMALL_INPUT = 16 * 1024 * 1024
+# More values than this are not ranked by one task.
+RANK_ROWS = 1_000_000
 
 Position = Callable[[Column], Column]
 
 
-def _brackets(fractions: Sequence[float], accuracy: int) -> list[tuple[float, float]]:
-    margin = 2.0 / accuracy
+def _brackets(fractions: Sequence[float], margin: float) -> list[tuple[float, float]]:
     spans: list[tuple[float, float]] = []
     for p in sorted(set(fractions)):
         low, high = max(0.0, p - margin), min(1.0, p + margin)
@@ -60,7 +66,7 @@ def order_statistics(
     accuracy: int = ACCURACY,
     bracket: bool | None = None,
     spans: Sequence[tuple[float, float]] | None = None,
-    small_group: int = SMALL_GROUP,
+    small_group: int | None = None,
 ) -> DataFrame:
     """Values at (possibly fractional) 0-based rank positions, per group.
 
@@ -71,17 +77,31 @@ def order_statistics(
     default the plan's estimated size decides. ``spans`` replaces the brackets
     around the fractions, for positions that spread around them.
     """
+    small_group = SMALL_GROUP if small_group is None else small_group
+    if bracket is None:
+        bracket = estimated_bytes(df.select(*by, *columns)) > SMALL_INPUT
+    if not bracket:
+        return _statistics(df, columns, targets, by, accuracy, None, small_group, False).drop("_missed")
+    spans = list(spans) if spans else _brackets([p for p, _ in targets], 2.0 / accuracy)
+    for wider in (0.0, 0.01, 0.1, None):
+        around = wider if wider is None else [(max(0.0, a - wider), min(1.0, b + wider)) for a, b in spans]
+        found = materialise(_statistics(df, columns, targets, by, accuracy, around, small_group), "ranks")
+        if around is None or not found.where("_missed").limit(1).count():
+            return found.drop("_missed")
+
+
+def _statistics(
+    df: DataFrame, columns: Sequence[str], targets: Sequence[tuple[float, Position]], by: Sequence[str],
+    accuracy: int, spans: list[tuple[float, float]] | None, small_group: int, chunked: bool = True,
+) -> DataFrame:
+    """As order_statistics, with ``_missed``: whether a rank fell outside its bracket."""
     by = list(by)
     data = df.select(
         *by, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)]
     )
     if by:
         data = data.dropna(subset=by)
-    if bracket is None:
-        bracket = estimated_bytes(data) > SMALL_INPUT
-
-    if bracket:
-        spans = list(spans) if spans else _brackets([p for p, _ in targets], accuracy)
+    if spans is not None:
         marks = F.array(*[F.lit(float(x)) for span in spans for x in span])
         sketches = []
         for i in range(len(columns)):
@@ -128,15 +148,9 @@ def order_statistics(
         cells_long = flat.select(*by, F.expr(f"stack({len(cells)}, {rows}) AS (_col, _value, _gap)"))
 
     counts = cells_long.groupBy(*by, "_col", "_value", "_gap").agg(F.count("_value").alias("_k"))
-    group = Window.partitionBy(*by, "_col")
-    running = group.orderBy("_value", "_gap").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.select(
-        "*",
-        F.sum("_k").over(running).alias("_cum"),
-        F.sum("_k").over(group).alias("_n"),
-    )
+    ranked = _ranked(counts, [*by, "_col"], chunked)
 
-    picks, finals = [], []
+    picks, finals, misses = [], [], []
     for i, column in enumerate(columns):
         values = []
         mine = (F.col("_col") == i) & (F.col("_n") > 0)
@@ -153,14 +167,26 @@ def order_statistics(
                 F.max(mine & missed).alias(f"_m{i}_{j}"),
             ]
             low, high, part = F.col(f"_a{i}_{j}"), F.col(f"_b{i}_{j}"), F.col(f"_f{i}_{j}")
-            values.append(
-                F.when(
-                    F.col(f"_m{i}_{j}"),
-                    F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double"),
-                ).otherwise(low + part * (high - low))
-            )
+            values.append(low + part * (high - low))
+            misses.append(F.coalesce(F.col(f"_m{i}_{j}"), F.lit(False)))
         finals.append(F.array(*values).alias(column))
-    return ranked.groupBy(*by).agg(*picks).select(*by, *finals)
+    return ranked.groupBy(*by).agg(*picks).select(*by, *finals, F.array_contains(F.array(*misses), True).alias("_missed"))
+
+
+def _ranked(counts: DataFrame, group: list[str], chunked: bool) -> DataFrame:
+    """Counted values with ``_cum``, the number of values up to each, and ``_n``, the group's.
+
+    A group's values are ranked by one task only if there are at most RANK_ROWS of all groups;
+    more are ranked in chunks of about that many."""
+    if chunked:
+        counts = materialise(counts, "rank-cells")
+        chunks = -(-counts.count() // RANK_ROWS)
+        if chunks > 1:
+            summed = running_totals(counts, "_k", ["_value", "_gap"], group, chunks).withColumnRenamed("running_sum", "_cum")
+            return attach_groups(summed.drop("running_n"), counts.groupBy(*group).agg(F.sum("_k").alias("_n")), group)
+    whole = Window.partitionBy(*group)
+    running = whole.orderBy("_value", "_gap").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select("*", F.sum("_k").over(running).alias("_cum"), F.sum("_k").over(whole).alias("_n"))
 
 
 def linear_position(p: float) -> Position:
