@@ -338,19 +338,19 @@ def group_extremes(spark, sf):
 @query("crosstab_counts", "G23", """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F",
     count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""")
 def crosstab_counts(spark, sf):
-    return grouping.crosstab(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
+    return grouping.crosstab(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
 @query("crosstab_percent", "G24", """SELECT l_linestatus, round(avg((l_returnflag = 'A')::INT) * 100, 4) AS "A",
     round(avg((l_returnflag = 'N')::INT) * 100, 4) AS "N", round(avg((l_returnflag = 'R')::INT) * 100, 4) AS "R" FROM lineitem GROUP BY 1""")
 def crosstab_percent(spark, sf):
-    return rounded(grouping.crosstab_percent(table(spark, sf, "lineitem"), "l_linestatus", "l_returnflag"))
+    return rounded(grouping.crosstab_percent(table(spark, sf, "lineitem"), "l_linestatus", "l_returnflag", ["A", "N", "R"]))
 
 
 @query("pivot_mean", "G25", """SELECT l_returnflag, round(avg(l_extendedprice) FILTER (l_linestatus = 'F'), 4) AS "F",
     round(avg(l_extendedprice) FILTER (l_linestatus = 'O'), 4) AS "O" FROM lineitem GROUP BY 1""")
 def pivot_mean(spark, sf):
-    return rounded(grouping.pivot_mean(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", "l_extendedprice"))
+    return rounded(grouping.pivot_mean(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", "l_extendedprice", ["F", "O"]))
 
 
 _NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]

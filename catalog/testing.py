@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catalog.base import LISTING, PATIENT, listings, patients, query, r, rounded, table
+from fieldbook.config import JobConfig
 from fieldbook.operators import inference, models
+from fieldbook.plans import job
+from fieldbook.session import materialise
 
 # Two-sided tail of Student's t by Simpson's rule over [0, |t|] in SQL.
 T_TAIL = """1 - 2 * (SELECT sum(CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
@@ -157,7 +161,33 @@ def ridge_two_features(spark, sf):
     return f.select("term", r("coefficient", 3).alias("coefficient"), r("r_squared", 6).alias("r_squared"))
 
 
-@query("ridge_listing_price", "M6")
+def _ridge_sql(with_frame: str, frame: str, y: str, xs: list[str], penalty: float = 1.0) -> str:
+    """Centred ridge by a Cholesky factor, one step after the other."""
+    p, steps = len(xs), []
+    gram = ", ".join(f"covar_pop({a}, {b}) * count(*) + {penalty if i == j else 0.0}::DOUBLE AS g{i}{j}" for i, a in enumerate(xs) for j, b in enumerate(xs) if j <= i)
+    cross = ", ".join(f"covar_pop({a}, {y}) * count(*) AS c{i}" for i, a in enumerate(xs))
+    means = ", ".join(f"avg({a}) AS m{i}" for i, a in enumerate(xs))
+    for i in range(p):
+        for j in range(i + 1):
+            inner = " - ".join([f"g{i}{j}", *(f"l{i}{k} * l{j}{k}" for k in range(j))])
+            steps.append(f"sqrt({inner}) AS l{i}{i}" if i == j else f"({inner}) / l{j}{j} AS l{i}{j}")
+    for i in range(p):
+        steps.append("(" + " - ".join([f"c{i}", *(f"l{i}{k} * z{k}" for k in range(i))]) + f") / l{i}{i} AS z{i}")
+    for i in reversed(range(p)):
+        steps.append("(" + " - ".join([f"z{i}", *(f"l{k}{i} * b{k}" for k in range(i + 1, p))]) + f") / l{i}{i} AS b{i}")
+    ctes, last = [], "s"
+    for n, step in enumerate(steps):
+        ctes.append(f"t{n} AS (SELECT *, {step} FROM {last})")
+        last = f"t{n}"
+    fit = " + ".join(f"b{i} * b{j} * (g{max(i, j)}{min(i, j)} - {penalty if i == j else 0.0})" for i in range(p) for j in range(p))
+    both = " + ".join(f"b{i} * c{i}" for i in range(p))
+    rows = [("intercept", "my - " + " - ".join(f"b{i} * m{i}" for i in range(p))), *((x, f"b{i}") for i, x in enumerate(xs))]
+    return f"""WITH {with_frame}s AS (SELECT {gram}, {cross}, {means}, avg({y}) AS my, var_pop({y}) * count(*) AS total FROM {frame}), {', '.join(ctes)},
+        q AS (SELECT *, round(1 - (total - 2 * ({both}) + {fit}) / total, 6) AS r_squared FROM {last}) """ + " UNION ALL ".join(
+        f"SELECT '{name}' AS term, round({e}, 4) AS coefficient, r_squared FROM q" for name, e in rows)
+
+
+@query("ridge_listing_price", "M6", _ridge_sql(LISTING + ", ", "listing", "price_capped", ["min_nights", "reviews", "host_listings", "availability"]))
 def ridge_listing_price(spark, sf):
     f = inference.ridge(listings(spark, sf), "price_capped", ["min_nights", "reviews", "host_listings", "availability"])
     return f.select("term", r("coefficient").alias("coefficient"), r("r_squared", 6).alias("r_squared"))
@@ -209,6 +239,52 @@ def kmeans_sizes(spark, sf):
     return rows.groupBy("cluster").agg(F.count("*").alias("n"))
 
 
+@query("kmeans_properties", "M10", "SELECT 5::BIGINT AS clusters, count(*) AS n, 0::BIGINT AS nearer_to_another FROM embeddings")
+def kmeans_properties(spark, sf):
+    """Every vector is in one of the clusters, and no other cluster's mean is nearer (in scaled columns)."""
+    names = [f"d{i}" for i in range(DIMS)]
+    scaled = materialise(models.standard_scale(_vectors(spark, sf), names), "scaled")
+    rows, _ = models.kmeans_clusters(scaled, names, 5, restarts=10)
+    point = F.array(*names)
+    means = rows.groupBy("cluster").agg(F.array(*[F.avg(c) for c in names]).alias("mean"))
+    apart = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    centres = means.agg(F.array_sort(F.collect_list(F.struct("cluster", "mean"))).alias("m")).scalar()  # five rows
+    held = rows.withColumn("m", centres).withColumn("at", point)
+    distance = F.transform("m", lambda c: F.struct(apart(F.col("at"), c["mean"]).alias("d"), c["cluster"].alias("cluster")))
+    own = F.filter(distance, lambda c: c["cluster"] == F.col("cluster"))[0]["d"]
+    return held.select("cluster", (F.array_min(distance)["d"] < own - 1e-4).alias("other")).agg(
+        F.count_distinct("cluster").alias("clusters"), F.count("*").alias("n"), F.count_if("other").alias("nearer_to_another"))
+
+
+@query("principal_scree_properties", "M9 M12", f"SELECT {DIMS}::BIGINT AS components, 1.0::DOUBLE AS explained, 0::BIGINT AS rises")
+def principal_scree_properties(spark, sf):
+    """All components together explain everything, each at most as much as the one before."""
+    v = _vectors(spark, sf)
+    _, scree = models.principal_components(v, models.model_features(v, skip=["vec_id", "label"]), DIMS)
+    rise = F.lead("explained").over(Window.orderBy("component")) > F.col("explained") + 1e-12
+    return scree.select("explained", rise.alias("rise")).agg(
+        F.count("*").alias("components"), r(F.sum("explained"), 6).alias("explained"), F.count_if("rise").alias("rises"))
+
+
+@query("patient_job_tests", "M1 M2 M3 M5 S13", f"""WITH {PATIENT},
+    g AS (SELECT condition AS k, count(*) AS n, avg(billing) AS m, var_pop(billing) AS v FROM patient GROUP BY 1),
+    f AS (SELECT (sum(n * power(m - (SELECT avg(billing) FROM patient), 2)) / (count(*) - 1)) / (sum(n * v) / (sum(n) - count(*))) AS f FROM g),
+    a AS (SELECT condition, count(*) AS n FROM patient GROUP BY 1), b AS (SELECT result, count(*) AS n FROM patient GROUP BY 1),
+    o AS (SELECT condition, result, count(*) AS n FROM patient GROUP BY 1, 2),
+    c AS (SELECT sum(power(coalesce(o.n, 0) - a.n * b.n / t.n, 2) / (a.n * b.n / t.n)) AS chi2
+        FROM a CROSS JOIN b CROSS JOIN (SELECT count(*)::DOUBLE AS n FROM patient) t LEFT JOIN o USING (condition, result)),
+    s AS (SELECT gender, count(*) AS n, avg(billing) AS m, var_samp(billing) AS v, row_number() OVER (ORDER BY count(*) DESC, gender) AS i FROM patient GROUP BY 1)
+    SELECT 'anova_billing_condition' AS test, round(f, 4) AS value FROM f UNION ALL SELECT 'chi2_condition_result', round(chi2, 4) FROM c
+    UNION ALL SELECT 'regression_billing_age', round(regr_slope(billing, age), 4) FROM patient
+    UNION ALL SELECT 'ttest_two_largest_genders', round((x.m - y.m) / sqrt(x.v / x.n + y.v / y.n), 4) FROM s x, s y WHERE x.i = 1 AND y.i = 2""")
+def patient_job_tests(spark, sf):
+    """The statistic of each test of the patient job, as its report has it."""
+    frame = materialise(patients(spark, sf).select("billing", "condition", "result", "age", "gender"), "patients")
+    found = job.test_rows(job.patient_tests(frame, JobConfig()))
+    value = F.coalesce(*[F.get_json_object("result", f"$.{c}") for c in ("f_statistic", "chi2", "slope", "t_statistic")])
+    return found.select("test", r(value).alias("value"))
+
+
 @query("silhouette_of_labels", "M11", f"""WITH p AS (SELECT label AS c, embedding::DOUBLE[] AS x FROM embeddings),
     k AS (SELECT c, count(*) AS n, {', '.join(f'sum(x[{i}]) AS s{i}' for i in range(1, DIMS + 1))}, sum({' + '.join(f'x[{i}] * x[{i}]' for i in range(1, DIMS + 1))}) AS q FROM p GROUP BY c),
     d AS (SELECT row_number() OVER () AS i, * FROM p),

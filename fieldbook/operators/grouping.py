@@ -48,9 +48,13 @@ def extremes(groups: DataFrame, key: str, metric: str) -> DataFrame:
     )
 
 
-def crosstab(df: DataFrame, row: str, column: str) -> DataFrame:
-    """Counts of each value pair, one row per row value, 0 where a pair is absent."""
-    return df.dropna(subset=[row, column]).groupBy(row).pivot(column).count().na.fill(0)
+def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
+    """Counts of each value pair, as (row, column, n) of the pairs there are. With ``values``, one
+    row per row value and a column for each of them, 0 where a pair is absent."""
+    rows = df.dropna(subset=[row, column])
+    if values is None:
+        return rows.groupBy(row, column).agg(F.count("*").alias("n"))
+    return rows.groupBy(row).pivot(column, list(values)).count().na.fill(0)
 
 
 def cross_counts(df: DataFrame, row: str, column: str) -> DataFrame:
@@ -60,9 +64,12 @@ def cross_counts(df: DataFrame, row: str, column: str) -> DataFrame:
     return counts.withColumn("pct", F.col("n") / total * 100)
 
 
-def crosstab_percent(df: DataFrame, row: str, column: str) -> DataFrame:
-    """Row percentages of a cross table."""
-    return cross_counts(df, row, column).groupBy(row).pivot(column).agg(F.first("pct")).na.fill(0.0)
+def crosstab_percent(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
+    """Row percentages of a cross table, in the same two forms; (row, column, pct) in the long one."""
+    shares = cross_counts(df, row, column)
+    if values is None:
+        return shares.select(row, column, "pct")
+    return shares.groupBy(row).pivot(column, list(values)).agg(F.first("pct")).na.fill(0.0)
 
 
 def ratio_by_key(df: DataFrame, key: str, hit: Column, name: str = "pct") -> DataFrame:
@@ -72,6 +79,10 @@ def ratio_by_key(df: DataFrame, key: str, hit: Column, name: str = "pct") -> Dat
     )
 
 
-def pivot_mean(df: DataFrame, index: str, column: str, value: str) -> DataFrame:
-    """Mean of a value per index and column value."""
-    return df.dropna(subset=[index, column]).groupBy(index).pivot(column).agg(F.avg(value))
+def pivot_mean(df: DataFrame, index: str, column: str, value: str, values: Sequence | None = None) -> DataFrame:
+    """Mean of a value per index and column value, as (index, column, mean), or with ``values`` as
+    a column for each of them."""
+    rows = df.dropna(subset=[index, column])
+    if values is None:
+        return rows.groupBy(index, column).agg(F.avg(value).alias("mean"))
+    return rows.groupBy(index).pivot(column, list(values)).agg(F.avg(value))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.observation import Observation
 
 from fieldbook.config import JobConfig
-from fieldbook.operators import binning, cleaning, imputing, inference, profile
+from fieldbook.operators import binning, cleaning, imputing, inference, models, profile
 from fieldbook.operators.shaping import columns_of, present
 from fieldbook.session import materialise
 from fieldbook.sources import sinks
@@ -153,6 +153,9 @@ def listing_tests(df: DataFrame, config: JobConfig) -> dict[str, DataFrame]:
     predictors = present(df, ["min_nights", "reviews", "host_listings", "availability"])
     if "price_capped" in has and predictors:
         tests["regression_price"] = inference.ridge(df, "price_capped", predictors)
+    groups = cluster_quality(df, LISTING_SHAPE, config)
+    if groups is not None:
+        tests["cluster_quality"] = groups
     return tests
 
 
@@ -172,6 +175,29 @@ def patient_tests(df: DataFrame, config: JobConfig) -> dict[str, DataFrame]:
     return tests
 
 
+def cluster_quality(df: DataFrame, columns: Sequence[str], config: JobConfig) -> DataFrame | None:
+    """k-means on the scaled columns present and how far its clusters lie apart:
+    ``clusters, rows, silhouette, reading``; nothing for fewer than three columns.
+
+    The silhouette is over all rows, under squared distance to scaled columns.
+    """
+    usable = [c for c in present(df, columns) if c in columns_of(df, "numeric")]
+    if len(usable) < 3:
+        return None
+    scaled = materialise(models.standard_scale(df.select(*usable).dropna(), usable), "scaled")
+    rows, _ = models.kmeans_clusters(scaled, usable, config.clusters, config.restarts, config.seed)
+    value = models.silhouette_squared(rows, usable, "cluster")
+    reading = "the rows fall into separate groups" if value > 0.2 else "the groups run into each other"
+    return rows.agg(
+        F.count_distinct("cluster").alias("clusters"), F.count("*").alias("rows"),
+        F.lit(value).alias("silhouette"), F.lit(reading).alias("reading"),
+    )
+
+
+#: Columns that tell listings apart.
+LISTING_SHAPE = ("price_capped", "availability", "reviews", "min_nights", "host_listings")
+
+
 def test_rows(tests: dict[str, DataFrame]) -> DataFrame:
     """All test results as (test, result) with the result as JSON text."""
     frames = [
@@ -182,23 +208,25 @@ def test_rows(tests: dict[str, DataFrame]) -> DataFrame:
 
 def report(
     df: DataFrame, tests: dict[str, DataFrame], insights: DataFrame, folder: str, title: str, dataset: str,
-    correlations: bool = False,
+    correlations: bool = False, top_pairs: int = JobConfig.top_pairs, alpha: float = JobConfig.alpha,
 ) -> None:
     """Write the text report, the JSON report and the insight summary below a folder."""
     quality = profile.data_quality(df)
     numbers = profile.describe(df)
     results = test_rows(tests)
+    shapes = inference.normality(df, columns_of(df, "numeric"), alpha)
     # Each small result is computed once and read by both reports.
-    quality, numbers, results, insights = (
+    quality, numbers, results, insights, shapes = (
         materialise(part, name)
-        for part, name in ((quality, "quality"), (numbers, "numbers"), (results, "tests"), (insights, "insights"))
+        for part, name in ((quality, "quality"), (numbers, "numbers"), (results, "tests"), (insights, "insights"), (shapes, "shapes"))
     )
     sections = [
         ("data quality", sinks.key_value_lines(quality, "data quality")),
         ("descriptive statistics", sinks.table_lines(numbers, "descriptive statistics", "column")),
+        ("distributions", sinks.table_lines(shapes, "distributions", "column")),
     ]
     if correlations:
-        pairs = profile.top_correlations(df).select(
+        pairs = profile.top_correlations(df, n=top_pairs).select(
             F.lit("top correlations").alias("section"),
             F.format_string("%08.6f", 2 - F.abs("r")).alias("item"), F.lit(0).alias("pos"),
             F.format_string("  %s ~ %s: %.4f", "x", "y", "r").alias("line"),
@@ -211,7 +239,7 @@ def report(
     sinks.write_text_report(sinks.text_report(title, dataset, sections), f"{folder}/analytics_report")
     parts = {
         "data_quality": quality, "categorical_summary": profile.categorical_summary(df).drop("value_counts"),
-        "statistical_tests": results, "insights": insights,
+        "numeric_summary": numbers, "distributions": shapes, "statistical_tests": results, "insights": insights,
     }
     sinks.write_json_report(sinks.json_report(dataset, parts), f"{folder}/analytics_report_json")
     sinks.write_insight_summary(insights, f"{folder}/insight_summary", f"{title} — INSIGHT SUMMARY")

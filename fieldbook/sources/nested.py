@@ -16,6 +16,8 @@ NESTED_SCHEMA = """
 """
 # Marks per record; a student with more gets several records.
 RECORD_MARKS = 100_000
+# Equal marks stored under one number; more are stored as several.
+EQUAL_MARKS = 1_000
 
 
 def nest_marks(rows: DataFrame, record_marks: int = RECORD_MARKS) -> DataFrame:
@@ -32,8 +34,11 @@ def nest_marks(rows: DataFrame, record_marks: int = RECORD_MARKS) -> DataFrame:
         *student, "sem", "spi", F.avg("spi").over(so_far).alias("cpi"),
         F.ceil(F.sum("_n").over(Window.partitionBy(*student)) / record_marks).alias("_parts"),
     )
+    # At most EQUAL_MARKS of them together, and those over the parts.
+    pile = F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / EQUAL_MARKS)))
+    counted = counted.withColumn("_pile", pile).withColumn("times", F.least(F.col("times") - F.col("_pile") * EQUAL_MARKS, F.lit(EQUAL_MARKS)))
     placed = attach_groups(counted, semesters, [*student, "sem"]).withColumn(
-        "part", F.pmod(F.xxhash64("sem", "sub", "mark"), F.col("_parts"))
+        "part", F.pmod(F.xxhash64("sem", "sub", "mark", "_pile"), F.col("_parts"))
     )
     subjects = placed.groupBy(*student, "part", "sem", "spi", "cpi", "sub").agg(
         F.collect_list(F.struct("mark", "times")).alias("marks")

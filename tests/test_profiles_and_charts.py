@@ -75,9 +75,11 @@ def test_box_flags_rows_outside_fences(frame):
 def test_shares_and_crosstabs_add_up(frame):
     _, df = frame
     assert grouping.value_counts(df, "k").agg(F.sum("pct")).first()[0] == pytest.approx(100)
-    table = grouping.crosstab(df, "k", "w").toPandas().set_index("k")
+    values = [r["w"] for r in df.select("w").dropna().distinct().collect()]
+    assert grouping.crosstab(df, "k", "w").agg(F.sum("n")).first()[0] == 500
+    table = grouping.crosstab(df, "k", "w", values).toPandas().set_index("k")
     assert table.to_numpy().sum() == 500
-    percent = grouping.crosstab_percent(df, "k", "w").toPandas().set_index("k")
+    percent = grouping.crosstab_percent(df, "k", "w", values).toPandas().set_index("k")
     assert percent.sum(axis=1).to_numpy() == pytest.approx([100, 100, 100])
 
 

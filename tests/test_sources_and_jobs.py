@@ -78,7 +78,7 @@ def test_listing_job(spark, tmp_path):
     lines = [r["value"] for r in spark.read.text(str(tmp_path / "analytics_report")).collect()]
     heads = [x for x in lines if x.startswith("──")]
     assert heads == [
-        "── DATA QUALITY ──", "── DESCRIPTIVE STATISTICS ──", "── TOP CORRELATIONS ──", "── STATISTICAL TEST RESULTS ──", "── ANALYTICAL INSIGHTS ──"
+        "── DATA QUALITY ──", "── DESCRIPTIVE STATISTICS ──", "── DISTRIBUTIONS ──", "── TOP CORRELATIONS ──", "── STATISTICAL TEST RESULTS ──", "── ANALYTICAL INSIGHTS ──"
     ]
     report = json.loads(spark.read.text(str(tmp_path / "analytics_report_json")).first()["value"])
     assert report["metadata"]["dataset"] == "raw" and report["data_quality"][0]["total_rows"] == 6
