@@ -19,21 +19,24 @@ from fieldbook.session import attach_groups, materialise, scanned_bytes
 CHUNK_BYTES = 128 * 1024 * 1024
 
 
+def chunk_count(df: DataFrame, chunks: int | None = None) -> int:
+    """The number given, or one that follows the size of the tables below, or the session's
+    shuffle partitions where a size is not known."""
+    if chunks is not None:
+        return chunks
+    size = scanned_bytes(df)
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size is None else 1 + size // CHUNK_BYTES
+
+
 def with_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None) -> DataFrame:
     """Add ``_chunk``, increasing with the order columns, nulls first as in a window.
 
-    The number of chunks follows the size of the tables below unless given, or is that
-    of the session's shuffle partitions where a size is not known. The cuts
-    are those of a range partitioning, so order columns may be of any type, and rows
-    that tie in the first one are cut by the next. The numbered rows are stored, as
-    the cuts come from a sample and must be the same in every use.
+    The cuts are those of a range partitioning, so order columns may be of any type,
+    and rows that tie in the first one are cut by the next. The numbered rows are
+    stored, as the cuts come from a sample and must be the same in every use.
     """
-    if chunks is None:
-        size = scanned_bytes(df)
-        chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size is None else 1 + size // CHUNK_BYTES
-    if chunks <= 1:
-        return df.withColumn("_chunk", F.lit(0))
-    return materialise(df.repartitionByRange(chunks, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
+    numbered = df.repartitionByRange(chunk_count(df, chunks), *order).withColumn("_chunk", F.spark_partition_id())
+    return materialise(numbered, "chunks")
 
 
 def _before(by: Sequence[str]):
@@ -41,6 +44,10 @@ def _before(by: Sequence[str]):
 
 
 
+def _up_to_here(by: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def _with_inherited(rows: DataFrame, per_chunk: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Attach each chunk's inherited values to its rows."""
     right = per_chunk.select(*[F.col(b).alias(f"_k_{b}") for b in by], F.col("_chunk").alias("_k_chunk"), *names)
@@ -55,13 +62,15 @@ def carry_forward(
 ) -> DataFrame:
     """Add ``carried``: the value itself or the latest non-null one before it."""
     by = list(by)
+    if chunk_count(df, chunks) <= 1:
+        return df.withColumn("carried", F.last(column, ignorenulls=True).over(_up_to_here(by, order)))
     rows = with_chunks(df, order, chunks)
     # max_by skips rows whose ordering is null, here those without a value.
     place = F.when(F.col(column).isNotNull(), F.struct(*order))
     inherited = rows.groupBy(*by, "_chunk").agg(F.max_by(column, place).alias("_last")).withColumn(
         "_inherited", F.last("_last", ignorenulls=True).over(_before(by))
     )
-    local = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = _up_to_here([*by, "_chunk"], order)
     return (
         _with_inherited(rows, inherited, by, ["_inherited"])
         .withColumn("_local", F.last(column, ignorenulls=True).over(local))
@@ -75,6 +84,10 @@ def running_totals(
 ) -> DataFrame:
     """Add ``running_n`` and ``running_sum`` up to and including each row."""
     by = list(by)
+    if chunk_count(df, chunks) <= 1:
+        here = _up_to_here(by, order)
+        total = F.coalesce(F.sum(value).over(here), F.lit(0))
+        return df.withColumns({"running_n": F.count(F.lit(1)).over(here), "running_sum": total})
     rows = with_chunks(df, order, chunks)
     per_chunk = rows.groupBy(*by, "_chunk").agg(
         F.count("*").alias("_n"), F.sum(value).alias("_sum")
@@ -84,7 +97,7 @@ def running_totals(
         F.coalesce(F.sum("_n").over(_before(by)), F.lit(0)).alias("_n0"),
         F.coalesce(F.sum("_sum").over(_before(by)), F.lit(0)).alias("_sum0"),
     )
-    local = Window.partitionBy(*by, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = _up_to_here([*by, "_chunk"], order)
     return (
         _with_inherited(rows, inherited, by, ["_n0", "_sum0"])
         .withColumn("running_n", F.col("_n0") + F.count(F.lit(1)).over(local))
