@@ -52,23 +52,28 @@ def fold(parts: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
 
-def mapped(frame: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """mapInArrow that hands a task's memory back when the task ends: a Python worker lives on
-    for other tasks, beside an executor's heap."""
+def hand_back() -> None:
+    """Give memory that is free again back to the system: a Python process lives on beside a
+    heap that may need it."""
+    import ctypes
+    import gc
 
-    def whole(batches):
-        import ctypes
-        import gc
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
 
-        import pyarrow
 
+def mapped(frame: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """mapInArrow that hands memory back when a task ends, as its worker lives on for others."""
+
+    def whole(batches):
         yield from run(batches)
-        gc.collect()
-        pyarrow.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except AttributeError:  # not glibc
-            pass
+        hand_back()
 
     return frame.mapInArrow(whole, schema)
 

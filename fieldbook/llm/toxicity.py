@@ -1,7 +1,8 @@
 """Toxicity from character n-grams: bags of subword embeddings under a linear softmax.
 
 A word's vector is the mean of the embeddings of its hashed character n-grams, a passage's is
-the mean of its words', and a two-class softmax scores the passage. Embeddings and softmax are
+the mean over its ``PASSAGE`` places, where a word counts once and its repetitions and places
+beyond a short text's end are zero, and a two-class softmax scores the passage. Embeddings and softmax are
 learned together in numpy. Misspellings share most n-grams with words that were seen. A mean
 over a long text would drown a few insults, so a text is scored passage by passage and has the
 score of its worst; in learning, too, each text's currently worst passage stands for it.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import fold, mapped, texts
+from fieldbook.llm.common import fold, hand_back, mapped, texts
 from fieldbook.llm.tokenfiles import slices
 from fieldbook.llm.words import parts_of_words, spans, words_of
 
@@ -38,6 +39,18 @@ THRESHOLD = 0.5
 BATCH_BYTES = 8 << 20
 
 
+def distinct_words(code: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each passage's words without repetitions, in a row, and where each passage's begin (with
+    the end). A passage has at most PASSAGE words."""
+    at = starts[:, None] + np.arange(PASSAGE)
+    inside = np.arange(PASSAGE) < lengths[:, None]
+    words = np.where(inside, code[np.minimum(at, max(len(code) - 1, 0))] if len(code) else 0, np.iinfo(np.int32).max)
+    words.sort(axis=1)
+    keep = words != np.iinfo(np.int32).max
+    keep[:, 1:] &= words[:, 1:] != words[:, :-1]
+    return words[keep], np.concatenate([[0], np.cumsum(keep.sum(axis=1))])
+
+
 @dataclass(frozen=True)
 class Scorer:
     """What scoring needs: each n-gram's share in the difference of the two classes."""
@@ -52,11 +65,12 @@ class Scorer:
         for owner, bucket in parts_of_words(words, SIZES, BUCKETS):
             total += np.bincount(owner, self.weights[bucket], len(words))
             count += np.bincount(owner, minlength=len(words))
-        per_word = (total / np.maximum(count, 1))[code] if len(words) else np.zeros(0)
+        per_word = total / np.maximum(count, 1)
         starts, owner = spans(bounds, PASSAGE)
         if not len(starts):
             return np.zeros(0), owner
-        mean = np.add.reduceat(per_word, starts) / np.diff(starts, append=len(per_word))
+        code, begin = distinct_words(code, starts, np.diff(starts, append=len(code)))
+        mean = np.add.reduceat(per_word[code], begin[:-1]) / PASSAGE
         return 1 / (1 + np.exp(-np.clip(mean + self.bias, -30, 30))), owner
 
     def scores(self, texts_: pa.Array) -> np.ndarray:
@@ -79,8 +93,9 @@ class Learner:
         self.soft = self.rng.normal(0, 0.2, (WIDTH, 2)).astype(np.float32)
         self.bias = np.log([1 - share, share]).astype(np.float32)
         self.state = [np.zeros_like(x) for x in (self.embed, self.embed, self.soft, self.soft, self.bias, self.bias)]
-        code, self.bounds, words = words_of(passages)
-        self.code = code.astype(np.int32)
+        code, bounds, words = words_of(passages)
+        self.code, self.bounds = distinct_words(code.astype(np.int32), bounds[:-1], np.diff(bounds))
+        del code, bounds
         found = [in_order(words.slice(i, 1 << 15), i) for i in range(0, len(words), 1 << 15)]
         word_of, self.bucket = (np.concatenate([np.zeros(0, np.int32), *v]) for v in (list(zip(*found)) or ([], [])))
         self.parts = np.bincount(word_of, minlength=len(words)) if len(words) else np.zeros(0, np.int64)
@@ -99,7 +114,7 @@ class Learner:
         buckets, part = np.unique(self.bucket[own], return_inverse=True)
         row = np.repeat(np.arange(len(chosen)), sizes)
         per_part = (1 / np.maximum(n, 1)).astype(np.float32)[:, None]
-        per_row = (1 / sizes).astype(np.float32)[:, None]
+        per_row = np.float32(1 / PASSAGE)
         e = self.embed[buckets]
         word = added(part_word, e[part], len(used)) * per_part
         text = added(row, word[local], len(chosen)) * per_row
@@ -129,7 +144,7 @@ class Learner:
         """Every passage's present difference of the classes."""
         shares = self.embed @ (self.soft[:, 1] - self.soft[:, 0])
         per_word = averages(shares[self.bucket], self.begin)
-        return averages(per_word[self.code], self.bounds)
+        return averages(per_word[self.code], self.bounds) * (np.diff(self.bounds) / PASSAGE)
 
     def scorer(self) -> Scorer:
         return Scorer((self.embed @ (self.soft[:, 1] - self.soft[:, 0])).astype(float), float(self.bias[1] - self.bias[0]))
@@ -164,7 +179,7 @@ def worst(means: np.ndarray, owner: np.ndarray, number: np.ndarray) -> np.ndarra
     return ranked[nth < number[owner[ranked]]]
 
 
-def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int = 6, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
+def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int = 8, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
     """A scorer from passages, the text each belongs to (ascending), and the texts' labels.
 
     The first round takes ``spread`` passages of each text at random, all with its label. In the
@@ -212,7 +227,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Scorer:
     lists = table.column("passages").combine_chunks()
     owner = np.repeat(np.arange(len(lists)), np.asarray(pa.compute.list_value_length(lists)))
     label = table.column("label").to_numpy().astype(np.int64)
-    return learn(lists.flatten(), owner, label)
+    found = learn(lists.flatten(), owner, label)
+    del learned, table, lists
+    hand_back()
+    return found
 
 
 def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
