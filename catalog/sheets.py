@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.base import LISTING, listings, query, r, rounded, table
 from fieldbook.plans import worksheets
+from fieldbook.session import materialise
 
 
 def sales(spark, sf):
@@ -95,6 +99,25 @@ _sheet(
     selected={"category": ["ECONOMY", "PROMO"]},
 )
 
+_SALES_DIMS = {
+    "category_sales": "category", "sub_category_treemap": "category, sub_category", "place_by_category": "country, state, city, category",
+    "place_by_segment": "country, city, segment", "segment_sales": "segment", "month_by_category": "month(order_date)::INT, category",
+    "ship_mode_sales": "ship_mode", "year_by_place": "year(order_date)::INT, country, state, city",
+}
+
+
+@query("dashboard_sales_selected", "TD TI17", f"WITH {SALES}, s AS (SELECT * FROM sales WHERE category IN ('ECONOMY', 'PROMO')) " + " UNION ALL ".join(
+    f"SELECT '{sheet}' AS sheet, concat_ws('|', {dims}) AS place, round(sum(sales), 2) AS sales FROM s GROUP BY ALL" for sheet, dims in _SALES_DIMS.items()))
+def dashboard_sales_selected(spark, sf):
+    """All sheets of the dashboard over one stored base frame, under one selection."""
+    base = materialise(sales(spark, sf), "sales")
+    board = worksheets.dashboard(base, worksheets.sales_sheets(), {"category": ["ECONOMY", "PROMO"]})
+    return reduce(DataFrame.unionByName, [
+        out.select(F.lit(sheet).alias("sheet"), F.concat_ws("|", *[F.col(c).cast("string") for c in out.columns if c != "sales"]).alias("place"), r("sales", 2).alias("sales"))
+        for sheet, out in board.items()
+    ])
+
+
 _sheet("staff", "headline", "TE1", " SELECT count(*) AS staff, round(avg(satisfaction), 4) AS satisfaction, sum(left_flag)::BIGINT AS leavers FROM staff")
 _sheet("staff", "satisfaction_marks", "TE2", " SELECT satisfaction, evaluation, left_flag, count(*) AS staff FROM staff GROUP BY ALL")
 _sheet(

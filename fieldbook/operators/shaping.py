@@ -32,8 +32,9 @@ def present(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if n in df.columns]
 
 
-def row_at(df: DataFrame, position: int, key: str) -> DataFrame:
-    """The row at a 0-based position in the order of a numeric key.
+def row_at(df: DataFrame, position: int, key: str, ties: Sequence[str] = ()) -> DataFrame:
+    """The row at a 0-based position in the order of a numeric key, rows of equal keys in
+    the order of ``ties``.
 
     The key's value at that rank is selected first, so a deep position neither
     sorts the table into one task nor ships it to the driver.
@@ -44,7 +45,9 @@ def row_at(df: DataFrame, position: int, key: str) -> DataFrame:
         return rows.limit(0)
     target = (position / n, lambda _: F.lit(float(position)))
     at = order_statistics(rows, [key], [target]).select(F.col(key)[0].alias("at"))
-    return rows.filter(F.col(key).cast("double") == at.scalar())
+    number = F.col(key).cast("double")
+    before = rows.filter(number < at.scalar()).count()
+    return rows.filter(number == at.scalar()).orderBy(*ties or [key]).offset(position - before).limit(1)
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

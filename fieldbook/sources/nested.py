@@ -69,6 +69,6 @@ def marks_round_trip(spark: SparkSession, rows: DataFrame, folder: str, table: s
     flat.write.option("header", True).csv(f"{folder}/flat")
     back = spark.read.schema(flat.schema).option("header", True).csv(f"{folder}/flat")
     if table:
-        back.write.mode("overwrite").saveAsTable(table)
+        back.write.mode("overwrite").option("path", f"{folder}/table").saveAsTable(table)
         return spark.table(table)
     return back

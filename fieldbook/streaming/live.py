@@ -28,17 +28,22 @@ def monthly_counts(stream: DataFrame, time: str) -> DataFrame:
 
 
 def live_ledger(
-    stream: DataFrame, account: str, order: str, amount: str, max_count: int, max_total: float
+    stream: DataFrame, account: str, order: str, amount: str, max_count: int, max_total: float,
+    idle_ms: int | None = None,
 ) -> DataFrame:
     """Accept transactions per account as they arrive until one breaks a limit.
 
     The state is three values per account; a trigger's rows are decided in the
     order of ``order``, which must not go back between triggers. Only the rows
     that can still be accepted are held, at most ``max_count`` + 1; all later
-    ones are rejected on sight.
+    ones are rejected on sight. With ``idle_ms``, an account without rows for so
+    long is forgotten, and its next row begins anew.
     """
 
     def decide(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         n, total, closed = state.get if state.exists else (0, 0.0, False)
         room = 0 if closed else max_count - n + 1
 
@@ -62,11 +67,14 @@ def live_ledger(
         if len(first):
             n, total, closed = n + len(first), float(totals[-1]), closed or bool(ended[-1])
         state.update((n, total, closed))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
 
     rows = stream.select(F.col(account).alias("account"), F.col(order).alias("at"), F.col(amount).cast("double").alias("amount"))
     types = dict(rows.dtypes)
     return rows.groupBy("account").applyInPandasWithState(
         decide,
         f"account {types['account']}, at {types['at']}, amount double, accepted int",
-        "n long, total double, closed boolean", "append", GroupStateTimeout.NoTimeout,
+        "n long, total double, closed boolean", "append",
+        GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout,
     )

@@ -107,6 +107,9 @@ def test_row_at_position(spark):
     df = spark.range(0, 1000, 3).withColumnRenamed("id", "k")
     assert shaping.row_at(df, 10, "k").first()["k"] == 30
     assert shaping.row_at(df, 10_000, "k").count() == 0
+    tied = spark.range(50).selectExpr("id DIV 20 AS k", "49 - id AS t")
+    got = [shaping.row_at(tied, i, "k", ["t"]).first() for i in (0, 19, 20, 49)]
+    assert [(r["k"], r["t"]) for r in got] == [(0, 30), (0, 49), (1, 10), (2, 9)]
 
 
 def test_null_map_buckets(spark):
