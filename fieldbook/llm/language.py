@@ -147,9 +147,12 @@ def train(docs: DataFrame) -> Languages:
 def predict(docs: DataFrame, model: Languages) -> DataFrame:
     """doc_id, lang_pred, score (the language's share) and mixture (language to share) of every row."""
 
+    # A word takes a number per language, so with many languages fewer words are taken together.
+    limit = max(1 << 16, 4 * BATCH_BYTES // max(4, len(model.names)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, limit=BATCH_BYTES):
+            for rows in slices(batch, limit=limit):
                 shares, has = model.mixtures(rows.column("text"))
                 known = has & bool(model.names)
                 top = shares.argmax(axis=1) if model.names else np.zeros(len(has), int)
