@@ -36,8 +36,8 @@ def clean(
     """Drop listed columns, tidy names and text, promote dates, remove duplicate rows,
     impute, and (with ``positive``) keep only rows where that column is above zero.
 
-    The row counts come from observers on the write of the cleaned table, not
-    from extra passes.
+    The counts of rows and nulls come from observers on the write of the cleaned
+    table, not from extra passes.
     """
     df = cleaning.nan_to_null(raw)
     df = cleaning.drop_listed(df, config.exclude_columns, raw_names=config.compat)
@@ -49,11 +49,11 @@ def clean(
     df = cleaning.strip_text(df, title)
     before, after = Observation(), Observation()
     df = df.observe(before, F.count(F.lit(1)).alias("rows")).dropDuplicates()
-    df = df.observe(after, F.count(F.lit(1)).alias("rows"))
+    missing = [F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(df.columns)]
+    df = df.observe(after, F.count(F.lit(1)).alias("rows"), *missing)
     df = materialise(df, "deduplicated")
     rows_in, rows_kept = before.get["rows"], after.get["rows"]
-
-    nulls = cleaning.null_counts(df).first().asDict()
+    nulls = {c: after.get[f"null{i}"] for i, c in enumerate(df.columns)}
     holes = [c for c in df.columns if nulls[c]]
     if not config.compat and holes:
         numeric = [c for c in holes if c in columns_of(df, "numeric")]
