@@ -183,7 +183,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     r = F.broadcast(places).alias("r")
     here = (F.col("p.length") == F.col("r.length")) & (F.col("number") >= F.col("first")) & (F.col("number") < F.col("past"))
     turn = F.col("number") - F.col("first")
-    kept = [F.col(f"p.{c}") for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
+    kept = [F.col("p.doc_id"), F.col("p.piece"), F.col("p.start"), F.col("p.length").cast("long").alias("length"), F.col("p.ids_crc32")]
     return p.join(r, here).select(
         *kept, (F.col("first_sequence") + F.floor(turn / F.col("copies"))).cast("long").alias("sequence_id"),
         (F.col("at") + (turn % F.col("copies")) * F.col("p.length")).cast("long").alias("offset"),
