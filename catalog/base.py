@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldbook.session import attach_groups
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -77,7 +79,7 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
     n = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("area"))
     hosts = o.groupBy("o_custkey").agg(F.count("*").alias("host_listings"))
     base = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    return base.join(hosts, "o_custkey").select(
+    return attach_groups(base, hosts, ["o_custkey"]).select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("host_id"),
         F.col("c_mktsegment").alias("region"), "area", F.col("o_orderstatus").alias("room_type"),
         F.col("o_totalprice").alias("price"),
