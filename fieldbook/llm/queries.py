@@ -39,7 +39,7 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@query("op6_quality_rules")
+@query("op6_quality_rules", rules.SQL)
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.clean(table(spark, folder, "documents"), with_text=False)
 

@@ -28,8 +28,9 @@ SYMBOLS = b"#*$%&|<>"
 SYMBOLS_PER_WORD = 0.2
 LONG_LINE = 8  # words from which a line may end without a mark if it has one inside
 
-ENDS = re.compile(r"""[.!?…。！？:;]["'”’»)\]]*$""".encode())
-INSIDE = re.compile(r"[.!?…。！？,]".encode())
+# As alternatives, since a class of bytes would take characters beyond ASCII apart.
+ENDS = re.compile("""(?:[.!?:;]|…|。|！|？)(?:["')\\]]|”|’|»)*$""".encode())
+INSIDE = re.compile("[.!?,]|…|。|！|？".encode())
 SEPARATOR = re.compile(r"^(?:\||»|›|>|/|·|•|-)$".encode())
 # Words of menus, and beginnings of repeated notices.
 MENU = set(b"home about contact login logout register search menu sitemap help faq blog news next previous".split())
@@ -119,3 +120,32 @@ def clean(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
     kinds = {pa.int64(): "long", pa.bool_(): "boolean", pa.string(): "string"}
     return mapped(raw_texts(docs), run, ", ".join(["doc_id long", *(f"{c} {kinds[COLUMNS[c]]}" for c in names)]))
+
+
+SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT row, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM (SELECT row, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d)),
+n AS (SELECT row, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars FROM w GROUP BY row),
+t AS (SELECT row, pos, w, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3 FROM w WINDOW p AS (PARTITION BY row ORDER BY pos)),
+c AS (SELECT row, pos, count(*) OVER (PARTITION BY row, w, w2, w3) AS n FROM t WHERE w3 IS NOT NULL),
+r AS (SELECT row, count(DISTINCT pos + k) AS n_repeat_words FROM c, (SELECT unnest([0, 1, 2]) AS k) WHERE n >= 2 GROUP BY row),
+l AS (SELECT row, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM (SELECT row, string_split(text, chr(10)) AS lines FROM d)),
+m AS (
+    SELECT row, line, len(ws) AS n, nth, length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS marks, {LOWERED.format('line')} AS lowered,
+        list_transform(ws, lambda x: trim({LOWERED.format('x')}, '.,:;|>-/')) AS bare, rtrim(line, {SPACE}) AS bared
+    FROM (SELECT row, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws, row_number() OVER (PARTITION BY row, line ORDER BY i) AS nth FROM l)),
+f AS (
+    SELECT row, n, nth, (marks > {SYMBOLS_PER_WORD}::DOUBLE * n AND marks >= 3)
+        OR (n >= 2 AND 2 * len(list_filter(bare, lambda x: x = '' OR list_contains({sorted(x.decode() for x in MENU)}, x))) > n)
+        OR (n <= {SHORT_NOTICE} AND regexp_matches(lowered, '{NOTICES.pattern.decode()}'))
+        OR (NOT regexp_matches(bared, '[.!?:;…。！？]["'')\]”’»]*$') AND NOT (n >= {LONG_LINE} AND regexp_matches(line, '[.!?,…。！？]'))) AS fails
+    FROM m WHERE n > 0),
+s AS (SELECT row, count(*) FILTER (nth > 1) AS n_dup_lines, count(*) FILTER (fails) AS lines_removed, coalesce(sum(n) FILTER (fails), 0)::BIGINT AS words_removed FROM f GROUP BY row),
+a AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lines_removed, 0) AS lines_removed,
+        coalesce(words_removed, 0) AS words_removed FROM d LEFT JOIN n USING (row) LEFT JOIN r USING (row) LEFT JOIN s USING (row)),
+b AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND words_removed <= {MOST_LOST}::DOUBLE * n_words AS kept, lines_removed, words_removed FROM b"""

@@ -100,6 +100,16 @@ def test_rules_equal_plain_counts(spark, sf):
     assert rules.clean(docs(spark, [])).collect() == []
 
 
+def test_rules_equal_sql(spark, sf, tmp_path):
+    con = duckdb.connect()
+    odd = docs(spark, [r for r in ODD if len(r[1] or "") < 60_000] + [(60, "Straße groß\nUne pensée é\nHome » About\nFin…»\n日本語。\n" + "word, " * 60), (61, "Eins zwei drei groß\n" * 30)])
+    odd.select("doc_id", "text").write.parquet(str(tmp_path / "odd"))
+    for path, df in ((f"{sf}/documents.parquet", spark.read.parquet(f"{sf}/documents.parquet")), (f"{tmp_path}/odd/*.parquet", odd)):
+        con.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{path}'")
+        theirs = con.sql(rules.SQL)
+        assert rows_of(rules.clean(df, with_text=False), *theirs.columns) == sorted(theirs.fetchall(), key=repr)
+
+
 def test_clean_documents_stay_and_junk_goes(spark):
     folder = "/root/testdata/sf0.01"
     found = rules.clean(spark.read.parquet(f"{folder}/documents.parquet")).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("not base_failed")
@@ -110,7 +120,7 @@ def test_clean_documents_stay_and_junk_goes(spark):
 @pytest.mark.parametrize(("line", "rule"), [
     ("This sentence is fine.", None), ("\"Quoted speech?\"", None), ("Home | About | Contact | Login", "navigation"), ("Home About Contact", "navigation"),
     ("All rights reserved.", "boilerplate"), ("Copyright 2020 Example Inc.", "boilerplate"), ("Click here to read more!", "boilerplate"),
-    ("no mark at its end", "punctuation"), ("One, two, three four five six seven eight nine ten", None), ("Buy%%% now$$$ cheap*** stuff&&&.", "punctuation"),
+    ("no mark at its end", "punctuation"), ("Ein Satz ohne Ende, also groß", "punctuation"), ("Fin…»", None), ("日本語。", None), ("One, two, three four five six seven eight nine ten", None), ("Buy%%% now$$$ cheap*** stuff&&&.", "punctuation"),
 ])
 def test_line_rules(line, rule):
     assert rules.failing(line.encode()) == rule
