@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import LISTING, PATIENT, holed_events, listings, patients, query, r, rounded, table
+from catalog.base import LISTING, PATIENT, listings, patients, query, r, table
 from fieldbook.config import JobConfig
 from fieldbook.operators.binning import flag_outliers
 from fieldbook.plans import insights, job

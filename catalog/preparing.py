@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import HOLED, holed_events, query, r, rounded, table
 from fieldbook.functions.text import strip, title_case
 from fieldbook.operators import binning, cleaning, imputing, shaping
+from fieldbook.plans.job import PRICE_TIERS
 from fieldbook.session import scratch_path
 from fieldbook.sources import nested, readers, sinks
 
@@ -341,7 +342,7 @@ def explicit_bins(spark, sf):
         SELECT o_totalprice, CASE WHEN o_totalprice <= e[1] THEN 'Budget' WHEN o_totalprice <= e[2] THEN 'Mid-Range'
             WHEN o_totalprice <= e[3] THEN 'Premium' ELSE 'Luxury' END AS tier FROM orders, q) GROUP BY tier""")
 def quantile_tiers(spark, sf):
-    labels = ("Budget", "Mid-Range", "Premium", "Luxury")
+    labels = PRICE_TIERS
     tiers = binning.quantile_cut(table(spark, sf, "orders").select("o_totalprice"), "o_totalprice", labels, "tier")
     return tiers.groupBy("tier").agg(
         F.count("*").alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high")

@@ -502,7 +502,7 @@ def cumulative_sum_per_key(spark, sf):
     v AS (SELECT *, max((n > 30 OR total > 600)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS broken,
         max((n > 30 OR total > 600)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ended FROM w)
     SELECT event_id, user_id, (broken = 0)::INT AS accepted, CASE WHEN broken = 0 THEN 'accepted' WHEN ended = 1 THEN 'session ended'
-        WHEN n > 30 THEN 'Transaction limit exceeded' ELSE 'Amount limit exceeded' END AS reason FROM v""")
+        WHEN n > 30 THEN 'count limit passed' ELSE 'total limit passed' END AS reason FROM v""")
 def limit_ledger(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
     return running.limit_ledger(e, "user_id", "value", ["ts", "event_id"], 30, 600.0, chunks=16).select(

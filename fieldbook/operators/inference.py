@@ -10,7 +10,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from fieldbook.operators.profile import correlation
 from fieldbook.operators.quantiles import order_statistics

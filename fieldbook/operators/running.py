@@ -127,8 +127,8 @@ def limit_ledger(
     reason = (
         F.when(accepted, F.lit("accepted"))
         .when(place > F.col("_first"), F.lit("session ended"))
-        .when(over_count, F.lit("Transaction limit exceeded"))
-        .otherwise(F.lit("Amount limit exceeded"))
+        .when(over_count, F.lit("count limit passed"))
+        .otherwise(F.lit("total limit passed"))
     )
     return joined.withColumn("accepted", accepted.cast("int")).withColumn("reason", reason).drop("_first")
 

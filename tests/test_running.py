@@ -66,8 +66,8 @@ def test_limit_ledger(spark, chunks):
     df = spark.createDataFrame(LEDGER, "account string, seq int, amount double")
     out = running.limit_ledger(df, "account", "amount", ["seq"], 3, 20_000.0, chunks).orderBy("account", "seq").collect()
     assert [r["reason"] for r in out] == [
-        "accepted", "accepted", "Amount limit exceeded", "session ended",
-        "accepted", "accepted", "accepted", "Transaction limit exceeded", "session ended", "accepted",
+        "accepted", "accepted", "total limit passed", "session ended",
+        "accepted", "accepted", "accepted", "count limit passed", "session ended", "accepted",
     ]
     kept = pd.DataFrame([r.asDict() for r in out if r["accepted"]]).groupby("account")["amount"].agg(["count", "sum"])
     assert (kept["count"] <= 3).all() and (kept["sum"] <= 20_000).all()
