@@ -33,7 +33,7 @@ class TextEncoder:
 
     def __init__(self, path: str, chunk: int = 200):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.chunk = Tokenizer.from_file(path), chunk
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -44,16 +44,26 @@ class TextEncoder:
         self.word_ends = any(x.endswith("</w>") for x in vocab)
         mark = (lambda x: x.endswith("</w>")) if self.word_ends else (lambda x: x.startswith("Ġ"))
         self.edge = np.fromiter(map(mark, names), bool, len(names))
+        # The model by itself takes words in the byte alphabet: a byte that prints stands for itself,
+        # the others for the characters from 256 on.
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        others = [b for b in range(256) if b <= 32 or 127 <= b <= 160 or b == 173]
+        self.alphabet = {b: chr(256 + i) for i, b in enumerate(others)} | {32: " " if self.word_ends else " Ġ"}
         self.special = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.tails = {m: int(i[0]) for m in ".," if len(i := self.whole(m)) == 1}
 
     def whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words that follow a space, in a row, and the number of ids of each."""
+    def _words(self, words: list[str], simple: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that follow a space, in a row, and the number of ids of each. Simple words,
+        of Latin letters only, are put into the model's alphabet here and need only its merges."""
         groups = [words[i : i + self.chunk] for i in range(0, len(words), self.chunk)]
-        found = self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
+        joined = [" " + " ".join(g) for g in groups]
+        if simple:
+            joined = [(t.lower() if self.word_ends else t).encode().decode("latin-1").translate(self.alphabet) for t in joined]
+        found = (self.merges if simple else self.tokenizer).encode_batch_fast(joined, add_special_tokens=False)
         parts, lengths = [], []
         for group, one in zip(groups, found):
             ids = np.asarray(one.ids, dtype="<u4")
@@ -89,14 +99,21 @@ class TextEncoder:
                 at[i] = -1 - odd.setdefault(w, len(odd))
             else:
                 safe[i] = False
+        cores = list(core_of)
+        simple = np.fromiter((w.isascii() or max(w) < "\u0250" and "\u0130" not in w for w in cores), bool, len(cores))
+        place = np.where(simple, np.cumsum(simple) - 1, simple.sum() + np.cumsum(~simple) - 1)
+        found = [self._words([w for w, x in zip(cores, simple) if x], simple=True), self._words([w for w, x in zip(cores, simple) if not x])]
         if self.word_ends:  # other words may be several to the tokenizer
-            ids, lengths = self._words(list(core_of))
             single = [self.whole(" " + w) for w in odd]
-            ids = np.concatenate([ids, *single]).astype("<u4")
-            lengths = np.concatenate([lengths, [len(x) for x in single]]).astype(np.int64)
+            found.append((np.concatenate([np.zeros(0, "<u4"), *single]), np.array([len(x) for x in single], np.int64)))
         else:
-            ids, lengths = self._words([*core_of, *odd])
-        at = np.where(at < 0, len(core_of) - 1 - at, at)
+            found.append(self._words(list(odd)))
+        ids, lengths = (np.concatenate(x) for x in zip(*found))
+        ids = ids.astype("<u4", copy=False)
+        if len(cores):
+            at = np.where(at < 0, len(cores) - 1 - at, place[np.maximum(at, 0)])
+        else:
+            at = np.where(at < 0, -1 - at, at)
         if not len(lengths):
             return ids, np.zeros(len(words), np.int64), safe
         starts = np.cumsum(lengths) - lengths
