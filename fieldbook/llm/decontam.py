@@ -4,9 +4,10 @@ A benchmark item is in a document where a window of as many words is similar to
 Jaccard similarity of their five-word shingles, each weighted by its number of occurrences, is at
 least ``SIMILAR``. The steps, all of them DataFrame functions:
 
-* Shingles are hashed in 64 bits. A window that shares no shingle with an item has similarity 0,
-  so windows are only laid where a run of shared shingles begins, aligned with the item. (With
-  words put in or left out, the best window is aligned with one of the runs.)
+* Shingles are hashed in 64 bits. The first of an item's best windows begins with the text or ends
+  at a shared shingle, as the window before it would share no less otherwise. So windows are only
+  laid with their end at a shared shingle, wherever the item's parts stand, and only where they
+  have as many shared places as the least similarity asks for. No window above it is left out.
 * Each window and item gets a SimHash: in each of 64 places, the bit that outweighs among the
   shingles. The fingerprints meet through a multi-index: cut into ``RADIUS`` + 1 blocks, any two
   within ``RADIUS`` bits agree in a block, so equal blocks, among windows and items of one length,
@@ -14,8 +15,10 @@ least ``SIMILAR``. The steps, all of them DataFrame functions:
   bit in seven differs.
 * The pairs left are verified by the exact similarity.
 
-The table of item shingles is broadcast if it has at most ``BROADCAST_ROWS`` rows, and joined by a
-shuffle beyond that. Nothing else is broadcast by hint.
+The tables of item shingles and of window starts are broadcast if they have at most
+``BROADCAST_ROWS`` rows, and joined by a shuffle beyond that. Nothing else is broadcast by hint.
+The shingles of the documents are stored once (8 bytes a word); what meets the items is one
+number per shingle, without the text's other shingles.
 
 Words are runs of letters and digits in any script, lower-cased. Null or empty text: no words, no
 hits. Items of fewer than five words: have no shingle and are never found. Null ids of documents:
@@ -81,21 +84,25 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, first_word and n_words of each document's best window for each
     item that it holds."""
     known = shingled(items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")))
-    known = known.withColumn("size", F.size("hashes"))
-    listed = known.select("row", "item_id", "size", "hashes", F.posexplode_outer("hashes").alias("ipos", "h")).where("h is not null")
-    before = F.when(F.col("ipos") > 0, F.get("hashes", F.col("ipos") - 1))
-    table = materialise(listed.select(F.col("row").alias("item"), "item_id", "size", "ipos", "h", before.alias("before")), "item-shingles")
-    small = table.count() <= BROADCAST_ROWS
-    weighed = table.groupBy("item", "item_id", "size", "h").agg(F.count("*").alias("weight"))
-
     # The outer form, as the other one adds a filter that makes the shingles twice.
-    at = shingled(texts(docs)).select("row", "doc_id", "hashes", F.posexplode_outer("hashes").alias("pos", "h"))
-    met = at.join(F.broadcast(table) if small else table, "h")
-    # Where a run of shared shingles begins, lay a window of the item's length, within the text.
-    begins = F.col("before").isNull() | (F.col("pos") == 0) | ~F.get("hashes", F.col("pos") - 1).eqNullSafe(F.col("before"))
-    start = F.greatest(F.least(F.col("pos") - F.col("ipos"), F.size("hashes") - F.col("size")), F.lit(0))
-    laid = met.where(begins).select("row", "doc_id", "size", start.alias("start"), F.slice("hashes", start + 1, F.col("size")).alias("hashes"))
-    windows = materialise(laid.dropDuplicates(["row", "start", "size"]), "windows")
+    listed = known.select(F.col("row").alias("item"), "item_id", F.size("hashes").alias("size"), F.explode_outer("hashes").alias("h")).where("h is not null")
+    weighed = materialise(listed.groupBy("item", "item_id", "size", "h").agg(F.count("*").alias("weight")), "item-shingles")
+    table = weighed.select("item", "size", "h")
+
+    at = materialise(shingled(texts(docs)), "shingles")
+    spread = at.select("row", F.size("hashes").alias("n"), F.posexplode("hashes").alias("pos", "h"))
+    met = spread.join(F.broadcast(table) if table.count() <= BROADCAST_ROWS else table, "h")
+    places = met.groupBy("row", "n", "item", "size").agg(F.array_sort(F.collect_list("pos")).alias("at"))
+    # What a similar window and item share at least, and the windows that end at a shared shingle and
+    # have as many shared places.
+    least = F.ceil((F.least("n", "size") + F.col("size")) * (SIMILAR / (1 + SIMILAR)) - 1e-6).cast("int")
+    ends = F.filter("at", lambda p, i: F.get("at", i - F.col("least") + 1) > p - F.col("size"))
+    starts = F.array_distinct(F.transform(ends, lambda p: F.greatest(p - F.col("size") + 1, F.lit(0))))
+    laid = materialise(places.withColumn("least", least).select("row", "size", F.explode(starts).alias("start")).distinct(), "window-starts")
+    held = at.join(F.broadcast(laid) if laid.count() <= BROADCAST_ROWS else laid, "row")
+    # A window with the same shingles as the one before it cannot be the first of the best.
+    same = F.coalesce(F.get("hashes", F.col("start") - 1) == F.get("hashes", F.col("start") + F.col("size") - 1), F.lit(False))
+    windows = materialise(held.where(~same).select("row", "doc_id", "size", "start", F.slice("hashes", F.col("start") + 1, F.col("size")).alias("hashes")), "windows")
 
     inside = windows.select("row", "start", "size", F.explode("hashes").alias("h")).groupBy("row", "start", "size", "h").agg(F.count("*").alias("weight"))
     window_marks = simhashed(inside, ["row", "start", "size"])

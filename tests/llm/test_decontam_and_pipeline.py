@@ -66,6 +66,29 @@ def test_hits_of_changed_copies_and_odd_rows(spark):
     assert decontam.hits(docs(spark, []), items(spark, ITEMS)).collect() == [] == decontam.hits(docs(spark, rows), items(spark, [])).collect()
 
 
+def first_best(text, item):
+    """The first of the best windows, and its similarity."""
+    own, item = shingles(text), shingles(item)
+    want, found = Counter(item), []
+    for s in range(max(1, len(own) - len(item) + 1)):
+        common = sum((want & Counter(own[s : s + len(item)])).values())
+        found.append((common / (len(own[s : s + len(item)]) + len(item) - common), -s))
+    return max(found)
+
+
+def test_hits_of_moved_text(spark):
+    around = [f"o{i}" for i in range(80)]
+    orders = [[(30, 60), (0, 30)], [(40, 60), (0, 40)], [(20, 60), (0, 20)], [(0, 30), (45, 60), (30, 45)], [(50, 60), (10, 50), (0, 10)], [(1, 60)], [(0, 58)]]
+    rows = [(i, " ".join([*around[:40], *[w for a, b in order for w in WORDS[a:b]], *around[40:]])) for i, order in enumerate(orders, 70)]
+    rows += [(80, " ".join([*WORDS[30:], *WORDS[:30]])), (81, "la " * 20 + "x " + "la " * 30), (82, "p q r " * 90)]
+    known = [(1, " ".join(WORDS)), (6, "la " * 40), (8, "p q r " * 13 + "p")]
+    expected = {(i, j): first_best(text, item) for i, text in rows for j, item in known}
+    expected = {k: v for k, v in expected.items() if v[0] >= 0.8}
+    assert {(70, 1), (71, 1), (72, 1), (80, 1), (82, 8)} <= set(expected)
+    found = {(r.doc_id, r.item_id): (r.similarity, -r.first_word) for r in decontam.hits(docs(spark, rows), items(spark, known)).collect()}
+    assert found == {k: pytest.approx(v) for k, v in expected.items()}
+
+
 def test_a_large_benchmark_is_joined_by_shuffle(spark, monkeypatch):
     expected = found_hits(decontam.hits(docs(spark, TEXTS), items(spark, ITEMS)))
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
