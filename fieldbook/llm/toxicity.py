@@ -7,20 +7,21 @@ learned together in numpy. Misspellings share most n-grams with words that were
 over a long text would drown a few insults, so a text is scored passage by passage and has the
 score of its worst; in learning, too, each text's currently worst passage stands for it.
 
-The model is learned from a sample of at most ``ROWS`` labelled rows, the ones with the smallest
-hashes, and at most ``PASSAGES`` passages of each, chosen at random; scoring covers all passages
-of all texts.
+The model is learned from a sample of labelled rows, each with all its passages and whole words:
+those of the ``ROWS`` ids with the smallest hashes, as many as ``TEXT_BYTES`` of texts and
+``WORD_BYTES`` of their distinct words hold (with the rows that cross the bounds); scoring covers
+all passages of all texts.
 
 Null or empty text: the score of a passage without words. Null id or label: never learned from.
-Several labels for an id: each is learned. Repeated rows: scored each. No labels to learn from:
+Several labels for an id: each is learned. Repeated rows: scored each, learned from once. No labels to learn from:
 score 0; labels of one kind only: that kind's score everywhere. Empty table: no rows. Columns
 other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,15 @@ from pyspark.sql import functions as F
 from fieldbook.llm.common import fold, hand_back, mapped, texts
 from fieldbook.llm.tokenfiles import slices
 from fieldbook.llm.words import parts_of_words, spans, words_of
+from fieldbook.session import materialise
 
-ROWS, PASSAGES = 10_000, (24, 160)  # bounds of the learning sample; the second by label
+ROWS, TEXT_BYTES, WORD_BYTES = 10_000, 64 << 20, 12 << 20  # bounds of the learning sample
 PASSAGE = 24  # words
 SIZES, BUCKETS, WIDTH = (3, 4, 5), 1 << 17, 8
 HELD_OUT, FOLDS = 0, 5
 THRESHOLD = 0.5
 BATCH_BYTES = 8 << 20
+LEARN_BYTES, STEP_PARTS = 4 << 20, 1 << 21  # texts encoded, n-grams moved at a time in learning
 
 
 def distinct_words(code: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,19 +87,52 @@ class Scorer:
         return out
 
 
+@dataclass(frozen=True)
+class Passages:
+    """The passages of texts: each one's distinct words as numbers in a row, where they begin
+    (with the end), the words, and the text that each belongs to (ascending)."""
+
+    code: np.ndarray
+    bounds: np.ndarray
+    words: pa.Array
+    owner: np.ndarray
+    texts: int
+
+
+def encoded(parts: Iterable[pa.Array]) -> Passages:
+    """All passages of texts that come in parts. No part is taken after ``WORD_BYTES`` of words."""
+    codes, ends, owners, words, known, total, rows, held = [], [np.zeros(1, np.int64)], [], [], 0, 0, 0, 0
+    for texts_ in parts:
+        code, bounds, found = words_of(texts_)
+        starts, owner = spans(bounds, PASSAGE)
+        code, begin = distinct_words(code, starts, np.diff(starts, append=len(code)))
+        codes.append((code + known).astype(np.int32))
+        ends.append(begin[1:] + total)
+        owners.append(owner + rows)
+        words.append(found)
+        known, total, rows = known + len(found), total + len(code), rows + len(texts_)
+        held += pa.compute.sum(pa.compute.binary_length(found)).as_py() or 0
+        if held >= WORD_BYTES:
+            break
+    coded = pa.chunked_array(words, pa.large_string()).combine_chunks().dictionary_encode()
+    places = np.concatenate([np.zeros(0, np.int32), *codes])
+    return Passages(coded.indices.to_numpy()[places], np.concatenate(ends), coded.dictionary, np.concatenate([np.zeros(0, np.int64), *owners]), rows)
+
+
 class Learner:
     """Embeddings and softmax under lazy Adam steps on batches of passages."""
 
-    def __init__(self, passages: pa.Array, share: float, rate: float, seed: int):
+    def __init__(self, passages: Passages, share: float, rate: float, seed: int):
         self.rng, self.rate, self.turn = np.random.default_rng(seed), rate, 0
         self.embed = self.rng.normal(0, 0.2, (BUCKETS, WIDTH)).astype(np.float32)
         self.soft = self.rng.normal(0, 0.2, (WIDTH, 2)).astype(np.float32)
         self.bias = np.log([1 - share, share]).astype(np.float32)
         self.state = [np.zeros_like(x) for x in (self.embed, self.embed, self.soft, self.soft, self.bias, self.bias)]
-        code, bounds, words = words_of(passages)
-        self.code, self.bounds = distinct_words(code.astype(np.int32), bounds[:-1], np.diff(bounds))
-        del code, bounds
-        found = [in_order(words.slice(i, 1 << 15), i) for i in range(0, len(words), 1 << 15)]
+        self.code, self.bounds, words, first = passages.code, passages.bounds, passages.words, 0
+        found = []
+        for some in slices(pa.RecordBatch.from_arrays([words], names=["text"]), limit=1 << 18):
+            found.append(in_order(some.column("text"), first))
+            first += len(some)
         word_of, self.bucket = (np.concatenate([np.zeros(0, np.int32), *v]) for v in (list(zip(*found)) or ([], [])))
         self.parts = np.bincount(word_of, minlength=len(words)) if len(words) else np.zeros(0, np.int64)
         self.begin = np.concatenate([[0], np.cumsum(self.parts)])
@@ -109,6 +145,10 @@ class Learner:
         at = np.arange(sizes.sum()) + np.repeat(self.bounds[chosen] - (np.cumsum(sizes) - sizes), sizes)
         used, local = np.unique(self.code[at], return_inverse=True)
         n = self.parts[used]
+        if n.sum() > STEP_PARTS and len(chosen) > 1:
+            half = len(chosen) // 2
+            self.step(chosen[:half], labels[:half])
+            return self.step(chosen[half:], labels[half:])
         own = np.arange(n.sum()) + np.repeat(self.begin[used] - (np.cumsum(n) - n), n)
         part_word = np.repeat(np.arange(len(used)), n)
         buckets, part = np.unique(self.bucket[own], return_inverse=True)
@@ -180,7 +220,13 @@ def worst(means: np.ndarray, owner: np.ndarray, number: np.ndarray) -> np.ndarra
 
 
 def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int = 8, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
-    """A scorer from passages, the text each belongs to (ascending), and the texts' labels.
+    """A scorer from passages, the text each belongs to (ascending), and the texts' labels."""
+    found = encoded([passages])
+    return learned(replace(found, owner=np.asarray(owner)[found.owner]), labels, rounds, spread, hard, batch, rate, seed)
+
+
+def learned(passages: Passages, labels: np.ndarray, rounds: int = 8, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
+    """A scorer from passages and their texts' labels.
 
     The first round takes ``spread`` passages of each text at random, all with its label. In the
     others the worst passage stands for a toxic text, and the ``hard`` worst for any other."""
@@ -188,7 +234,7 @@ def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int
         return Scorer(np.zeros(BUCKETS), -30.0)
     if labels.min() == labels.max():
         return Scorer(np.zeros(BUCKETS), 30.0 if labels[0] else -30.0)
-    learner = Learner(passages, float(labels.mean()), rate, seed)
+    learner, owner = Learner(passages, float(labels.mean()), rate, seed), passages.owner
     some = worst(learner.rng.random(len(owner)), owner, np.full(len(labels), spread))
     learner.epoch(some, labels[owner[some]], batch)
     for _ in range(rounds):
@@ -197,22 +243,6 @@ def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int
     return learner.scorer()
 
 
-def some_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Up to PASSAGES passages of each text, chosen by a generator seeded with its id. Of toxic
-    texts there are more, as few of their passages may be toxic."""
-    for batch in batches:
-        found, kept, label = [], [], []
-        for i, t, y in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label"))):
-            w = (t or "").split()
-            n = max(1, -(-len(w) // PASSAGE))
-            most = PASSAGES[y]
-            pick = sorted(np.random.default_rng(abs(i)).choice(n, most, replace=False).tolist()) if n > most else range(n)
-            found.append([" ".join(x[:64] for x in w[p * PASSAGE : (p + 1) * PASSAGE]) for p in pick])
-            kept.append(i)
-            label.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(label, pa.int32()), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "label", "passages"])
-
-
 def labelled_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled ids outside the held-out fold, those with the smallest hashes."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label")).distinct()
@@ -222,13 +252,23 @@ def labelled_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Scorer:
     sample = F.broadcast(labelled_sample(labels, "toxic", rows))  # at most `rows` rows of two numbers
-    learned = mapped(texts(docs).join(sample, "doc_id"), some_passages, "doc_id long, label int, passages array<string>")
-    table = learned.toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("label", "ascending")]).slice(0, 2 * rows)
-    lists = table.column("passages").combine_chunks()
-    owner = np.repeat(np.arange(len(lists)), np.asarray(pa.compute.list_value_length(lists)))
-    label = table.column("label").to_numpy().astype(np.int64)
-    found = learn(lists.flatten(), owner, label)
-    del learned, table, lists
+    order = ["key", "doc_id", "label"]
+    known = materialise(texts(docs).join(sample, "doc_id").select(F.xxhash64("doc_id", "label", "text").alias("key"), "doc_id", "label", "text"), "learning-rows")
+    sizes = known.groupBy(*order).agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")).orderBy(*order).limit(2 * rows).toArrow()
+    if not len(sizes):
+        return learned(encoded([]), np.zeros(0, np.int64))
+    # Whole rows, up to the one that crosses the bound.
+    size = sizes.column("bytes").to_numpy().astype(np.int64)
+    last = sizes.slice(int((np.cumsum(size) - size < TEXT_BYTES).sum()) - 1, 1).to_pylist()[0]
+    within = F.struct(*order) <= F.struct(F.lit(last["key"]).cast("long"), F.lit(last["doc_id"]).cast("long"), F.lit(last["label"]).cast("int"))
+    table = known.where(within).groupBy(*order).agg(F.first("text").alias("text")).toArrow().sort_by([(c, "ascending") for c in order])
+    parts = (part.column("text") for batch in table.combine_chunks().to_batches() for part in slices(batch, limit=LEARN_BYTES))
+    passages = encoded(parts)
+    label = table.column("label").to_numpy().astype(np.int64)[: passages.texts]
+    del table, parts
+    hand_back()
+    found = learned(passages, label)
+    del passages
     hand_back()
     return found
 

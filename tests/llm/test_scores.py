@@ -69,6 +69,39 @@ def test_toxicity_of_unseen_misspellings():
     assert (scorer.scores(pa.array(clean)) >= 0.5).mean() < 0.1
 
 
+def test_toxicity_is_learned_from_whole_rows(spark, monkeypatch):
+    made = []
+
+    class Kept(toxicity.Learner):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+
+    monkeypatch.setattr(toxicity, "Learner", Kept)
+    known = [i for i in range(40) if not held(i, 5, 0)][:4]
+    long = {i: " ".join(f"w{k}x{i}" for k in range(24 * n - 5)) for i, n in zip(known, (30, 200, 1, 40))}
+    joined = "字" * 100 + "z" * 200  # 500 bytes without a space
+    table = docs(spark, [*long.items(), (known[3], joined)])
+    toxicity.train(table, labels(spark, [(i, 1, int(k % 2)) for k, i in enumerate(known)]))
+    sizes = np.diff(made[0].bounds)
+    assert (sizes > 0).sum() == 30 + 200 + 1 + 40 + 1 and sizes.sum() == sum(len(t.split()) for t in long.values()) + 1
+    assert made[0].parts.max() == sum(502 - n + 1 for n in toxicity.SIZES)
+
+
+def test_learning_bounds_take_whole_rows(spark, monkeypatch):
+    known = [i for i in range(60) if not held(i, 5, 0)][:20]
+    table = docs(spark, [(i, f"a{i} " * 50 + ("vermin " if k % 2 else "kind ") * 3) for k, i in enumerate(known)] * 2)
+    marks = labels(spark, [(i, 1, k % 2) for k, i in enumerate(known)])
+    taken = []
+    plain = toxicity.encoded
+    monkeypatch.setattr(toxicity, "encoded", lambda parts: taken.append([t for p in parts for t in p.to_pylist()]) or plain([pa.array(taken[-1], pa.string())]))
+    toxicity.train(table, marks)
+    assert len(taken[0]) == 20
+    monkeypatch.setattr(toxicity, "TEXT_BYTES", 500)
+    toxicity.train(table, marks)
+    assert 2 <= len(taken[1]) <= 4 and taken[1] == taken[0][: len(taken[1])]
+
+
 def test_scores_depend_on_nothing_but_the_text(spark, middle):
     table = spark.read.parquet(f"{middle}/documents.parquet")
     changed = table.withColumn("lang", F.lit("zz")).withColumn("source", F.lit(None).cast("string"))
