@@ -2,10 +2,11 @@
 
 Every rolling run of ``RUN`` word hashes of a document is joined with the positions that the run
 has in the templates, a bounded table. A hit votes for its diagonal, document position less
-template position. A short phrase is found where a diagonal has all its votes. For notices, near
-diagonals (words put in or left out move the rest to a neighbour) are merged into one span, and
-the span is verified: of the words in span and template together, at least ``SIMILAR`` must be
-matched.
+template position. A phrase or notice is found where a diagonal has all its votes. For changed
+notices, the other near diagonals (words put in or left out move the rest to a neighbour) are
+merged into one span, and the span is verified: of the words in span and template together, at
+least ``SIMILAR`` must be matched. Where the merged span fails, as with changed copies side by
+side, each of its diagonals is verified as a span of its own.
 
 Only hits and one line per document are shuffled. Words are runs of ASCII letters and digits, A-Z
 lower-cased, and of anything beyond ASCII.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm.common import mapped, raw_texts
@@ -108,41 +109,49 @@ def rolled(docs: DataFrame) -> DataFrame:
     return mapped(raw_texts(docs), run, "row long, doc_id long, n_words long, pos long, h long")
 
 
-def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> tuple[DataFrame, DataFrame]:
+def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
     """What a scan finds: one line per row of documents (row, doc_id, n_words), and the spans
-    (row, template, label, exact, first_word, last_word, similarity)."""
+    (also template, label, exact, low, high, whole, similar, and ``parts``, the diagonals merged)."""
     spark = docs.sparkSession
     table = spark.createDataFrame(templates(phrases, notices), "h long, template int, t long, size int, label string, exact boolean")
     joined = rolled(docs).join(F.broadcast(table), "h", "left")  # a table of our own constants
     votes = joined.where("pos < 0 or template is not null")
     diagonals = votes.groupBy("row", "doc_id", "n_words", "template", "label", "exact", "size", (F.col("pos") - F.col("t")).alias("diagonal")).agg(
         F.count("t").alias("votes"), F.collect_set("t").alias("at"), F.min("pos").alias("low"), F.max("pos").alias("high"))
-    phrase = F.col("exact") & (F.col("votes") == F.col("size") - RUN + 1)
-    # Neighbouring diagonals of a notice are one span, as long as its words are near, too.
-    along = Window.partitionBy("row", "template").orderBy("diagonal")
+    whole = F.coalesce(F.col("votes") == F.col("size") - RUN + 1, F.lit(False))
+    split = diagonals.withColumn("whole", whole).withColumn("alone", whole | F.coalesce(F.col("exact"), F.lit(True)))
+    # Neighbouring diagonals of a changed notice are one span, as long as its words are near, too.
+    along = Window.partitionBy("row", "template", "alone").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(along) > NEAR
     island = F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(along)
-    spans = diagonals.withColumn("island", F.when(F.coalesce(F.col("exact"), F.lit(True)), F.col("diagonal")).otherwise(island))
-    merged = spans.groupBy("row", "doc_id", "n_words", "template", "label", "exact", "size", "island").agg(
-        F.flatten(F.collect_list("at")).alias("at"), F.min("low").alias("low"), F.max("high").alias("high"), F.max(phrase).alias("whole"))
+    spans = split.withColumn("island", F.when(F.col("alone"), F.col("diagonal")).otherwise(island)).withColumn("similar", similarity())
+    merged = spans.groupBy("row", "doc_id", "n_words", "template", "label", "exact", "size", "alone", "island").agg(
+        F.flatten(F.collect_list("at")).alias("at"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("whole").alias("whole"),
+        F.collect_list(F.struct("low", "high", "similar")).alias("parts"))
+    return merged.withColumn("similar", similarity()).drop("at")
+
+
+def similarity() -> Column:
+    """Of the words in a span and its template together, how many are matched."""
     matched = F.size(F.array_distinct(F.flatten(F.transform("at", lambda t: F.sequence(t, t + RUN - 1)))))
-    return merged, matched
+    return F.least(2 * matched / (F.col("high") - F.col("low") + RUN + F.col("size")), F.lit(1.0))
 
 
 def licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word and last_word (of the phrases' places),
     base_labels, labels, score (the best span's similarity) and spans."""
-    merged, matched = scan(docs, phrases, notices)
-    length = F.col("high") - F.col("low") + RUN
-    similar = 2 * matched / (length + F.col("size"))
-    found = merged.withColumn("similar", F.when(F.col("whole"), F.lit(1.0)).when(~F.col("exact"), F.least(similar, F.lit(1.0))).otherwise(F.lit(0.0)))
-    place = F.col("whole")
-    good = place | (~F.col("exact") & (F.col("similar") >= SIMILAR))
-    span = F.struct("label", F.col("low").alias("first_word"), (F.col("high") + RUN - 1).alias("last_word"), F.col("similar").alias("similarity"))
+    place, notice = F.col("exact") & F.col("whole"), ~F.col("exact")
+    span = lambda p: F.struct("label", p.low.alias("first_word"), (p.high + RUN - 1).alias("last_word"), p.similar.alias("similarity"))
+    similar = F.when(place, F.lit(1.0)).when(notice, F.col("similar")).otherwise(F.lit(0.0))
+    found = scan(docs, phrases, notices).withColumn("similar", similar).withColumn("span", F.struct("low", "high", "similar"))
+    told = F.when(F.col("similar") >= SIMILAR, F.array("span")).when(notice, F.filter("parts", lambda p: p.similar >= SIMILAR)).otherwise(F.array().cast("array<struct<low:bigint,high:bigint,similar:double>>"))
+    found = found.withColumn("told", F.transform(told, span)).withColumn(
+        "similar", F.when(notice, F.greatest("similar", F.array_max(F.transform("parts", lambda p: p.similar)))).otherwise(F.col("similar")))
+    good = F.size("told") > 0
     listed = lambda labels: F.array_join(F.array_sort(labels), ",")
     return found.groupBy("row", "doc_id", "n_words").agg(
         F.count(F.when(place, 1)).alias("n_base"), F.min(F.when(place, F.col("low"))).alias("first_word"),
         F.max(F.when(place, F.col("low"))).alias("last_word"), listed(F.collect_set(F.when(place, F.col("label")))).alias("base_labels"),
         listed(F.collect_set(F.when(good, F.col("label")))).alias("labels"),
-        F.coalesce(F.max("similar"), F.lit(0.0)).alias("score"), F.array_sort(F.collect_list(F.when(good, span))).alias("spans"),
+        F.coalesce(F.max("similar"), F.lit(0.0)).alias("score"), F.array_sort(F.flatten(F.collect_list("told"))).alias("spans"),
     ).drop("row")

@@ -163,3 +163,18 @@ def test_license_notices_with_changed_words(spark):
     assert found[30].labels == "cc-by-nc,mit" and found[30].score == 1
     span = found[37].spans[0]
     assert span.first_word == 0 and span.last_word == found[37].n_words - 1 or span.last_word >= found[37].n_words - 3
+
+
+def test_license_notices_in_a_row(spark):
+    short = {"keep this notice unchanged": "keep"}
+    rows = [
+        (90, "All rights reserved.\nAll rights reserved."), (91, "All rights reserved. Yes, all rights reserved"), (92, "all rights reserved " * 50),
+        (93, "all rights reserved"), (94, "all rights are reserved all rights"), (95, "keep this notice changed keep this notice changed"), (96, "x keep this notice unchanged " * 3),
+    ]
+    found = {r.doc_id: r for r in licenses.licenses(docs(spark, rows), notices={**licenses.NOTICES, **short}).collect()}
+    places = {i: [(s.first_word, s.last_word) for s in r.spans] for i, r in found.items()}
+    assert all(found[i].labels == "all-rights-reserved" and found[i].score == 1 for i in (90, 91, 92, 93))
+    assert places[90] == [(0, 2), (3, 5)] and places[91] == [(0, 2), (4, 6)] and places[92] == [(k, k + 2) for k in range(0, 150, 3)]
+    assert found[94].labels == "" and found[94].score < 0.8
+    assert found[95].labels == "keep" and found[95].score == pytest.approx(6 / 7) and places[95] == [(0, 2), (4, 6)]
+    assert found[96].labels == "keep" and found[96].score == 1 and places[96] == [(1, 4), (6, 9), (11, 14)]
