@@ -6,7 +6,9 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, language, licenses, linededup, packing, quality, rules, simhash, tokenfiles, toxicity
+from fieldbook.llm import (
+    decontam, language, licenses, linededup, maintext, negatives, packing, periods, quality, rules, simhash, tokenfiles, toxicity,
+)
 from fieldbook.llm.common import REGISTRY, query, table
 
 
@@ -63,3 +65,20 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_groups(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op11_periodic_runs")
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.run_digests(table(spark, folder, "documents"), planted=True)
+
+
+@query("op12_main_text")
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return maintext.main_texts(table(spark, folder, "pages"))
+
+
+@query("op13_hard_negatives", negatives.SQL)
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.col("vec_id")
+    label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings").withColumn("label", label), anchors=number % 50 == 0)
