@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import LISTING, PATIENT, listings, patients, query, r, table
 from fieldbook.config import JobConfig
+from fieldbook.operators import grouping, profile
 from fieldbook.operators.binning import flag_outliers
 from fieldbook.plans import insights, job
 from fieldbook.session import materialise, scratch_path
@@ -309,6 +310,50 @@ def listing_report_lines(spark, sf):
     return lines[0].unionByName(lines[1]).unionByName(lines[2])
 
 
+_ORDERS = """counts AS (SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1),
+    shares AS (SELECT o_orderpriority, n, n / sum(n) OVER () * 100 AS pct FROM counts),
+    quality AS (SELECT count(*) AS n, count(*) * (SELECT count(*) FROM (DESCRIBE orders)) AS cells FROM orders)"""
+_CELL = "lpad({}, 20, ' ')"
+
+
+def _order_parts(spark, sf):
+    """Small results for the two reports: the quality of orders, and its priorities."""
+    o = table(spark, sf, "orders")
+    return profile.data_quality(o).select("total_rows", "total_cells", "null_cells", "completeness_pct"), grouping.value_counts(o, "o_orderpriority")
+
+
+@query("text_report_lines", "S13", f"""WITH {_ORDERS}, lines AS (
+    SELECT 0 AS part, '0' AS item, unnest([0, 1, 2, 3]) AS pos, unnest([repeat('=', 80), '  ORDER REPORT', '  Dataset   : orders', repeat('=', 80)]) AS line
+    UNION ALL SELECT 1, '', -1, '── DATA QUALITY ──' UNION ALL SELECT 2, '', -1, '── PRIORITIES ──'
+    UNION ALL SELECT 1, '', unnest([0, 1, 2, 3]), unnest(['    ' || rpad('total_rows', 30, ' ') || ': ' || n, '    ' || rpad('total_cells', 30, ' ') || ': ' || cells,
+        '    ' || rpad('null_cells', 30, ' ') || ': 0', '    ' || rpad('completeness_pct', 30, ' ') || ': 100.0']) FROM quality
+    UNION ALL SELECT 2, '0', 0, {_CELL.format("'o_orderpriority'")} || {_CELL.format("'count'")} || {_CELL.format("'pct'")}
+    UNION ALL SELECT 2, '1' || o_orderpriority, 0, {_CELL.format("o_orderpriority")} || {_CELL.format("n::VARCHAR")} || {_CELL.format("round(pct, 6)::VARCHAR")} FROM shares)
+    SELECT (row_number() OVER (ORDER BY part, item, pos) - 1)::INT AS line_no, line FROM lines""")
+def text_report_lines(spark, sf):
+    """The lines of a written text report, as they stand in the file."""
+    quality, counts = _order_parts(spark, sf)
+    sections = [("data quality", sinks.key_value_lines(quality, "data quality")), ("priorities", sinks.table_lines(counts, "priorities", "o_orderpriority"))]
+    path = scratch_path(spark, "text-report")
+    sinks.write_text_report(sinks.text_report("ORDER REPORT", "orders", sections), path)
+    lines = F.split(F.regexp_replace("value", "\n$", ""), "\n")
+    return spark.read.text(path, wholetext=True).select(F.posexplode(lines).alias("line_no", "line"))
+
+
+@query("json_report_rows", "S12", f"""WITH {_ORDERS} SELECT 'orders' AS dataset, q.n AS total_rows, q.cells AS total_cells, s.o_orderpriority, s.n AS count, round(s.pct, 6) AS pct
+    FROM quality q, shares s""")
+def json_report_rows(spark, sf):
+    """A written JSON report, read back by its declared schema."""
+    quality, counts = _order_parts(spark, sf)
+    path = scratch_path(spark, "json-report")
+    sinks.write_json_report(sinks.json_report("orders", {"data_quality": quality, "priorities": counts}), path)
+    schema = """metadata struct<dataset: string>, data_quality array<struct<total_rows: long, total_cells: long>>,
+        priorities array<struct<o_orderpriority: string, count: long, pct: double>>"""
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"))
+    rows = whole.select("r.metadata.dataset", F.col("r.data_quality")[0].alias("q"), F.explode("r.priorities").alias("p"))
+    return rows.select("dataset", "q.*", "p.o_orderpriority", "p.count", r("p.pct", 6).alias("pct"))
+
+
 @query("patient_features", "F15 F16 P26 P27 P29", f"""WITH {PATIENT}, e AS (SELECT quantile_cont(greatest(billing, 0), [0.25, 0.5, 0.75]) AS q FROM patient)
     SELECT order_key, line, stay, month(admitted)::INT AS admitted_month, (isodow(discharged) - 1)::INT AS discharged_dow, round(ln(1 + age), 6) AS log_age,
         CASE WHEN greatest(billing, 0) <= q[1] THEN 'Low' WHEN greatest(billing, 0) <= q[2] THEN 'Medium' WHEN greatest(billing, 0) <= q[3] THEN 'High' ELSE 'Premium' END AS billing_band,
@@ -327,43 +372,39 @@ def patient_features(spark, sf):
 # --- streams -----------------------------------------------------------------------
 
 
-def _stream(spark, sf):
-    """The events as a stream of four files, one per trigger. Files are read in the order of their
-    times, so they are written one after the other."""
-    path = scratch_path(spark, "stream")
+def _drained(spark, sf, made, mode):
+    """What a stream over the events writes. The events arrive in four quarters by id, rows
+    without one in the first; each quarter is one trigger, and the stream goes on from its
+    checkpoint."""
+    path, out, state = (scratch_path(spark, name) for name in ("stream", "out", "state"))
     e = table(spark, sf, "events")
     low, high = e.agg(F.min("event_id"), F.max("event_id")).first()
-    for part in range(4):
-        ids = F.floor((F.col("event_id") - low) * 4 / (high - low + 1)) == part
-        e.where(ids).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
-def _drain(spark, df, mode):
-    """Run the stream over everything there is and return what it wrote."""
-    out, state = scratch_path(spark, "out"), scratch_path(spark, "state")
+    quarter = F.coalesce(F.floor((F.col("event_id") - low) * 4 / ((high or 0) - (low or 0) + 1)), F.lit(0))
 
     def keep(batch, number):
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    df.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    for part in range(4):
+        e.where(quarter == part).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(e.schema).parquet(path)
+        made(stream).writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
     return spark.read.parquet(out)
 
 
 @query("stream_daily_counts", "V9 stream", """WITH d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY ALL)
     SELECT strftime(day, '%Y-%m-%d') AS day, event_type, n FROM d""")
 def stream_daily_counts(spark, sf):
-    counts = _drain(spark, live.daily_counts(_stream(spark, sf), "ts", ["event_type"]), "update")
+    counts = _drained(spark, sf, lambda events: live.daily_counts(events, "ts", ["event_type"]), "update")
     latest = counts.groupBy("day", "event_type").agg(F.max_by("n", "batch").alias("n"))
     return latest.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
-@query("stream_ledger", "W6 stream", """WITH w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n,
-        round(sum(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING), 6) AS total FROM events),
-    v AS (SELECT *, max((n > 30 OR total > 600)::INT) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS broken FROM w)
+@query("stream_ledger", "W6 stream", """WITH w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id NULLS FIRST) AS n,
+        round(sum(value) OVER (PARTITION BY user_id ORDER BY event_id NULLS FIRST ROWS UNBOUNDED PRECEDING), 6) AS total FROM events),
+    v AS (SELECT *, max((n > 30 OR total > 600)::INT) OVER (PARTITION BY user_id ORDER BY event_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS broken FROM w)
     SELECT user_id AS account, sum(1 - broken)::BIGINT AS accepted, count(*) AS n, round(coalesce(sum(value) FILTER (broken = 0), 0), 2) AS total FROM v GROUP BY user_id""")
 def stream_ledger(spark, sf):
-    out = _drain(spark, live.live_ledger(_stream(spark, sf), "user_id", "event_id", "value", 30, 600.0), "append")
+    out = _drained(spark, sf, lambda events: live.live_ledger(events, "user_id", "event_id", "value", 30, 600.0), "append")
     kept = F.col("accepted") == 1
     return out.groupBy("account").agg(
         F.sum("accepted").alias("accepted"), F.count("*").alias("n"),

@@ -382,6 +382,14 @@ def sample_rows(spark, sf):
     return shaping.sample_rows(table(spark, sf, "orders"), 200, "o_orderkey").select("o_orderkey", "o_totalprice")
 
 
+@query("sample_tenth_of_lines", "P31", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    ORDER BY md5(l_orderkey || ',' || l_linenumber || ',' || l_partkey || ',' || l_suppkey || ':42') LIMIT (SELECT count(*) // 10 FROM lineitem)""")
+def sample_tenth_of_lines(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    keyed = li.withColumn("key", F.concat_ws(",", *li.columns))
+    return shaping.sample_rows(keyed, li.count() // 10, "key").drop("key")
+
+
 @query("distinct_values", "P32", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
 def distinct_values(spark, sf):
     return table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority").distinct()

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from catalog.base import HOLED, holed_events, query, r, rounded, table
-from fieldbook.operators import grouping, imputing, profile, quantiles, running, shaping
+from fieldbook.operators import applying, grouping, imputing, positions, profile, quantiles, running, shaping
 from fieldbook.session import materialise
 
 # --- flagship ---------------------------------------------------------------
@@ -35,16 +39,14 @@ def segment_revenue(spark, sf):
 
 
 def _join(kind: str, sql: str):
-    text = f"""WITH big AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_totalprice > 450000 GROUP BY 1),
-        rich AS (SELECT c_custkey AS k, c_acctbal FROM customer WHERE c_acctbal > 5000)
-        SELECT k, n, c_acctbal FROM big {sql} JOIN rich USING (k)"""
+    text = f"""WITH o AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), e AS (SELECT user_id AS k, count(*) AS events FROM events GROUP BY 1)
+        SELECT k, n, events FROM o {sql} JOIN e USING (k)"""
 
     @query(f"join_{kind}", "J1", text)
     def run(spark, sf):
-        o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
-        big = o.filter(F.col("o_totalprice") > 450000).groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
-        rich = c.filter(F.col("c_acctbal") > 5000).select(F.col("c_custkey").alias("k"), "c_acctbal")
-        return big.join(rich, "k", kind).select("k", "n", "c_acctbal")
+        o = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
+        e = table(spark, sf, "events").groupBy(F.col("user_id").alias("k")).agg(F.count("*").alias("events"))
+        return o.join(e, "k", kind).select("k", "n", "events")
 
     return run
 
@@ -53,6 +55,19 @@ for _kind, _sql in (("inner", ""), ("left", "LEFT"), ("right", "RIGHT"), ("outer
     _join(_kind, _sql)
 
 
+@query("concat_by_position", "J2", """WITH o AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders),
+    e AS (SELECT event_id, value, row_number() OVER (ORDER BY event_id DESC) - 1 AS position FROM events)
+    SELECT coalesce(o.position, e.position) AS position, o_orderkey, o_totalprice, event_id, value FROM o FULL JOIN e ON o.position = e.position""")
+def concat_by_position(spark, sf):
+    o, e = table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), table(spark, sf, "events").select("event_id", "value")
+    return positions.concat_by_position(o, e, ["o_orderkey"], [("event_id", True)])
+
+
+@query("numbered_rows", "J2 P2", "SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) - 1 AS place FROM customer")
+def numbered_rows(spark, sf):
+    return positions.number_rows(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "place", [("c_acctbal", True), "c_custkey"])
+
+
 @query("concat_columns", "J2", """SELECT coalesce(o.k, e.k) AS k, orders, events FROM
     (SELECT o_custkey AS k, count(*) AS orders FROM orders GROUP BY 1) o FULL JOIN
     (SELECT user_id AS k, count(*) AS events FROM events GROUP BY 1) e ON o.k = e.k""")
@@ -135,6 +150,12 @@ def top_rows(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
 
 
+@query("top_third_of_rows", "K2", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT (SELECT count(*) // 3 FROM orders)")
+def top_third_of_rows(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return positions.first_rows(o, [("o_totalprice", True), "o_orderkey"], o.count() // 3)
+
+
 @query("top_keys_by_mean", "K3", """SELECT o_custkey, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY o_custkey
     ORDER BY avg(o_totalprice) DESC, o_custkey LIMIT 20""")
 def top_keys_by_mean(spark, sf):
@@ -296,9 +317,15 @@ def categorical_summary(spark, sf):
 
 @query("distinct_counts", "G19", "SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY 1")
 def distinct_counts(spark, sf):
-    return grouping.group(
-        table(spark, sf, "lineitem"), ["l_returnflag"], parts=F.count_distinct("l_partkey"), suppliers=F.count_distinct("l_suppkey")
-    )
+    found = profile.distinct_counts(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"], ["l_returnflag"])
+    number = lambda c: F.max(F.when(F.col("column") == c, F.col("n_unique")))
+    return found.groupBy("l_returnflag").agg(number("l_partkey").alias("parts"), number("l_suppkey").alias("suppliers"))
+
+
+@query("distinct_counts_of_lines", "G19", " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS n_unique FROM lineitem""" for c in (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")))
+def distinct_counts_of_lines(spark, sf):
+    return profile.distinct_counts(table(spark, sf, "lineitem"))
 
 
 @query("predicate_shares", "G20", f"""WITH {HOLED} SELECT round(avg(coalesce(value <= 20, false)::INT) * 100, 4) AS low,
@@ -437,6 +464,80 @@ def column_and_row_functions(spark, sf):
     )
 
 
+#: The days of a group's rows; a day counts once.
+DAYS = applying.GroupFunction(
+    start=lambda: np.zeros(0, np.int64),
+    add=lambda days, batch: np.union1d(days, pc.drop_null(batch.column(0)).cast("int32").to_numpy()),
+    merge=np.union1d,
+    finish=lambda days: (int(np.diff(days).max()) if len(days) > 1 else None, len(days)),
+)
+
+
+@query("group_function_gaps", "X1", """WITH d AS (SELECT DISTINCT l_suppkey, l_shipdate::DATE AS d FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL),
+    g AS (SELECT l_suppkey, (d - lag(d) OVER (PARTITION BY l_suppkey ORDER BY d))::BIGINT AS gap FROM d)
+    SELECT l_suppkey, max(gap) AS longest_gap, count(*) AS days FROM g GROUP BY 1""")
+def group_function_gaps(spark, sf):
+    """The longest time without a shipment: a state that no built-in aggregate has."""
+    li = table(spark, sf, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
+    return applying.apply_groups(li, ["l_suppkey"], ["day"], DAYS, "longest_gap long, days long")
+
+
+@query("group_function_count", "X1", "SELECT year(o_orderdate)::INT AS year, count(*) FILTER (o_orderstatus = 'F') AS closed FROM orders GROUP BY 1")
+def group_function_count(spark, sf):
+    o = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year"), "o_orderstatus")
+    closed = applying.summed(lambda rows: pc.sum(pc.equal(rows.column(0), "F")).as_py() or 0)
+    return applying.apply_groups(o, ["year"], ["o_orderstatus"], closed, "closed long")
+
+
+@query("group_function_whole", "X1", """WITH x AS (SELECT o_custkey, o_totalprice AS v, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice) AS i,
+        count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+    SELECT o_custkey, round(avg(v) FILTER (i > n // 10 AND i <= n - n // 10), 8) AS trimmed, count(*) AS n FROM x GROUP BY 1""")
+def group_function_whole(spark, sf):
+    """A mean without the lowest and highest tenth, from whole groups."""
+
+    def trimmed(rows):
+        v, cut = np.sort(rows["o_totalprice"].to_numpy()), len(rows) // 10
+        return float(v[cut : len(v) - cut].mean()), len(v)
+
+    found = applying.apply_whole_groups(table(spark, sf, "orders"), ["o_custkey"], ["o_totalprice"], trimmed, "trimmed double, n long")
+    return rounded(found, 8)
+
+
+@query("row_function", "X2 G33", f"""WITH {HOLED}, x AS (SELECT event_type, list_sort([value, user_id::DOUBLE, (event_id % 100)::DOUBLE]) AS s FROM holed WHERE value IS NOT NULL)
+    SELECT event_type, round(avg(s[2]), 6) AS middle, round(avg(s[3] - s[1]), 6) AS spread, count(*) AS n FROM x GROUP BY 1""")
+def row_function(spark, sf):
+    """Functions along the rows of three columns; rows with a null among them have no value."""
+    e = holed_events(spark, sf).withColumn("step", (F.col("event_id") % 100).cast("double"))
+    three = ["value", "user_id", "step"]
+    rows = applying.apply_rows(e, three, lambda f: f.median(axis=1), "middle", nulls="null")
+    rows = applying.apply_rows(rows, three, lambda f: f.max(axis=1) - f.min(axis=1), "spread", nulls="null")
+    return rounded(rows.groupBy("event_type").agg(F.avg("middle").alias("middle"), F.avg("spread").alias("spread"), F.count("middle").alias("n")), 6)
+
+
+#: Number of values and sum of their logarithms.
+LOGS = applying.GroupFunction(
+    start=lambda: (0, 0.0),
+    add=lambda s, batch: (s[0] + batch.num_rows - batch.column(0).null_count, s[1] + (pc.sum(pc.ln(batch.column(0))).as_py() or 0.0)),
+    merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
+    finish=lambda s: (math.exp(s[1] / s[0]) if s[0] else None, s[0]),
+)
+
+
+@query("column_function", "X2 G33", f"WITH {HOLED} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", round(exp(avg(ln({c} + 1))), 6) AS geometric_mean, count({c}) AS n FROM holed""" for c in ("value", "user_id", "event_id")))
+def column_function(spark, sf):
+    """One function along each of three columns, in one pass."""
+    e = holed_events(spark, sf)
+    raised = e.select(*[(F.col(c) + 1.0).alias(c) for c in ("value", "user_id", "event_id")])
+    return rounded(applying.apply_columns(raised, raised.columns, LOGS, "geometric_mean double, n long"), 6)
+
+
+@query("map_columns", "X2 G33", f"""WITH {HOLED} SELECT event_id, round(value / (1 + abs(value)), 6) AS value, round(user_id / (1.0 + abs(user_id)), 6) AS user_id FROM holed""")
+def map_columns(spark, sf):
+    e = holed_events(spark, sf).select("event_id", "value", "user_id")
+    return rounded(applying.map_columns(e, ["value", "user_id"], lambda v: v / (1 + v.abs()), "double"), 6)
+
+
 @query("keys_with_many_rows", "G34", "SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= 35")
 def keys_with_many_rows(spark, sf):
     return table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n")).filter("n >= 35")

@@ -308,14 +308,19 @@ def silhouette_sampled(spark, sf):
     return rounded(models.silhouette_sampled(v, [f"d{i}" for i in range(DIMS)], "label", "vec_id", 3000), 6)
 
 
-@query("bootstrap_mean_interval", "M13", """WITH keyed AS (SELECT c_mktsegment AS g, c_acctbal AS x, c_custkey AS k, b FROM customer, range(1, 1001) s(b)),
+def _draws_sql(table: str, g: str, x: str, k: str) -> str:
+    """Common table expressions up to ``w``: the weight of each (g, x, b) of each row."""
+    return f"""keyed AS (SELECT {g} AS g, {x} AS x, {k} AS k, b FROM {table}, range(1, 1001) s(b)),
     h1 AS (SELECT *, ((k % 2147483647) * 48271 + b * 69621 + 12345) % 2147483647 * 48271 % 2147483647 AS h FROM keyed),
     h2 AS (SELECT * REPLACE (xor(h, h >> 15) AS h) FROM h1), h3 AS (SELECT * REPLACE (h % 2147483647 * 69621 % 2147483647 AS h) FROM h2),
     h4 AS (SELECT * REPLACE (xor(h, h >> 13) AS h) FROM h3), h5 AS (SELECT * REPLACE (h % 2147483647 * 39373 % 2147483647 AS h) FROM h4),
     h6 AS (SELECT * REPLACE (xor(h, h >> 16) AS h) FROM h5), u AS (SELECT g, x, b, (h % 2147483647) / 2147483647.0::DOUBLE AS u FROM h6),
     c AS (SELECT list(exp(-1) / factorial(i::INT) ORDER BY i) AS t FROM range(0, 10) s(i)),
     w AS (SELECT g, x, b, len(list_filter([list_sum(t[:1]), list_sum(t[:2]), list_sum(t[:3]), list_sum(t[:4]), list_sum(t[:5]), list_sum(t[:6]),
-        list_sum(t[:7]), list_sum(t[:8]), list_sum(t[:9]), list_sum(t[:10])], lambda z: u >= z)) AS w FROM u, c),
+        list_sum(t[:7]), list_sum(t[:8]), list_sum(t[:9]), list_sum(t[:10])], lambda z: u >= z)) AS w FROM u, c)"""
+
+
+@query("bootstrap_mean_interval", "M13", f"""WITH {_draws_sql('customer', 'c_mktsegment', 'c_acctbal', 'c_custkey')},
     m AS (SELECT g, b, sum(w * x) / sum(w) AS m FROM w GROUP BY g, b)
     SELECT g AS c_mktsegment, (SELECT round(avg(c_acctbal), 4) FROM customer WHERE c_mktsegment = g) AS mean,
         round(quantile_cont(m, 0.025), 4) AS low, round(quantile_cont(m, 0.975), 4) AS high FROM m GROUP BY g""")
@@ -323,6 +328,15 @@ def bootstrap_mean_interval(spark, sf):
     return rounded(inference.bootstrap_mean(table(spark, sf, "customer"), "c_mktsegment", "c_acctbal", "c_custkey"))
 
 
+@query("bootstrap_median_interval", "M13", f"""WITH {_draws_sql('customer', 'c_mktsegment', 'c_acctbal', 'c_custkey')},
+    c2 AS (SELECT g, b, x, sum(sum(w)) OVER (PARTITION BY g, b ORDER BY x) AS upto, sum(sum(w)) OVER (PARTITION BY g, b) AS n FROM w GROUP BY g, b, x),
+    m AS (SELECT g, b, (min(x) FILTER (upto >= (n + 1) // 2) + min(x) FILTER (upto >= n // 2 + 1)) / 2 AS m FROM c2 GROUP BY g, b)
+    SELECT g AS c_mktsegment, (SELECT round(median(c_acctbal), 4) FROM customer WHERE c_mktsegment = g) AS median,
+        round(quantile_cont(m, 0.025), 4) AS low, round(quantile_cont(m, 0.975), 4) AS high FROM m GROUP BY g""")
+def bootstrap_median_interval(spark, sf):
+    return rounded(inference.bootstrap_median(table(spark, sf, "customer"), "c_mktsegment", "c_acctbal", "c_custkey"))
+
+
 @query("median_interval", "M13", """WITH x AS (SELECT o_orderstatus, o_totalprice AS v, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice) AS i,
         count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders)
     SELECT o_orderstatus, (SELECT round(median(o_totalprice), 4) FROM orders o WHERE o.o_orderstatus = x.o_orderstatus) AS median,

@@ -6,8 +6,6 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,40 +45,28 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 
 # Beyond this many bandwidths exp(-z²/2) is zero in double precision (fixed value).
 KERNEL_REACH = 38.6
+# Cells of an eighth of a bandwidth and a series of 20 terms: with |t·d| <= 38.6/16 the first
+# term left out is below 2.5^20/20!, a relative error of 4e-11.
+CELLS_PER_BANDWIDTH, TERMS = 8, 20
 
 
-def _kernel_sums(keys: list[str], points: int):
-    """Per task and group, the sum of the kernels of its values at each grid point."""
-
-    def run(frames):
-        totals: dict = {}
-        for frame in frames:
-            groups = frame.groupby(keys, dropna=False, sort=False) if keys else [((), frame)]
-            for key, rows in groups:
-                total = totals.setdefault(key, np.zeros(points))
-                start, step, h = (float(rows[c].iloc[0]) for c in ("start", "step", "h"))
-                v, k = rows["v"].to_numpy(float), rows["k"].to_numpy(float)
-                first = np.clip(np.ceil((v - KERNEL_REACH * h - start) / step), 0, points - 1).astype(np.int64)
-                past = np.clip(np.floor((v + KERNEL_REACH * h - start) / step), 0, points - 1).astype(np.int64) + 1
-                for i in range(0, len(v), 1000):
-                    n = past[i : i + 1000] - first[i : i + 1000]
-                    at = np.arange(n.sum()) + np.repeat(first[i : i + 1000] - (np.cumsum(n) - n), n)
-                    z = (start + at * step - np.repeat(v[i : i + 1000], n)) / h
-                    total += np.bincount(at, np.repeat(k[i : i + 1000], n) * np.exp(-0.5 * z * z), points)
-        for key, total in totals.items():
-            at = np.flatnonzero(total)
-            yield pd.DataFrame({**dict(zip(keys, key)), "point": at.astype(np.int32), "part": total[at]})
-
-    return run
+def _series(t: Column) -> Column:
+    """Sum of m_p · t^p / p! over the cell's moments, by Horner's rule."""
+    total = F.col(f"m{TERMS - 1}")
+    for p in range(TERMS - 2, -1, -1):
+        total = F.col(f"m{p}") + t / (p + 1) * total
+    return total
 
 
 def density_curve(df: DataFrame, column: str, by: str | None = None, points: int = 1000) -> DataFrame:
     """(by, point, x, density): Gaussian kernel density, bandwidth std·n^(-1/5), on a
     grid reaching half the range beyond both ends.
 
-    Equal values are counted first, and a value only meets the grid points its kernel
-    reaches. Each task adds them up in an array per group, so a task hands on at most
-    ``points`` rows per group, however many values it has.
+    A fast Gauss transform: values are gathered by cells of an eighth of a bandwidth into the
+    moments sum(exp(-d²/2)·d^p) of their distances d from the cell's centre, and a cell at
+    distance t adds exp(-t²/2)·sum(moment·t^p/p!) to a grid point. Moments are plain sums, so
+    rows shrink to cells before any shuffle; the work beyond is cells × grid points, for any
+    number of rows. Relative error below 1e-10. Groups of one value have no density.
     """
     keys = [by] if by else []
     rows = df.select(*keys, F.col(column).cast("double").alias("v")).dropna()
@@ -92,15 +78,32 @@ def density_curve(df: DataFrame, column: str, by: str | None = None, points: int
         (F.col("lo") - (F.col("hi") - F.col("lo")) / 2).alias("start"),
         (2 * (F.col("hi") - F.col("lo")) / (points - 1)).alias("step"),
     )
-    counts = rows.groupBy(*keys, "v").agg(F.count("*").alias("k"))
     if by:
-        placed = attach_groups(counts, stats, [by])
+        placed = attach_groups(rows, stats, [by])
     else:
-        placed = counts.withColumn("s", stats.select(F.struct("*")).scalar()).select("v", "k", "s.*")
-    types = dict(placed.dtypes)
-    made = placed.select(*keys, "v", "k", "h", "start", "step").mapInPandas(
-        _kernel_sums(keys, points), ", ".join([*(f"`{k}` {types[k]}" for k in keys), "point int", "part double"])
-    )
+        # One row of a few numbers: brought back once, then literals.
+        one = stats.first()
+        stats = df.sparkSession.createDataFrame([one] if one else [], stats.schema)
+        known = {c: F.lit(one[c] if one else None).cast("double") for c in ("h", "start", "step")}
+        placed = rows.withColumns(known) if one else rows.limit(0).withColumns(known)
+    z = (F.col("v") - F.col("start")) / F.col("h")
+    placed = placed.select(*keys, (F.col("step") / F.col("h")).alias("step"), z.alias("z"))
+    placed = placed.withColumn("cell", F.floor(F.col("z") * CELLS_PER_BANDWIDTH))
+    placed = placed.withColumn("d", F.col("z") - (F.col("cell") + 0.5) / CELLS_PER_BANDWIDTH)
+    placed = placed.withColumn("m", F.exp(-F.col("d") * F.col("d") / 2))
+    power, moments = F.col("m"), []
+    for p in range(TERMS):
+        moments.append(F.sum(power).alias(f"m{p}"))
+        power = power * F.col("d")
+    cells = placed.groupBy(*keys, "step", "cell").agg(*moments).withColumn("centre", (F.col("cell") + 0.5) / CELLS_PER_BANDWIDTH)
+    # Grid points a cell reaches; distances are in bandwidths, and point i is at i·step.
+    step = F.col("step")
+    reach = KERNEL_REACH + 0.5 / CELLS_PER_BANDWIDTH
+    first = F.greatest(F.ceil((F.col("centre") - reach) / step), F.lit(0)).cast("int")
+    last = F.least(F.floor((F.col("centre") + reach) / step), F.lit(points - 1)).cast("int")
+    met = cells.withColumns({"first": first, "last": last}).where("first <= last").withColumn("point", F.explode(F.sequence("first", "last")))
+    t = F.col("t")
+    made = met.withColumn("t", F.col("point") * step - F.col("centre")).select(*keys, "point", (F.exp(-t * t / 2) * _series(t)).alias("part"))
     sums = made.groupBy(*keys, "point").agg(F.sum("part").alias("total"))
     grid = stats.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     return grid.join(sums, [*keys, "point"], "left").select(

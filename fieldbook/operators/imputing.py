@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.operators.quantiles import medians
-from fieldbook.operators.running import carry_forward
+from fieldbook.operators.running import carry_all_forward
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -57,8 +57,6 @@ def fill_mode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_previous(df: DataFrame, columns: Sequence[str], order: str, by: Sequence[str] = ()) -> DataFrame:
-    """Fill nulls with the previous non-null value in the order of a column."""
-    out = df
-    for c in columns:
-        out = carry_forward(out, c, [order], by).drop(c).withColumnRenamed("carried", c)
-    return out.select(*df.columns)
+    """Fill nulls with the previous non-null value in the order of a column, all columns in one pass."""
+    place = {c: F.col(f"carried_{i}").alias(c) for i, c in enumerate(columns)}
+    return carry_all_forward(df, columns, [order], by).select(*[place.get(c, F.col(c)) for c in df.columns])

@@ -8,12 +8,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from fieldbook.operators.applying import GroupFunction, apply_groups, by_key
 from fieldbook.operators.profile import correlation
 from fieldbook.operators.quantiles import order_statistics
 from fieldbook.operators.special import chi2_p_value, f_p_value, t_p_value
+from fieldbook.session import attach_groups, materialise
 
 
 def anova(df: DataFrame, metric: str, factor: str, alpha: float = 0.05) -> DataFrame:
@@ -230,23 +234,20 @@ def _draws(key: np.ndarray, replicate: np.ndarray) -> np.ndarray:
     return np.searchsorted(steps, u, side="right")
 
 
-def _replicate_sums(replicates: int):
-    """Per task and group, each replicate's sums of weights and weighted values."""
+#: Rows whose draws are made at a time; a task then holds so many times the replicates.
+DRAWN_ROWS = 2_000
+
+
+def _weighted(replicates: int):
+    """For batches whose last column is the key: pairs of (rows from, to, their weights)."""
     number = np.arange(1, replicates + 1)
 
-    def run(frames):
-        sums: dict = {}
-        for frame in frames:
-            for g, rows in frame.groupby("g", sort=False):
-                total = sums.setdefault(g, np.zeros((2, replicates)))
-                for i in range(0, len(rows), 2000):
-                    w = _draws(rows["k"].to_numpy(np.int64)[i : i + 2000], number)
-                    total[0] += rows["x"].to_numpy(float)[i : i + 2000] @ w
-                    total[1] += w.sum(axis=0)
-        for g, (s, w) in sums.items():
-            yield pd.DataFrame({"g": g, "b": number, "s": s, "w": w})
+    def parts(batch: pa.RecordBatch):
+        keys = batch.column(batch.num_columns - 1).to_numpy()
+        for i in range(0, len(keys), DRAWN_ROWS):
+            yield i, i + DRAWN_ROWS, _draws(keys[i : i + DRAWN_ROWS], number)
 
-    return run
+    return parts
 
 
 def bootstrap_mean(
@@ -255,24 +256,119 @@ def bootstrap_mean(
     """Mean per group with a bootstrap interval: ``group, mean, low, high``.
 
     Each row enters each replicate with a Poisson(1) weight drawn from its key,
-    so replicates are sums, kept in an array per task and group; nothing is resampled or moved.
+    so replicates are sums, two numbers each per task and group; nothing is resampled or moved.
     """
     rows = df.select(
         F.col(group).alias("g"), F.col(metric).cast("double").alias("x"), F.col(key).cast("long").alias("k")
     ).dropna()
-    made = rows.mapInPandas(_replicate_sums(replicates), f"g {dict(rows.dtypes)['g']}, b int, s double, w double")
-    sums = made.groupBy("g", "b").agg(F.sum("s").alias("s"), F.sum("w").alias("w"))
-    tail = (1 - level) / 2
-    # At most `replicates` values per group reach this percentile.
-    interval = sums.groupBy("g").agg(
-        F.percentile(F.try_divide(F.col("s"), F.col("w")), F.array(F.lit(tail), F.lit(1 - tail))).alias("ci")
-    )
+    parts, tail = _weighted(replicates), 50 * (1 - level)
+
+    def add(sums: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        x = batch.column(0).to_numpy()
+        for a, b, w in parts(batch):
+            sums[0] += x[a:b] @ w
+            sums[1] += w.sum(axis=0)
+        return sums
+
+    def interval(sums: np.ndarray) -> tuple:
+        means = sums[0][sums[1] > 0] / sums[1][sums[1] > 0]
+        return tuple(float(v) for v in np.percentile(means, [tail, 100 - tail])) if len(means) else (None, None)
+
+    fn = GroupFunction(lambda: np.zeros((2, replicates)), add, np.add, interval)
     means = rows.groupBy("g").agg(F.avg("x").alias("mean"))
-    return means.join(interval, "g").select(
-        F.col("g").alias(group), "mean", F.col("ci")[0].alias("low"), F.col("ci")[1].alias("high")
+    return means.join(apply_groups(rows, ["g"], ["x", "k"], fn, "low double, high double"), "g").select(
+        F.col("g").alias(group), "mean", "low", "high"
     )
 
 
+class _Middles:
+    """Medians of all replicates of a group, from its values in rising order with the weights
+    of each, after the sums of the weights below them and of all."""
+
+    def __init__(self, replicates: int):
+        self.seen = self.total = None
+        self.low, self.high = np.full(replicates, np.nan), np.full(replicates, np.nan)
+
+    def add(self, batch: pa.RecordBatch) -> "_Middles":
+        values, made = batch.column(0), batch.column(1)
+        for i in range(batch.num_rows):
+            weights = np.frombuffer(made[i].as_buffer(), np.int64)
+            if not values[i].is_valid:
+                self.seen, self.total = weights.reshape(2, -1)
+                self.outside = self.seen >= np.maximum((self.total + 1) // 2, 1)
+                continue
+            x = values[i].as_py()
+            now = self.seen + weights
+            for ends, rank in ((self.low, (self.total + 1) // 2), (self.high, self.total // 2 + 1)):
+                ends[(self.seen < rank) & (rank <= now)] = x
+            self.seen = now
+        return self
+
+    def interval(self, tail: float) -> tuple:
+        drawn = self.total > 0
+        medians = ((self.low + self.high) / 2)[drawn]
+        missed = bool(self.outside[drawn].any() or np.isnan(medians).any())
+        if missed or not len(medians):
+            return None, None, missed
+        return *(float(v) for v in np.percentile(medians, [tail, 100 - tail])), False
+
+
+def bootstrap_median(
+    df: DataFrame, group: str, metric: str, key: str, replicates: int = 1000, level: float = 0.95, reach: float = 4.0
+) -> DataFrame:
+    """Median per group with its bootstrap interval by resampling: ``group, median, low, high``.
+
+    Rows enter replicates as in ``bootstrap_mean``; a replicate's median is the mean of its two
+    middle rows, and a replicate without rows has none. Where a replicate's median lies among
+    the group's n values differs from n/2 by a few times √n/2, so the values at ranks
+    n/2 ± reach·√n bracket all of them. Below the bracket only sums of weights count; within it,
+    a value's weights are added up, and one walk over the values finds all medians. A task
+    holds weights of one value at a time, a group's bracket about 2·reach·√n values. Where a
+    median falls outside, the bracket is widened, in the end to all values: results never
+    depend on it.
+    """
+    rows = df.select(
+        F.col(group).alias("g"), F.col(metric).cast("double").alias("x"), F.col(key).cast("long").alias("k")
+    ).dropna()
+    parts, tail = _weighted(replicates), 50 * (1 - level)
+
+    def add_sums(sums: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        below = (batch.column(0).to_numpy() < batch.column(1).to_numpy()).astype(np.int64)
+        for a, b, w in parts(batch):
+            sums[0] += below[a:b] @ w
+            sums[1] += w.sum(axis=0)
+        return sums
+
+    def add_weights(sums: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        for _, _, w in parts(batch):
+            sums += w.sum(axis=0)
+        return sums
+
+    below = GroupFunction(lambda: np.zeros((2, replicates), np.int64), add_sums, np.add, np.ndarray.tobytes)
+    weights = GroupFunction(lambda: np.zeros(replicates, np.int64), add_weights, np.add, np.ndarray.tobytes)
+    schema = T.StructType([rows.schema["g"], *T.StructType.fromDDL("low double, high double, missed boolean").fields])
+    middles = by_key(1, lambda: _Middles(replicates), _Middles.add, lambda m: m.interval(tail), schema)
+    for wide in (reach, 16 * reach, None):
+        around = [
+            (0.5, lambda n: (n - 1) / 2),
+            (0.5, lambda n: F.greatest(F.floor(n / 2 - F.sqrt(n) * (wide or 0)) - 1, F.lit(0.0)).cast("double")),
+            (0.5, lambda n: F.least(F.ceil(n / 2 + F.sqrt(n) * (wide or 0)), n - 1).cast("double")),
+        ]
+        spans = [(0.5 - 0.001 * (wide or 1), 0.5 + 0.001 * (wide or 1))]
+        found = order_statistics(rows, ["x"], around, ["g"], spans=spans, small_group=1_000_000)
+        inf = F.lit(float("inf"))
+        bracket = materialise(found.select(
+            "g", F.col("x")[0].alias("median"), (F.col("x")[1] if wide else -inf).alias("lo"), (F.col("x")[2] if wide else inf).alias("hi")
+        ), "brackets")
+        placed = attach_groups(rows, bracket.drop("median"), ["g"])
+        sums = apply_groups(placed, ["g"], ["x", "lo", "k"], below, "w binary").select("g", F.lit(None).cast("double").alias("x"), "w")
+        inside = apply_groups(placed.where(F.col("x").between(F.col("lo"), F.col("hi"))), ["g", "x"], ["k"], weights, "w binary")
+        walked = sums.unionByName(inside).repartition("g").sortWithinPartitions("g", "x").mapInArrow(middles, schema)
+        ends = materialise(walked, "medians")
+        if not wide or not ends.where("missed").limit(1).count():
+            return bracket.join(ends, "g").select(F.col("g").alias(group), "median", "low", "high")
+
+
 def median_interval(df: DataFrame, group: str, metric: str, bracket: bool | None = None) -> DataFrame:
     """Median per group with the 95 % interval that resampling tends to:
     ``group, median, low, high``.

@@ -1,24 +1,22 @@
-"""Scaling, principal components, k-means and silhouettes on Spark ML."""
+"""Scaling, principal components, k-means and silhouettes."""
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
 from itertools import combinations
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from fieldbook.operators.applying import GroupFunction, apply_groups
 from fieldbook.operators.shaping import columns_of, sample_rows
+from fieldbook.session import materialise
 
 
 # Above this many columns the pairs of an aggregate no longer compile well; a vector job takes over.
@@ -59,13 +57,6 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.withColumns(scaled).drop("_z")
 
 
-def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Complete rows with ``features``: centred columns in sample deviations, a constant one 0."""
-    raw = VectorAssembler(inputCols=list(columns), outputCol="_raw").transform(df.dropna(subset=list(columns)))
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="features")
-    return scaler.fit(raw).transform(raw).drop("_raw")
-
-
 def principal_components(
     df: DataFrame, columns: Sequence[str], k: int = 2
 ) -> tuple[DataFrame, DataFrame]:
@@ -114,25 +105,94 @@ def principal_components(
     return rows.withColumns(scored), scree
 
 
+def _seeds(points: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray:
+    """k starting centres, each drawn with probability by its squared distance to those before."""
+    centres = [points[draw.integers(len(points))]]
+    apart = ((points - centres[0]) ** 2).sum(axis=1)
+    while len(centres) < k:
+        total = apart.sum()
+        at = draw.choice(len(points), p=apart / total) if total > 0 else draw.integers(len(points))
+        centres.append(points[at])
+        apart = np.minimum(apart, ((points - points[at]) ** 2).sum(axis=1))
+    return np.array(centres)
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each run (runs × k × d centres): each point's nearest centre and squared distance."""
+    runs, k, d = centres.shape
+    flat = centres.reshape(runs * k, d)
+    apart = ((points**2).sum(axis=1)[:, None] + (flat**2).sum(axis=1)[None, :] - 2 * points @ flat.T).reshape(len(points), runs, k)
+    at = apart.argmin(axis=2)
+    return at, np.maximum(np.take_along_axis(apart, at[:, :, None], axis=2)[:, :, 0], 0.0)
+
+
+def _gathered(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Per run and cluster: number of points, their cost, and the sums of their coordinates."""
+    runs, k, d = centres.shape
+    out = np.zeros((runs, k, d + 2))
+    at, apart = _nearest(points, centres)
+    for run in range(runs):
+        out[run, :, 0] = np.bincount(at[:, run], minlength=k)
+        out[run, :, 1] = np.bincount(at[:, run], apart[:, run], minlength=k)
+        for c in range(d):
+            out[run, :, c + 2] = np.bincount(at[:, run], points[:, c], minlength=k)
+    return out
+
+
+def _moved(centres: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Centres at the means of their points; a cluster without points stays where it is."""
+    n = sums[:, :, :1]
+    return np.where(n > 0, sums[:, :, 2:] / np.maximum(n, 1), centres)
+
+
 def kmeans_clusters(
-    df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42, rounds: int = 300
+    df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42, rounds: int = 300, tolerance: float = 1e-6,
+    start_rows: int = 10_000,
 ) -> tuple[DataFrame, float]:
-    """(rows with ``cluster``, cost) of the best of several seeded k-means runs on
-    scaled columns. The cost is in sample deviations; the clusters are the same
-    as in population deviations, which differ by one factor for all columns."""
-    vectors = _vectors(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(run: int):
-        return KMeans(k=k, maxIter=rounds, seed=seed + run, featuresCol="features", predictionCol="cluster").fit(vectors)
-
-    # Independent runs share the cluster; each is a sequence of short jobs.
-    with ThreadPool(min(4, restarts)) as pool:
-        models = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), range(restarts))
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    if best.summary.numIter >= rounds:
+    """(complete rows with ``cluster``, cost) of the best of several seeded k-means runs on
+    scaled columns, centred and in sample deviations; the cost is in these, too.
+
+    All runs go together: their centres are one array, and one pass over the rows per round
+    gives the sums of all. Each run begins on a sample of about ``start_rows`` rows, which
+    only chooses its first centres; the rounds that follow use all rows, until no centre
+    moves by more than ``tolerance``. A run that has settled takes no part any more.
+    """
+    columns = list(columns)
+    rows = df.dropna(subset=columns)
+    x = [F.col(c).cast("double") for c in columns]
+    stats = rows.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)], *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(x)]).first()
+    if not stats["n"]:
+        return rows.withColumn("cluster", F.lit(None).cast("int")), 0.0
+    spread = [stats[f"s{i}"] or 0.0 for i in range(len(columns))]
+    scaled = [(c - F.lit(stats[f"m{i}"])) / F.lit(s) if s > 0 else F.lit(0.0) for i, (c, s) in enumerate(zip(x, spread))]
+    points = materialise(rows.select(*[c.alias(f"x{i}") for i, c in enumerate(scaled)]), "points")
+    as_matrix = lambda batch: np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+    drawn = points if stats["n"] <= start_rows else points.sample(start_rows / stats["n"], seed).limit(2 * start_rows)
+    few = as_matrix(drawn.toArrow().combine_chunks().to_batches()[0] if drawn.limit(1).count() else points.limit(k).toArrow().combine_chunks().to_batches()[0])
+    centres = np.stack([_seeds(few, k, np.random.default_rng(seed + run)) for run in range(restarts)])
+    for _ in range(rounds):
+        before, centres = centres, _moved(centres, _gathered(few, centres))
+        if np.abs(centres - before).max() <= tolerance:
+            break
+
+    going, cost = np.arange(restarts), np.full(restarts, np.inf)
+    for _ in range(rounds):
+        current = centres[going]
+        fn = GroupFunction(lambda: np.zeros((*current.shape[:2], current.shape[2] + 2)), lambda s, b: s + _gathered(as_matrix(b), current), np.add, np.ndarray.tobytes)
+        sums = apply_groups(points, [], points.columns, fn, "sums binary").first()["sums"]
+        sums = np.frombuffer(sums).reshape(*current.shape[:2], -1)
+        cost[going] = sums[:, :, 1].sum(axis=1)
+        centres[going] = _moved(current, sums)
+        going = going[np.abs(centres[going] - current).max(axis=(1, 2)) > tolerance]
+        if not len(going):
+            break
+    else:
         warnings.warn(f"k-means has not converged after {rounds} rounds", stacklevel=2)
-    vectors.unpersist()
-    return best.transform(vectors).drop("features"), float(best.summary.trainingCost)
+    best = int(cost.argmin())
+    held = F.array(*[F.array(*[F.lit(float(v)) for v in centre]) for centre in centres[best]])
+    apart = F.transform(held, lambda c: F.aggregate(F.zip_with(c, F.array(*scaled), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+    out = rows.withColumn("_apart", apart)
+    return out.withColumn("cluster", (F.array_position("_apart", F.array_min("_apart")) - 1).cast("int")).drop("_apart"), float(cost[best])
 
 
 def silhouette_squared(df: DataFrame, columns: Sequence[str], cluster: str) -> float:
@@ -146,39 +206,48 @@ def silhouette_squared(df: DataFrame, columns: Sequence[str], cluster: str) -> f
     ).evaluate(assembled)
 
 
+#: Sampled rows whose distances to as many others are taken at a time.
+SILHOUETTE_ROWS = 512
+
+
 def silhouette_sampled(
     df: DataFrame, columns: Sequence[str], cluster: str, key: str, n: int = 1000, seed: int = 42
 ) -> DataFrame:
     """Euclidean silhouette of a reproducible sample of n rows: ``clusters, n, silhouette``.
 
-    The sample size is part of the definition; distances are taken between
-    sampled rows only, whose n × d numbers every task receives.
+    The sample size is part of the definition; distances are taken between sampled rows
+    only, in blocks of SILHOUETTE_ROWS × SILHOUETTE_ROWS that are dealt out as they are.
     """
-    sample = sample_rows(df.dropna(subset=[*columns, cluster]), n, key, seed)
-    points = sample.select(key, F.col(cluster).alias("c"), F.array(*[F.col(x).cast("double") for x in columns]).alias("x"))
-    rows = points.collect()  # at most n rows
-    matrix = np.array([r["x"] for r in rows], dtype=float)
-    labels = np.array([r["c"] for r in rows])
-
-    def scores(batches):
-        names, sizes = np.unique(labels, return_counts=True)
-        member = (labels[:, None] == names[None, :]).astype(float)
-        for pdf in batches:
-            x = np.stack(pdf["x"].to_numpy())
-            dist = np.stack([np.sqrt(((matrix - point) ** 2).sum(axis=1)) for point in x])
-            sums = dist @ member
-            own = np.searchsorted(names, pdf["c"].to_numpy())
-            pick = np.arange(len(x))
-            inside = sums[pick, own] / np.maximum(sizes[own] - 1, 1)
-            other = sums / sizes
-            other[pick, own] = np.inf
-            near = other.min(axis=1)
-            s = np.where(sizes[own] > 1, (near - inside) / np.maximum(np.maximum(inside, near), 1e-300), 0.0)
-            yield pd.DataFrame({"c": pdf["c"], "s": s})
-
-    spark = df.sparkSession
-    local = spark.createDataFrame([(r["c"], r["x"]) for r in rows], "c int, x array<double>")
-    per_row = local.repartition(8).mapInPandas(scores, "c int, s double")
+    sample = sample_rows(df.dropna(subset=[*columns, cluster]).select(key, cluster, *columns), n, key, seed)
+    vector = F.array(*[F.col(x).cast("double") for x in columns])
+    parts = -(-n // SILHOUETTE_ROWS)
+    points = sample.select(F.monotonically_increasing_id().alias("i"), F.col(cluster).cast("string").alias("c"), vector.alias("x"))
+    points = materialise(points.withColumn("part", F.pmod(F.xxhash64("i"), F.lit(parts)).cast("int")), "sample")
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = points.withColumnRenamed("part", "a").withColumn("b", every)
+    right = points.withColumnRenamed("part", "b").withColumn("a", every)
+
+    def sums(these: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        """Of each row of one block, the summed distances to each cluster of the other."""
+        if not len(these) or not len(others):
+            return pd.DataFrame({"i": [], "own": [], "c": [], "s": [], "n": []})
+        x, y = np.stack(these["x"].to_numpy()), np.stack(others["x"].to_numpy())
+        names, code, sizes = np.unique(others["c"].to_numpy(str), return_inverse=True, return_counts=True)
+        apart = np.stack([np.sqrt(((y - point) ** 2).sum(axis=1)) for point in x])
+        total = apart @ (code[:, None] == np.arange(len(names))[None, :]).astype(float)
+        return pd.DataFrame({
+            "i": np.repeat(these["i"].to_numpy(), len(names)), "own": np.repeat(these["c"].to_numpy(), len(names)),
+            "c": np.tile(names, len(these)), "s": total.ravel(), "n": np.tile(sizes, len(these)),
+        })
+
+    met = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(sums, "i long, own string, c string, s double, n long")
+    near = met.groupBy("i", "own", "c").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    own = F.col("own") == F.col("c")
+    per_row = near.groupBy("i", "own").agg(
+        F.max(F.when(own, F.col("s") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("inside"),
+        F.min(F.when(~own, F.col("s") / F.col("n"))).alias("near"), F.max(F.when(own, F.col("n"))).alias("size"),
+    )
+    value = F.when(F.col("size") > 1, F.try_divide(F.col("near") - F.col("inside"), F.greatest("near", "inside"))).otherwise(0.0)
     return per_row.agg(
-        F.count_distinct("c").alias("clusters"), F.count("*").alias("n"), F.avg("s").alias("silhouette")
+        F.count_distinct("own").alias("clusters"), F.count("*").alias("n"), F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette")
     )

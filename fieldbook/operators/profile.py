@@ -7,12 +7,17 @@ passes of exact rank selection), reshaped to one row per column.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from functools import reduce
+from itertools import combinations, combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from fieldbook.operators.applying import GroupFunction, apply_groups
 from fieldbook.operators.quantiles import quantiles
 from fieldbook.operators.shaping import columns_of
 
@@ -46,19 +51,67 @@ def _rows_per_column(one: DataFrame, columns: Sequence[str], fields: Sequence[st
     return one.select(F.inline(F.array(*cells)))
 
 
+#: Whole numbers of one bitmap page, and the bytes of a page (fixed by Spark's bitmap functions).
+PAGE_VALUES, PAGE_BYTES = 32_768, 4_096
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(by, column, n_unique): exact numbers of distinct non-null values, of all columns in one go.
+
+    Each row gives one short cell per column, and equal cells collapse before the shuffle.
+    Whole numbers and dates that lie close together go into bitmap pages; of other values a
+    128-bit hash stands for the value. Cells are keyed by column and hash (or page), so the
+    shuffle is even whatever the columns hold.
+    """
+    by, columns = list(by), list(columns or df.columns)
+    kinds = {f.name: f.dataType for f in df.schema}
+    whole = [c for c in columns if isinstance(kinds[c], T.IntegralType | T.DateType)] if not by else []
+    numbers = {c: (F.unix_date(c) if isinstance(kinds[c], T.DateType) else F.col(c)).cast("long") for c in whole}
+    dense = []
+    if whole:
+        seen = df.agg(*[f(numbers[c]).alias(f"{i}_{n}") for i, c in enumerate(whole) for f, n in ((F.min, "lo"), (F.max, "hi"), (F.count, "n"))]).first()
+        for i, c in enumerate(whole):
+            pages = 0 if seen[f"{i}_lo"] is None else 1 + (seen[f"{i}_hi"] - seen[f"{i}_lo"]) // PAGE_VALUES
+            if pages * PAGE_BYTES <= max(PAGE_BYTES, 8 * seen[f"{i}_n"]):
+                dense.append(c)
+    parts = []
+    if dense:
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("column"), F.bitmap_bucket_number(numbers[c]).alias("page"), F.bitmap_bit_position(numbers[c]).alias("bit"))
+            for c in dense
+        ])
+        pages = df.select(F.inline(cells)).dropna(subset=["bit"]).groupBy("column", "page").agg(
+            F.bitmap_count(F.bitmap_construct_agg("bit")).alias("n")
+        )
+        parts.append(pages.groupBy("column").agg(F.sum("n").alias("n_unique")))
+    others = [c for c in columns if c not in dense]
+    if others:
+        plain = {c: F.col(c) + F.lit(0).cast(kinds[c]) if isinstance(kinds[c], T.FractionalType) else F.col(c) for c in others}
+        cells = F.array(*[
+            F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column"), F.xxhash64(plain[c]).alias("h"), F.xxhash64(plain[c], F.lit(c)).alias("g")))
+            for c in others
+        ])
+        rows = df.select(*[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], F.explode(cells).alias("cell")).where("cell IS NOT NULL")
+        keys = [f"_by{i}" for i in range(len(by))]
+        hashes = rows.select(*keys, "cell.*").groupBy(*keys, "column", "h", "g").agg(F.lit(1).alias("one"))
+        counted = hashes.groupBy(*keys, "column").agg(F.count("*").alias("n_unique"))
+        parts.append(counted.withColumnsRenamed(dict(zip(keys, by))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def schema_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """(column, dtype, n_unique, null_pct) per column."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     aggs = []
     for i, c in enumerate(df.columns):
-        aggs += [
-            distinct(F.col(c)).alias(f"{i}_n_unique"),
-            F.round(F.avg(F.col(c).isNull().cast("double")) * 100, 2).alias(f"{i}_null_pct"),
-        ]
-    one = df.agg(*aggs)
-    long = _rows_per_column(one, df.columns, ["n_unique", "null_pct"])
+        aggs.append(F.round(F.avg(F.col(c).isNull().cast("double")) * 100, 2).alias(f"{i}_null_pct"))
+        if approximate:
+            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"{i}_n_unique"))
+    long = _rows_per_column(df.agg(*aggs), df.columns, ["n_unique", "null_pct"] if approximate else ["null_pct"])
+    if not approximate:
+        # One row per column on both sides.
+        long = long.join(distinct_counts(df), "column", "left").na.fill(0, ["n_unique"])
     types = F.create_map(*[x for n, t in df.dtypes for x in (F.lit(n), F.lit(t))])
-    return long.withColumn("dtype", types[F.col("column")])
+    return long.withColumn("dtype", types[F.col("column")]).select("column", "n_unique", "null_pct", "dtype")
 
 
 def sample_skewness(column: Column) -> Column:
@@ -141,10 +194,68 @@ def correlation(a: Column | str, b: Column | str) -> Column:
     )
 
 
+#: Up to this many columns all pairs fit one compiled aggregate.
+FEW_COLUMNS = 16
+#: Columns of one block of the matrices of a wide table: four of 512 × 512 numbers, 8 MB.
+BLOCK_COLUMNS = 512
+
+
+def _pair_sums(p: int, q: int):
+    """A function over batches of p + q columns, the first p against the other q: for each pair
+    the rows having both, the sums of either one's values and squares on them, and of products."""
+
+    def add(sums: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        known = (~np.isnan(values)).astype(float)
+        values = np.where(known > 0, values, 0.0)
+        x, y, in_x, in_y = values[:, :p], values[:, p:], known[:, :p], known[:, p:]
+        return sums + np.stack([in_x.T @ in_y, x.T @ in_y, in_x.T @ y, (x * x).T @ in_y, in_x.T @ (y * y), x.T @ y])
+
+    return GroupFunction(lambda: np.zeros((6, p, q)), add, np.add, lambda s: _pearson(s).ravel().tolist())
+
+
+def _pearson(sums: np.ndarray) -> np.ndarray:
+    """Correlations from the sums of pairs; NaN where either side is constant on the common rows."""
+    n, sx, sy, xx, yy, xy = sums
+    with np.errstate(all="ignore"):
+        x2, y2 = xx / n - (sx / n) ** 2, yy / n - (sy / n) ** 2
+        # What is left of a constant's variance after rounding is no variance.
+        steady = (x2 <= 1e-13 * xx / n) | (y2 <= 1e-13 * yy / n)
+        return np.where(steady, np.nan, (xy / n - sx / n * sy / n) / np.sqrt(np.where(steady, 1.0, x2 * y2)))
+
+
+def _wide_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """As ``correlations``, by matrix products on Arrow batches. Values are taken from the
+    column's median-like value first, so large offsets do not cancel."""
+    shifts = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    shifted = df.select(*[
+        (F.col(c).cast("double") - F.lit(shifts[f"s{i}"] or 0.0)).alias(f"c{i}") for i, c in enumerate(columns)
+    ])
+    blocks = [list(range(i, min(i + BLOCK_COLUMNS, len(columns)))) for i in range(0, len(columns), BLOCK_COLUMNS)]
+    parts = []
+    for a, b in combinations_with_replacement(blocks, 2):
+        fn = _pair_sums(len(a), len(b))
+        one = apply_groups(shifted.select(*[F.col(f"c{i}").alias(f"l{i}") for i in a], *[F.col(f"c{j}").alias(f"r{j}") for j in b]), [],
+                           [*[f"l{i}" for i in a], *[f"r{j}" for j in b]], fn, "r array<double>")
+        cells = one.select(F.posexplode("r").alias("at", "r"))
+        i, j = F.lit(a[0]) + F.floor(F.col("at") / len(b)).cast("int"), F.lit(b[0]) + F.pmod(F.col("at"), F.lit(len(b)))
+        parts.append(cells.select(i.alias("i"), j.alias("j"), F.nanvl("r", F.lit(None)).alias("r")).where("i < j"))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "n int, name string")
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .join(F.broadcast(names.toDF("i", "x")), "i").join(F.broadcast(names.toDF("j", "y")), "j").select("x", "y", "r")
+    )
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(x, y, r) for every pair of numeric columns, on the rows where both exist;
-    one aggregate for all pairs."""
+    """(x, y, r) for every pair of numeric columns, on the rows where both exist.
+
+    A few columns are one aggregate for all pairs; of more, each task takes matrix products
+    of its rows, column block by column block, and these add up as a tree.
+    """
     columns = list(columns or columns_of(df, "numeric"))
+    if len(columns) > FEW_COLUMNS:
+        return _wide_correlations(df, columns)
     pairs = list(combinations(columns, 2))
     one = df.agg(*[correlation(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     cells = [

@@ -57,26 +57,36 @@ def _with_inherited(rows: DataFrame, per_chunk: DataFrame, by: Sequence[str], na
     return rows.join(right, cond).drop("_k_chunk", *[f"_k_{b}" for b in by])
 
 
-def carry_forward(
-    df: DataFrame, column: str, order: Sequence[str], by: Sequence[str] = (), chunks: int | None = None
+def carry_all_forward(
+    df: DataFrame, columns: Sequence[str], order: Sequence[str], by: Sequence[str] = (), chunks: int | None = None
 ) -> DataFrame:
-    """Add ``carried``: the value itself or the latest non-null one before it."""
-    by = list(by)
+    """Add ``carried_0``, ``carried_1`` ... : each column's value or the latest non-null one before it.
+
+    All columns share one range shuffle and one stored copy of the rows.
+    """
+    by, columns = list(by), list(columns)
     if chunk_count(df, chunks) <= 1:
-        return df.withColumn("carried", F.last(column, ignorenulls=True).over(_up_to_here(by, order)))
+        here = _up_to_here(by, order)
+        return df.withColumns({f"carried_{i}": F.last(c, ignorenulls=True).over(here) for i, c in enumerate(columns)})
     rows = with_chunks(df, order, chunks)
     # max_by skips rows whose ordering is null, here those without a value.
-    place = F.when(F.col(column).isNotNull(), F.struct(*order))
-    inherited = rows.groupBy(*by, "_chunk").agg(F.max_by(column, place).alias("_last")).withColumn(
-        "_inherited", F.last("_last", ignorenulls=True).over(_before(by))
+    place = F.struct(*order)
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_last{i}") for i, c in enumerate(columns)]
+    before, names = _before(by), [f"_inherited{i}" for i in range(len(columns))]
+    inherited = rows.groupBy(*by, "_chunk").agg(*latest).withColumns(
+        {name: F.last(f"_last{i}", ignorenulls=True).over(before) for i, name in enumerate(names)}
     )
     local = _up_to_here([*by, "_chunk"], order)
-    return (
-        _with_inherited(rows, inherited, by, ["_inherited"])
-        .withColumn("_local", F.last(column, ignorenulls=True).over(local))
-        .withColumn("carried", F.coalesce("_local", "_inherited"))
-        .drop("_local", "_inherited", "_chunk")
-    )
+    return _with_inherited(rows, inherited, by, names).withColumns({
+        f"carried_{i}": F.coalesce(F.last(c, ignorenulls=True).over(local), F.col(names[i])) for i, c in enumerate(columns)
+    }).drop(*names, "_chunk")
+
+
+def carry_forward(
+    df: DataFrame, column: str, order: Sequence[str], by: Sequence[str] = (), chunks: int | None = None
+) -> DataFrame:
+    """Add ``carried``: the value itself or the latest non-null one before it."""
+    return carry_all_forward(df, [column], order, by, chunks).withColumnRenamed("carried_0", "carried")
 
 
 def running_totals(

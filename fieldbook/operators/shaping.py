@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from fieldbook.operators.quantiles import order_statistics
+from fieldbook.operators.positions import cut_at, first_rows, is_at
 
 KINDS = {
     "numeric": (T.NumericType,),
@@ -33,27 +33,21 @@ def present(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def row_at(df: DataFrame, position: int, key: str, ties: Sequence[str] = ()) -> DataFrame:
-    """The row at a 0-based position in the order of a numeric key, rows of equal keys in
-    the order of ``ties``.
+    """The row at a 0-based position in the order of a key, rows of equal keys in the order of
+    ``ties``; rows without a key are left out.
 
-    The key's value at that rank is selected first, so a deep position neither
+    The key's value at that rank is found by counting, so a deep position neither
     sorts the table into one task nor ships it to the driver.
     """
-    rows = df.filter(F.col(key).isNotNull())
-    n = rows.count()
-    if not 0 <= position < n:
-        return rows.limit(0)
-    target = (position / n, lambda _: F.lit(float(position)))
-    at = order_statistics(rows, [key], [target]).select(F.col(key)[0].alias("at"))
-    number = F.col(key).cast("double")
-    before = rows.filter(number < at.scalar()).count()
-    return rows.filter(number == at.scalar()).orderBy(*ties or [key]).offset(position - before).limit(1)
+    rows, order = df.filter(F.col(key).isNotNull()), [key, *[t for t in ties if t != key]]
+    found = cut_at(rows, order, position + 1) if position >= 0 else None
+    return rows.limit(0) if found is None else rows.filter(is_at(order, found[0])).limit(1)
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """A reproducible sample of n rows: the n smallest seeded hashes of the key."""
+    """A reproducible sample of n rows: the n smallest seeded hashes of the key, for any n."""
     tag = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    return df.orderBy(tag, key).limit(n)
+    return first_rows(df.withColumn("_tag", tag), ["_tag", key], n).drop("_tag")
 
 
 def top_groups(

@@ -56,7 +56,7 @@ def live_ledger(
         first = None
         for batch in batches:
             rows = batch if first is None else pd.concat([first, batch])
-            rows = rows.sort_values("at", kind="stable")
+            rows = rows.sort_values("at", kind="stable", na_position="first")
             first = rows.iloc[:room]
             yield verdict(rows.iloc[room:], False)
             closed = closed or len(rows) > room

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +166,41 @@ def test_model_features_need_three(spark):
     assert models.model_features(df, drop_nullable=True) == ["a", "b", "c"]
     with pytest.raises(ValueError):
         models.model_features(df.select("a", "b"))
+
+
+def test_resampled_medians_equal_plain_ones(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [("a", float(round(x, 1)), i) for i, x in enumerate(rng.normal(0, 3, 900))]
+    rows += [("b", float(i % 3), 1000 + i) for i in range(400)] + [("c", 7.0, 5000), ("d", None, 5001), (None, 1.0, 5002), ("e", 1.0, 6001), ("e", 2.0, 6002)]
+    df = spark.createDataFrame(rows, "g string, x double, k long").repartition(4)
+    want = {}
+    for g in "abce":
+        x, k = (np.array(v) for v in zip(*[(r[1], r[2]) for r in rows if r[0] == g and r[1] is not None]))
+        w = inference._draws(k, np.arange(1, 101))
+        medians = [np.median(np.repeat(x, w[:, b])) for b in range(100) if w[:, b].sum()]
+        want[g] = (np.median(x), *np.percentile(medians, [2.5, 97.5]))
+    for reach in (0.05, 4.0):  # far too narrow a bracket is widened
+        got = {r["g"]: (r["median"], r["low"], r["high"]) for r in inference.bootstrap_median(df, "g", "x", "k", 100, reach=reach).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[g] == pytest.approx(want[g], abs=1e-12) for g in want)
+
+
+def test_kmeans_reads_all_runs_in_one_pass_and_equals_plain_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame(np.vstack([rng.normal(c, 0.4, (200, 3)) for c in (0, 3, 6, 9)]), columns=list("abc"))
+    df = spark.createDataFrame(pdf).repartition(4)
+    passes = []
+    gather = models.apply_groups
+    monkeypatch.setattr(models, "apply_groups", lambda *a, **k: passes.append(1) or gather(*a, **k))
+    out, cost = models.kmeans_clusters(df, ["a", "b", "c"], 4, restarts=8, start_rows=100)
+    assert len(passes) < 20  # rounds, not rounds times runs
+    got = out.toPandas()
+    scaled = (got[list("abc")] - pdf.mean()) / pdf.std()
+    means = scaled.groupby(got["cluster"]).mean()
+    apart = ((scaled.to_numpy()[:, None, :] - means.to_numpy()[None]) ** 2).sum(axis=2)
+    assert (apart.argmin(axis=1) == got["cluster"].to_numpy()).all()
+    assert cost == pytest.approx(apart.min(axis=1).sum(), rel=1e-6)
+    assert sorted(got["cluster"].value_counts()) == [200] * 4
+    with_nulls = spark.createDataFrame([(1.0, 2.0, None), (1.0, 2.0, 3.0), (1.0, 2.0, 3.0)], "a double, b double, c double")
+    assert models.kmeans_clusters(with_nulls, ["a", "b", "c"], 2)[0].count() == 2
+    assert models.kmeans_clusters(with_nulls.limit(0), ["a", "b", "c"], 2)[0].count() == 0

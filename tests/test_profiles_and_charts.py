@@ -106,3 +106,51 @@ def test_categorical_summary(spark):
     got = {r["column"]: r for r in profile.categorical_summary(df).collect()}
     assert (got["a"]["unique_count"], got["a"]["top_value"], got["a"]["top_pct"]) == (2, "x", 66.67)
     assert got["b"]["value_counts"] == {"p": 1, "q": 1} and got["b"]["top_value"] == "p"
+
+
+def test_densities_of_very_many_groups(spark):
+    rows = spark.range(300_000, numPartitions=8).select((F.col("id") % 100_000).alias("g"), F.sqrt(F.col("id").cast("double")).alias("v"))
+    got = charts.density_curve(rows, "v", "g", points=4)
+    one = got.where("g = 77").orderBy("point").toPandas()
+    v = np.sqrt([77.0, 100_077.0, 200_077.0])
+    h = v.std(ddof=1) * 3**-0.2
+    want = [np.exp(-0.5 * ((x - v) / h) ** 2).sum() / (3 * h * math.sqrt(2 * math.pi)) for x in one["x"]]
+    assert one["density"].to_numpy() == pytest.approx(want, rel=1e-9)
+    assert got.count() == 400_000
+
+
+def test_wide_correlations_equal_those_of_few_columns(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    values = rng.normal(1e6, 1, (300, 20)) + rng.normal(0, 1, (300, 1))
+    values[:, 5], values[:, 6] = 3.3, values[:, 7] * -2
+    rows = [[None if rng.random() < 0.1 else float(x) for x in row] for row in values]
+    df = spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(20))).repartition(3)
+    monkeypatch.setattr(profile, "BLOCK_COLUMNS", 8)
+    wide = {(r["x"], r["y"]): r["r"] for r in profile.correlations(df).collect()}
+    monkeypatch.setattr(profile, "FEW_COLUMNS", 100)
+    few = {(r["x"], r["y"]): r["r"] for r in profile.correlations(df).collect()}
+    assert wide.keys() == few.keys() and len(wide) == 190
+    assert all(wide[k] is None if "c5" in k else wide[k] == pytest.approx(few[k], abs=1e-6) for k in few)
+
+
+def test_correlations_of_five_hundred_columns(spark):
+    rng = np.random.default_rng(4)
+    values = rng.normal(0, 1, (60, 500))
+    values[rng.random(values.shape) < 0.05] = np.nan
+    df = spark.createDataFrame(pd.DataFrame(values, columns=[f"c{i}" for i in range(500)])).replace(float("nan"), None)
+    got = {(r["x"], r["y"]): r["r"] for r in profile.correlations(df).collect()}
+    want = pd.DataFrame(values).corr()
+    assert len(got) == 500 * 499 // 2
+    assert all(got[f"c{i}", f"c{j}"] == pytest.approx(want.iloc[i, j], abs=1e-9) for i, j in [(0, 1), (3, 499), (250, 251), (100, 400)])
+
+
+def test_distinct_counts_of_all_types_without_expanding_rows(spark):
+    rows = [(i % 7, i, -i * 10**12, float(i % 5) if i % 9 else None, i % 2 == 0, "x" * (i % 4), 0.0 if i % 2 else -0.0) for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b long, c long, d double, e boolean, f string, z double").withColumn("day", F.expr("date'2020-01-01' + a")).withColumn("n", F.lit(None).cast("int"))
+    df = df.withColumn("l", F.array("f"))
+    got = {r["column"]: r["n_unique"] for r in profile.schema_profile(df).collect()}
+    want = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+    assert got == want
+    assert "Expand" not in profile.schema_profile(df)._jdf.queryExecution().toString()
+    by = {(r["a"], r["column"]): r["n_unique"] for r in profile.distinct_counts(df, ["f", "b"], ["a"]).collect()}
+    assert by[3, "f"] == 4 and by[3, "b"] == df.where("a = 3").count()

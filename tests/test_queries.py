@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from catalog import REGISTRY
+from tools.check_queries import TIGHT, normal
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings labels".split()
 SAMPLE = [
@@ -54,15 +55,16 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
 
 
-#: Tail probabilities and matrices of one result row, and arrays summed per task.
+#: Tail probabilities and matrices of one result row, arrays summed per task, and functions of the caller's own.
 PYTHON = {
-    "density_curve", "density_per_group", "violin_statistics", "listing_room_type_test", "patient_age_and_billing", "insight_categories",
+    "listing_room_type_test", "patient_age_and_billing", "insight_categories",
     "anova_three_groups", "anova_five_groups", "chi_square_flags", "chi_square_regions", "chi_square_two_by_two", "welch_price_by_type",
     "welch_billing_by_gender", "pearson_test", "ridge_two_features", "ridge_listing_price", "patient_job_tests", "silhouette_sampled",
-    "bootstrap_mean_interval",
+    "bootstrap_mean_interval", "bootstrap_median_interval", "kmeans_sizes", "kmeans_properties", "group_function_gaps", "group_function_count",
+    "group_function_whole", "row_function", "column_function", "map_columns",
 }
 #: These run streams or write reports while their frame is made.
-RUNNING = {"stream_daily_counts", "stream_ledger", "listing_report_lines"}
+RUNNING = {"stream_daily_counts", "stream_ledger", "listing_report_lines", "text_report_lines", "json_report_rows"}
 
 
 def test_no_python_workers_and_no_cross_products(spark, sf):
@@ -74,3 +76,17 @@ def test_no_python_workers_and_no_cross_products(spark, sf):
 
 def test_rank_limit_applies_before_the_shuffle(spark, sf):
     assert "WindowGroupLimit" in _plan(REGISTRY["largest_per_group"].run(spark, sf))
+
+
+NAMES = sorted(set(REGISTRY) - RUNNING)
+
+
+@pytest.mark.parametrize("part", range(8))
+def test_plans_of_large_inputs_give_the_same_tables(spark, sf, con, monkeypatch, part):
+    """All queries with plan parameters near zero, so that small tables get the plans of large ones."""
+    for (module, name), value in TIGHT.items():
+        monkeypatch.setattr(module, name, value)
+    for name in NAMES[part::8]:
+        if REGISTRY[name].sql:
+            df, rel = REGISTRY[name].run(spark, sf), con.sql(REGISTRY[name].sql)
+            assert normal(df.columns, [tuple(r) for r in df.collect()]) == normal(rel.columns, rel.fetchall()), name

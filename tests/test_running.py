@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fieldbook.operators import running
+from fieldbook.operators import imputing, running
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +90,14 @@ def test_rows_without_account_share_one(spark, chunks):
     df = spark.createDataFrame([(None, i, 1.0) for i in range(6)], "account string, seq int, amount double")
     out = running.limit_ledger(df, "account", "amount", ["seq"], 3, 20_000.0, chunks).orderBy("seq").collect()
     assert [r["accepted"] for r in out] == [1, 1, 1, 0, 0, 0]
+
+
+@pytest.mark.parametrize("chunks", [1, 9])
+def test_several_columns_are_carried_with_one_range_shuffle(rows, chunks):
+    both = rows.withColumn("w", F.when(F.col("id") % 13 == 0, F.col("id").cast("string")))
+    found = running.carry_all_forward(both, ["v", "w"], ["id"], ["k"], chunks)
+    got, pdf = found.orderBy("id").toPandas(), both.toPandas().sort_values("id")
+    for i, c in enumerate("vw"):
+        want = pdf.groupby("k")[c].ffill().reset_index(drop=True)
+        pd.testing.assert_series_equal(got[f"carried_{i}"], want, check_names=False, check_dtype=False)
+    assert imputing.fill_previous(both, ["v", "w"], "id").columns == both.columns
