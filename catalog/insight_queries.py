@@ -102,8 +102,8 @@ _listing(
 )
 _listing(
     "top_areas", "IA8",
-    f"'The five most listed areas are ' || (SELECT string_agg(a || ' (' || {m('n')} || ')', ', ' ORDER BY n DESC, a) FROM (SELECT area AS a, count(*) AS n FROM listing GROUP BY 1 ORDER BY n DESC, a LIMIT 5))"
-    f" || '. ' || hk || ' has the highest median price (' || {m('hv')} || ').'",
+    f"'Half of the listings in ' || hk || ' cost more than ' || {m('hv')} || ', a level no other area reaches. Supply is largest in '"
+    f" || (SELECT string_agg(a || ' (' || {m('n')} || ')', ', ' ORDER BY n DESC, a) FROM (SELECT area AS a, count(*) AS n FROM listing GROUP BY 1 ORDER BY n DESC, a LIMIT 5)) || '.'",
     "FROM e", _ranked("listing", "area", "median(price)"),
 )
 _listing(
@@ -132,7 +132,7 @@ _listing(
 )
 _listing(
     "commercial_hosts", "IA13 G37",
-    f"'Commercial hosts price ' || {p('c / s', 2)} || ' times the solo median, that is ' || CASE WHEN c > s THEN 'higher' ELSE 'lower' END || '.'",
+    f"'Median price by kind of host: ' || {m('s')} || ' with a single listing, ' || {m('c')} || ' with more than 20; for each 100 asked by the former the latter ask ' || {p('c / s * 100', 0)} || '.'",
     "FROM (SELECT median(price) FILTER (host_listings > 20) AS c, median(price) FILTER (host_listings = 1) AS s FROM listing) WHERE c / s IS NOT NULL",
 )
 _listing(
@@ -166,8 +166,8 @@ _patient(
 )
 _patient(
     "ages", "IH3 P26",
-    f"'Ages span ' || {m('min(age)')} || ' to ' || {m('max(age)')} || ' with mean ' || {p('avg(age)')} || ' and deviation ' || {p('stddev_samp(age)')} || '. The largest band is ' || any_value(hk) || '; '"
-    f" || {p('avg((age >= 65)::INT) * 100')} || '% are 65 or older.'",
+    f"'From age 65 on: ' || {p('avg((age >= 65)::INT) * 100')} || '% of patients. Most fall into the band ' || any_value(hk) || '; the oldest is ' || {m('max(age)')} || ', the youngest ' || {m('min(age)')}"
+    f" || ', on average ' || {p('avg(age)')} || ' (spread ' || {p('stddev_samp(age)')} || ').'",
     "FROM patient, e",
     _ranked("(SELECT CASE WHEN age > 0 AND age <= 18 THEN '<18' WHEN age > 18 AND age <= 35 THEN '18-35' WHEN age > 35 AND age <= 50 THEN '36-50' WHEN age > 50 AND age <= 65 THEN '51-65' WHEN age > 65 THEN '65+' END AS band FROM patient)", "band", "count(*)"),
 )
@@ -179,8 +179,8 @@ _patient(
 _COST = ", c AS (SELECT first(k ORDER BY v DESC, k) AS ck, max(v) AS cv, first(k ORDER BY v, k) AS lck, min(v) AS lcv FROM (SELECT {0} AS k, avg(billing) AS v FROM patient GROUP BY 1))"
 _patient(
     "conditions", "IH5 G22",
-    f"hk || ' is the most frequent condition (' || {m('hv')} || ' cases, ' || {p('hv * 100.0 / (SELECT count(*) FROM patient)')} || '%), ' || lk || ' the least (' || {m('lv')}"
-    f" || '). The highest mean bill is ' || ck || ' (' || {m('cv')} || ').'",
+    f"'Bills average ' || {m('cv')} || ' for ' || ck || ', more than for any other diagnosis. Seen least: ' || lk || ', ' || {m('lv')} || ' times; seen most: ' || hk"
+    f" || ', ' || {m('hv')} || ' times or ' || {p('hv * 100.0 / (SELECT count(*) FROM patient)')} || '% of all stays.'",
     "FROM e, c", _ranked("patient", "condition", "count(*)") + _COST.format("condition"),
 )
 _patient(

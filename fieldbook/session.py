@@ -31,11 +31,23 @@ def build_session(master: str | None = None, app: str = "fieldbook", **settings:
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, a local session takes its warehouse; on a cluster a
+    warehouse on local disks would not be shared, and that is refused.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and re.match(r"(file:)?/", shared):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {shared} is on local disks")
+    return re.sub("^file:/+", "file:///", shared.rstrip("/"))
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """A folder of this session below the one all executors share: ``spark.checkpoint.dir``,
-    or the warehouse where that is unset, as in tests. It goes when the driver ends."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    shared = re.sub("^file:/+", "file:///", shared.rstrip("/"))
+    """A folder of this session below the shared one. It goes when the driver ends."""
+    shared = shared_folder(spark)
     root = f"{shared}/fieldbook-{spark.sparkContext.applicationId}"
     if root not in _ROOTS:
         _ROOTS.add(root)

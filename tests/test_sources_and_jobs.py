@@ -114,3 +114,19 @@ def test_sheet_filters_and_top(spark):
     assert got["x"]["share"] == pytest.approx(0.9) and got["x"]["avg_v"] == 5.0
     board = worksheets.dashboard(df, {"s": worksheets.Sheet({"k": F.col("k")}, {"v": F.sum("v")})}, {"d": ["y"]})
     assert {r["k"]: r["v"] for r in board["s"].collect()} == {"a": 1.0, "c": 2.0, None: 9.0}
+
+
+def test_local_disks_are_no_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from fieldbook.session import shared_folder
+
+    def held(master, **settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, *default: settings.get(key.replace(".", "_"), *default)), sparkContext=SimpleNamespace(master=master))
+
+    here = {"spark_sql_warehouse_dir": "file:/home/x/warehouse"}
+    assert shared_folder(held("local[4]", **here)) == "file:///home/x/warehouse"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(held("yarn", **here))
+    assert shared_folder(held("yarn", spark_checkpoint_dir="hdfs://n/tmp/", **here)) == "hdfs://n/tmp"
+    assert shared_folder(held("yarn", spark_sql_warehouse_dir="s3a://b/w")) == "s3a://b/w"
