@@ -36,7 +36,7 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op5_benchmark_decontamination")
+@query("op5_benchmark_decontamination", decontam.SQL)
 def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 

@@ -1,8 +1,11 @@
 import json
+import random
 from collections import Counter
 
+import duckdb
 import pytest
 import regex
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -104,7 +107,81 @@ def test_no_python_and_no_cross_products(spark, sf):
 def test_fingerprint_places(spark):
     rows = spark.createDataFrame([(1, 5, 1), (1, 4, 1), (1, -1, 1), (2, 7, 3), (2, 0, 2), (3, -(2**63), 1)], "k int, h long, weight long")
     got = {r.k: r.fingerprint for r in decontam.simhashed(rows, ["k"]).collect()}
-    assert got == {1: 5, 2: 7, 3: -(2**63)}
+    assert {k: f[0] for k, f in got.items()} == {1: 5, 2: 7, 3: -(2**63)}
+    assert all(len(f) == decontam.NUMBERS and len(set(f)) == len(f) for f in got.values())
+
+
+def plain_bits(weights, number):
+    """One number of the fingerprint of hashes with weights."""
+    hashed = [((h if number == 0 else xxhash.xxh64_intdigest(int(number).to_bytes(4, "little"), seed=xxhash.xxh64_intdigest(h.to_bytes(8, "little", signed=True), seed=42))) % 2**64, w) for h, w in weights.items()]
+    total = sum(w for _, w in hashed)
+    return sum(1 << i for i in range(64) if 2 * sum(w for h, w in hashed if h >> i & 1) > total)
+
+
+def test_fingerprints_equal_plain_ones(spark):
+    draw = random.Random(5)
+    sets = {k: {draw.randrange(-(2**63), 2**63): draw.choice([1, 1, 2, 5]) for _ in range(draw.choice([1, 2, 9, 40]))} for k in range(30)}
+    rows = spark.createDataFrame([(k, h, w) for k, s in sets.items() for h, w in s.items()], "k int, h long, weight long")
+    got = {r.k: [f % 2**64 for f in r.fingerprint] for r in decontam.simhashed(rows, ["k"]).collect()}
+    assert got == {k: [plain_bits(s, j) for j in range(decontam.NUMBERS)] for k, s in sets.items()}
+
+
+def test_no_similar_pair_is_beyond_the_radius(spark):
+    """3000 pairs of windows just at the least similarity, from 9 to 96 shingles: all are within it."""
+    draw, rows, wanted = random.Random(9), [], 0
+    for k in range(3000):
+        size = draw.randrange(9, 97)
+        new = next(x for x in range(size, -1, -1) if (size - x) / (size + x) >= 0.8)
+        shared = [draw.randrange(-(2**63), 2**63) for _ in range(size - new)]
+        assert 0.8 <= (size - new) / (size + new) and (size - new - 1) / (size + new + 1) < 0.8
+        for side in (0, 1):
+            rows += [(k, side, h, 1) for h in [*shared, *[draw.randrange(-(2**63), 2**63) for _ in range(new)]]]
+    marks = decontam.simhashed(spark.createDataFrame(rows, "k int, side int, h long, weight long").repartition(8), ["k", "side"])
+    one = marks.where("side = 0").select("k", F.col("fingerprint").alias("a"), decontam.blocks(F.col("fingerprint")).alias("b"))
+    other = marks.where("side = 1").select("k", F.col("fingerprint").alias("c"), decontam.blocks(F.col("fingerprint")).alias("b"))
+    met = one.join(other, ["k", "b"]).select("k", decontam.apart(F.col("a"), F.col("c")).alias("bits")).distinct()
+    bits = [r.bits for r in met.collect()]
+    assert len(bits) == 3000 and max(bits) <= decontam.RADIUS
+
+
+def test_the_index_meets_few_pairs_of_one_length(spark):
+    draw = random.Random(11)
+    texts = [" ".join(draw.choices([f"v{i}" for i in range(500)], k=60)) for _ in range(2000)]
+    known = items(spark, list(enumerate(texts)))
+    copies = [(i, "some words before it " + " ".join([*texts[i].split()[:30], "other", *texts[i].split()[31:]]) + " and after") for i in range(0, 2000, 20)]
+    calls, join = [], decontam._candidates
+
+    def counted(laid, window_marks, item_marks):
+        window = [*decontam.ROW, "size", "start"]
+        left = laid.join(window_marks, window).select(*window, "item", decontam.blocks(F.col("fingerprint")).alias("b"))
+        right = item_marks.select("item", decontam.blocks(F.col("fingerprint")).alias("b"))
+        calls.append((left.join(right, ["item", "b"]).count(), laid.select(*window).distinct().count() * 2000))
+        return join(laid, window_marks, item_marks)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(decontam, "_candidates", counted)
+        got = found_hits(decontam.hits(docs(spark, copies), known))
+    assert {i for i, j in got if i == j} == {i for i, _ in copies}
+    met, pairs = calls[0]
+    assert 0 < met < pairs / 10
+
+
+def test_hits_equal_sql(spark, sf):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    d, b = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "benchmark"))
+    got = sorted(tuple(r) for r in decontam.hits(d, b).collect())
+    assert got == sorted(con.sql(decontam.SQL).fetchall()) and got
+
+
+def test_repeated_rows_and_rows_without_id(spark):
+    text = "before " * 4 + " ".join(WORDS) + " after"
+    rows = [(1, text), (1, text), (None, text), (None, None), (2, None), (3, text + " x"), (3, "short")]
+    got = [(r.doc_id, r.item_id, r.similarity, r.first_word) for r in decontam.hits(docs(spark, rows), items(spark, ITEMS)).collect()]
+    assert sorted(got, key=repr) == sorted([(i, j, 1.0, 4) for i in (1, 3, None) for j in (1, 5)], key=repr)
+    kept = decontam.drop_contaminated(docs(spark, rows), items(spark, ITEMS)).collect()
+    assert sorted((r.doc_id for r in kept), key=repr) == [2, None, None]
 
 
 @pytest.fixture(scope="module")
