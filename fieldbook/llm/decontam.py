@@ -79,7 +79,8 @@ def simhashed(rows: DataFrame, key: list[str], numbers: int = NUMBERS) -> DataFr
 
 
 def blocks(fingerprint: Column, numbers: int = NUMBERS) -> Column:
-    """The RADIUS + 1 blocks of a fingerprint or more, none across two of its numbers: (number, value)."""
+    """The RADIUS + 1 blocks of a fingerprint or more, none across two of its numbers: a whole number
+    of the block's number and value."""
     per = -(-(RADIUS + 1) // numbers)
     base, more = divmod(64, per)
     out = []
@@ -88,7 +89,7 @@ def blocks(fingerprint: Column, numbers: int = NUMBERS) -> Column:
         for k in range(per):
             width = base + (k < more)
             value = F.shiftrightunsigned(fingerprint[j], at).bitwiseAND(F.lit((1 << width) - 1))
-            out.append(F.struct(F.lit(j * per + k).alias("block"), value.cast("int").alias("value")))
+            out.append((F.lit((j * per + k) << 16) + value).cast("int"))
             at += width
     return F.explode(F.array(*out))
 
@@ -104,11 +105,15 @@ def _bounded(table: DataFrame) -> DataFrame:
 
 
 def _candidates(laid: DataFrame, window_marks: DataFrame, item_marks: DataFrame) -> DataFrame:
-    """The pairs of ``laid`` (row, size, start, item) within the radius, through the blocks."""
+    """The pairs of ``laid`` (pair, row, size, start, item) within the radius, through the blocks."""
     window = [*ROW, "size", "start"]
-    left = laid.join(window_marks, window).select(*window, "item", "fingerprint", blocks(F.col("fingerprint")).alias("b"))
-    right = item_marks.select("item", F.col("fingerprint").alias("other"), blocks(F.col("fingerprint")).alias("b"))
-    return left.join(right, ["item", "b"]).where(apart(F.col("fingerprint"), F.col("other")) <= RADIUS).select(*window, "item").distinct()
+    marked = materialise(laid.join(window_marks, window), "pair-marks")
+    left = marked.select("pair", "item", blocks(F.col("fingerprint")).alias("b"))
+    right = item_marks.select("item", blocks(F.col("fingerprint")).alias("b"))
+    met = left.join(right, ["item", "b"]).select("pair").distinct()
+    other = item_marks.withColumnRenamed("fingerprint", "other")
+    near = marked.join(met, "pair").join(other, "item").where(apart(F.col("fingerprint"), F.col("other")) <= RADIUS)
+    return near.select(*window, "item")
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -144,7 +149,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     least = F.ceil((F.least("n", "size") + F.col("size")) * (SIMILAR / (1 + SIMILAR)) - 1e-6).cast("int")
     ends = F.filter("at", lambda p, i: F.get("at", i - F.col("least") + 1) > p - F.col("size"))
     starts = F.array_distinct(F.transform(ends, lambda p: F.greatest(p - F.col("size") + 1, F.lit(0))))
-    laid = materialise(places.withColumn("least", least).select(*ROW, "item", "size", F.explode(starts).alias("start")), "window-starts")
+    laid = materialise(places.withColumn("least", least).select(*ROW, "item", "size", F.explode(starts).alias("start")).withColumn("pair", F.monotonically_increasing_id()), "window-starts")
     lengths = materialise(laid.select(*ROW, "size", "start").distinct(), "window-places")
     again = rows.join(_bounded(materialise(lengths.select(*ROW).distinct(), "rows")), ROW, "left_semi").dropDuplicates(ROW)
     held = again.select("doc_id", *ROW, shingle_hashes(F.col("text")).alias("hashes")).join(_bounded(lengths), ROW)
