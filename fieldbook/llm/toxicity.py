@@ -4,8 +4,14 @@ A word's vector is the mean of the embeddings of its hashed character n-grams, a
 the mean over its ``PASSAGE`` places, where a word counts once and its repetitions and places
 beyond a short text's end are zero, and a two-class softmax scores the passage. Embeddings and softmax are
 learned together in numpy. Misspellings share most n-grams with words that were seen. A mean
-over a long text would drown a few insults, so a text is scored passage by passage and has the
-score of its worst; in learning, too, each text's currently worst passage stands for it.
+over a long text would drown a few insults, so a text has the score of its worst passage; in
+learning, too, each text's currently worst passage stands for it.
+
+Passages overlap, so that no verdict depends on where a grid falls. In scoring a passage begins
+at every word: a word adds to the passages that hold it and no earlier place of the same word,
+a range of begins, so the sums of all passages are running sums of differences. They are taken in
+whole numbers, so equal texts have equal scores wherever they stand. In learning a passage
+begins at every ``STEP`` words, and the last one ends with the text.
 
 The model is learned from a sample of labelled rows, each with all its passages and whole words:
 those of the ``ROWS`` ids with the smallest hashes, as many as ``TEXT_BYTES`` of texts and
@@ -30,11 +36,12 @@ from pyspark.sql import functions as F
 
 from fieldbook.llm.common import fold, hand_back, mapped, texts
 from fieldbook.llm.tokenfiles import slices
-from fieldbook.llm.words import parts_of_words, spans, words_of
+from fieldbook.llm.words import parts_of_words, words_of
 from fieldbook.session import materialise
 
 ROWS, TEXT_BYTES, WORD_BYTES = 10_000, 64 << 20, 12 << 20  # bounds of the learning sample
-PASSAGE = 24  # words
+PASSAGE, STEP = 24, 12  # words; in learning, from one passage's begin to the next
+FIXED = float(1 << 32)  # scores are summed in such parts
 SIZES, BUCKETS, WIDTH = (3, 4, 5), 1 << 17, 8
 HELD_OUT, FOLDS = 0, 5
 THRESHOLD = 0.5
@@ -42,6 +49,17 @@ BATCH_BYTES = 8 << 20
 LEARN_BYTES, STEP_PARTS = 4 << 20, 1 << 21  # texts encoded, n-grams moved at a time in learning
 
 
+def begins(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins and lengths of the learning passages of each range of words, and their range; a
+    passage at every STEP words, the last one at the end. An empty range has none."""
+    size = np.diff(bounds)
+    last = np.maximum(size - PASSAGE, 0)
+    n = np.where(size > 0, -(-last // STEP) + 1, 0)
+    owner = np.repeat(np.arange(len(size)), n)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    return bounds[:-1][owner] + np.minimum(nth * STEP, last[owner]), np.minimum(size, PASSAGE)[owner], owner
+
+
 def distinct_words(code: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each passage's words without repetitions, in a row, and where each passage's begin (with
     the end). A passage has at most PASSAGE words."""
@@ -61,30 +79,42 @@ class Scorer:
     weights: np.ndarray
     bias: float
 
-    def passages(self, texts_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Score of every passage, and the text it belongs to."""
+    def scores(self, texts_: pa.Array) -> np.ndarray:
+        """Score of every text: that of its worst passage."""
         code, bounds, words = words_of(texts_)
         total, count = np.zeros(len(words)), np.zeros(len(words))
         for owner, bucket in parts_of_words(words, SIZES, BUCKETS):
             total += np.bincount(owner, self.weights[bucket], len(words))
             count += np.bincount(owner, minlength=len(words))
-        per_word = total / np.maximum(count, 1)
-        starts, owner = spans(bounds, PASSAGE)
-        if not len(starts):
-            return np.zeros(0), owner
-        code, begin = distinct_words(code, starts, np.diff(starts, append=len(code)))
-        mean = np.add.reduceat(per_word[code], begin[:-1]) / PASSAGE
-        return 1 / (1 + np.exp(-np.clip(mean + self.bias, -30, 30))), owner
+        per_word = np.rint(total / np.maximum(count, 1) * FIXED)
+        worst_sum = worst_windows(code, bounds, per_word)
+        return 1 / (1 + np.exp(-np.clip(worst_sum / FIXED / PASSAGE + self.bias, -30, 30)))
 
-    def scores(self, texts_: pa.Array) -> np.ndarray:
-        """Score of every text: that of its worst passage."""
-        out = np.zeros(len(texts_))
-        found, owner = self.passages(texts_)
-        np.maximum.at(out, owner, found)
-        bare = np.ones(len(texts_), bool)
-        bare[owner] = False
-        out[bare] = 1 / (1 + np.exp(-np.clip(self.bias, -30, 30)))
+
+def worst_windows(code: np.ndarray, bounds: np.ndarray, per_word: np.ndarray) -> np.ndarray:
+    """Of each range of words, the greatest sum of a passage's distinct words, over passages
+    from every word; the only one of a short range is the range itself, of an empty one 0."""
+    n, size = len(code), np.diff(bounds)
+    out = np.zeros(len(size))
+    if not n:
         return out
+    owner = np.repeat(np.arange(len(size)), size)
+    order = np.argsort(owner * (int(code.max()) + 1) + code, kind="stable")
+    again = (code[order][1:] == code[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+    before = np.full(n, -1)
+    before[order[1:][again]] = order[:-1][again]
+    place = np.arange(n)
+    last = (bounds[:-1] + np.maximum(size - PASSAGE, 0))[owner]
+    first = np.maximum(np.maximum(before + 1, place - PASSAGE + 1), bounds[:-1][owner])
+    to = np.minimum(place, last)
+    use = first <= to
+    value = per_word[code[use]]
+    steps = np.bincount(first[use], value, n + 1) - np.bincount(to[use] + 1, value, n + 1)
+    sums = np.cumsum(steps.astype(np.int64))[:n]
+    sums[place > last] = np.iinfo(np.int64).min
+    filled = size > 0
+    out[filled] = np.maximum.reduceat(sums, bounds[:-1][filled])
+    return out
 
 
 @dataclass(frozen=True)
@@ -104,8 +134,8 @@ def encoded(parts: Iterable[pa.Array]) -> Passages:
     codes, ends, owners, words, known, total, rows, held = [], [np.zeros(1, np.int64)], [], [], 0, 0, 0, 0
     for texts_ in parts:
         code, bounds, found = words_of(texts_)
-        starts, owner = spans(bounds, PASSAGE)
-        code, begin = distinct_words(code, starts, np.diff(starts, append=len(code)))
+        starts, lengths, owner = begins(bounds)
+        code, begin = distinct_words(code, starts, lengths)
         codes.append((code + known).astype(np.int32))
         ends.append(begin[1:] + total)
         owners.append(owner + rows)
@@ -219,13 +249,13 @@ def worst(means: np.ndarray, owner: np.ndarray, number: np.ndarray) -> np.ndarra
     return ranked[nth < number[owner[ranked]]]
 
 
-def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int = 8, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
+def learn(passages: pa.Array, owner: np.ndarray, labels: np.ndarray, rounds: int = 8, spread: int = 12, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
     """A scorer from passages, the text each belongs to (ascending), and the texts' labels."""
     found = encoded([passages])
     return learned(replace(found, owner=np.asarray(owner)[found.owner]), labels, rounds, spread, hard, batch, rate, seed)
 
 
-def learned(passages: Passages, labels: np.ndarray, rounds: int = 8, spread: int = 6, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
+def learned(passages: Passages, labels: np.ndarray, rounds: int = 8, spread: int = 12, hard: int = 4, batch: int = 512, rate: float = 0.1, seed: int = 7) -> Scorer:
     """A scorer from passages and their texts' labels.
 
     The first round takes ``spread`` passages of each text at random, all with its label. In the

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fieldbook.llm import language, quality, toxicity
+from fieldbook.llm import language, quality, toxicity, words
 from helpers import ODD, docs, labels, rows_of
 
 
@@ -69,6 +69,39 @@ def test_toxicity_of_unseen_misspellings():
     assert (scorer.scores(pa.array(clean)) >= 0.5).mean() < 0.1
 
 
+def test_scores_equal_every_passage_by_hand():
+    rng = np.random.default_rng(3)
+    weights = rng.normal(0, 3, toxicity.BUCKETS)
+    scorer = toxicity.Scorer(weights, -1.0)
+    texts = [" ".join(rng.choice(["ab", "abc", "dé", "ghij", "k", "日本", "—"], n)) for n in (1, 5, 23, 24, 25, 60, 200)] + ["", None, "  \n ", "x"]
+
+    def word_score(word):
+        if not word:
+            return 0.0
+        found = [weights[b] for _, bucket in words.parts_of_words(pa.array([word], pa.large_string()), toxicity.SIZES, toxicity.BUCKETS) for b in bucket]
+        return sum(found) / max(len(found), 1)
+
+    want = []
+    for text in texts:
+        held = [w.strip(words.EDGES) for w in (text or "").lower().split()]
+        means = [sum(word_score(w) for w in set(held[i : i + 24])) / 24 for i in range(max(len(held) - 24, 0) + 1)] if held else [0.0]
+        want.append(1 / (1 + np.exp(-np.clip(max(means) - 1.0, -30, 30))))
+    assert scorer.scores(pa.array(texts, pa.string())) == pytest.approx(want, abs=1e-8)
+    twice = scorer.scores(pa.array(texts * 3, pa.string())).reshape(3, -1)
+    assert (twice == twice[0]).all()  # wherever a text stands in a batch
+
+
+def test_verdicts_do_not_depend_on_words_put_in_front():
+    rng = np.random.default_rng(1)
+    texts, y = made_passages(rng, 1500)
+    scorer = toxicity.learn(pa.array(texts), np.arange(len(texts)), y)
+    fresh, _ = made_passages(rng, 300)
+    plain = [w for t in fresh[1].split() for w in [t]][:23]
+    before = scorer.scores(pa.array(fresh)) >= 0.5
+    changed = [(scorer.scores(pa.array([" ".join([*plain[:k], t]) for t in fresh])) >= 0.5) != before for k in range(1, 24)]
+    assert np.mean(changed) < 0.01
+
+
 def test_toxicity_is_learned_from_whole_rows(spark, monkeypatch):
     made = []
 
@@ -84,7 +117,9 @@ def test_toxicity_is_learned_from_whole_rows(spark, monkeypatch):
     table = docs(spark, [*long.items(), (known[3], joined)])
     toxicity.train(table, labels(spark, [(i, 1, int(k % 2)) for k, i in enumerate(known)]))
     sizes = np.diff(made[0].bounds)
-    assert (sizes > 0).sum() == 30 + 200 + 1 + 40 + 1 and sizes.sum() == sum(len(t.split()) for t in long.values()) + 1
+    n = [len(t.split()) for t in long.values()] + [1]
+    # A passage at every twelfth word, the last one at the end; every word is in one.
+    assert (sizes > 0).sum() == sum(-(-max(k - 24, 0) // 12) + 1 for k in n) and len(np.unique(made[0].code)) == sum(n)
     assert made[0].parts.max() == sum(502 - n + 1 for n in toxicity.SIZES)
 
 
