@@ -12,6 +12,8 @@ block to start with: of any two fingerprints within the radius, some starting bl
 every k, at most k * radius / (radius + 1) errors in the first k blocks, so none in the first
 block. The first block names the subtree that a task works on; a subtree with more than
 ``SUBTREE`` fingerprints is dealt out as pairs of its parts, each pair meeting in one task.
+A task takes its subtrees in order, sorted by Spark, and holds about ``SUBTREE`` fingerprints,
+or one subtree, at a time, however many its partition has.
 Tasks return each subtree's groups as stars, and the stars are joined into components.
 
 Nodes whose fingerprints are in one group already need no further comparison, so dense groups
@@ -24,7 +26,7 @@ rows fall together by their fingerprint. Empty table: no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +40,7 @@ from fieldbook.session import materialise
 
 SHINGLE, RADIUS = 4, 4
 SUBTREE = 200_000  # fingerprints of one subtree handled by one task together
+SUBTREE_KEY = ["start", "block", "one", "other"]
 FRONTIER = 1 << 18  # node pairs walked down together
 
 
@@ -171,23 +174,49 @@ def trie_groups(x: np.ndarray, depth: int, budget: np.ndarray, radius: int, fron
     return groups.root
 
 
-def subtree_stars(radius: int):
+def whole_subtrees(frames: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """Rows sorted by subtree, put together into frames of whole subtrees. A frame ends at the
+    first border at which it has ``rows`` rows, so what is held is less than ``rows`` and one subtree."""
+    held, count = [], 0
+    for frame in frames:
+        if not len(frame):
+            continue
+        held.append(frame)
+        count += len(frame)
+        if count < rows:
+            continue
+        table = pd.concat(held, ignore_index=True)
+        key = table[SUBTREE_KEY].to_numpy()
+        new = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+        cuts, begin = [], 0
+        for border in new.tolist():
+            if border - begin >= rows:
+                cuts.append((begin, border))
+                begin = border
+        if len(new) and begin < new[-1]:  # the last subtree may go on in the next frame
+            cuts.append((begin, int(new[-1])))
+            begin = int(new[-1])
+        for x, y in cuts:
+            yield table.iloc[x:y]
+        held, count = [table.iloc[begin:]], len(table) - begin
+    if count:
+        yield pd.concat(held, ignore_index=True)
+
+
+def subtree_stars(radius: int, subtree: int = SUBTREE):
     sizes = blocks(radius)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [f for f in frames if len(f)]
-        if not rows:
-            return
-        table = pd.concat(rows, ignore_index=True)
-        for (start, _, _), part in table.groupby(["start", "one", "other"], sort=False):
-            value = part["value"].to_numpy().astype(np.int64).view(np.uint64)
-            turn = np.uint64(sum(sizes[:start]))
-            x = np.unique((value << turn) | (value >> np.uint64(64) - turn) if turn else value)
-            root = trie_groups(x, sizes[start], budgets(radius, start), radius)
-            back = ((x >> turn) | (x << np.uint64(64) - turn) if turn else x).view(np.int64)
-            linked = root != np.arange(len(x))
-            if linked.any():
-                yield pd.DataFrame({"a": back[linked], "b": back[root[linked]]})
+        for table in whole_subtrees(frames, subtree):
+            for (start, _, _), part in table.groupby(["start", "one", "other"], sort=False):
+                value = part["value"].to_numpy().astype(np.int64).view(np.uint64)
+                turn = np.uint64(sum(sizes[:start]))
+                x = np.unique((value << turn) | (value >> np.uint64(64) - turn) if turn else value)
+                root = trie_groups(x, sizes[start], budgets(radius, start), radius)
+                back = ((x >> turn) | (x << np.uint64(64) - turn) if turn else x).view(np.int64)
+                linked = root != np.arange(len(x))
+                if linked.any():
+                    yield pd.DataFrame({"a": back[linked], "b": back[root[linked]]})
 
     return run
 
@@ -209,7 +238,8 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, subtree: int = SUBTREE
     own = F.pmod(F.xxhash64("value"), parts).cast("int")
     meet = F.transform(F.sequence(F.lit(0), parts - 1), lambda p: F.struct(F.least(own, p).alias("one"), F.greatest(own, p).alias("other")))
     dealt = rows.select("value", "start", "block", F.explode(meet).alias("m")).select("value", "start", "block", "m.*")
-    return dealt.repartition("start", "block", "one", "other").select("start", "one", "other", "value").mapInPandas(subtree_stars(radius), "a long, b long")
+    sorted_ = dealt.repartition(*SUBTREE_KEY).sortWithinPartitions(*SUBTREE_KEY).select(*SUBTREE_KEY, "value")
+    return sorted_.mapInPandas(subtree_stars(radius, subtree), "a long, b long")
 
 
 def near_groups(docs: DataFrame, words_each: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

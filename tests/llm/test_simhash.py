@@ -1,6 +1,8 @@
 import re
 
 import numpy as np
+import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -81,6 +83,28 @@ def test_links_of_dense_and_divided_subtrees(spark):
         assert len(set(zip(group, expected))) == len(set(group)) == len(set(expected))
 
 
+@pytest.mark.parametrize("rows", [1, 7, 100, 10_000])
+def test_a_task_never_holds_more_than_its_rows_and_one_subtree(rows):
+    rng = np.random.default_rng(rows)
+    sizes = [1, 2, 40, 3, 300, 1, 1, 5, 60, 2] * 3
+    key = np.repeat(np.arange(len(sizes)), sizes)
+    table = pd.DataFrame({"start": key // 10, "block": key % 10, "one": 0, "other": 0, "value": rng.integers(0, 2**60, len(key))})
+    most, given_out = 0, []
+
+    def frames():
+        nonlocal most
+        for i in range(0, len(table), 16):
+            most = max(most, min(i + 16, len(table)) - sum(map(len, given_out)))
+            yield table.iloc[i : i + 16]
+
+    for part in simhash.whole_subtrees(frames(), rows):
+        given_out.append(part)
+    assert most <= rows + 300 + 16
+    pd.testing.assert_frame_equal(pd.concat(given_out, ignore_index=True), table)
+    seen = [set(map(tuple, part[["start", "block"]].to_numpy())) for part in given_out]
+    assert sum(map(len, seen)) == len(sizes)  # no subtree is in two frames
+
+
 def test_odd_rows(spark):
     found = simhash.near_groups(docs(spark, ODD))
     none = [r.component_id for r in found.collect() if r.fingerprint == 0]
