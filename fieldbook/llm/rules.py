@@ -1,10 +1,15 @@
 """Quality rules, lines first: clean a text line by line, then judge what the cleaning took.
 
-A line is taken out if one of these holds: it has marks that end no sentence (punctuation), it
-is a menu (navigation), or it is a notice of the kind that sites repeat (boilerplate). A document
+A line is taken out if one of these holds: it ends as no sentence does (punctuation), it is a
+menu (navigation), or it is a notice of the kind that sites repeat (boilerplate). A document
 is rejected if it fails the base rules, or if the lines taken out hold more than ``MOST_LOST`` of
 its words.
 
+Sentences end with the marks of any script that has some; Thai and Lao, which part sentences by
+a space, may end with a letter. A menu is told by its form, short items between separators, or
+by its words; menu words and notices are those of the corpus's languages: English, German,
+French and Spanish.
+
 Words are runs of anything but ASCII white space. Null or empty text: no words, one empty line,
 rejected. Null id: judged like any other. Repeated rows: judged each. Empty table: no rows. Columns
 other than doc_id and text are not read.
@@ -28,17 +33,51 @@ SYMBOLS = b"#*$%&|<>"
 SYMBOLS_PER_WORD = 0.2
 LONG_LINE = 8  # words from which a line may end without a mark if it has one inside
 
-# As alternatives, since a class of bytes would take characters beyond ASCII apart.
-ENDS = re.compile("""(?:[.!?:;]|…|。|！|？)(?:["')\\]]|”|’|»)*$""".encode())
-INSIDE = re.compile("[.!?,]|…|。|！|？".encode())
-SEPARATOR = re.compile(r"^(?:\||»|›|>|/|·|•|-)$".encode())
+# Marks that end a sentence (or lead to the next line) by script, what may close after
+# them, and marks within sentences.
+END_MARKS = ".!?:;…‥‼⁇⁈⁉。！？；：｡．।॥؟۔؛։׃།༎။።፧។៕᙮᠃"
+CLOSING = "\"')]}”’»“›」』）】"
+INNER_MARKS = ".!?,…。！？，、،।॥؟۔؛։።、၊፣·"
+#: Thai and Lao letters: a line may end with one.
+UNMARKED = (0x0E00, 0x0EFF)
+SEPARATORS = "|»›>·•"
 # Words of menus, and beginnings of repeated notices.
-MENU = set(b"home about contact login logout register search menu sitemap help faq blog news next previous".split())
-NOTICES = re.compile(
-    rb"all rights reserved|copyright (?:\(c\)|\xc2\xa9|[0-9]{4})|terms of (?:use|service)|privacy policy|cookie policy|"
-    rb"we use cookies|accept cookies|subscribe to our|sign up for|click here|read more|share this|follow us on|"
-    rb"skip to (?:main )?content|back to top|powered by"
-)
+MENU = (
+    "home about contact login logout register search menu sitemap help faq blog news next previous "
+    "startseite kontakt impressum anmelden abmelden registrieren suche hilfe weiter datenschutz "
+    "accueil connexion inscription recherche aide plan actualités suivant contactez-nous "
+    "inicio contacto acceso registro buscar ayuda mapa noticias siguiente anterior"
+).split()
+BEGINNING = r"^[ \t]*"  # for words that sentences have, too
+NOTICE_WORDS = [
+    r"all rights reserved", r"copyright (?:\(c\)|©|[0-9]{4})", r"terms of (?:use|service)", r"privacy policy", r"cookie policy", r"we use cookies", r"accept cookies",
+    r"subscribe to our", r"sign up for", r"click here", r"read more", r"share this", r"follow us on", r"skip to (?:main )?content", BEGINNING + r"back to top", BEGINNING + r"powered by",
+    r"alle rechte vorbehalten", BEGINNING + r"nutzungsbedingungen", r"datenschutz(?:erklärung|richtlinie|bestimmungen)", r"cookie-richtlinie", r"wir verwenden cookies", r"cookies akzeptieren",
+    r"newsletter abonnieren", r"hier klicken", r"klicken sie hier", BEGINNING + r"weiterlesen", r"folgen sie uns", r"zum (?:haupt)?inhalt springen", BEGINNING + r"(?:zurück )?nach oben", BEGINNING + r"bereitgestellt von",
+    r"tous droits réservés", r"conditions (?:générales )?d(?:'|’)utilisation", r"politique de confidentialité", r"politique (?:de|relative aux) cookies", r"nous utilisons des cookies",
+    r"accepter les cookies", r"abonnez-vous", r"inscrivez-vous à", r"cliquez ici", BEGINNING + r"lire la suite", BEGINNING + r"en savoir plus", r"suivez-nous", r"aller au contenu", BEGINNING + r"(?:retour en )?haut de page", BEGINNING + r"propulsé par",
+    r"todos los derechos reservados", r"términos (?:de uso|del servicio|y condiciones)", r"política de (?:privacidad|cookies)", r"(?:utilizamos|usamos) cookies", r"aceptar (?:las )?cookies",
+    r"suscr(?:íbete|íbase) a", r"regístrate (?:en|para)", r"ha(?:ga|z) clic aquí", BEGINNING + r"leer más", r"síguenos en", r"(?:ir|saltar) al contenido", BEGINNING + r"volver arriba", BEGINNING + r"desarrollado por",
+]
+
+
+def either_case(pattern: str) -> str:
+    """The pattern with each letter beyond ASCII in both cases, as only ASCII is lower-cased."""
+    return "".join(f"(?:{c}|{c.upper()})" if ord(c) > 127 and c.upper() != c else c for c in pattern)
+
+
+# As alternatives, since a class of bytes would take characters beyond ASCII apart.
+def one_of(characters: str) -> bytes:
+    return b"(?:" + b"|".join(re.escape(c).encode() for c in characters) + b")"
+
+
+NOTICES = re.compile("|".join(map(either_case, NOTICE_WORDS)).encode())
+ENDS = re.compile(one_of(END_MARKS) + one_of(CLOSING) + b"*$")
+INSIDE = re.compile(one_of(INNER_MARKS))
+UNMARKED_END = re.compile(rb"\xe0[\xb8-\xbb][\x80-\xbf]" + one_of(CLOSING) + b"*$")
+SEPARATOR = re.compile(b"^" + one_of(SEPARATORS + "/-") + b"$")
+MENU_BYTES = {w.encode() for w in MENU}
+ITEM_WORDS = 3  # words of a menu's items, at most on average
 SHORT_NOTICE = 25  # words up to which a line that holds a notice is one
 
 
@@ -50,12 +89,16 @@ def failing(line: bytes) -> str | None:
     if marks > SYMBOLS_PER_WORD * len(words) and marks >= 3:
         separators = sum(1 for w in words if SEPARATOR.match(w))
         return "navigation" if 2 * separators >= marks else "punctuation"
+    between = sum(w.decode("utf-8", "replace") in SEPARATORS for w in words if len(w) <= 3)
+    if between >= 2 and len(words) - between <= ITEM_WORDS * (between + 1):
+        return "navigation"
     bare = [w.strip(b".,:;|>-/") for w in lowered.split()]
-    if len(words) >= 2 and 2 * sum(w in MENU or not w for w in bare) > len(words):
+    if len(words) >= 2 and 2 * sum(w in MENU_BYTES or not w for w in bare) > len(words):
         return "navigation"
     if len(words) <= SHORT_NOTICE and NOTICES.search(lowered):
         return "boilerplate"
-    if not ENDS.search(line.rstrip()) and not (len(words) >= LONG_LINE and INSIDE.search(line)):
+    end = line.rstrip()
+    if not ENDS.search(end) and not UNMARKED_END.search(end) and not (len(words) >= LONG_LINE and INSIDE.search(line)):
         return "punctuation"
     return None
 
@@ -77,7 +120,7 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def judge(text: bytes) -> dict:
+def judge(text: bytes, with_text: bool = True) -> dict:
     words = text.split()
     lines = text.split(b"\n")
     seen: set[bytes] = set()
@@ -98,7 +141,7 @@ def judge(text: bytes) -> dict:
         "n_words": n, "word_chars": len(b"".join(words).decode("utf-8", "replace")),
         "n_symbols": len(text) - len(text.translate(None, SYMBOLS)), "n_dup_lines": n_dup, "n_repeat_words": repeated,
         "base_failed": failed, "kept": not failed and lost <= MOST_LOST * n,
-        "lines_removed": removed, "words_removed": lost, "cleaned": b"\n".join(left).decode("utf-8", "replace"),
+        "lines_removed": removed, "words_removed": lost, "cleaned": b"\n".join(left).decode("utf-8", "replace") if with_text else None,
     }
 
 
@@ -114,7 +157,7 @@ def clean(docs: DataFrame, with_text: bool = True) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [judge(t.as_py()) for t in batch.column("text")]
+            found = [judge(t.as_py(), with_text) for t in batch.column("text")]
             columns = [pa.array([f[c] for f in found], COLUMNS[c]) for c in names]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *names])
 
@@ -122,6 +165,11 @@ def clean(docs: DataFrame, with_text: bool = True) -> DataFrame:
     return mapped(raw_texts(docs), run, ", ".join(["doc_id long", *(f"{c} {kinds[COLUMNS[c]]}" for c in names)]))
 
 
+def as_class(characters: str) -> str:
+    """A class of characters for a pattern within SQL text."""
+    return "[" + re.sub(r"([\]\[\\^-])", r"\\\1", characters).replace("'", "''") + "]"
+
+
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SQL = rf"""
@@ -133,14 +181,16 @@ c AS (SELECT row, pos, count(*) OVER (PARTITION BY row, w, w2, w3) AS n FROM t W
 r AS (SELECT row, count(DISTINCT pos + k) AS n_repeat_words FROM c, (SELECT unnest([0, 1, 2]) AS k) WHERE n >= 2 GROUP BY row),
 l AS (SELECT row, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM (SELECT row, string_split(text, chr(10)) AS lines FROM d)),
 m AS (
-    SELECT row, line, len(ws) AS n, nth, length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS marks, {LOWERED.format('line')} AS lowered,
+    SELECT row, line, len(ws) AS n, nth, len(list_filter(ws, lambda x: list_contains({list(SEPARATORS)}, x))) AS between, length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS marks, {LOWERED.format('line')} AS lowered,
         list_transform(ws, lambda x: trim({LOWERED.format('x')}, '.,:;|>-/')) AS bare, rtrim(line, {SPACE}) AS bared
     FROM (SELECT row, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws, row_number() OVER (PARTITION BY row, line ORDER BY i) AS nth FROM l)),
 f AS (
     SELECT row, n, nth, (marks > {SYMBOLS_PER_WORD}::DOUBLE * n AND marks >= 3)
-        OR (n >= 2 AND 2 * len(list_filter(bare, lambda x: x = '' OR list_contains({sorted(x.decode() for x in MENU)}, x))) > n)
-        OR (n <= {SHORT_NOTICE} AND regexp_matches(lowered, '{NOTICES.pattern.decode()}'))
-        OR (NOT regexp_matches(bared, '[.!?:;…。！？]["'')\]”’»]*$') AND NOT (n >= {LONG_LINE} AND regexp_matches(line, '[.!?,…。！？]'))) AS fails
+        OR (n >= 2 AND 2 * len(list_filter(bare, lambda x: x = '' OR list_contains({sorted(MENU)}, x))) > n)
+        OR (between >= 2 AND n - between <= {ITEM_WORDS} * (between + 1))
+        OR (n <= {SHORT_NOTICE} AND regexp_matches(lowered, '{NOTICES.pattern.decode().replace("'", "''")}'))
+        OR (NOT regexp_matches(bared, '{as_class(END_MARKS)}{as_class(CLOSING)}*$') AND NOT regexp_matches(bared, '[\x{{{UNMARKED[0]:04X}}}-\x{{{UNMARKED[1]:04X}}}]{as_class(CLOSING)}*$')
+            AND NOT (n >= {LONG_LINE} AND regexp_matches(line, '{as_class(INNER_MARKS)}'))) AS fails
     FROM m WHERE n > 0),
 s AS (SELECT row, count(*) FILTER (nth > 1) AS n_dup_lines, count(*) FILTER (fails) AS lines_removed, coalesce(sum(n) FILTER (fails), 0)::BIGINT AS words_removed FROM f GROUP BY row),
 a AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,

@@ -126,6 +126,53 @@ def test_line_rules(line, rule):
     assert rules.failing(line.encode()) == rule
 
 
+CLEAN = {
+    "hindi": ["भारत एक विशाल देश है।", "यहाँ अनेक भाषाएँ बोली जाती हैं।", "क्या आप जानते हैं कि गंगा कहाँ से निकलती है?", "लोग खेतों में काम करते हैं।"],
+    "arabic": ["اللغة العربية من أكثر اللغات انتشارا.", "هل تعرف تاريخ هذه المدينة؟", "يعمل الناس في الحقول كل يوم؛", "وصل القطار في المساء."],
+    "urdu": ["یہ ایک خوبصورت شہر ہے۔", "لوگ صبح سویرے کام پر جاتے ہیں۔"],
+    "thai": ["ประเทศไทยมีภาษาและวัฒนธรรมที่หลากหลาย", "ผู้คนทำงานในทุ่งนาทุกวัน", "เขาเดินทางไปเชียงใหม่เมื่อวานนี้"],
+    "greek": ["Η Αθήνα είναι η πρωτεύουσα της Ελλάδας.", "Τι ώρα φεύγει το πλοίο;", "Ο καιρός ήταν καλός."],
+    "armenian": ["Երևանը Հայաստանի մայրաքաղաքն է։"], "chinese": ["北京是中国的首都。", "你知道吗？"],
+    "german": ["Der Weg führt nach oben zum Gipfel.", "Sie wollte das Buch weiterlesen.", "Was für ein Tag!"],
+    "french": ["Il veut en savoir plus sur la ville.", "La rivière a débordé cette nuit.", "« Venez demain », dit-elle."],
+    "spanish": ["¿Dónde está la estación?", "Es un método desarrollado por campesinos.", "Quiero leer más libros este año."],
+}
+JUNK = [
+    ("Alle Rechte vorbehalten.", "boilerplate"), ("Wir verwenden Cookies, um Ihnen zu helfen.", "boilerplate"), ("Lesen Sie unsere Datenschutzerklärung.", "boilerplate"),
+    ("TOUS DROITS RÉSERVÉS.", "boilerplate"), ("Nous utilisons des cookies.", "boilerplate"), ("Voir les conditions générales d’utilisation.", "boilerplate"),
+    ("Todos los derechos reservados.", "boilerplate"), ("Utilizamos cookies propias y de terceros.", "boilerplate"), ("Términos y condiciones.", "boilerplate"),
+    ("Startseite › Themen › Politik", "navigation"), ("Accueil · Actualités · Sport · Contact", "navigation"), ("Inicio • Noticias del día • Deportes", "navigation"), ("หน้าแรก | ข่าว | ติดต่อ", "navigation"),
+    ("Startseite Kontakt Impressum.", "navigation"), ("Accueil Connexion Aide.", "navigation"), ("Inicio Contacto Ayuda.", "navigation"), ("ein Satz ohne Ende", "punctuation"),
+]
+
+
+@pytest.mark.parametrize("language", CLEAN)
+def test_sentences_of_any_script_stay(language):
+    assert [line for line in CLEAN[language] if rules.failing(line.encode())] == []
+    text = "\n".join(f"{line} {i} {line}" for i in range(9) for line in CLEAN[language] for i in (i,))
+    assert rules.judge(text.encode())["lines_removed"] == 0
+
+
+@pytest.mark.parametrize(("line", "rule"), JUNK)
+def test_menus_and_notices_of_the_corpus_languages_go(line, rule):
+    assert rules.failing(line.encode()) == rule
+
+
+def test_rules_of_scripts_and_long_texts_equal_sql(spark, tmp_path):
+    lines = [x for group in CLEAN.values() for x in group] + [x for x, _ in JUNK]
+    rows = [(i, "\n".join([line, "A sentence of its own stands here.", line + " "])) for i, line in enumerate(lines)]
+    rows += [(900, "x" * 50_000), (901, "word " * 30_000), (902, "\n".join(lines * 300)), (903, "a b c. " * 20_000 + "\nHome | About | Us")]
+    table = docs(spark, rows)
+    table.select("doc_id", "text").write.parquet(str(tmp_path / "odd"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/odd/*.parquet'")
+    theirs = con.sql(rules.SQL)
+    got = rows_of(rules.clean(table, with_text=False), *theirs.columns)
+    assert got == sorted(theirs.fetchall(), key=repr)
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    assert rows_of(rules.clean(table), *names) == sorted(((i, *plain_rules(t)) for i, t in rows), key=repr)
+
+
 def test_cleaned_text_has_lost_the_failing_lines():
     judged = rules.judge(b"Home | About | Contact\nA fine sentence stands here.\n\nAll rights reserved.")
     assert judged["cleaned"] == "A fine sentence stands here.\n" and judged["lines_removed"] == 2
