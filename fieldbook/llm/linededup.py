@@ -4,8 +4,14 @@ Documents are taken in batches of ascending id. A run is a stored table of line
 earlier batches have seen, dealt out by hash and sorted, so that a batch's own hashes meet it
 without the run moving. For each batch its hashes are reduced to the smallest document of each and
 merge-joined with the runs: those found were seen before, and the rest, which no run has, is added
-as a run of its own. ``FANOUT`` runs of a level are merged into one of the next. A hash's owner, its
-first document, keeps its lines; all other documents lose theirs.
+as a run of its own. ``FANOUT`` runs of a level are merged into one of the next, bucket by bucket:
+runs are joined in their order, so neither a lookup nor a merge sorts or moves them, and a merged
+run has one file per bucket like any other. A hash's owner, its first document, keeps its lines;
+all other documents lose theirs.
+
+Runs can be kept in a folder (``Runs(spark, folder)``) and opened again by a later call, which
+then drops lines that documents of earlier calls have. Ids should ascend from call to call for
+the result to be that of one call; where they do not, the earlier call's document keeps the line.
 
 A hash is 128 bits wide. A line that is in a great many documents is combined to one row per
 task before it is shuffled, and the join that tells its documents what to drop is one whose
@@ -20,7 +26,9 @@ line left: an empty text. Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import pandas as pd
@@ -66,44 +74,136 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     return mapped(raw_texts(docs).where("doc_id is not null"), run, "doc_id long, h long, g long")
 
 
+#: What a stored run holds: a hash, its first and last document in the batch, and the owner that
+#: an earlier run has for it, null if it is new.
+RUN = "h BIGINT, g BIGINT, owner BIGINT, last BIGINT, earlier BIGINT"
+#: Bucketed scans tell Spark their order if each bucket is one file.
+IN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
+@contextmanager
+def ordered_scans(spark: SparkSession):
+    before = spark.conf.get(IN_ORDER)
+    spark.conf.set(IN_ORDER, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(IN_ORDER, before)
+
+
 class Runs:
-    """Levels of stored runs (h, g, owner), each bucketed and sorted by hash."""
+    """Levels of stored runs (h, g, owner), each bucketed and sorted by hash.
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout = spark, fanout
+    folder: where they stay for later calls, a path that all executors reach; without one they
+    go with the session. ``close`` takes their tables out of the catalog; files stay.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None, fanout: int = FANOUT):
+        self.spark, self.folder, self.fanout = spark, folder, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
-
-    def _store(self, rows: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, "line-run")
-        name = path.rsplit("/", 1)[-1].replace("-", "_")
-        dealt = rows.repartition(self.buckets, "h", "g").sortWithinPartitions("h", "g")
-        dealt.write.option("path", path).bucketBy(self.buckets, "h", "g").sortBy("h", "g").saveAsTable(name)
-        return self.spark.table(name)
+        self.paths: list[list[str]] = []
+        self.tables: list[str] = []
+        self.version = 0
+        if folder:
+            self._open()
+
+    def __enter__(self) -> Runs:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables = []
+
+    def _open(self) -> None:
+        """Read the latest list of runs in the folder, if there is one."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        store = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in store.listStatus(path)] if store.exists(path) else []
+        done = [n for n in names if n.startswith("state-") and store.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{n}/_SUCCESS"))]
+        if not done:
+            return
+        self.version = max(int(n.removeprefix("state-")) for n in done)
+        held = self.spark.read.parquet(f"{self.folder}/state-{self.version}").orderBy("level", "place").collect()  # a row per run
+        for row in held:
+            self.buckets = row["buckets"]
+            while len(self.levels) <= row["level"]:
+                self.levels.append([])
+                self.paths.append([])
+            if row["run"]:
+                path = f"{self.folder}/{row['run']}"
+                name = self._named(path)
+                self.spark.sql(
+                    f"CREATE TABLE {name} ({RUN}) USING parquet CLUSTERED BY (h, g) SORTED BY (h, g) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+                )
+                self.levels[row["level"]].append(self.spark.table(name))
+                self.paths[row["level"]].append(path)
+
+    def save(self) -> None:
+        """Write the list of runs into the folder; from then on later calls find them."""
+        if not self.folder:
+            return
+        rows = [(level, k, path.rsplit("/", 1)[-1], self.buckets) for level, paths in enumerate(self.paths) for k, path in enumerate(paths)]
+        rows += [(level, 0, None, self.buckets) for level, paths in enumerate(self.paths) if not paths]
+        self.version += 1
+        frame = self.spark.createDataFrame(rows, "level int, place int, run string, buckets int")
+        frame.coalesce(1).write.parquet(f"{self.folder}/state-{self.version}")
+
+    def _named(self, path: str) -> str:
+        """A table name of this session for a run; the same folder may be open twice."""
+        self.tables.append(f"line_run_{uuid.uuid4().hex}")
+        return self.tables[-1]
+
+    def _store(self, rows: DataFrame) -> tuple[DataFrame, str]:
+        path = f"{self.folder}/run-{uuid.uuid4().hex}" if self.folder else scratch_path(self.spark, "line-run")
+        name = self._named(path)
+        with ordered_scans(self.spark):
+            rows.select("h", "g", "owner", "last", "earlier").write.option("path", path).bucketBy(self.buckets, "h", "g").sortBy("h", "g").saveAsTable(name)
+        return self.spark.table(name), path
 
     def looked_up(self, firsts: DataFrame) -> DataFrame:
         """The batch's hashes with ``earlier``, the owner that a run has for them, null if unseen."""
         found = firsts.withColumn("earlier", F.lit(None).cast("long"))
         for level in self.levels:
             for run in level:
-                one = run.where("earlier is null").select("h", "g", F.col("owner").alias("_owner"))
+                one = run.where("earlier is null").select("h", "g", F.col("owner").alias("_owner")).hint("merge")
                 found = found.join(one, ["h", "g"], "left").withColumn("earlier", F.coalesce("earlier", "_owner")).drop("_owner")
         return found
 
+    def merged(self, runs: list[DataFrame]) -> DataFrame:
+        """Runs as one: joined in their order, bucket with bucket. No hash is new in two of them."""
+        new = [run.where("earlier is null").select("h", "g", "owner", "last") for run in runs]
+        out = new[0]
+        for other in new[1:]:
+            right = other.withColumnsRenamed({"owner": "_owner", "last": "_last"}).hint("merge")
+            out = out.join(right, ["h", "g"], "full_outer").select(
+                "h", "g", F.coalesce("owner", "_owner").alias("owner"), F.coalesce("last", "_last").alias("last")
+            )
+        return out.withColumn("earlier", F.lit(None).cast("long"))
+
     def add(self, batch: DataFrame) -> DataFrame:
         """Look a batch up and store it as a run; what was stored. Hashes seen before are in it
         with their earlier owner, but are no part of the run. A level that is full becomes one
         run of the next."""
-        stored = run = self._store(self.looked_up(batch))
+        if "last" not in batch.columns:
+            batch = batch.withColumn("last", F.col("owner"))
+        found = self.looked_up(batch.repartition(self.buckets, "h", "g"))
+        stored, path = self._store(found)
+        run = stored
         for level in range(len(self.levels) + 1):
             if level == len(self.levels):
                 self.levels.append([])
+                self.paths.append([])
             self.levels[level].append(run)
+            self.paths[level].append(path)
             if len(self.levels[level]) < self.fanout:
                 break
-            merged = reduce(DataFrame.unionByName, self.levels[level]).where("earlier is null")
-            self.levels[level] = []
-            run = self._store(merged)
+            run, path = self._store(self.merged(self.levels[level]))
+            self.levels[level], self.paths[level] = [], []
         return stored
 
 
@@ -113,9 +213,9 @@ def batch_bounds(hashes: DataFrame, batches: int) -> list[int]:
     return sorted(set(cuts or []))
 
 
-def shared_lines(hashes: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """The line hashes that at least two documents have, each with the smallest of them."""
-    runs = Runs(hashes.sparkSession, fanout)
+def shared_lines(hashes: DataFrame, runs: Runs, batches: int = BATCHES) -> DataFrame:
+    """The line hashes that at least two documents have, those of the runs included, each with
+    the first of them. The hashes are added to the runs."""
     cuts, told = batch_bounds(hashes, batches), []
     for low, high in zip([None, *cuts], [*cuts, None]):
         batch = hashes
@@ -130,12 +230,14 @@ def shared_lines(hashes: DataFrame, batches: int = BATCHES, fanout: int = FANOUT
     return reduce(DataFrame.unionByName, told).distinct()
 
 
-def lines_to_drop(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+def lines_to_drop(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, folder: str | None = None) -> DataFrame:
     """doc_id and gone, the hashes of the lines that the document loses."""
     hashes = materialise(line_hashes(docs), "line-hashes")
-    # Stored, so that both sides of the join come straight from a shuffle, whose large partitions
-    # Spark then splits.
-    shared = materialise(shared_lines(hashes, batches, fanout), "shared-lines")
+    with Runs(docs.sparkSession, folder, fanout) as runs:
+        # Stored, so that both sides of the join come straight from a shuffle, whose large partitions
+        # Spark then splits.
+        shared = materialise(shared_lines(hashes, runs, batches), "shared-lines")
+        runs.save()
     lost = hashes.join(shared, ["h", "g"]).where("doc_id <> owner")
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h", "g")).alias("gone"))
 
@@ -157,19 +259,21 @@ def without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_lines", "n_dropped", "kept"])
 
 
-def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """doc_id, n_lines, n_dropped and kept, the text left over as UTF-8 bytes, of every row."""
-    gone = lines_to_drop(docs, batches, fanout)
+def dedup_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, folder: str | None = None) -> DataFrame:
+    """doc_id, n_lines, n_dropped and kept, the text left over as UTF-8 bytes, of every row.
+
+    folder: where the runs of earlier calls are, and those of this one go."""
+    gone = lines_to_drop(docs, batches, fanout, folder)
     cut = F.pandas_udf(without, "n_lines long, n_dropped long, kept binary")
     joined = raw_texts(docs).join(gone, "doc_id", "left")
     return joined.select("doc_id", cut("text", "gone").alias("c")).select("doc_id", "c.*")
 
 
-def drop_repeated_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, folder: str | None = None) -> DataFrame:
     """The documents with their repeated lines removed, all columns as they are but ``text`` and,
     where present, ``n_chars``. Documents that lose no line are passed on as they are."""
     of, lost, left = (free_name(docs, x) for x in ("of_doc", "lost_lines", "left_over"))
-    gone = lines_to_drop(docs, batches, fanout).select(F.col("doc_id").alias(of), F.col("gone").alias(lost))
+    gone = lines_to_drop(docs, batches, fanout, folder).select(F.col("doc_id").alias(of), F.col("gone").alias(lost))
     cut = F.pandas_udf(without, "n_lines long, n_dropped long, kept binary")
     joined = docs.join(gone, docs["doc_id"] == gone[of], "left")
     raw = F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))

@@ -68,6 +68,45 @@ def test_runs_are_merged_into_levels(spark):
     assert "hashpartitioning" not in plan  # a run meets a run where both lie
 
 
+def run_tables(spark):
+    return {t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")}
+
+
+def test_merged_runs_have_one_file_a_bucket_and_are_used_in_their_order(spark):
+    batch = lambda low: spark.range(low, low + 400).select(F.xxhash64("id").alias("h"), F.col("id").alias("g"), F.col("id").alias("owner"))
+    before = run_tables(spark)
+    with linededup.Runs(spark, fanout=2) as runs:
+        for k in range(4):
+            runs.add(batch(k * 300))
+        assert [len(x) for x in runs.levels] == [0, 0, 1]
+        run = runs.levels[2][0]
+        assert run.count() == 1300 and run.select("h", "g").distinct().count() == 1300
+        files = run.select(F.input_file_name().alias("f")).distinct().count()
+        assert files == runs.buckets
+        runs.add(batch(5000))
+        with linededup.ordered_scans(spark):
+            plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+            looked = plan(runs.looked_up(batch(0).groupBy("h", "g").agg(F.min("owner").alias("owner")).repartition(runs.buckets, "h", "g")))
+            # Only the batch is sorted, the two runs it meets are not.
+            assert looked.count("SortMergeJoin") == 2 and looked.count("Sort [") == 1 and looked.count("Exchange") <= 2
+            both = plan(runs.merged([runs.levels[2][0], runs.levels[0][0]]))
+            assert "SortMergeJoin" in both and "Sort [" not in both and "Exchange" not in both
+    assert run_tables(spark) == before
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_later_calls_go_on_from_the_runs_of_earlier_ones(spark, tmp_path, fanout):
+    rows = sorted((r for r in LINES if r[0] is not None), key=lambda r: r[0])
+    cut = [[r for r in rows if r[0] <= 6], [r for r in rows if 6 < r[0] <= 20], [r for r in rows if r[0] > 20]]
+    folder, found, before = str(tmp_path / "runs"), [], run_tables(spark)
+    for part in cut:
+        found += found_lines(linededup.dedup_lines(docs(spark, part), 2, fanout, folder))
+    assert sorted(found, key=repr) == sorted(plain_line_dedup(rows), key=repr)
+    assert run_tables(spark) == before
+    again = found_lines(linededup.dedup_lines(docs(spark, [(99, "A shared line, in here.\nA line nobody else has")]), 2, fanout, folder))
+    assert again == [(99, 2, 1, "A line nobody else has")]
+
+
 def test_documents_keep_their_columns(spark):
     table = docs(spark, LINES)
     out = linededup.drop_repeated_lines(table)
