@@ -47,6 +47,7 @@ HELD_OUT, FOLDS = 0, 5
 THRESHOLD = 0.5
 BATCH_BYTES = 8 << 20
 LEARN_BYTES, STEP_PARTS = 4 << 20, 1 << 21  # texts encoded, n-grams moved at a time in learning
+MEAN_PASSAGES = 1 << 16  # passages whose means are taken at a time
 
 
 def begins(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,8 +146,14 @@ def encoded(parts: Iterable[pa.Array]) -> Passages:
         if held >= WORD_BYTES:
             break
     coded = pa.chunked_array(words, pa.large_string()).combine_chunks().dictionary_encode()
-    places = np.concatenate([np.zeros(0, np.int32), *codes])
-    return Passages(coded.indices.to_numpy()[places], np.concatenate(ends), coded.dictionary, np.concatenate([np.zeros(0, np.int64), *owners]), rows)
+    words.clear()
+    number = coded.indices.to_numpy()
+    # Part by part, so that the words' places are held once.
+    code, at = np.empty(total, np.int32), 0
+    for i, part in enumerate(codes):
+        code[at : at + len(part)] = number[part]
+        at, codes[i] = at + len(part), None
+    return Passages(code, np.concatenate(ends), coded.dictionary, np.concatenate([np.zeros(0, np.int64), *owners]), rows)
 
 
 class Learner:
@@ -214,7 +221,12 @@ class Learner:
         """Every passage's present difference of the classes."""
         shares = self.embed @ (self.soft[:, 1] - self.soft[:, 0])
         per_word = averages(shares[self.bucket], self.begin)
-        return averages(per_word[self.code], self.bounds) * (np.diff(self.bounds) / PASSAGE)
+        out = np.empty(len(self.bounds) - 1)
+        for i in range(0, len(out), MEAN_PASSAGES):
+            bounds = self.bounds[i : i + MEAN_PASSAGES + 1]
+            of = averages(per_word[self.code[bounds[0] : bounds[-1]]], bounds - bounds[0])
+            out[i : i + MEAN_PASSAGES] = of * (np.diff(bounds) / PASSAGE)
+        return out
 
     def scorer(self) -> Scorer:
         return Scorer((self.embed @ (self.soft[:, 1] - self.soft[:, 0])).astype(float), float(self.bias[1] - self.bias[0]))
