@@ -165,14 +165,16 @@ class Learner:
         self.soft = self.rng.normal(0, 0.2, (WIDTH, 2)).astype(np.float32)
         self.bias = np.log([1 - share, share]).astype(np.float32)
         self.state = [np.zeros_like(x) for x in (self.embed, self.embed, self.soft, self.soft, self.bias, self.bias)]
-        self.code, self.bounds, words, first = passages.code, passages.bounds, passages.words, 0
-        found = []
-        for some in slices(pa.RecordBatch.from_arrays([words], names=["text"]), limit=1 << 18):
-            found.append(in_order(some.column("text"), first))
-            first += len(some)
-        word_of, self.bucket = (np.concatenate([np.zeros(0, np.int32), *v]) for v in (list(zip(*found)) or ([], [])))
-        self.parts = np.bincount(word_of, minlength=len(words)) if len(words) else np.zeros(0, np.int64)
+        self.code, self.bounds, words = passages.code, passages.bounds, passages.words
+        # A word with its two frame marks has as many n-grams as places for them, so their room is known.
+        length = pa.compute.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 2
+        self.parts = sum(np.maximum(length - n + 1, 0) for n in SIZES)
         self.begin = np.concatenate([[0], np.cumsum(self.parts)])
+        self.bucket, at = np.empty(self.begin[-1], np.int32), 0
+        for some in slices(pa.RecordBatch.from_arrays([words], names=["text"]), limit=1 << 18):
+            own = in_order(some.column("text"))
+            self.bucket[at : at + len(own)] = own
+            at += len(own)
 
     def step(self, chosen: np.ndarray, labels: np.ndarray) -> None:
         sizes = np.diff(self.bounds)[chosen]
@@ -232,12 +234,11 @@ class Learner:
         return Scorer((self.embed @ (self.soft[:, 1] - self.soft[:, 0])).astype(float), float(self.bias[1] - self.bias[0]))
 
 
-def in_order(words: pa.Array, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the word, bucket) of all n-grams, by word."""
+def in_order(words: pa.Array) -> np.ndarray:
+    """The buckets of all n-grams, word by word."""
     found = list(parts_of_words(words, SIZES, BUCKETS))
     owner, bucket = (np.concatenate([np.zeros(0, np.int64), *v]) for v in (list(zip(*found)) or ([], [])))
-    order = np.argsort(owner, kind="stable")
-    return (owner[order] + first).astype(np.int32), bucket[order].astype(np.int32)
+    return bucket[np.argsort(owner, kind="stable")].astype(np.int32)
 
 
 def averages(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
