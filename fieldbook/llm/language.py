@@ -30,7 +30,9 @@ from fieldbook.llm.words import parts_of_words, words_of
 
 SIZES, BUCKETS = (3,), 1 << 15
 HELD_OUT, FOLDS = 2, 4
-SMOOTH, ROUNDS, PENALTY = 0.5, 8, 3.0
+SMOOTH, PENALTY = 0.5, 3.0
+SETTLED, ROUNDS = 1e-4, 500  # shares that move by less are settled; rounds at most
+SLACK = 0.5  # log-likelihood by which a settled fit may fall short of the best one
 UNKNOWN = "und"
 BATCH_BYTES = 4 << 20
 
@@ -100,7 +102,7 @@ class Languages:
             every = self._fit(p, starts, has[some], todo, np.ones((len(todo), k), bool))
             rank = np.argsort(-every[0], axis=1, kind="stable")
             for size in range(2, k + 1):
-                open_ = every[1] + offset[todo] - cost[todo] * (size - 1) > value[todo]  # the fit of all bounds those of fewer
+                open_ = every[1] + SLACK + offset[todo] - cost[todo] * (size - 1) > value[todo]  # the fit of all bounds those of fewer
                 open_ &= every[0][np.arange(len(todo)), rank[:, size - 1]] > 0
                 if not open_.any():
                     break
@@ -123,10 +125,20 @@ class Languages:
         rows = p[np.arange(n.sum()) + np.repeat(starts[which] - begin, n)]
         of = np.repeat(np.arange(len(which)), n)
         share = (use / use.sum(axis=1, keepdims=True)).astype(np.float32)
+        going = np.arange(len(which))  # texts whose shares still move
+        left, owner, first = rows, of, begin
         for _ in range(ROUNDS):
-            weighed = rows * share[of]
+            weighed = left * share[owner]
             weighed /= np.maximum(weighed.sum(axis=1, keepdims=True), 1e-30)
-            share = np.add.reduceat(weighed, begin, axis=0) / n[:, None].astype(np.float32)
+            new = np.add.reduceat(weighed, first, axis=0) / n[going, None].astype(np.float32)
+            moved = np.abs(new - share[going]).max(axis=1) > SETTLED
+            share[going] = new
+            if not moved.any():
+                break
+            if not moved.all():
+                stay = np.repeat(moved, n[going])
+                going, left, owner = going[moved], left[stay], owner[stay]
+                first = np.cumsum(n[going]) - n[going]
         fit = np.add.reduceat(np.log(np.maximum((rows * share[of]).sum(axis=1), 1e-30)).astype(float), begin)
         return share.astype(float), fit
 

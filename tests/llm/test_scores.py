@@ -215,3 +215,22 @@ def test_language_of_odd_rows(spark):
             assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text[r.doc_id] or "")) and 0 <= r.score <= 1
     assert {r.lang_pred for r in language.languages(table.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language.languages(table.limit(0)).collect() == []
+
+
+def test_shares_of_mixed_texts_equal_many_plain_rounds():
+    rng = np.random.default_rng(12)
+    k, sizes = 4, np.array([6, 40, 300, 9])
+    p = rng.dirichlet(np.full(k, 0.3), sizes.sum()).astype(np.float32)
+    p[46:346, 1] = p[46:346, 0] * 0.98  # two languages that are hard to tell apart: slow to settle
+    p /= p.max(axis=1, keepdims=True)
+    starts = np.cumsum(sizes) - sizes
+    use = np.array([[1, 1, 1, 1], [1, 0, 1, 1], [1, 1, 1, 1], [0, 1, 1, 0]], bool)
+    share, fit = language.Languages._fit(p, starts, sizes, np.arange(4), use)
+    for i in range(4):
+        rows, want = p[starts[i] : starts[i] + sizes[i]].astype(float), use[i] / use[i].sum()
+        for _ in range(20_000):
+            weighed = rows * want
+            want = (weighed / weighed.sum(axis=1, keepdims=True)).mean(axis=0)
+        best = np.log((rows * want).sum(axis=1)).sum()
+        assert best - language.SLACK <= fit[i] <= best + 1e-2
+        assert (share[i][~use[i]] == 0).all() and abs(share[i].sum() - 1) < 1e-4
