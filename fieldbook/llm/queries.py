@@ -46,7 +46,7 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.clean(table(spark, folder, "documents"), with_text=False)
 
 
-@query("op7_license_scan")
+@query("op7_license_scan", licenses.sql())
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(table(spark, folder, "documents")).drop("spans")
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -264,3 +265,80 @@ def test_license_notices_in_a_row(spark):
     assert found[94].labels == "" and found[94].score < 0.8
     assert found[95].labels == "keep" and found[95].score == pytest.approx(6 / 7) and places[95] == [(0, 2), (4, 6)]
     assert found[96].labels == "keep" and found[96].score == 1 and places[96] == [(1, 4), (6, 9), (11, 14)]
+
+
+def plain_licenses(text):
+    """Labels and score by comparing words: runs on each diagonal, near diagonals together."""
+    words, run = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text or "")), licenses.RUN
+    _, n, _, _, labels = plain_places(text)
+    labels, score = set(labels.split(",")) - {""}, 1.0 if n else 0.0
+    for body, label in licenses.NOTICES.items():
+        q, needed = body.replace("*", "").split(), {i for i, w in enumerate(body.split()) if w.startswith("*")}
+
+        def similar(hits):
+            matched = {t + i for _, t in hits for i in range(run)}
+            size = max(p for p, _ in hits) - min(p for p, _ in hits) + run + len(q)
+            return min(1.0, 2 * len(matched) / size) * (1 if needed <= {t for _, t in hits} else 0.5)
+
+        at = {}
+        for p in range(len(words) - run + 1):
+            for t in range(len(q) - run + 1):
+                if words[p : p + run] == q[t : t + run]:
+                    at.setdefault(p - t, []).append((p, t))
+        spans = list(at.values())
+        changed = sorted(d for d, hits in at.items() if len(hits) < len(q) - run + 1)
+        for i, d in enumerate(changed):
+            if i and d - changed[i - 1] <= licenses.NEAR:
+                spans[-1] = spans[-1] + at[d]
+            else:
+                spans.append(at[d])
+        best = max(map(similar, spans), default=0.0)
+        score = max(score, best)
+        labels |= {label} if best >= licenses.SIMILAR else set()
+    return ",".join(sorted(labels)), pytest.approx(score, abs=1e-12)
+
+
+def changed_notices():
+    """Each notice as it stands, with words replaced, left out and put in, and two side by side."""
+    draw, rows = random.Random(7), []
+    bodies = [b.replace("*", "").split() for b in licenses.NOTICES]
+    for k, q in enumerate(bodies):
+        for share in (0, 0.04, 0.12):
+            words = []
+            for w in q:
+                words += draw.choice([["other"], [], [w, "more"]]) if draw.random() < share else [w]
+            rows.append((200 + len(rows), " ".join(["before", *words, "after"])))
+        rows.append((200 + len(rows), " ".join(q + bodies[(k + 1) % len(bodies)])))
+    return rows
+
+
+FAMILIES = [
+    (400, "# SPDX-License-Identifier: MIT", "mit"), (401, "// SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2"), (402, "SPDX-License-Identifier: LGPL-2.1-only", "lgpl-2.1"),
+    (403, 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+     "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.", "mit"),
+    (404, "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the "
+     "Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "agpl-3"),
+    (405, "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+     "Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "lgpl-2.1"),
+    (406, "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+     "Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl-2"),
+    (407, "Licensed under the GNU Lesser General Public License version 3", "lgpl-3"), (408, "SPDX-License-Identifier: LicenseRef-own", ""),
+    (409, "SPDX-License-Identifier: CC-BY-NC-4.0", "cc-by-nc"), (410, "Licensed under the Creative Commons Attribution 4.0 International License", "cc-by"),
+]
+
+
+def test_license_families_are_told_apart(spark):
+    found = {r.doc_id: r for r in licenses.licenses(docs(spark, [(i, t) for i, t, _ in FAMILIES])).collect()}
+    assert {i: r.labels for i, r in found.items()} == {i: label for i, _, label in FAMILIES}
+
+
+def test_license_labels_equal_plain_words_and_sql(spark, tmp_path):
+    rows = [*[r for r in ODD if len(r[1] or "") < 20_000], *NOTICES, *changed_notices(), *[(i, t) for i, t, _ in FAMILIES]]
+    table = docs(spark, [*rows, *rows[:7]])
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.licenses(table).collect()}
+    assert got == {i: plain_licenses(t) for i, t in rows}
+    table.select("doc_id", "text").write.parquet(str(tmp_path / "docs"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/docs/*.parquet'")
+    theirs = con.sql(licenses.sql())
+    assert rows_of(licenses.licenses(table).drop("spans"), *theirs.columns) == sorted(theirs.fetchall(), key=repr)
