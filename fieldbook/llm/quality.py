@@ -9,7 +9,8 @@ The trees are learned from a sample of at most ``ROWS`` labelled rows, the ones
 hashes; statistics and scores cover all of every text.
 
 Null or empty text: statistics of a text without words, scored like any other. Null id or label:
-never learned from. Several labels for an id: each is learned. Repeated rows: scored each. No
+never learned from. Several labels for an id: each is learned. Repeated rows: scored each; of
+rows with one id the one whose statistics sort first is learned from, however many there are. No
 labels to learn from: score 0; labels of one kind only: that kind's score everywhere. Empty table:
 no rows. Columns other than doc_id and text are not read.
 """
@@ -149,8 +150,8 @@ def measured(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Forest:
     sample = F.broadcast(labelled_sample(labels, "quality", rows))  # at most `rows` rows of two numbers
     chosen = texts(docs).join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
-    known = measured(chosen).join(sample, "doc_id")
-    table = known.orderBy("doc_id", "label").limit(2 * rows).toPandas()
+    known = measured(chosen).join(sample, "doc_id").groupBy("doc_id", "label").agg(F.min("statistics").alias("statistics"))
+    table = known.orderBy("doc_id", "label").toPandas()  # at most `rows`, as one row stands for an id
     x = np.array(table["statistics"].tolist()).reshape(-1, len(FEATURES))
     return grow(x, table["label"].to_numpy().astype(float))
 

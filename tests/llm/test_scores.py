@@ -1,8 +1,11 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from fieldbook.llm import language, quality, toxicity, words
@@ -234,3 +237,134 @@ def test_shares_of_mixed_texts_equal_many_plain_rounds():
         best = np.log((rows * want).sum(axis=1)).sum()
         assert best - language.SLACK <= fit[i] <= best + 1e-2
         assert (share[i][~use[i]] == 0).all() and abs(share[i].sum() - 1) < 1e-4
+
+
+def plain_statistics(text):
+    share = lambda wanted: sum(b in wanted for b in text) / max(len(text), 1)
+    words = re.findall(rb"[^ \t\n\r\x0b\x0c]+", bytes(b + 32 if 65 <= b <= 90 else b for b in text))
+    n, tally = max(len(words), 1), Counter(words)
+    sizes = [len(w) for w in words] or [0]
+    mean = sum(sizes) / len(sizes)
+    pairs = {(a, b) for a, b in zip(words, words[1:])}
+    lines = [x for x in (re.sub(rb"^[ \t\r\x0b\x0c]+|[ \t\r\x0b\x0c]+$", b"", x) for x in re.split(rb"\n", text)) if x]
+    m = max(len(lines), 1)
+    symbol = [w for w in words if w[-1] < 128 and not chr(w[-1]).isalnum() and chr(w[-1]) not in ".,;:!?\"')"]
+    chances = [c / len(text) for c in Counter(text).values()]
+    return [
+        np.log(1 + len(text)), np.log(1 + len(words)), share(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+        share(b"0123456789"), share(b" \t\n\r\x0b\x0c"), share(b"!?."), share(b",;:"), share(b"#*$%&|<>{}[]=_\\/@^~"), share(b"|"), share(range(128, 256)), share(b"\n"),
+        mean, (sum((k - mean) ** 2 for k in sizes) / len(sizes)) ** 0.5, len(tally) / n, max(tally.values(), default=0) / n,
+        len(pairs) / (len(words) - 1) if len(words) > 1 else 1, len(words) / m, 1 - len(set(lines)) / m,
+        sum(chr(x[-1]) not in ".!?\"')" for x in lines) / m, len(symbol) / n, -sum(c * np.log2(c) for c in chances),
+    ]
+
+
+def test_statistics_equal_plain_ones(spark, sf):
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()] + [t or "" for _, t in ODD] + ["a|b | c~ d# #\n\n d#\r\n", "."]
+    for t in texts:
+        found = quality.statistics(t.encode())
+        assert len(found) == len(quality.FEATURES) and found == pytest.approx(plain_statistics(t.encode()), abs=1e-9)
+
+
+def plain_boosting(x, y, trees, depth, bins, rate):
+    """Scores of the rows learned from: every split is tried by itself, rows are lists of numbers."""
+    edges = [np.unique(np.quantile(x[:, f], [i / bins for i in range(1, bins)])) for f in range(x.shape[1])]
+    score = [float(np.log(y.mean() / (1 - y.mean())))] * len(y)
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-s)) for s in score]
+        grad, hess = [a - b for a, b in zip(p, y)], [a * (1 - a) for a in p]
+        worth = lambda rows: sum(grad[i] for i in rows) ** 2 / (sum(hess[i] for i in rows) + 1)
+        groups = [list(range(len(y)))]
+        for _ in range(depth):
+            halves = []
+            for rows in groups:
+                best, split = 1e-6, (rows, [])
+                for f, found in enumerate(edges):
+                    for e in found:
+                        low, high = [i for i in rows if x[i, f] <= e], [i for i in rows if x[i, f] > e]
+                        if min(sum(hess[i] for i in low), sum(hess[i] for i in high)) < 0.5:
+                            continue
+                        gain = worth(low) + worth(high) - worth(rows)
+                        if gain > best + 1e-12:
+                            best, split = gain, (low, high)
+                halves += split
+            groups = halves
+        for rows in groups:
+            step = rate * sum(grad[i] for i in rows) / (sum(hess[i] for i in rows) + 1)
+            for i in rows:
+                score[i] -= step
+    return 1 / (1 + np.exp(-np.array(score)))
+
+
+def test_trees_grow_as_plain_boosting():
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.normal(size=90), rng.integers(0, 4, 90), rng.exponential(size=90), np.zeros(90)], axis=1)
+    y = ((x[:, 0] + (x[:, 1] > 1) + rng.normal(size=90) * 0.5) > 0.6).astype(float)
+    forest = quality.grow(x, y, trees=6, depth=3, bins=12)
+    assert forest.scores(x) == pytest.approx(plain_boosting(x, y, 6, 3, 12, quality.RATE), abs=1e-9)
+
+
+def test_quality_is_learned_from_each_id_once(spark, middle):
+    table, known = spark.read.parquet(f"{middle}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{middle}/labels.parquet")
+    first = known.where("quality is not null").first().doc_id
+    hot = table.union(table.where(F.col("doc_id") == first).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n"))
+    a, b = quality.train(table, known), quality.train(hot, known)
+    assert a.base == b.base and (a.feature == b.feature).all() and (a.above == b.above).all() and (a.leaf == b.leaf).all()
+
+
+def plain_parts(word):
+    raw = f"<{word}>".encode()
+    for a, b, c in zip(raw, raw[1:], raw[2:]):
+        h = 0
+        for x in (a, b, c):
+            h = (h * 0x100000001B3 + x + 1) % 2**64
+        h = (h + 3) * 0x9E3779B97F4A7C15 % 2**64
+        yield ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 % 2**64) >> 49
+
+
+def plain_words(text):
+    return [w for w in (regex.sub(r"[^\p{L}\p{M}]+", "", w) for w in text.lower().split()) if regex.search(r"\p{L}", w)]
+
+
+def test_language_counts_and_choice_equal_plain_ones(spark, sf):
+    table = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    rows, model = table.collect(), language.train(table)
+    counts = {k: Counter() for k in model.names}
+    for r in rows:
+        if r.lang is not None and r.text is not None and r.doc_id is not None and not held(r.doc_id, 4, 2):
+            for w in plain_words(r.text):
+                counts[r.lang].update(plain_parts(w))
+    assert sorted({r.lang for r in rows if r.lang}) == model.names
+    for j, k in enumerate(model.names):
+        total = sum(counts[k].values()) + 0.5 * 2**15
+        assert model.logs[:, j] == pytest.approx([np.log((counts[k][b] + 0.5) / total) for b in range(2**15)], abs=1e-9)
+
+    by = {k: [" ".join(r.text.split()[:90]) for r in rows if r.lang == k and r.text and len(r.text.split()) > 90][:6] for k in model.names}
+    langs = sorted(by)
+    mixed = [t for k in langs for t in by[k][:3]]
+    mixed += [" ".join(a.split()[:n] + b.split()[:12]) for x, y in zip(langs, langs[1:]) for n in (20, 60) for a, b in zip(by[x], by[y])]
+    mixed += [" ".join(y for x in parts for y in x.split()[:40]) for parts in zip(*by.values())]
+    for m in language.predict(docs(spark, list(enumerate(mixed))), model).collect():
+        words = plain_words(mixed[m.doc_id])
+        likely = np.array([model.logs[list(plain_parts(w))].sum(axis=0) for w in words])
+        p = np.exp(likely - likely.max(axis=1, keepdims=True))
+
+        def fit(use):
+            share = use / use.sum()
+            for _ in range(3000):
+                weighed = p * share
+                share = (weighed / weighed.sum(axis=1, keepdims=True)).mean(axis=0)
+            return share, np.log((p * share).sum(axis=1)).sum() + likely.max(axis=1).sum()
+
+        every = fit(np.ones(len(langs)))[0]
+        options = []
+        for size in range(1, len(langs) + 1):
+            if size == 1:
+                use = np.eye(len(langs))[likely.sum(axis=0).argmax()]
+            else:
+                use = np.isin(np.arange(len(langs)), np.argsort(-every)[:size]).astype(float)
+            share, value = fit(use)
+            options.append((value - language.PENALTY * np.log(len(words) + 1) * (size - 1), share))
+        share = max(options, key=lambda o: o[0])[1]
+        want = {k: s for k, s in zip(model.names, share) if s > 1e-6}
+        assert set(m.mixture) == set(want) and m.mixture == pytest.approx(want, abs=5e-3) and m.lang_pred == max(want, key=want.get)
