@@ -372,25 +372,30 @@ def patient_features(spark, sf):
 # --- streams -----------------------------------------------------------------------
 
 
-def _drained(spark, sf, made, mode):
-    """What a stream over the events writes. The events arrive in four quarters by id, rows
-    without one in the first; each quarter is one trigger, and the stream goes on from its
-    checkpoint."""
+def _fed(spark, parts, made, mode):
+    """What a stream writes whose source grows by one part after the other: each part is one
+    trigger or more, and the stream goes on from its checkpoint."""
     path, out, state = (scratch_path(spark, name) for name in ("stream", "out", "state"))
-    e = table(spark, sf, "events")
-    low, high = e.agg(F.min("event_id"), F.max("event_id")).first()
-    quarter = F.coalesce(F.floor((F.col("event_id") - low) * 4 / ((high or 0) - (low or 0) + 1)), F.lit(0))
 
     def keep(batch, number):
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    for part in range(4):
-        e.where(quarter == part).write.mode("append").parquet(path)
-        stream = spark.readStream.schema(e.schema).parquet(path)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(part.schema).parquet(path)
         made(stream).writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
     return spark.read.parquet(out)
 
 
+def _drained(spark, sf, made, mode):
+    """What a stream over the events writes. The events arrive in four quarters by id, rows
+    without one in the first."""
+    e = table(spark, sf, "events")
+    low, high = e.agg(F.min("event_id"), F.max("event_id")).first()
+    quarter = F.coalesce(F.floor((F.col("event_id") - low) * 4 / ((high or 0) - (low or 0) + 1)), F.lit(0))
+    return _fed(spark, [e.where(quarter == part) for part in range(4)], made, mode)
+
+
 @query("stream_daily_counts", "V9 stream", """WITH d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY ALL)
     SELECT strftime(day, '%Y-%m-%d') AS day, event_type, n FROM d""")
 def stream_daily_counts(spark, sf):
@@ -410,3 +415,37 @@ def stream_ledger(spark, sf):
         F.sum("accepted").alias("accepted"), F.count("*").alias("n"),
         r(F.coalesce(F.sum(F.when(kept, F.col("amount"))), F.lit(0.0)), 2).alias("total"),
     )
+
+
+@query("stream_timed_ledger", "W6 stream", """WITH w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id NULLS FIRST) AS n,
+        round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id NULLS FIRST ROWS UNBOUNDED PRECEDING), 6) AS total FROM events WHERE ts IS NOT NULL),
+    v AS (SELECT *, max((n > 30 OR total > 600)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS broken FROM w)
+    SELECT user_id AS account, sum(1 - broken)::BIGINT AS accepted, count(*) AS n, round(coalesce(sum(value) FILTER (broken = 0), 0), 2) AS total, 0::BIGINT AS late
+    FROM v GROUP BY user_id""")
+def stream_timed_ledger(spark, sf):
+    """The ledger by event time. Events arrive up to a day after their time, in four parts, so
+    every part goes back in time; a last row moves the watermark past them all."""
+    e = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value").where("ts is not null")
+    day = 24 * 3600
+    low, high = e.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    low, high = low or 0, high or 0
+    arrival = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(day))
+    part = F.floor((arrival - low) * 4 / (high - low + day + 1))
+    types = dict(e.dtypes)
+    last = spark.range(1).select(
+        *[(F.timestamp_seconds(F.lit(high + 2 * day)) if c == "ts" else F.lit(None).cast(types[c])).alias(c) for c in e.columns])
+    kept = {key: spark.conf.get(key, None) for key in live.STATE_STORE}
+    for key, value in live.STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        told = _fed(
+            spark, [*[e.where(part == k) for k in range(4)], last],
+            lambda events: live.timed_ledger(events, "user_id", "ts", "event_id", "value", 30, 600.0, "1 day"), "append")
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    accepted = F.col("accepted") == 1
+    return told.groupBy("account").agg(
+        F.sum("accepted").alias("accepted"), F.count("*").alias("n"),
+        r(F.coalesce(F.sum(F.when(accepted, F.col("amount"))), F.lit(0.0)), 2).alias("total"), F.count(F.when(F.col("status") == "late", 1)).alias("late"),
+    )

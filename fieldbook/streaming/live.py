@@ -1,4 +1,4 @@
-"""Two batch operators on unbounded input."""
+"""Batch operators on unbounded input."""
 
 from __future__ import annotations
 
@@ -10,6 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+#: The state store that timed_ledger needs, a setting of the session when a stream starts.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
 
 
 def daily_counts(stream: DataFrame, time: str, by: Sequence[str] = (), delay: str = "1 day") -> DataFrame:
@@ -78,3 +84,96 @@ def live_ledger(
         "n long, total double, closed boolean", "append",
         GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout,
     )
+
+
+def timed_ledger(
+    stream: DataFrame, account: str, time: str, order: str, amount: str, max_count: int, max_total: float,
+    delay: str = "1 day",
+) -> DataFrame:
+    """The ledger in the order of event time, whatever the order of arrival.
+
+    Rows are held until the watermark, ``delay`` behind the latest time, has passed them, and are
+    then decided by (``time``, ``order``); ``order`` holds whole numbers, nulls first. An account
+    never holds more than the rows that can still be accepted and one more: a row behind so many
+    earlier ones is rejected on sight, as is any row of an account that has ended. Returns
+    account, at, id, amount, accepted and status: accepted, rejected, late (came after its time
+    had passed; does not count) or untimed (no time; does not count). Null amounts add nothing.
+    The last rows are decided when later ones have moved the watermark. Start the stream under
+    ``STATE_STORE``.
+    """
+    held_schema, never = "at long, known int, id long, amount double", np.iinfo(np.int64).min
+    fields = ["at", "known", "id", "amount"]
+
+    class Ledger(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.held = handle.getListState("held", held_schema)
+            self.state = handle.getValueState("state", "n int, total double, closed boolean, due long")
+
+        def load(self):
+            state = tuple(self.state.get()) if self.state.exists() else (0, 0.0, False, -1)
+            rows = [tuple(r) for r in self.held.get()] if self.held.exists() else []
+            return *state, pd.DataFrame(rows, columns=fields).astype({"at": "int64", "known": "int32", "id": "int64", "amount": "float64"})
+
+        def store(self, n, total, closed, due, held):
+            """Keep the held rows and one timer, at the first of them."""
+            if len(held):
+                self.held.put(list(zip(*(held[c].tolist() for c in fields))))
+            elif self.held.exists():
+                self.held.clear()
+            first = -(-int(held["at"].min()) // 1000) if len(held) else -1
+            if first != due:
+                if due >= 0:
+                    self.handle.deleteTimer(due)
+                if first >= 0:
+                    self.handle.registerTimer(first)
+            self.state.update((int(n), float(total), bool(closed), first))
+
+        @staticmethod
+        def told(key, rows, status):
+            out = rows.assign(account=key[0], status=status)
+            out["accepted"] = (out["status"] == "accepted").astype("int32")
+            return out[["account", *fields, "accepted", "status"]]
+
+        def handleInputRows(self, key, rows, timerValues):
+            n, total, closed, due, held = self.load()
+            mark = timerValues.getCurrentWatermarkInMs()
+            passed, room = mark * 1000 if mark > 0 else never, max_count - n + 1
+            for batch in rows:
+                batch = batch[fields]
+                untimed, late = batch["at"] == never, batch["at"] <= passed
+                yield self.told(key, batch[untimed], "untimed")
+                yield self.told(key, batch[late & ~untimed], "late")
+                batch = batch[~late & ~untimed]
+                if not closed:
+                    both = pd.concat([held, batch]).sort_values(["at", "known", "id"], kind="stable")
+                    held, batch = both.iloc[:room], both.iloc[room:]
+                yield self.told(key, batch, "rejected")
+            self.store(n, total, closed, due, held)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            n, total, closed, due, held = self.load()
+            ready = held["at"] <= timerValues.getCurrentWatermarkInMs() * 1000
+            rows, held = held[ready].sort_values(["at", "known", "id"], kind="stable"), held[~ready]
+            if len(rows):
+                totals = total + rows["amount"].fillna(0.0).to_numpy().cumsum()
+                broken = (n + np.arange(1, len(rows) + 1) > max_count) | (totals > max_total)
+                ended = np.logical_or.accumulate(broken)
+                yield self.told(key, rows, np.where(ended, "rejected", "accepted"))
+                n, total, closed = n + len(rows), totals[-1], bool(ended[-1])
+            if closed:
+                yield self.told(key, held, "rejected")
+                held = held.iloc[:0]
+            self.store(n, total, closed, due if due > expiredTimerInfo.getExpiryTimeInMs() else -1, held)
+
+    moment = F.col(time).cast("timestamp")
+    # The time goes on as a plain number: Spark itself would drop late rows without a word.
+    rows = stream.select(F.col(account).alias("account"), moment.alias("time"), F.col(order).alias("id"), F.col(amount).cast("double").alias("amount")).withWatermark(
+        "time", delay).select(
+        "account", F.coalesce(F.unix_micros("time"), F.lit(int(never))).alias("at"), F.col("id").isNotNull().cast("int").alias("known"),
+        F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("id"), "amount")
+    decided = rows.groupBy("account").transformWithStateInPandas(
+        Ledger(), f"account {dict(rows.dtypes)['account']}, {held_schema}, accepted int, status string", "append", "eventTime")
+    return decided.select(
+        "account", F.when(F.col("at") != int(never), F.timestamp_micros("at")).alias("at"), F.when(F.col("known") == 1, F.col("id")).alias("id"),
+        "amount", "accepted", "status")

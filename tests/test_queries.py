@@ -64,7 +64,7 @@ PYTHON = {
     "group_function_whole", "row_function", "column_function", "map_columns",
 }
 #: These run streams or write reports while their frame is made.
-RUNNING = {"stream_daily_counts", "stream_ledger", "listing_report_lines", "text_report_lines", "json_report_rows"}
+RUNNING = {"stream_daily_counts", "stream_ledger", "stream_timed_ledger", "listing_report_lines", "text_report_lines", "json_report_rows"}
 
 
 def test_no_python_workers_and_no_cross_products(spark, sf):
