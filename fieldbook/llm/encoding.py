@@ -28,6 +28,9 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: in
     return out
 
 
+GROUPS = 32  # groups of words encoded together: the tokenizer's own records of them are large
+
+
 class TextEncoder:
     """Encodes texts to ids as ``Tokenizer.encode`` with ``add_special_tokens=False`` gives them."""
 
@@ -60,25 +63,29 @@ class TextEncoder:
         """Ids of words that follow a space, in a row, and the number of ids of each. Simple words,
         of Latin letters only, are put into the model's alphabet here and need only its merges."""
         groups = [words[i : i + self.chunk] for i in range(0, len(words), self.chunk)]
-        joined = [" " + " ".join(g) for g in groups]
-        if simple:
-            joined = [(t.lower() if self.word_ends else t).encode().decode("latin-1").translate(self.alphabet) for t in joined]
-        found = (self.merges if simple else self.tokenizer).encode_batch_fast(joined, add_special_tokens=False)
         parts, lengths = [], []
-        for group, one in zip(groups, found):
-            ids = np.asarray(one.ids, dtype="<u4")
-            cuts = np.flatnonzero(self.edge[ids])
-            if len(cuts) == len(group):
-                lengths.append(np.diff(cuts + 1, prepend=0) if self.word_ends else np.diff(cuts, append=len(ids)))
-            else:  # some word is more than one to the tokenizer
-                single = [self.whole(" " + w) for w in group]
-                ids = np.concatenate(single)
-                lengths.append(np.array([len(x) for x in single]))
-            parts.append(ids)
+        for i in range(0, len(groups), GROUPS):
+            for group, ids in zip(groups[i : i + GROUPS], self._joined(groups[i : i + GROUPS], simple)):
+                cuts = np.flatnonzero(self.edge[ids])
+                if len(cuts) == len(group):
+                    lengths.append(np.diff(cuts + 1, prepend=0) if self.word_ends else np.diff(cuts, append=len(ids)))
+                else:  # some word is more than one to the tokenizer
+                    single = [self.whole(" " + w) for w in group]
+                    ids = np.concatenate(single)
+                    lengths.append(np.array([len(x) for x in single]))
+                parts.append(ids)
         if not parts:
             return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         return np.concatenate(parts), np.concatenate(lengths).astype(np.int64)
 
+    def _joined(self, groups: list[list[str]], simple: bool) -> list[np.ndarray]:
+        """Ids of each group of words, a space before each word."""
+        joined = [" " + " ".join(g) for g in groups]
+        if simple:
+            joined = [(t.lower() if self.word_ends else t).encode().decode("latin-1").translate(self.alphabet) for t in joined]
+        found = (self.merges if simple else self.tokenizer).encode_batch_fast(joined, add_special_tokens=False)
+        return [np.asarray(one.ids, dtype="<u4") for one in found]
+
     def _table(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct words in a row, their numbers, and whether a word may stand alone.
 
@@ -137,6 +144,7 @@ class TextEncoder:
         code = coded.indices.to_numpy().astype(np.int32)
         bounds = cut.offsets.to_numpy().astype(np.int64)
         words = coded.dictionary.to_pylist()
+        del cut, coded
         table, length, safe = self._table(words)
         heads, unsafe = bounds[:-1], ~safe[code]
         unsafe[heads] = False
@@ -157,6 +165,10 @@ class TextEncoder:
         per_word[drop] = 0
         begin = np.cumsum(length, dtype=np.int64) - length
         step = 1 << 18  # words
-        ids = np.concatenate([ragged(table, begin[code[i : i + step]], per_word[i : i + step]) for i in range(0, len(code), step)])
         per_text = np.add.reduceat(per_word, heads, dtype=np.int64)
+        ids, done = np.empty(int(per_text.sum()), "<u4"), 0
+        for i in range(0, len(code), step):
+            part = ragged(table, begin[code[i : i + step]], per_word[i : i + step])
+            ids[done : done + len(part)] = part
+            done += len(part)
         return ids, np.concatenate([[0], np.cumsum(per_text)])

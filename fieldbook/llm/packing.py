@@ -54,7 +54,7 @@ def cutter(tokenizer: str, end_id: int, capacity: int, keep_ids: bool):
                 nth = np.empty(len(length), np.int64)
                 nth[order] = np.arange(len(length)) - np.searchsorted(ordered, ordered) + seen[ordered]
                 seen += np.bincount(length, minlength=capacity + 1)
-                raw = memoryview(ids.tobytes())
+                raw = memoryview(ids).cast("B")
                 begin = (bounds[doc] + piece * capacity) * 4
                 spans = list(zip(begin.tolist(), (begin + length * 4).tolist()))
                 columns = {
