@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, DoubleType, FloatType, IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DoubleType, FloatType, IntegerType, IntegralType, StructField, StructType
+from pyspark.sql.window import Window
 
 from fieldbook.operators import running
 from fieldbook.session import scanned_bytes
@@ -177,14 +178,56 @@ def apply_whole_groups(
         found = large[0].asDict()
         size = found.pop("_n")
         raise ValueError(f"group {found} has {size} rows, more than {most_rows}; use a function that can be merged")
-    schema = StructType([*[rows.schema[k] for k in keys], *fields.fields])
-
-    def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        made = fn(frame[list(columns)])
-        made = made if isinstance(made, tuple) and len(fields) > 1 else (made,)
-        return pd.DataFrame([[*key, *made]], columns=schema.names)
-
-    return rows.groupBy(*keys).applyInPandas(one, schema)
+    # Rows come to a task group by group, many groups in a batch, with the row that begins each
+    # group marked. Numbers that may be null go with a mark of their own, as a null elsewhere
+    # in a batch must not change the type that a group's frame has.
+    schema, at = StructType([*[rows.schema[k] for k in keys], *fields.fields]), range(len(columns))
+    kinds = [rows.schema[c].dataType for c in columns]
+    marked = [i for i in at if rows.schema[columns[i]].nullable and isinstance(kinds[i], IntegralType | BooleanType)]
+    begins = Window.partitionBy(*keys).orderBy(*keys)
+    sent = rows.withColumn("_first", F.row_number().over(begins) == 1).select(
+        *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)],
+        *[(F.coalesce(c, F.lit(0).cast(kinds[i])) if i in marked else F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)],
+        *[F.col(columns[i]).isNull().alias(f"n{i}") for i in marked], F.col("_first").alias("first"),
+    )
+
+    def results(frame: pd.DataFrame, edges: np.ndarray) -> pd.DataFrame:
+        values = frame[[f"c{i}" for i in at]].set_axis(list(columns), axis=1)
+        nulls = [(i, frame[f"n{i}"].to_numpy()) for i in marked if frame[f"n{i}"].any()]
+        made = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            own = values.iloc[a:b].reset_index(drop=True)
+            for i, null in nulls:
+                if null[a:b].any():
+                    holed = own[columns[i]].to_numpy(float if isinstance(kinds[i], IntegralType) else object, copy=True)
+                    holed[null[a:b]] = None
+                    own[columns[i]] = holed
+            found = fn(own)
+            made.append(found if isinstance(found, tuple) and len(fields) > 1 else (found,))
+        out = frame.iloc[edges[:-1]][[f"k{i}" for i in range(len(keys))]].reset_index(drop=True)
+        for i, field in enumerate(fields):
+            values = pd.Series([m[i] for m in made], dtype=object)
+            out[f"r{i}"] = values.infer_objects() if values.notna().all() else values
+        return out.set_axis(schema.names, axis=1)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # rows of the group that may go on
+        for frame in frames:
+            edges = np.flatnonzero(frame["first"].to_numpy())
+            if not len(edges):
+                held.append(frame)
+                continue
+            if held or edges[0]:
+                whole = pd.concat([*held, frame.iloc[: edges[0]]], ignore_index=True)
+                yield results(whole, np.array([0, len(whole)]))
+            if len(edges) > 1:
+                yield results(frame, edges)
+            held = [frame.iloc[edges[-1] :]]
+        if held:
+            whole = pd.concat(held, ignore_index=True)
+            yield results(whole, np.array([0, len(whole)]))
+
+    return sent.mapInPandas(run, schema)
 
 
 def apply_columns(df: DataFrame, columns: Sequence[str], fn: GroupFunction, returns: str) -> DataFrame:

@@ -86,3 +86,28 @@ def test_states_of_many_groups_are_not_held_together(monkeypatch, spark):
     made = apply_groups(spark.range(50_000, numPartitions=2).withColumn("g", F.col("id") % 20_000), ["g"], ["id"], summed(lambda b: b.num_rows), "n long", 1)
     assert made.agg(F.sum("n"), F.count("*")).first() == (50_000, 20_000)
     assert applying.FAN_IN > 1
+
+
+def test_many_whole_groups_go_in_one_batch(spark):
+    """Groups of any size, over several batches, in the frames that they have by themselves."""
+    rows = [(f"g{i % 7}" if i % 3 else f"s{i}", i if i % 5 else None, i % 2 == 0 if i % 11 else None, float(i) if i % 4 else None) for i in range(40_000)]
+    df = spark.createDataFrame([*rows, (None, 1, True, 1.0)], "k string, a long, b boolean, x double").repartition(3)
+
+    def told(f):
+        kinds = ",".join(str(t) for t in f.dtypes)
+        return kinds, int(f["a"].sum()), int(f["a"].isna().sum()), f["b"].isna().sum(), None if f["x"].isna().any() else float(f["x"].sum()), len(f), f.index[-1] == len(f) - 1
+
+    returns = "kinds string, a long, holes long, no_b long, x double, n long, numbered boolean"
+    made = apply_whole_groups(df, ["k"], ["a", "b", "x"], told, returns)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan  # no frame sent for each group
+    got = {r["k"]: tuple(r)[1:] for r in made.collect()}
+    want = {}
+    for k, a, b, x in rows:
+        want.setdefault(k, []).append((a, b, x))
+    assert got.keys() == want.keys()
+    for k, own in want.items():
+        a, b, x = (list(v) for v in zip(*own))
+        kinds = ",".join(["float64" if None in a else "int64", "object" if None in b else "bool", "float64"])
+        assert got[k] == (kinds, sum(v for v in a if v is not None), a.count(None), b.count(None), None if None in x else sum(x), len(own), True)
+    assert apply_whole_groups(df.limit(0), ["k"], ["a"], len, "n long").collect() == []
