@@ -130,3 +130,37 @@ def test_local_disks_are_no_shared_folder_on_a_cluster():
         shared_folder(held("yarn", **here))
     assert shared_folder(held("yarn", spark_checkpoint_dir="hdfs://n/tmp/", **here)) == "hdfs://n/tmp"
     assert shared_folder(held("yarn", spark_sql_warehouse_dir="s3a://b/w")) == "s3a://b/w"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_insights_repeat_no_join(spark):
+    from fieldbook.plans import insights
+
+    left = spark.createDataFrame([(i, i % 90, float(i), "FM"[i % 2]) for i in range(40)], "id int, age int, billing double, gender string")
+    joined = left.join(spark.createDataFrame([(i, f"H{i % 3}") for i in range(40)], "id int, hospital string"), "id")
+    found = insights.patient_insights(joined)
+    assert "Join" not in _plan(found)
+    assert found.count() == 6
+
+
+def test_the_listing_job_joins_its_tables_once(spark, monkeypatch, tmp_path):
+    import catalog.insight_queries as queries
+
+    spark.createDataFrame([(0, "X"), (1, "Y")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    customers = [(i, i % 2, "AB"[i % 2], 500.0 * i) for i in range(1, 9)]
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int, c_mktsegment string, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = spark.range(1, 81).selectExpr(
+        "id AS o_orderkey", "CASE WHEN id % 40 <> 0 THEN id % 9 END AS o_custkey", "CASE WHEN id % 3 = 0 THEN 'P' ELSE 'F' END AS o_orderstatus",
+        "1000.0D * id AS o_totalprice", "timestamp_seconds(id * 86400) AS o_orderdate")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    raws, clean = [], queries.job.clean
+    monkeypatch.setattr(queries.job, "clean", lambda raw, *a, **k: raws.append(raw) or clean(raw, *a, **k))
+    made = queries.listing_features(spark, str(tmp_path))
+    assert "Join" not in _plan(raws[0])
+    known = orders.where("o_custkey BETWEEN 1 AND 8")
+    assert sorted(r["id"] for r in made.collect()) == sorted(r["o_orderkey"] for r in known.collect())
+    sizes = {r["o_custkey"]: r["count"] for r in known.groupBy("o_custkey").count().collect()}
+    assert {(r["host_id"], r["host_listings"]) for r in queries.listings(spark, str(tmp_path)).collect()} == set(sizes.items())
