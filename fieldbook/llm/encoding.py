@@ -172,3 +172,15 @@ class TextEncoder:
             ids[done : done + len(part)] = part
             done += len(part)
         return ids, np.concatenate([[0], np.cumsum(per_text)])
+
+
+def encoder_of(path: str) -> TextEncoder:
+    """The encoder of a tokenizer file, loaded once in a worker process and kept for its later
+    tasks; the last one only. It is kept with the tokenizers library, as this module travels with
+    every task anew."""
+    import tokenizers
+
+    key, held = (path, os.stat(path).st_mtime_ns), getattr(tokenizers, "_fieldbook_encoder", None)
+    if held is None or held[0] != key:
+        held = tokenizers._fieldbook_encoder = key, TextEncoder(path)
+    return held[1]

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm.common import mapped, texts
-from fieldbook.llm.encoding import TextEncoder
+from fieldbook.llm.encoding import encoder_of
 from fieldbook.session import materialise, scratch_path
 
 MANIFEST = "shard int, file string, width int, docs long, tokens long"
@@ -67,7 +67,7 @@ def shard_writer(folder: str, tokenizer: str, end_id: int):
         for batch in batches:
             for part in slices(batch):
                 if encoder is None:
-                    encoder = TextEncoder(tokenizer)
+                    encoder = encoder_of(tokenizer)
                     width = 2 if max(len(encoder.edge) - 1, end_id) < 1 << 16 else 4
                     name = f"shard-{uuid.uuid4().hex}"
                     files = {x: store.open_output_stream(f"{root}/{name}.{x}") for x in ("bin", "idx", "doc")}

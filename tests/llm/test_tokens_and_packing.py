@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from fieldbook.llm import packing, tokenfiles
+from fieldbook.llm import encoding, packing, tokenfiles
 from fieldbook.llm.encoding import TextEncoder
 from helpers import ODD, docs, rows_of
 
@@ -103,3 +103,12 @@ def test_plan_uses_every_length_once_and_few_sequences(counts):
     assert used == counts
     total = sum(k * n for k, n in counts.items())
     assert sum(n for _, n in patterns) <= 11 / 9 * max(-(-total // 40), sum(n for k, n in counts.items() if 2 * k > 40)) + 1 + sum(n for k, n in counts.items() if 40 < 3 * k <= 60)
+
+
+def test_a_worker_loads_a_tokenizer_once(monkeypatch):
+    made = []
+    monkeypatch.setattr(encoding, "TextEncoder", lambda p: made.append(p) or object())
+    monkeypatch.setattr("tokenizers._fieldbook_encoder", None, raising=False)
+    first = encoding.encoder_of(BYTES)
+    assert encoding.encoder_of(BYTES) is first and made == [BYTES]
+    assert encoding.encoder_of(WORDS) is not first and made == [BYTES, WORDS]
