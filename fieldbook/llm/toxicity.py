@@ -45,7 +45,7 @@ FIXED = float(1 << 32)  # scores are summed in such parts
 SIZES, BUCKETS, WIDTH = (3, 4, 5), 1 << 17, 8
 HELD_OUT, FOLDS = 0, 5
 THRESHOLD = 0.5
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20  # of texts scored together, with some hundred bytes held for each word
 LEARN_BYTES, STEP_PARTS = 4 << 20, 1 << 21  # texts encoded, n-grams moved at a time in learning
 MEAN_PASSAGES = 1 << 16  # passages whose means are taken at a time
 

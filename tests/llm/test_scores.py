@@ -368,3 +368,19 @@ def test_language_counts_and_choice_equal_plain_ones(spark, sf):
         share = max(options, key=lambda o: o[0])[1]
         want = {k: s for k, s in zip(model.names, share) if s > 1e-6}
         assert set(m.mixture) == set(want) and m.mixture == pytest.approx(want, abs=5e-3) and m.lang_pred == max(want, key=want.get)
+
+
+def test_scoring_holds_little_beside_the_texts():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i:x}" for i in range(4000)])
+    texts = pa.array([" ".join(rng.choice(words, 400)) for _ in range(3000)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    scorer = toxicity.Scorer(rng.normal(0, 1, toxicity.BUCKETS), 0.1)
+    tracemalloc.start()
+    parts = [scorer.scores(part.column("text")) for part in toxicity.slices(batch, limit=toxicity.BATCH_BYTES)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+    assert np.array_equal(np.concatenate(parts), scorer.scores(texts))
