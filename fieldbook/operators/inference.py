@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.operators.applying import GroupFunction, apply_groups, by_key
-from fieldbook.operators.profile import correlation
+from fieldbook.operators.profile import correlation, stacked
 from fieldbook.operators.quantiles import order_statistics
 from fieldbook.operators.special import chi2_p_value, f_p_value, t_p_value
 from fieldbook.session import attach_groups, materialise
@@ -114,15 +114,15 @@ def normality(df: DataFrame, columns: Sequence[str], alpha: float = 0.05) -> Dat
     ``column, n, skewness, kurtosis, k2, p_value, is_normal``; needs eight values.
     Skewness and kurtosis are reported bias-corrected."""
     aggs = []
-    for i, c in enumerate(columns):
+    for c in columns:
         x = F.col(c).cast("double")
         aggs.append(
             F.struct(
                 F.lit(c).alias("column"), F.count(x).cast("double").alias("n"),
                 F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2"),
-            ).alias(f"c{i}")
+            )
         )
-    s = df.agg(*aggs).select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(columns))])))
+    s = stacked(df, aggs)
     s = s.filter(F.col("n") >= 8)
     n, g1, g2 = F.col("n"), F.col("g1"), F.col("g2")
 

@@ -51,6 +51,17 @@ def _rows_per_column(one: DataFrame, columns: Sequence[str], fields: Sequence[st
     return one.select(F.inline(F.array(*cells)))
 
 
+#: Columns whose moments one aggregate takes: the compiled code for more is too long for the JVM to optimise.
+MOMENT_COLUMNS = 4
+
+
+def stacked(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
+    """One row per struct of aggregates over all rows, a few structs to an aggregate."""
+    parts = [structs[i : i + MOMENT_COLUMNS] for i in range(0, len(structs), MOMENT_COLUMNS)]
+    rows = [df.agg(*[s.alias(f"s{i}") for i, s in enumerate(part)]).select(F.inline(F.array(*[f"s{i}" for i in range(len(part))]))) for part in parts]
+    return reduce(DataFrame.unionByName, rows)
+
+
 #: Whole numbers of one bitmap page, and the bytes of a page (fixed by Spark's bitmap functions).
 PAGE_VALUES, PAGE_BYTES = 32_768, 4_096
 
@@ -130,22 +141,23 @@ def sample_kurtosis(column: Column) -> Column:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, std, min, percentiles, max, skewness, kurtosis and cv% per numeric column."""
     columns = list(columns or columns_of(df, "numeric"))
-    moments = {}
+    moments = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
-        moments[f"{i}_m"] = F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        moments.append(F.struct(
+            F.lit(i).alias("at"), F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
             F.min(x).alias("min"), F.max(x).alias("max"), sample_skewness(x).alias("skewness"),
             sample_kurtosis(x).alias("kurtosis"),
-        )
-    # Two scans: moments compile to one tight loop, which sharing a pass with the
-    # object-based percentile buffers would undo.
-    one = df.agg(F.struct(*[m.alias(name) for name, m in moments.items()])).scalar()
-    wide = quantiles(df, columns, PERCENTILES).withColumn("_m", one)
-    cells = [F.struct(F.col("_m")[f"{i}_m"].alias("m"), F.col(c).alias("q")) for i, c in enumerate(columns)]
+        ))
+    # Several scans: moments of a few columns compile to one tight loop, which more of them, or
+    # sharing a pass with the object-based percentile buffers, would undo.
+    wide = quantiles(df, columns, PERCENTILES)
+    cells = [F.struct(F.lit(i).alias("at"), F.col(c).alias("q")) for i, c in enumerate(columns)]
     names = [f"p{round(p * 100)}" for p in PERCENTILES]
+    q = wide.select(F.inline(F.array(*cells)))
+    both = stacked(df, moments).select("at", F.struct("*").alias("m")).join(F.broadcast(q), "at")
     m = F.col("m")
-    return wide.select(F.inline(F.array(*cells))).select(
+    return both.select(
         m["column"].alias("column"), m["count"].alias("count"), m["mean"].alias("mean"), m["std"].alias("std"), m["min"].alias("min"),
         *[F.col("q")[i].alias(n) for i, n in enumerate(names)],
         m["max"].alias("max"), m["skewness"].alias("skewness"), m["kurtosis"].alias("kurtosis"),

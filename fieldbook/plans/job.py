@@ -13,7 +13,7 @@ from pyspark.sql.observation import Observation
 from fieldbook.config import JobConfig
 from fieldbook.operators import binning, cleaning, imputing, inference, models, profile
 from fieldbook.operators.shaping import columns_of, present
-from fieldbook.session import materialise
+from fieldbook.session import ROW_GROUP, materialise
 from fieldbook.sources import sinks
 
 
@@ -51,7 +51,7 @@ def clean(
     df = df.observe(before, F.count(F.lit(1)).alias("rows")).dropDuplicates()
     missing = [F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(df.columns)]
     df = df.observe(after, F.count(F.lit(1)).alias("rows"), *missing)
-    df = materialise(df, "deduplicated")
+    df = materialise(df, "deduplicated", ROW_GROUP)
     rows_in, rows_kept = before.get["rows"], after.get["rows"]
     nulls = {c: after.get[f"null{i}"] for i, c in enumerate(df.columns)}
     holes = [c for c in df.columns if nulls[c]]
@@ -67,7 +67,7 @@ def clean(
             df = imputing.fill_mode(df, others)
     if positive and positive in df.columns:
         df = df.filter(F.col(positive) > 0)
-    df = materialise(df, "imputed")
+    df = materialise(df, "imputed", ROW_GROUP)
     quality = _metrics(
         df,
         [("rows_in", "", rows_in), ("duplicates_removed", "", rows_in - rows_kept)]
@@ -79,7 +79,7 @@ def clean(
 def finish(prepared: Prepared, columns: Sequence[str], config: JobConfig, features: Sequence[str] = ()) -> Prepared:
     """Add outlier flags, store the result, and complete the quality report."""
     df = binning.flag_outliers(prepared.frame, columns, config.fence)
-    df = materialise(df, "prepared")
+    df = materialise(df, "prepared", ROW_GROUP)
     flags = binning.outlier_totals(df).select(
         F.lit("outliers_flagged").alias("metric"), "column", F.col("outliers").alias("value")
     )
@@ -184,7 +184,7 @@ def cluster_quality(df: DataFrame, columns: Sequence[str], config: JobConfig) ->
     usable = [c for c in present(df, columns) if c in columns_of(df, "numeric")]
     if len(usable) < 3:
         return None
-    scaled = materialise(models.standard_scale(df.select(*usable).dropna(), usable), "scaled")
+    scaled = materialise(models.standard_scale(df.select(*usable).dropna(), usable), "scaled", ROW_GROUP)
     rows, _ = models.kmeans_clusters(scaled, usable, config.clusters, config.restarts, config.seed)
     value = models.silhouette_squared(rows, usable, "cluster")
     reading = "the rows fall into separate groups" if value > 0.2 else "the groups run into each other"

@@ -238,3 +238,39 @@ def test_rounds_within_reach_equal_plain_rounds():
     reach = 0.5 * models._shift(plain, start)
     got, _, n, settled = models._walked(points, np.zeros((4, 4)), start, start, reach, 300, 1e-6)
     assert not settled and 0 < n < rounds and models._shift(got, start) > reach
+
+
+def test_kmeans_goes_over_growing_samples_and_ends_on_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame(rng.uniform(0, 1, (9_000, 3)), columns=list("abc"))
+    stored, keep = [], models.materialise
+
+    def noted(df, *rest):
+        out = keep(df, *rest)
+        stored.extend([sum(len(r["block"]) for r in out.collect()) // 24] if out.columns == ["block"] else [])
+        return out
+
+    monkeypatch.setattr(models, "materialise", noted)
+    out, cost = models.kmeans_clusters(spark.createDataFrame(pdf).repartition(3), list("abc"), 4, restarts=3, start_rows=100)
+    sample, whole = stored
+    assert 600 < sample < 1_000 and whole == 9_000
+    got = out.toPandas()
+    scaled = (got[list("abc")] - pdf.mean()) / pdf.std()
+    means = scaled.groupby(got["cluster"]).mean()
+    apart = ((scaled.to_numpy()[:, None, :] - means.to_numpy()[None]) ** 2).sum(axis=2)
+    assert (apart.argmin(axis=1) != got["cluster"].to_numpy()).sum() <= 2  # those on a border
+    assert cost == pytest.approx(apart.min(axis=1).sum(), rel=1e-6)
+
+
+def test_measured_points_equal_plain_ones():
+    rng = np.random.default_rng(3)
+    points, centres = rng.normal(size=(500, 4)), rng.normal(size=(3, 6, 4))
+    apart = ((points[None, :, None, :] - centres[:, None]) ** 2).sum(axis=3)
+    at, first, second = models._measured(points, centres)
+    two = np.sort(apart, axis=2)
+    assert (at == apart.argmin(axis=2)).all() and np.allclose(first, two[:, :, 0]) and np.allclose(second, two[:, :, 1])
+    gaps = models._gaps(points, centres)
+    gaps[0, 0] = 0.0
+    classes = models._gap_classes(gaps).reshape(3, -1)
+    assert (classes.cumsum(axis=1) == (gaps[:, :, None] <= models.GAPS).sum(axis=1)).all()
+    assert np.isinf(models._gaps(points, centres[:, :1])).all()

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from fieldbook.operators import charts, grouping, profile
+from fieldbook.operators import charts, grouping, inference, profile
 
 
 @pytest.fixture(scope="module")
@@ -154,3 +154,16 @@ def test_distinct_counts_of_all_types_without_expanding_rows(spark):
     assert "Expand" not in profile.schema_profile(df)._jdf.queryExecution().toString()
     by = {(r["a"], r["column"]): r["n_unique"] for r in profile.distinct_counts(df, ["f", "b"], ["a"]).collect()}
     assert by[3, "f"] == 4 and by[3, "b"] == df.where("a = 3").count()
+
+
+def test_moments_of_many_columns_go_a_few_to_an_aggregate(spark):
+    df = spark.range(50).select(*[(F.pow(F.col("id"), F.lit(1 + i / 3)) if i else F.lit(None).cast("double")).alias(f"c{i}") for i in range(7)])
+    pdf = df.toPandas()
+    for made in (profile.describe(df), inference.normality(df, df.columns)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert max(line.count("kurtosis(") for line in plan.splitlines()) <= profile.MOMENT_COLUMNS
+    got = {r["column"]: r for r in profile.describe(df).collect()}
+    assert list(got) == df.columns and got["c0"]["count"] == 0
+    for c in df.columns[1:]:
+        want = (pdf[c].mean(), pdf[c].std(), pdf[c].median(), pdf[c].skew(), pdf[c].kurt())
+        assert tuple(got[c][k] for k in ("mean", "std", "p50", "skewness", "kurtosis")) == pytest.approx(want)

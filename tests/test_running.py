@@ -101,3 +101,15 @@ def test_several_columns_are_carried_with_one_range_shuffle(rows, chunks):
         want = pdf.groupby("k")[c].ffill().reset_index(drop=True)
         pd.testing.assert_series_equal(got[f"carried_{i}"], want, check_names=False, check_dtype=False)
     assert imputing.fill_previous(both, ["v", "w"], "id").columns == both.columns
+
+
+def test_carrying_without_keys_takes_small_chunks(spark, tmp_path, monkeypatch):
+    pdf = pd.DataFrame({"k": range(3000), "v": [float(i) if i % 7 == 3 else None for i in range(3000)]})
+    spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 7 == 3, F.col("id").cast("double")).alias("v")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    made, chunked = [], running.with_chunks
+    monkeypatch.setattr(running, "with_chunks", lambda rows, order, chunks: made.append(chunks) or chunked(rows, order, chunks))
+    monkeypatch.setattr(running, "LONE_CHUNK_BYTES", 4_000)
+    got = running.carry_all_forward(df, ["v"], ["k"]).toPandas().sort_values("k")["carried_0"]
+    pd.testing.assert_series_equal(got.reset_index(drop=True), pdf["v"].ffill(), check_names=False)
+    assert len(made) == 1 and made[0] > 2

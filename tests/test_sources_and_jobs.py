@@ -1,11 +1,14 @@
 import datetime as dt
 import json
+import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from fieldbook.config import JobConfig
 from fieldbook.plans import insights, job, worksheets
+from fieldbook.session import ROW_GROUP, materialise
 from fieldbook.sources import nested, readers, sinks
 
 
@@ -164,3 +167,10 @@ def test_the_listing_job_joins_its_tables_once(spark, monkeypatch, tmp_path):
     assert sorted(r["id"] for r in made.collect()) == sorted(r["o_orderkey"] for r in known.collect())
     sizes = {r["o_custkey"]: r["count"] for r in known.groupBy("o_custkey").count().collect()}
     assert {(r["host_id"], r["host_listings"]) for r in queries.listings(spark, str(tmp_path)).collect()} == set(sizes.items())
+
+
+def test_a_stored_step_is_read_by_several_tasks(spark):
+    kept = materialise(spark.range(3_000_000).select(F.xxhash64("id").alias("h")).coalesce(1), "split", ROW_GROUP)
+    (file,) = [f.removeprefix("file:") for f in kept.inputFiles()]
+    assert pq.ParquetFile(re.sub("^/+", "/", file)).num_row_groups > 1
+    assert kept.agg(F.bit_xor("h")).first()[0] == spark.range(3_000_000).agg(F.bit_xor(F.xxhash64("id"))).first()[0]
